@@ -91,6 +91,16 @@ class PiiPattern:
     def java_regex(self) -> str:
         return JAVA_FLAGS + self.java
 
+    @property
+    def plain(self) -> str:
+        """The published form without Python-only escapes (for RE2 cross-checks)."""
+        return self.source.replace("\\'", "'")
+
+    @property
+    def plain_group(self) -> int:
+        """Span group of the published form (only the NAME patterns use group 1)."""
+        return 1 if self.entity_type == "NAME" else 0
+
 
 def _p(ordinal, entity_type, source, java=None, group=0, guard=None):
     return PiiPattern(ordinal, entity_type, source, java if java is not None else source,

@@ -44,21 +44,26 @@ def _guard(t: Column, p: PiiPattern, has_digit: Column) -> Column | None:
 
 def _pattern_entities(p: PiiPattern, m: Column, g: Column, x: Column | None,
                       confidence: float) -> Column:
-    """Entity array (internal layout, rank set) for one pattern's match arrays."""
+    """Entity array (internal layout, rank set) for one pattern's match arrays.
+
+    The arrays are zipped outside the lambda, so even if the optimizer inlines
+    them the regexes still run once per evaluation (never once per element).
+    """
     base = F.lit(p.ordinal * RANK_STRIDE).cast("bigint")
     etype, src, conf = F.lit(p.entity_type), F.lit("REGEX"), F.lit(float(confidence))
+    zipped = F.arrays_zip(g.alias("g"), m.alias("m"), (x if x is not None else m).alias("x"))
 
-    def step(acc, mi):
-        gi = F.try_element_at(g, acc["i"] + 1)
-        end = acc["pos"] + F.length(gi) + F.length(mi)
-        xi = F.try_element_at(x, acc["i"] + 1) if x is not None else mi
-        ent = internal(end - F.length(xi), base + acc["i"], end, xi, etype, conf, src)
-        return F.struct((acc["i"] + 1).alias("i"), end.alias("pos"),
-                        F.concat(acc["out"], F.array(ent)).alias("out"))
+    def step(acc, z):
+        end = acc["pos"] + F.length(z["g"]) + F.length(z["m"])
+        ent = internal(end - F.length(z["x"]), base + acc["i"], end, z["x"], etype, conf, src)
+        nxt = F.struct((acc["i"] + 1).alias("i"), end.alias("pos"),
+                       F.concat(acc["out"], F.array(ent)).alias("out"))
+        # the last piece of g has no match after it
+        return F.when(z["m"].isNull(), acc).otherwise(nxt)
 
     init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"),
                     empty_array(INTERNAL_TYPE).alias("out"))
-    ents = F.aggregate(m, init, step, lambda acc: acc["out"])
+    ents = F.aggregate(zipped, init, step, lambda acc: acc["out"])
 
     fps = FALSE_POSITIVES.get(p.entity_type, ())
     lowered = tuple(dict.fromkeys(s.lower() for s in fps))
@@ -150,4 +155,17 @@ def detect_table(df: DataFrame, key_cols, text_col, **kw) -> DataFrame:
     end_pos, confidence, source)``."""
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     d = with_entities(df.select(*keys, col_of(text_col).alias("__text")), "__text", "__e", **kw)
-    return d.select(*keys, F.explode("__e").alias("e")).select(*keys, "e.*")
+    return explode_entities(d, keys, "__e")
+
+
+def explode_entities(df: DataFrame, keys, col: str) -> DataFrame:
+    """One row per array element, struct fields as columns.
+
+    Uses ``inline_outer`` and filters above the generator: a plain ``explode``
+    makes Catalyst infer ``size(col) > 0`` and push it below the projection
+    that computes ``col``, which would run the detection twice.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    out = df.select(*keys, F.inline_outer(col))
+    first = out.columns[len(keys)]
+    return out.where(F.col(first).isNotNull())
