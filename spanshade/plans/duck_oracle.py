@@ -262,4 +262,154 @@ pk AS (
                   'success' AS status
            FROM pk""",
         pf, candidates_ctes("pf"), kept_ctes(), per_payload)
+    out.update(report_queries())
+    out.update(feedback_queries())
+    return out
+
+
+def _pats(types):
+    return [p for p in CATALOGUE if p.entity_type in types]
+
+
+PK_CTE = """
+pk AS (SELECT c.src, c.key, c.source_file, c.text, kept.k, coalesce(len(kept.k), 0) AS n
+       FROM corpus c LEFT JOIN kept ON c.src = kept.src AND c.key = kept.key)"""
+
+JOB_ROWS_CTE = """
+jobs AS (
+  SELECT source_file, CAST(count(*) AS BIGINT) AS total_payloads,
+         CAST(count(*) AS BIGINT) AS processed_payloads, CAST(0 AS BIGINT) AS failed_payloads,
+         CAST(sum(n) AS BIGINT) AS total_pii_detected, CAST(sum(n) AS BIGINT) AS total_pii_redacted,
+         CAST(count_if(n > 0) AS BIGINT) AS payloads_with_pii, 'success' AS status,
+         CAST(0 AS BIGINT) AS failed_rows,
+         CAST(sum(n) AS DOUBLE) / count(*) AS pii_rate
+  FROM pk GROUP BY source_file)"""
+
+VALIDATION_MSG = "'PII text ''' || x.t || ''' still present in redacted text'"
+
+
+def report_queries() -> dict:
+    base = (candidates_ctes("corpus"), kept_ctes(), PK_CTE)
+    out = {}
+    rl = """
+ents AS (SELECT src, key, unnest(k) AS x FROM kept),
+labels AS (SELECT x.t AS t, first(x.y ORDER BY src, key, x.s DESC) AS lab FROM ents GROUP BY x.t),
+rl AS (SELECT e.src, e.key, list({'s': e.x.s, 'e': e.x.e, 't': e.x.t, 'y': l.lab} ORDER BY e.x.s) AS k
+       FROM ents e JOIN labels l ON e.x.t = l.t GROUP BY e.src, e.key)"""
+    out["hash_canonical_labels"] = with_views(
+        f"""SELECT c.src, c.key, coalesce({splice_sql('c.text', 'rl.k', 'hash')}, c.text)
+                   AS redacted_text, CAST(coalesce(len(rl.k), 0) AS INTEGER) AS n_redacted
+            FROM corpus c LEFT JOIN rl ON c.src = rl.src AND c.key = rl.key""",
+        candidates_ctes("corpus"), kept_ctes(), rl)
+    out["job_stats_by_source"] = with_views("SELECT * FROM jobs", *base, JOB_ROWS_CTE)
+    out["batch_summary"] = with_views(
+        """SELECT CAST(count(*) AS BIGINT) AS files_total,
+                  CAST(count_if(status = 'success') AS BIGINT) AS files_success,
+                  CAST(count_if(status <> 'success') AS BIGINT) AS files_failed,
+                  CAST(coalesce(sum(CASE WHEN status = 'success' THEN processed_payloads END), 0)
+                       AS BIGINT) AS total_payloads,
+                  CAST(coalesce(sum(CASE WHEN status = 'success' THEN total_pii_detected END), 0)
+                       AS BIGINT) AS total_pii
+           FROM jobs""", *base, JOB_ROWS_CTE)
+    out["detection_report"] = with_views(
+        """SELECT CAST(count(*) AS BIGINT) AS total_payloads,
+                  CAST(count_if(n > 0) AS BIGINT) AS payloads_with_pii,
+                  CAST(count(*) - count_if(n > 0) AS BIGINT) AS clean_payloads,
+                  CAST(sum(n) AS BIGINT) AS total_entities,
+                  CAST(sum(n) AS DOUBLE) / count(*) AS avg_per_payload,
+                  CAST(100.0 AS DOUBLE) * count_if(n > 0) / count(*) AS pct_with_pii
+           FROM pk""", *base)
+    out["entity_type_histogram"] = with_views(
+        "SELECT x.y AS entity_type, CAST(count(*) AS BIGINT) AS n "
+        "FROM (SELECT unnest(k) AS x FROM kept) GROUP BY x.y", candidates_ctes("corpus"),
+        kept_ctes())
+    out["validation_report"] = with_views(
+        f"""SELECT src, key, len(errs) = 0 AS is_valid, CAST(len(errs) AS INTEGER) AS n_errors,
+                   CAST(CASE WHEN length(r) > length(text) * 1.5 THEN 1 ELSE 0 END AS INTEGER)
+                     AS n_warnings,
+                   errs[1] AS first_error
+            FROM (SELECT src, key, text, r,
+                         list_transform(list_filter(list_reverse(k),
+                                        lambda x: contains(lower(r), lower(x.t))),
+                                        lambda x: {VALIDATION_MSG}) AS errs
+                  FROM (SELECT src, key, text, k,
+                               {splice_sql('text', 'k', 'placeholder')} AS r
+                        FROM pk WHERE n > 0))""", *base)
+    return out
+
+
+FIRST_PASS_TYPES = ("EMAIL", "PHONE", "ZIP_CODE", "ADDRESS", "CREDIT_CARD")
+RESIDUAL_TYPES = ("EMAIL", "PHONE", "SSN", "CREDIT_CARD", "NAME")
+
+
+def _spans_sql(k: str) -> str:
+    rep_y = strategy_sql("placeholder", "y.t", "y.y")
+    rep_i = strategy_sql("placeholder", f"{k}[i].t", f"{k}[i].y")
+    shift = (f"coalesce(list_sum(list_transform({k}[1:i - 1], lambda y: length({rep_y}) "
+             f"- (y.e - y.s))), 0)")
+    return (f"list_transform(range(1, len({k}) + 1), lambda i: {{'s': {k}[i].s + {shift}, "
+            f"'e': {k}[i].s + {shift} + length({rep_i})}})")
+
+
+def _feedback_ctes() -> tuple:
+    fp = f"""
+fp AS (
+  SELECT c.src, c.key, c.source_file, c.text, k1.k AS k,
+         coalesce({splice_sql('c.text', 'k1.k', 'placeholder')}, c.text) AS redacted,
+         CASE WHEN k1.k IS NULL THEN NULL ELSE {_spans_sql('k1.k')} END AS spans
+  FROM corpus c LEFT JOIN k1 ON c.src = k1.src AND c.key = k1.key),
+red AS (SELECT src, key, redacted AS text FROM fp)"""
+    leaks = """
+leaks AS (
+  SELECT fp.src, fp.key, fp.source_file, l.x
+  FROM (SELECT src, key, unnest(k) AS x FROM k2) l JOIN fp ON l.src = fp.src AND l.key = fp.key
+  WHERE CASE WHEN fp.spans IS NULL THEN true
+             ELSE len(list_filter(fp.spans, lambda s: l.x.s < s.e AND l.x.e > s.s)) = 0 END)"""
+    quar = """
+qfiles AS (SELECT DISTINCT source_file FROM leaks),
+quar AS (SELECT * FROM corpus WHERE source_file IN (SELECT source_file FROM qfiles))"""
+    ex = """
+red1 AS (SELECT src, key, unnest(k) AS x FROM k1),
+ex AS (
+  SELECT q.src, q.key, q.source_file,
+         substring(q.text, f.begin_offset + 1, f.end_offset - f.begin_offset) AS text,
+         f.begin_offset, f.end_offset, f.type, f.source
+  FROM quar q JOIN findings f ON q.src = f.src AND q.key = f.key
+  WHERE NOT EXISTS (SELECT 1 FROM red1 r WHERE r.src = q.src AND r.key = q.key
+                    AND f.begin_offset < r.x.e AND f.end_offset > r.x.s)),
+exu AS (
+  SELECT src, key, source_file, text, type, source, begin_offset AS start_pos FROM ex
+  UNION ALL
+  SELECT src, key, source_file, x.t AS text, x.y AS type, 'RESIDUAL' AS source, x.s AS start_pos
+  FROM leaks)"""
+    return (candidates_ctes("corpus", _pats(FIRST_PASS_TYPES), name="c1"), kept_ctes("c1", "k1"),
+            fp, candidates_ctes("red", _pats(RESIDUAL_TYPES), name="c2"),
+            kept_ctes("c2", "k2"), leaks, quar, ex)
+
+
+def feedback_queries() -> dict:
+    ctes = _feedback_ctes()
+    out = {}
+    out["residual_leaks"] = with_views(
+        "SELECT src, key, source_file, x.y AS entity_type, x.s AS start_pos, x.e AS end_pos, "
+        "x.t AS text FROM leaks", *ctes)
+    out["quarantine_semi"] = with_views("SELECT src, key, source_file FROM quar", *ctes)
+    out["clean_anti"] = with_views(
+        "SELECT src, key, source_file FROM corpus c WHERE NOT EXISTS "
+        "(SELECT 1 FROM qfiles q WHERE q.source_file = c.source_file)", *ctes)
+    out["training_examples"] = with_views(
+        "SELECT src, key, source_file, text, begin_offset, end_offset, type, source FROM ex",
+        *ctes)
+    out["training_dedup"] = with_views(
+        "SELECT text, type, CAST(count(*) AS BIGINT) AS n_examples, "
+        "min(source_file) AS first_source_file FROM exu GROUP BY text, type", *ctes)
+    out["leak_alerts"] = with_views(
+        "SELECT source_file, x.y AS entity_type, CAST(count(*) AS BIGINT) AS n_leaks "
+        "FROM leaks GROUP BY source_file, x.y", *ctes)
+    out["review_sample"] = with_views(
+        """SELECT type, text, src, key, CAST(rn AS INTEGER) AS sample_rank FROM (
+             SELECT *, row_number() OVER (PARTITION BY type ORDER BY
+               md5(concat_ws('|', text, src, CAST(key AS VARCHAR), CAST(start_pos AS VARCHAR),
+                             source)), text, src, key, start_pos, source) AS rn
+             FROM exu) WHERE rn <= 3""", *ctes)
     return out

@@ -136,6 +136,143 @@ def payload_stats(spark, sf_dir):
         F.col("_stats.status").alias("status"))
 
 
+def _corpus_entities(spark, sf_dir):
+    c = views.corpus(spark, sf_dir).select(*KEY, "text")
+    return with_entities(c, "text", "ents")
+
+
+def hash_canonical_labels(spark, sf_dir):
+    """Hash strategy with first-seen type labels (processing order: src, key,
+    descending start)."""
+    from ..operators.canonical import redact_canonical
+    from ..operators.detect import detect_table
+    texts = views.corpus(spark, sf_dir).select(*KEY, "text")
+    ents = detect_table(texts, KEY, "text")
+    out = redact_canonical(texts, ents, KEY, "text")
+    return out.select(*KEY, "redacted_text", "n_redacted")
+
+
+def job_stats_by_source(spark, sf_dir):
+    """Per-file job rows (files = ``source_file`` of the corpus)."""
+    from ..operators.stats import file_job_rows
+    from .payload_job import redact_payloads
+    c = views.corpus(spark, sf_dir)
+    red = redact_payloads(c, fields=("text",), key_cols=KEY, id_col="key")
+    j = file_job_rows(red)
+    return j.select("source_file", "total_payloads", "processed_payloads", "failed_payloads",
+                    "total_pii_detected", "total_pii_redacted", "payloads_with_pii", "status",
+                    "failed_rows",
+                    (F.col("total_pii_detected") / F.col("total_payloads")).alias("pii_rate"))
+
+
+def batch_summary(spark, sf_dir):
+    from ..operators.stats import batch_summary as bs
+    return bs(job_stats_by_source(spark, sf_dir))
+
+
+def detection_report(spark, sf_dir):
+    from ..operators.stats import detection_report as dr
+    return dr(_corpus_entities(spark, sf_dir), "ents")
+
+
+def entity_type_histogram(spark, sf_dir):
+    from ..operators.stats import entity_type_histogram as h
+    return h(explode_entities(_corpus_entities(spark, sf_dir).select(*KEY, "ents"), KEY, "ents"))
+
+
+def validation_report(spark, sf_dir):
+    from ..operators.validate import validation
+    d = with_redaction(_corpus_entities(spark, sf_dir), "text", "ents", "placeholder",
+                       out_text="redacted_text")
+    v = validation("text", "redacted_text", "redactions")
+    d = d.select(*KEY, F.size("redactions").alias("n_redacted"), v.alias("v"))
+    return explode_entities(
+        d.select(*KEY, F.when(F.col("n_redacted") > 0, F.array(F.struct(
+            F.col("v.is_valid").alias("is_valid"),
+            F.size("v.errors").alias("n_errors"),
+            F.size("v.warnings").alias("n_warnings"),
+            F.try_element_at("v.errors", F.lit(1)).alias("first_error")))).alias("r")), KEY, "r")
+
+
+# Feedback loop: a weaker first pass (no SSN / NAME patterns) and a residual
+# scan for the high-risk types.
+FIRST_PASS_TYPES = ("EMAIL", "PHONE", "ZIP_CODE", "ADDRESS", "CREDIT_CARD")
+RESIDUAL_TYPES = ("EMAIL", "PHONE", "SSN", "CREDIT_CARD", "NAME")
+FKEY = KEY + ["source_file"]
+
+
+def _first_pass(spark, sf_dir):
+    from .feedback import replacement_spans
+    c = views.corpus(spark, sf_dir)
+    d = with_entities(c, "text", "ents", types=FIRST_PASS_TYPES)
+    d = with_redaction(d, "text", "ents", "placeholder", out_text="redacted_text")
+    return d.withColumn("spans", replacement_spans(F.col("redactions")))
+
+
+def _leak_rows(spark, sf_dir):
+    from .feedback import with_residual_leaks
+    d = with_residual_leaks(_first_pass(spark, sf_dir), "redacted_text", "spans", "leaks",
+                            types=RESIDUAL_TYPES)
+    return explode_entities(d.select(*FKEY, "leaks"), FKEY, "leaks")
+
+
+def residual_leaks(spark, sf_dir):
+    return _leak_rows(spark, sf_dir).select(*FKEY, "entity_type", "start_pos", "end_pos", "text")
+
+
+def _quarantine(spark, sf_dir):
+    from .feedback import quarantine
+    raw = views.corpus(spark, sf_dir)
+    return quarantine(raw, _leak_rows(spark, sf_dir))
+
+
+def quarantine_semi(spark, sf_dir):
+    return _quarantine(spark, sf_dir)[0].select(*FKEY)
+
+
+def clean_anti(spark, sf_dir):
+    return _quarantine(spark, sf_dir)[1].select(*FKEY)
+
+
+def _training_examples(spark, sf_dir):
+    from .feedback import training_examples as te
+    q = _quarantine(spark, sf_dir)[0]
+    fnd = views.findings(spark, sf_dir)
+    first = _first_pass(spark, sf_dir)
+    red = explode_entities(first.select(*KEY, "redactions"), KEY, "redactions")
+    return te(q, fnd, red, KEY)
+
+
+def training_examples(spark, sf_dir):
+    return _training_examples(spark, sf_dir).select(
+        *FKEY, "text", "begin_offset", "end_offset", "type", "source")
+
+
+def _examples_union(spark, sf_dir):
+    ex = _training_examples(spark, sf_dir).select(*FKEY, "text", "type", "source",
+                                                  F.col("begin_offset").alias("start_pos"))
+    lk = _leak_rows(spark, sf_dir).select(*FKEY, "text", F.col("entity_type").alias("type"),
+                                          F.lit("RESIDUAL").alias("source"), "start_pos")
+    return ex.unionByName(lk)
+
+
+def training_dedup(spark, sf_dir):
+    from .feedback import training_set
+    return training_set(_examples_union(spark, sf_dir))
+
+
+def leak_alerts(spark, sf_dir):
+    from .feedback import leak_alerts as la
+    return la(_leak_rows(spark, sf_dir))
+
+
+def review_sample(spark, sf_dir):
+    from .feedback import review_sample as rs
+    r = rs(_examples_union(spark, sf_dir), 3, ["text", "src", "key", "start_pos", "source"])
+    return r.select("type", "text", "src", "key", F.col("sample_rank").cast("int")
+                    .alias("sample_rank"))
+
+
 def registered() -> dict:
     q = {name: _candidates_query(ords) for name, ords in DETECT_GROUPS.items()}
     q.update({
@@ -151,6 +288,19 @@ def registered() -> dict:
         "redaction_records": redaction_records,
         "payload_redaction": payload_redaction,
         "payload_stats": payload_stats,
+        "hash_canonical_labels": hash_canonical_labels,
+        "job_stats_by_source": job_stats_by_source,
+        "batch_summary": batch_summary,
+        "detection_report": detection_report,
+        "entity_type_histogram": entity_type_histogram,
+        "validation_report": validation_report,
+        "residual_leaks": residual_leaks,
+        "quarantine_semi": quarantine_semi,
+        "clean_anti": clean_anti,
+        "training_examples": training_examples,
+        "training_dedup": training_dedup,
+        "leak_alerts": leak_alerts,
+        "review_sample": review_sample,
     })
     return q
 
