@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from ..functions.patterns import CATALOGUE, DEFAULT_CONFIDENCE, FALSE_POSITIVES
 from ..functions.strategies import DEFAULT_PLACEHOLDER, PLACEHOLDERS
+from .payload_files import CONVERSATIONS_PER_FILE
 from .views import CORPUS_SQL, FINDING_RULES, PAYLOADS_SQL
 
 NON_ASCII_LETTERS = (r"[\x{00AA}\x{00B5}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}"
@@ -240,7 +241,7 @@ def oracle_queries(detect_groups: dict) -> dict:
           "UNION ALL SELECT 'notes' AS src, verbatim_id AS key, notes AS text FROM payloads)")
     per_payload = f"""
 pk AS (
-  SELECT p.verbatim_id, p.sentence, p.notes, ks.k AS ks, kn.k AS kn,
+  SELECT p.verbatim_id, p.call_id, p.sentence, p.notes, ks.k AS ks, kn.k AS kn,
          coalesce(len(ks.k), 0) AS ns, coalesce(len(kn.k), 0) AS nn
   FROM payloads p
   LEFT JOIN kept ks ON ks.src = 'sentence' AND ks.key = p.verbatim_id
@@ -254,6 +255,15 @@ pk AS (
                    CASE WHEN ns + nn > 0 THEN CAST(nn AS INTEGER) END AS notes_records
             FROM pk""",
         pf, candidates_ctes("pf"), kept_ctes(), per_payload)
+    file_rows = f"""SELECT CAST(call_id // {CONVERSATIONS_PER_FILE} AS BIGINT) AS file_id,
+                          CAST(count(*) AS BIGINT) AS total_payloads,
+                          CAST(sum(ns + nn) AS BIGINT) AS total_pii_detected,
+                          CAST(count_if(ns + nn > 0) AS BIGINT) AS payloads_with_pii,
+                          'success' AS status, CAST(0 AS BIGINT) AS failed_rows
+                   FROM pk GROUP BY call_id // {CONVERSATIONS_PER_FILE}"""
+    out["json_file_job"] = with_views(file_rows, pf, candidates_ctes("pf"), kept_ctes(),
+                                      per_payload)
+    out["redact_stream"] = out["json_file_job"]
     out["payload_stats"] = with_views(
         """SELECT CAST(verbatim_id AS VARCHAR) AS payload_id,
                   CAST(ns + nn AS INTEGER) AS pii_detected,

@@ -80,7 +80,8 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
     records = F.concat(*rec_cols) if rec_cols else empty_array(FIELD_RECORD_TYPE)
     n = F.size(records)
     metadata = F.when(n > 0, F.struct(
-        F.current_timestamp().alias("redacted_at"), n.alias("redaction_count"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("redacted_at"),
+        n.alias("redaction_count"),
         F.lit(strategy).alias("strategy_used"), records.alias("redactions")))
     pii = sum((F.size(F.col(ent_cols[f])) for f in present), F.lit(0))
     with_pii = F.filter(

@@ -273,6 +273,32 @@ def review_sample(spark, sf_dir):
                     .alias("sample_rank"))
 
 
+def _file_job_rows(jobs):
+    return jobs.select(
+        F.regexp_extract("source_file", r"file_id=(\d+)", 1).cast("bigint").alias("file_id"),
+        "total_payloads", "total_pii_detected", "payloads_with_pii", "status", "failed_rows")
+
+
+def json_file_job(spark, sf_dir):
+    """Payload JSON files written from ``conversations`` -> file job -> job rows."""
+    from .file_job import run_file_job
+    from .payload_files import scratch_dir, write_payload_files
+    base = scratch_dir(spark, "files")
+    write_payload_files(spark, sf_dir, f"{base}/in")
+    return _file_job_rows(run_file_job(spark, f"{base}/in/file_id=*/*.txt", f"{base}/out"))
+
+
+def redact_stream(spark, sf_dir):
+    """Same files through the Structured Streaming job (availableNow)."""
+    from ..streaming.redact_stream import redact_stream as rs
+    from .payload_files import scratch_dir, write_payload_files
+    base = scratch_dir(spark, "stream")
+    write_payload_files(spark, sf_dir, f"{base}/in")
+    jobs = rs(spark, f"{base}/in/file_id=*", f"{base}/out", f"{base}/checkpoint",
+              max_files_per_trigger=5)
+    return _file_job_rows(jobs)
+
+
 def registered() -> dict:
     q = {name: _candidates_query(ords) for name, ords in DETECT_GROUPS.items()}
     q.update({
@@ -301,6 +327,8 @@ def registered() -> dict:
         "training_dedup": training_dedup,
         "leak_alerts": leak_alerts,
         "review_sample": review_sample,
+        "json_file_job": json_file_job,
+        "redact_stream": redact_stream,
     })
     return q
 
