@@ -42,39 +42,69 @@ def _guard(t: Column, p: PiiPattern, has_digit: Column) -> Column | None:
     return t.contains(p.guard)
 
 
-def _pattern_entities(p: PiiPattern, m: Column, g: Column, x: Column | None,
-                      confidence: float) -> Column:
-    """Entity array (internal layout, rank set) for one pattern's match arrays.
+# Marker characters for the one-pass form (see ``with_candidates``).
+_OPEN, _GROUP, _CLOSE = "\u0000", "\u0002", "\u0001"
 
-    The arrays are zipped outside the lambda, so even if the optimizer inlines
-    them the regexes still run once per evaluation (never once per element).
+
+def _keep_filter(p: PiiPattern):
+    fps = FALSE_POSITIVES.get(p.entity_type, ())
+    lowered = tuple(dict.fromkeys(s.lower() for s in fps))
+
+    def keep(e):
+        ok = F.length(ustrip(e["text"])) >= MIN_ENTITY_CHARS
+        if lowered:
+            ok = ok & ~F.lower(e["text"]).isin(*lowered)
+        return ok
+    return keep
+
+
+def _fold(p: PiiPattern, items: Column, parts, confidence: float) -> Column:
+    """Walk the per-match items left to right carrying the running offset.
+
+    ``parts(z)`` returns (gap, match, group, is_match) for one item.
     """
     base = F.lit(p.ordinal * RANK_STRIDE).cast("bigint")
     etype, src, conf = F.lit(p.entity_type), F.lit("REGEX"), F.lit(float(confidence))
-    zipped = F.arrays_zip(g.alias("g"), m.alias("m"), (x if x is not None else m).alias("x"))
 
     def step(acc, z):
-        end = acc["pos"] + F.length(z["g"]) + F.length(z["m"])
-        ent = internal(end - F.length(z["x"]), base + acc["i"], end, z["x"], etype, conf, src)
+        gap, m, x, is_match = parts(z)
+        end = acc["pos"] + F.length(gap) + F.length(m)
+        ent = internal(end - F.length(x), base + acc["i"], end, x, etype, conf, src)
         nxt = F.struct((acc["i"] + 1).alias("i"), end.alias("pos"),
                        F.concat(acc["out"], F.array(ent)).alias("out"))
-        # the last piece of g has no match after it
-        return F.when(z["m"].isNull(), acc).otherwise(nxt)
+        return F.when(is_match, nxt).otherwise(acc)
 
     init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"),
                     empty_array(INTERNAL_TYPE).alias("out"))
-    ents = F.aggregate(zipped, init, step, lambda acc: acc["out"])
+    return F.aggregate(items, init, step, lambda acc: acc["out"])
 
-    fps = FALSE_POSITIVES.get(p.entity_type, ())
-    lowered = tuple(dict.fromkeys(s.lower() for s in fps))
 
-    def keep(e):
-        ok = F.length(ustrip(e["text"])) >= MIN_ENTITY_CHARS
-        if lowered:
-            ok = ok & ~F.lower(e["text"]).isin(*lowered)
-        return ok
+def _marked_entities(p: PiiPattern, pieces: Column, confidence: float) -> Column:
+    """Entities from ``split(regexp_replace(t, p, OPEN $0 [GROUP $g] CLOSE), CLOSE)``.
+
+    Every piece but the last is ``gap OPEN match [GROUP group]``.
+    """
+    def parts(piece):
+        gap = F.substring_index(piece, _OPEN, 1)
+        rest = F.substring_index(piece, _OPEN, -1)
+        if p.group:
+            m = F.substring_index(rest, _GROUP, 1)
+            x = F.substring_index(rest, _GROUP, -1)
+        else:
+            m = x = rest
+        return gap, m, x, piece.contains(_OPEN)
+    return _fold(p, pieces, parts, confidence)
 
-    return F.filter(ents, keep)
+
+def _zipped_entities(p: PiiPattern, m: Column, g: Column, x: Column | None,
+                     confidence: float) -> Column:
+    """Entities from ``regexp_extract_all`` (matches, groups) and ``split`` (gaps).
+
+    The arrays are zipped outside the lambda, so even if the optimizer inlines
+    them the regexes still run once per evaluation (never once per element).
+    """
+    zipped = F.arrays_zip(g.alias("g"), m.alias("m"), (x if x is not None else m).alias("x"))
+    return _fold(p, zipped, lambda z: (z["g"], z["m"], z["x"], z["m"].isNotNull()), confidence)
 
 
 def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
@@ -84,6 +114,11 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
 
     Candidates are validated (stripped length >= 2, not a known false
     positive) but not yet deduplicated.
+
+    One regex pass per pattern: ``regexp_replace`` wraps every match (and its
+    span group) in control-character markers, and literal ``split``s recover
+    gaps and matches. A text that already contains a marker character takes
+    the exact three-pass form instead (matches, gaps by ``split``, groups).
     """
     pats = select_patterns(types, patterns)
     t = col_of(text_col)
@@ -91,6 +126,7 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
         return df.withColumn(out_col, empty_array(INTERNAL_TYPE))
     blank = is_blank(t)
     has_digit = t.rlike(r"(?U)\d")
+    markers = t.contains(_OPEN) | t.contains(_GROUP) | t.contains(_CLOSE)
     empty_str_arr = empty_array("string")
 
     stage1 = {}
@@ -100,14 +136,21 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
         gd = _guard(t, p, has_digit) if guards else None
         if gd is not None:
             cond = cond & gd
-        stage1[f"{_TMP}m{p.ordinal}"] = F.when(cond, F.regexp_extract_all(t, rx, F.lit(0))) \
+        repl = _OPEN + "$0" + (_GROUP + f"${p.group}" if p.group else "") + _CLOSE
+        stage1[f"{_TMP}k{p.ordinal}"] = F.when(cond & ~markers,
+                                               F.regexp_replace(t, rx, F.lit(repl)))
+        stage1[f"{_TMP}m{p.ordinal}"] = F.when(cond & markers,
+                                               F.regexp_extract_all(t, rx, F.lit(0))) \
             .otherwise(empty_str_arr)
     df1 = df.withColumns(stage1)
 
     stage2 = {}
     for p in pats:
+        k = F.col(f"{_TMP}k{p.ordinal}")
         m = F.col(f"{_TMP}m{p.ordinal}")
         rx = F.lit(p.java_regex)
+        stage2[f"{_TMP}pc{p.ordinal}"] = F.when(k.contains(_OPEN), F.split(k, _CLOSE, -1)) \
+            .otherwise(empty_str_arr)
         hit = F.size(m) > 0
         stage2[f"{_TMP}g{p.ordinal}"] = F.when(hit, F.split(t, p.java_regex, -1)) \
             .otherwise(empty_str_arr)
@@ -118,10 +161,13 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
 
     per_pattern = []
     for p in pats:
+        pc = F.col(f"{_TMP}pc{p.ordinal}")
         m = F.col(f"{_TMP}m{p.ordinal}")
         g = F.col(f"{_TMP}g{p.ordinal}")
         x = F.col(f"{_TMP}x{p.ordinal}") if p.group else None
-        per_pattern.append(_pattern_entities(p, m, g, x, confidence))
+        ents = F.concat(_marked_entities(p, pc, confidence),
+                        _zipped_entities(p, m, g, x, confidence))
+        per_pattern.append(F.filter(ents, _keep_filter(p)))
     cands = F.concat(*per_pattern) if len(per_pattern) > 1 else per_pattern[0]
     tmp_cols = list(stage1) + list(stage2)
     return df2.withColumn(out_col, cands).drop(*tmp_cols)

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread_for_cpu
+
 # Seeded PII sentence per conversation turn (same text in Spark and DuckDB).
 SEEDED_NOTES_SQL = (
     "concat('my name is John Smith. SSN ', lpad(cast(conv_id as string),3,'0'), '-12-', "
@@ -58,10 +60,14 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("conversations").alias("src"), F.expr(PAYLOAD_KEY_SQL).alias("key"),
         F.expr(CONV_SOURCE_SQL).alias("source_file"),
         F.concat("text", F.lit(". "), F.expr(SEEDED_NOTES_SQL)).alias("text"))
-    return docs.unionByName(conv)
+    return spread_for_cpu(docs.unionByName(conv), ["src", "key"])
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_for_cpu(_payloads(spark, sf_dir), "verbatim_id")
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         F.expr(PAYLOAD_KEY_SQL).alias("verbatim_id"), F.col("conv_id").alias("call_id"),
         F.col("turn").alias("ordinal"), F.col("role").alias("type"),

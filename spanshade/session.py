@@ -45,3 +45,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def spread_for_cpu(df, key_cols, per_core: int = 3):
+    """Hash-repartition ``df`` on its keys when it has fewer partitions than
+    ``per_core`` x the cluster's cores.
+
+    Text detection is CPU-bound per row; a small input stored as one parquet
+    row group would otherwise run in a single task. Large inputs already have
+    many more partitions than cores and are left untouched (no shuffle).
+    Hash (not round-robin) partitioning keeps task retries deterministic.
+    """
+    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    target = df.sparkSession.sparkContext.defaultParallelism * per_core
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
