@@ -13,7 +13,8 @@ the first-seen label explicit and global:
 3. regroup per record and splice.
 
 ``order_key`` is a struct giving the processing order (e.g. file, payload,
-field ordinal, descending start).
+field ordinal, descending start). The entity rows are checkpointed once, so
+the detection that produced them runs once.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ def redact_canonical(texts: DataFrame, entities: DataFrame, key_cols, text_col:
 
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     order_cols = list(order_cols or keys)
+    # the entity rows feed both the label aggregation and the join: write them
+    # once to the (shared) checkpoint folder instead of detecting twice
+    entities = entities.checkpoint(eager=True)
     order = F.struct(*[F.col(c) for c in order_cols], (-F.col("start_pos")).alias("__ns"))
     labels = canonical_labels(entities, order)
     labelled = entities.join(labels, on="text", how="inner")

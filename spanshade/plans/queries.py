@@ -201,58 +201,64 @@ RESIDUAL_TYPES = ("EMAIL", "PHONE", "SSN", "CREDIT_CARD", "NAME")
 FKEY = KEY + ["source_file"]
 
 
-def _first_pass(spark, sf_dir):
-    from .feedback import replacement_spans
+def _feedback_base(spark, sf_dir):
+    """First pass (weaker detector) + residual scan, one row per record:
+    src, key, source_file, redactions (first-pass records), leaks.
+
+    Checkpointed once: every feedback job below reads this table (like the
+    redacted output + scan findings of the reference's pipeline) instead of
+    re-running both detections per branch."""
+    from .feedback import replacement_spans, with_residual_leaks
     c = views.corpus(spark, sf_dir)
     d = with_entities(c, "text", "ents", types=FIRST_PASS_TYPES)
     d = with_redaction(d, "text", "ents", "placeholder", out_text="redacted_text")
-    return d.withColumn("spans", replacement_spans(F.col("redactions")))
+    d = d.withColumn("spans", replacement_spans(F.col("redactions")))
+    d = with_residual_leaks(d, "redacted_text", "spans", "leaks", types=RESIDUAL_TYPES)
+    return d.select(*FKEY, "redactions", "leaks").checkpoint(eager=True)
 
 
-def _leak_rows(spark, sf_dir):
-    from .feedback import with_residual_leaks
-    d = with_residual_leaks(_first_pass(spark, sf_dir), "redacted_text", "spans", "leaks",
-                            types=RESIDUAL_TYPES)
-    return explode_entities(d.select(*FKEY, "leaks"), FKEY, "leaks")
+def _leak_rows(base):
+    return explode_entities(base.select(*FKEY, "leaks"), FKEY, "leaks")
 
 
 def residual_leaks(spark, sf_dir):
-    return _leak_rows(spark, sf_dir).select(*FKEY, "entity_type", "start_pos", "end_pos", "text")
+    return _leak_rows(_feedback_base(spark, sf_dir)).select(
+        *FKEY, "entity_type", "start_pos", "end_pos", "text")
 
 
-def _quarantine(spark, sf_dir):
+def _quarantine(spark, sf_dir, base):
     from .feedback import quarantine
     raw = views.corpus(spark, sf_dir)
-    return quarantine(raw, _leak_rows(spark, sf_dir))
+    return quarantine(raw, _leak_rows(base))
 
 
 def quarantine_semi(spark, sf_dir):
-    return _quarantine(spark, sf_dir)[0].select(*FKEY)
+    return _quarantine(spark, sf_dir, _feedback_base(spark, sf_dir))[0].select(*FKEY)
 
 
 def clean_anti(spark, sf_dir):
-    return _quarantine(spark, sf_dir)[1].select(*FKEY)
+    return _quarantine(spark, sf_dir, _feedback_base(spark, sf_dir))[1].select(*FKEY)
 
 
-def _training_examples(spark, sf_dir):
+def _training_examples(spark, sf_dir, base):
     from .feedback import training_examples as te
-    q = _quarantine(spark, sf_dir)[0]
+    q = _quarantine(spark, sf_dir, base)[0]
     fnd = views.findings(spark, sf_dir)
-    first = _first_pass(spark, sf_dir)
-    red = explode_entities(first.select(*KEY, "redactions"), KEY, "redactions")
+    red = explode_entities(base.select(*KEY, "redactions"), KEY, "redactions")
     return te(q, fnd, red, KEY)
 
 
 def training_examples(spark, sf_dir):
-    return _training_examples(spark, sf_dir).select(
+    return _training_examples(spark, sf_dir, _feedback_base(spark, sf_dir)).select(
         *FKEY, "text", "begin_offset", "end_offset", "type", "source")
 
 
 def _examples_union(spark, sf_dir):
-    ex = _training_examples(spark, sf_dir).select(*FKEY, "text", "type", "source",
-                                                  F.col("begin_offset").alias("start_pos"))
-    lk = _leak_rows(spark, sf_dir).select(*FKEY, "text", F.col("entity_type").alias("type"),
-                                          F.lit("RESIDUAL").alias("source"), "start_pos")
+    base = _feedback_base(spark, sf_dir)
+    ex = _training_examples(spark, sf_dir, base).select(
+        *FKEY, "text", "type", "source", F.col("begin_offset").alias("start_pos"))
+    lk = _leak_rows(base).select(*FKEY, "text", F.col("entity_type").alias("type"),
+                                 F.lit("RESIDUAL").alias("source"), "start_pos")
     return ex.unionByName(lk)
 
 
@@ -263,7 +269,7 @@ def training_dedup(spark, sf_dir):
 
 def leak_alerts(spark, sf_dir):
     from .feedback import leak_alerts as la
-    return la(_leak_rows(spark, sf_dir))
+    return la(_leak_rows(_feedback_base(spark, sf_dir)))
 
 
 def review_sample(spark, sf_dir):
