@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def canonical_labels(entities: DataFrame, order_key: Column, text_col: str = "text",
                      type_col: str = "entity_type") -> DataFrame:
@@ -50,13 +52,16 @@ def redact_canonical(texts: DataFrame, entities: DataFrame, key_cols, text_col:
     order_cols = list(order_cols or keys)
     # the entity rows feed both the label aggregation and the join: write them
     # once to the (shared) checkpoint folder instead of detecting twice
-    entities = entities.checkpoint(eager=True)
+    entities = materialize(entities, "canonical-entities")
     order = F.struct(*[F.col(c) for c in order_cols], (-F.col("start_pos")).alias("__ns"))
     labels = canonical_labels(entities, order)
     labelled = entities.join(labels, on="text", how="inner")
-    item = F.struct(F.col("text").alias("text"), F.col("label").alias("entity_type"),
-                    F.col("start_pos").alias("start_pos"), F.col("end_pos").alias("end_pos"),
-                    F.col("confidence").alias("confidence"), F.col("source").alias("source"))
+    fields = [F.col("text").alias("text"), F.col("label").alias("entity_type"),
+              F.col("start_pos").alias("start_pos"), F.col("end_pos").alias("end_pos"),
+              F.col("confidence").alias("confidence"), F.col("source").alias("source")]
+    if "byte_start" in entities.columns:
+        fields += [F.col("byte_start").alias("byte_start"), F.col("byte_end").alias("byte_end")]
+    item = F.struct(*fields)
     grouped = labelled.groupBy(*keys).agg(F.collect_list(item).alias("__canon"))
     d = texts.join(grouped, on=keys, how="left")
     d = with_redaction(d, text_col, "__canon", "hash", out_text=out_text,

@@ -69,12 +69,14 @@ def _fold(p: PiiPattern, items: Column, parts, confidence: float) -> Column:
     def step(acc, z):
         gap, m, x, is_match = parts(z)
         end = acc["pos"] + F.length(gap) + F.length(m)
-        ent = internal(end - F.length(x), base + acc["i"], end, x, etype, conf, src)
-        nxt = F.struct((acc["i"] + 1).alias("i"), end.alias("pos"),
+        bend = acc["bpos"] + F.octet_length(gap) + F.octet_length(m)
+        ent = internal(end - F.length(x), base + acc["i"], end, x, etype, conf, src,
+                       bend - F.octet_length(x), bend)
+        nxt = F.struct((acc["i"] + 1).alias("i"), end.alias("pos"), bend.alias("bpos"),
                        F.concat(acc["out"], F.array(ent)).alias("out"))
         return F.when(is_match, nxt).otherwise(acc)
 
-    init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"),
+    init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit(0).alias("bpos"),
                     empty_array(INTERNAL_TYPE).alias("out"))
     return F.aggregate(items, init, step, lambda acc: acc["out"])
 
@@ -149,8 +151,8 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
         k = F.col(f"{_TMP}k{p.ordinal}")
         m = F.col(f"{_TMP}m{p.ordinal}")
         rx = F.lit(p.java_regex)
-        stage2[f"{_TMP}pc{p.ordinal}"] = F.when(k.contains(_OPEN), F.split(k, _CLOSE, -1)) \
-            .otherwise(empty_str_arr)
+        stage2[f"{_TMP}pc{p.ordinal}"] = F.when(F.octet_length(k) > F.octet_length(t),
+                                                F.split(k, _CLOSE, -1)).otherwise(empty_str_arr)
         hit = F.size(m) > 0
         stage2[f"{_TMP}g{p.ordinal}"] = F.when(hit, F.split(t, p.java_regex, -1)) \
             .otherwise(empty_str_arr)

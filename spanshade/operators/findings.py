@@ -52,15 +52,15 @@ def findings_to_entities(grouped: Column, text: Column, field_name: str | None =
     arr = F.coalesce(grouped, F.array().cast(f"array<{FINDING_TYPE}>"))
     if field_name is not None:
         arr = F.filter(arr, lambda f: f["field_name"] == field_name)
-    return F.transform(
-        arr,
-        lambda f, i: internal(
-            f["begin_offset"],
-            f["so"].cast("bigint") * F.lit(RANK_STRIDE) + i,
-            f["end_offset"],
-            F.substring(text, f["begin_offset"] + 1, f["end_offset"] - f["begin_offset"]),
-            f["type"], f["score"], f["source"]),
-    )
+    def ent(f, i):
+        span = F.substring(text, f["begin_offset"] + 1, f["end_offset"] - f["begin_offset"])
+        ok = (f["begin_offset"] >= 0) & (f["end_offset"] >= f["begin_offset"])
+        bstart = F.when(ok, F.octet_length(F.substring(text, 1, f["begin_offset"])))
+        return internal(f["begin_offset"], f["so"].cast("bigint") * F.lit(RANK_STRIDE) + i,
+                        f["end_offset"], span, f["type"], f["score"], f["source"],
+                        F.coalesce(bstart, F.lit(-1)),
+                        F.coalesce(bstart + F.octet_length(span), F.lit(-1)))
+    return F.transform(arr, ent)
 
 
 def attach_findings(df: DataFrame, findings: DataFrame | None, key_cols,

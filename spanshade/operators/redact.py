@@ -26,10 +26,12 @@ RECORD_TYPE = (
 FIELD_RECORD_TYPE = RECORD_TYPE[:-1] + ",field_name:string>"
 
 _TMP = "__ss_red_"
-_KEYED_TYPE = "struct<k:int,i:int," + RECORD_TYPE[len("struct<"):]
+_KEYED_TYPE = ("struct<k:int,i:int," + RECORD_TYPE[len("struct<"):-1]
+               + ",byte_start:int,byte_end:int>")
 
 
-def _desc_with_replacement(entities: Column, strategy) -> Column:
+def _desc_with_replacement(entities: Column, strategy, has_bytes: bool) -> Column:
+    unknown = F.lit(-1)
     keyed = F.transform(
         entities,
         lambda e, i: F.struct(
@@ -38,11 +40,38 @@ def _desc_with_replacement(entities: Column, strategy) -> Column:
             e["start_pos"].alias("start_pos"), e["end_pos"].alias("end_pos"),
             replacement(e["text"], e["entity_type"], strategy).alias("replacement"),
             e["confidence"].alias("confidence"), e["source"].alias("source"),
+            (e["byte_start"] if has_bytes else unknown).alias("byte_start"),
+            (e["byte_end"] if has_bytes else unknown).alias("byte_end"),
         ),
     )
     return F.coalesce(F.sort_array(keyed), F.array().cast(f"array<{_KEYED_TYPE}>"))
 
 
+def _linear_ok(asc: Column) -> Column:
+    """Byte offsets known and starts strictly increasing with disjoint spans:
+    then right-to-left splicing equals a left-to-right rebuild."""
+    n = F.size(asc)
+    pairs = F.zip_with(F.slice(asc, 1, F.greatest(n - 1, F.lit(0))),
+                       F.slice(asc, 2, F.greatest(n - 1, F.lit(0))),
+                       lambda a, b: (b["start_pos"] > a["start_pos"])
+                       & (b["start_pos"] >= a["end_pos"]) & (b["byte_start"] >= a["byte_end"]))
+    return (F.forall(asc, lambda e: (e["byte_start"] >= 0) & (e["byte_end"] >= e["byte_start"])
+                     & (e["end_pos"] >= e["start_pos"]))
+            & F.forall(pairs, lambda ok: ok))
+
+
+def linear_splice(binary_text: Column, asc: Column) -> Column:
+    """Rebuild the text from byte slices between ascending, disjoint spans:
+    O(text + entities), each slice copied once."""
+    def piece(e, i):
+        prev = F.when(i == 0, F.lit(0)).otherwise(asc[i - 1]["byte_end"])
+        gap = F.substring(binary_text, prev + 1, e["byte_start"] - prev).cast("string")
+        return F.concat(gap, e["replacement"])
+    last_end = F.element_at(asc, -1)["byte_end"]
+    tail = F.substring(binary_text, last_end + 1, F.lit(1 << 30)).cast("string")
+    return F.concat(F.array_join(F.transform(asc, piece), ""), tail)
+
+
 def splice(text: Column, desc_records: Column) -> Column:
     """Apply records (already in application order) to ``text``."""
     return F.aggregate(
@@ -71,9 +100,17 @@ def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder"
     """
     text = col_of(text_col)
     target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
-    desc = f"{_TMP}desc"
-    d = df.withColumn(desc, _desc_with_replacement(col_of(entities_col), strategy))
-    redacted = F.when(F.size(F.col(desc)) == 0, text).otherwise(splice(text, F.col(desc)))
+    desc, asc, binary = f"{_TMP}desc", f"{_TMP}asc", f"{_TMP}bin"
+    etype = df.select(col_of(entities_col)).schema[0].dataType.elementType
+    has_bytes = "byte_start" in etype.fieldNames()
+    d = df.withColumn(desc, _desc_with_replacement(col_of(entities_col), strategy, has_bytes))
+    if has_bytes:
+        d = d.withColumns({asc: F.reverse(F.col(desc)), binary: text.cast("binary")})
+        redacted = (F.when(F.size(F.col(desc)) == 0, text)
+                    .when(_linear_ok(F.col(asc)), linear_splice(F.col(binary), F.col(asc)))
+                    .otherwise(splice(text, F.col(desc))))
+    else:
+        redacted = F.when(F.size(F.col(desc)) == 0, text).otherwise(splice(text, F.col(desc)))
 
     def rec(r):
         fields = [
@@ -86,7 +123,7 @@ def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder"
         return F.struct(*fields)
 
     records = F.transform(F.col(desc), rec)
-    return d.withColumns({target: redacted, out_records: records}).drop(desc)
+    return d.withColumns({target: redacted, out_records: records}).drop(desc, asc, binary)
 
 
 def redaction_result(df: DataFrame, text_col, entities_col, strategy="placeholder",

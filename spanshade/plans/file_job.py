@@ -1,9 +1,8 @@
 """The file job: payload files in, redacted payload files and job rows out.
 
 read (one row per file) -> classify -> explode payloads -> detect + redact
-every PII field -> checkpoint (one reliable copy in the shared checkpoint
-folder: the scan and the detection run once, and the output survives lost
-executors) -> write JSON Lines per input file -> one job row per file
+every PII field -> one parquet copy in the shared checkpoint folder (the
+scan and the detection run once, and the copy survives lost executors) -> write JSON Lines per input file -> one job row per file
 (``groupBy`` over the checkpointed rows) plus one failed row per unusable
 file.
 """
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.stats import failed_job_rows, file_job_rows
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.json_files import payload_columns, read_payload_files, redacted_payload_json
 from ..sources.sinks import write_redacted_jsonl
 from .payload_job import PII_FIELDS, redact_payloads
@@ -39,7 +38,7 @@ def run_file_job(spark: SparkSession, input_paths, output_dir: str | None = None
     ensure_checkpoint_dir(spark)
     payloads, failures = read_payload_files(spark, input_paths)
     red = redact_files(payloads, fields=fields, strategy=strategy, findings=findings)
-    red = red.checkpoint(eager=True)
+    red = materialize(red, "redacted-payloads")
     if output_dir:
         write_redacted_jsonl(red, output_dir, mode=mode)
     jobs = file_job_rows(red, dest=output_dir)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import patterns_for_type, CATALOGUE
 from ..operators.detect import explode_entities, with_candidates, with_entities
-from ..operators.entities import RANK_STRIDE
+from ..operators.entities import ENTITY_FIELDS, RANK_STRIDE
 from ..operators.findings import attach_findings, findings_to_entities
 from ..operators.merge import resolve_overlaps
 from ..operators.redact import with_redaction
@@ -45,7 +45,7 @@ def _candidates_query(ordinals):
 
 
 def _explode_entities(d: DataFrame, col: str) -> DataFrame:
-    return explode_entities(d, KEY, col)
+    return explode_entities(d, KEY, col).select(*KEY, *ENTITY_FIELDS)
 
 
 def entities_merged(spark, sf_dir):
@@ -214,7 +214,8 @@ def _feedback_base(spark, sf_dir):
     d = with_redaction(d, "text", "ents", "placeholder", out_text="redacted_text")
     d = d.withColumn("spans", replacement_spans(F.col("redactions")))
     d = with_residual_leaks(d, "redacted_text", "spans", "leaks", types=RESIDUAL_TYPES)
-    return d.select(*FKEY, "redactions", "leaks").checkpoint(eager=True)
+    from ..session import materialize
+    return materialize(d.select(*FKEY, "redactions", "leaks"), "feedback-base")
 
 
 def _leak_rows(base):

@@ -61,3 +61,21 @@ def spread_for_cpu(df, key_cols, per_core: int = 3):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys)
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as a parquet table under the session's checkpoint
+    folder and return it read back.
+
+    Cuts the lineage like ``checkpoint()`` (the data lives in the shared
+    folder, so lost executors do not force a recomputation) but computes the
+    plan once; an eager ``checkpoint()`` of an unpersisted plan computes it
+    twice (once for the action, once for the checkpoint write).
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/spanshade-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.stats import failed_job_rows, file_job_rows
 from ..plans.file_job import redact_files
+from ..session import materialize
 from ..plans.payload_job import PII_FIELDS
 from ..sources.json_files import classify_files
 from ..sources.sinks import write_redacted_jsonl
@@ -37,7 +38,8 @@ def start_redact_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoi
         files = classify_files(batch, path_col="__path")
         payloads = files.where(F.col("error").isNull()).select(
             "source_file", F.posexplode("arr").alias("payload_ordinal", "payload"))
-        red = redact_files(payloads, fields=fields, strategy=strategy).checkpoint(eager=True)
+        red = materialize(redact_files(payloads, fields=fields, strategy=strategy),
+                          f"stream-batch-{batch_id}")
         write_redacted_jsonl(red, f"{out_dir}/redacted/batch_id={batch_id}", mode="overwrite")
         failed = files.where(F.col("error").isNotNull()).select("source_file", "error")
         jobs = file_job_rows(red).unionByName(failed_job_rows(failed))

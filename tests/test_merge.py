@@ -29,7 +29,7 @@ def _walk(ents):
 def _spark_resolve(spark, lists):
     rows = []
     for li, ents in enumerate(lists):
-        arr = [(s, i, e, f"t{i}", "X", c, "REGEX") for i, (s, e, c, _) in enumerate(ents)]
+        arr = [(s, i, e, f"t{i}", "X", c, "REGEX", -1, -1) for i, (s, e, c, _) in enumerate(ents)]
         rows.append((li, arr))
     df = spark.createDataFrame(rows, f"id int, c array<{INTERNAL_TYPE}>")
     out = df.select("id", resolve_overlaps(F.col("c")).alias("k")).orderBy("id").collect()
