@@ -86,6 +86,10 @@ class PiiPattern:
     group: int = 0
     # Cheap row test that is necessary for a match; lets the regex be skipped.
     guard: str | None = None
+    # Whether a match can have fewer than 2 non-space characters (then the
+    # stripped-length check must run). Only the comma address form can; every
+    # other catalogue pattern needs at least 2 digits/letters by construction.
+    may_be_short: bool = True
 
     @property
     def java_regex(self) -> str:
@@ -102,9 +106,9 @@ class PiiPattern:
         return 1 if self.entity_type == "NAME" else 0
 
 
-def _p(ordinal, entity_type, source, java=None, group=0, guard=None):
+def _p(ordinal, entity_type, source, java=None, group=0, guard=None, may_be_short=False):
     return PiiPattern(ordinal, entity_type, source, java if java is not None else source,
-                      group, guard)
+                      group, guard, may_be_short)
 
 
 CATALOGUE: tuple[PiiPattern, ...] = (
@@ -117,7 +121,7 @@ CATALOGUE: tuple[PiiPattern, ...] = (
     _p(6, "ZIP_CODE", r"\b\d{5}(?:-\d{4})?\b", guard="digit"),
     _p(7, "ADDRESS", r"\b\d+\s+[A-Za-z\s]+(" + _STREET_SUFFIXES + r")\b", guard="digit"),
     _p(8, "ADDRESS", r"\b[A-Za-z\s]+,\s+[A-Za-z\s]+(?:,\s+\d{5})?\b", java=_CITY_JAVA,
-       group=1, guard=","),
+       group=1, guard=",", may_be_short=True),
     _p(9, "CREDIT_CARD", r"\b(?:\d{4}[-\s]?){3}\d{4}\b", guard="digit"),
     _p(10, "NAME", r"(?:my name is|I am|I\'m)\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)",
        java=r"(?:my name is|I am|I'm)\s+" + _NAME_RUN_JAVA, group=1),

@@ -7,9 +7,9 @@ For one pattern ``p`` over text ``t``::
     end(i)   = sum(len(g[0..i])) + sum(len(m[0..i]))
     start(i) = end(i) - len(group(i))     # the group is a suffix of the match
 
-The arrays are materialised as columns in one projection and consumed in the
-next, so every regex is evaluated once per row (``split`` and the group
-extraction only run on rows that matched). A cheap necessary condition per
+In practice one ``regexp_replace`` per pattern marks every match and its
+group with control characters and literal ``split``s recover gaps, matches
+and groups, so every regex runs once per row (see ``with_candidates``). A cheap necessary condition per
 pattern (an ``@``, a digit, a comma...) skips the regex on rows that cannot
 match. Everything runs in the JVM; detection is a narrow (shuffle-free)
 projection, so it scales with the number of input partitions.
@@ -43,7 +43,7 @@ def _guard(t: Column, p: PiiPattern, has_digit: Column) -> Column | None:
 
 
 # Marker characters for the one-pass form (see ``with_candidates``).
-_OPEN, _GROUP, _CLOSE = "\u0000", "\u0002", "\u0001"
+_OPEN, _GROUP, _CLOSE, _SAFE = "\u0000", "\u0002", "\u0001", "\u0003"
 
 
 def _keep_filter(p: PiiPattern):
@@ -51,7 +51,9 @@ def _keep_filter(p: PiiPattern):
     lowered = tuple(dict.fromkeys(s.lower() for s in fps))
 
     def keep(e):
-        ok = F.length(ustrip(e["text"])) >= MIN_ENTITY_CHARS
+        ok = F.lit(True)
+        if p.may_be_short:
+            ok = F.length(ustrip(e["text"])) >= MIN_ENTITY_CHARS
         if lowered:
             ok = ok & ~F.lower(e["text"]).isin(*lowered)
         return ok
@@ -59,10 +61,9 @@ def _keep_filter(p: PiiPattern):
 
 
 def _fold(p: PiiPattern, items: Column, parts, confidence: float) -> Column:
-    """Walk the per-match items left to right carrying the running offset.
-
-    ``parts(z)`` returns (gap, match, group, is_match) for one item.
-    """
+    """Walk the per-match items left to right carrying the running offsets
+    (code points and UTF-8 bytes). ``parts(z)`` returns (gap, match, group,
+    is_match) for one item."""
     base = F.lit(p.ordinal * RANK_STRIDE).cast("bigint")
     etype, src, conf = F.lit(p.entity_type), F.lit("REGEX"), F.lit(float(confidence))
 
@@ -98,15 +99,81 @@ def _marked_entities(p: PiiPattern, pieces: Column, confidence: float) -> Column
     return _fold(p, pieces, parts, confidence)
 
 
-def _zipped_entities(p: PiiPattern, m: Column, g: Column, x: Column | None,
-                     confidence: float) -> Column:
-    """Entities from ``regexp_extract_all`` (matches, groups) and ``split`` (gaps).
-
-    The arrays are zipped outside the lambda, so even if the optimizer inlines
-    them the regexes still run once per evaluation (never once per element).
+def _select_replacing(df: DataFrame, outputs: dict, drop=()) -> DataFrame:
+    """One projection: keep ``df``'s columns (replacing those named in
+    ``outputs``), append the new ones, drop ``drop``."""
+    drop = set(drop)
+    cols = []
+    for c in df.columns:
+        if c in drop:
+            continue
+        cols.append(outputs[c].alias(c) if c in outputs else F.col(f"`{c}`"))
+    cols += [e.alias(n) for n, e in outputs.items() if n not in df.columns]
+    return df.select(*cols)
+
+
+def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
+                 confidence: float = DEFAULT_CONFIDENCE, guards: bool = True,
+                 resolve: bool = True, public: bool = True) -> DataFrame:
+    """Detection for several text columns in three projections in total.
+
+    ``specs``: list of (text_col, out_col, extra) with ``extra`` an optional
+    Column of internal-layout entities merged before overlap resolution.
+
+    One regex pass per pattern and text: ``regexp_replace`` wraps every match
+    (and its span group) in the control characters U+0000..U+0002, and literal
+    ``split``s recover gaps and matches. Those three characters are first
+    mapped to U+0003 in the scanned copy of the text: one code point and one
+    byte for one, so offsets are unchanged, and no catalogue pattern matches
+    any of U+0000..U+0003, so the matches are unchanged too.
     """
-    zipped = F.arrays_zip(g.alias("g"), m.alias("m"), (x if x is not None else m).alias("x"))
-    return _fold(p, zipped, lambda z: (z["g"], z["m"], z["x"], z["m"].isNotNull()), confidence)
+    pats = select_patterns(types, patterns)
+    empty_str_arr = empty_array("string")
+    scans = {f"{_TMP}scan{i}": F.translate(col_of(t), _OPEN + _GROUP + _CLOSE, _SAFE * 3)
+             for i, (t, _, _) in enumerate(specs)}
+    df0 = df.withColumns(scans)
+
+    stage1 = {}
+    for i, _ in enumerate(specs):
+        u = F.col(f"{_TMP}scan{i}")
+        blank = is_blank(u)
+        has_digit = u.rlike(r"(?U)\d")
+        for p in pats:
+            cond = ~blank
+            gd = _guard(u, p, has_digit) if guards else None
+            if gd is not None:
+                cond = cond & gd
+            repl = _OPEN + "$0" + (_GROUP + f"${p.group}" if p.group else "") + _CLOSE
+            stage1[f"{_TMP}k{i}_{p.ordinal}"] = F.when(
+                cond, F.regexp_replace(u, F.lit(p.java_regex), F.lit(repl)))
+    df1 = df0.withColumns(stage1) if stage1 else df0
+
+    outputs = {}
+    for i, (_, out_col, extra) in enumerate(specs):
+        u = F.col(f"{_TMP}scan{i}")
+        per_pattern = []
+        for p in pats:
+            k = F.col(f"{_TMP}k{i}_{p.ordinal}")
+            pieces = F.when(F.octet_length(k) > F.octet_length(u), F.split(k, _CLOSE, -1)) \
+                .otherwise(empty_str_arr)
+            per_pattern.append(F.filter(_marked_entities(p, pieces, confidence),
+                                        _keep_filter(p)))
+        if not per_pattern:
+            cands = empty_array(INTERNAL_TYPE)
+        elif len(per_pattern) == 1:
+            cands = per_pattern[0]
+        else:
+            cands = F.concat(*per_pattern)
+        if not resolve:
+            outputs[out_col] = cands
+            continue
+        may_have_empty = False
+        if extra is not None:
+            cands = F.concat(cands, F.coalesce(extra, empty_array(INTERNAL_TYPE)))
+            may_have_empty = True
+        kept = resolve_overlaps(cands, may_have_empty=may_have_empty)
+        outputs[out_col] = public_array(kept) if public else kept
+    return _select_replacing(df1, outputs, drop=list(scans) + list(stage1))
 
 
 def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
@@ -116,63 +183,9 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
 
     Candidates are validated (stripped length >= 2, not a known false
     positive) but not yet deduplicated.
-
-    One regex pass per pattern: ``regexp_replace`` wraps every match (and its
-    span group) in control-character markers, and literal ``split``s recover
-    gaps and matches. A text that already contains a marker character takes
-    the exact three-pass form instead (matches, gaps by ``split``, groups).
     """
-    pats = select_patterns(types, patterns)
-    t = col_of(text_col)
-    if not pats:
-        return df.withColumn(out_col, empty_array(INTERNAL_TYPE))
-    blank = is_blank(t)
-    has_digit = t.rlike(r"(?U)\d")
-    markers = t.contains(_OPEN) | t.contains(_GROUP) | t.contains(_CLOSE)
-    empty_str_arr = empty_array("string")
-
-    stage1 = {}
-    for p in pats:
-        rx = F.lit(p.java_regex)
-        cond = ~blank
-        gd = _guard(t, p, has_digit) if guards else None
-        if gd is not None:
-            cond = cond & gd
-        repl = _OPEN + "$0" + (_GROUP + f"${p.group}" if p.group else "") + _CLOSE
-        stage1[f"{_TMP}k{p.ordinal}"] = F.when(cond & ~markers,
-                                               F.regexp_replace(t, rx, F.lit(repl)))
-        stage1[f"{_TMP}m{p.ordinal}"] = F.when(cond & markers,
-                                               F.regexp_extract_all(t, rx, F.lit(0))) \
-            .otherwise(empty_str_arr)
-    df1 = df.withColumns(stage1)
-
-    stage2 = {}
-    for p in pats:
-        k = F.col(f"{_TMP}k{p.ordinal}")
-        m = F.col(f"{_TMP}m{p.ordinal}")
-        rx = F.lit(p.java_regex)
-        stage2[f"{_TMP}pc{p.ordinal}"] = F.when(F.octet_length(k) > F.octet_length(t),
-                                                F.split(k, _CLOSE, -1)).otherwise(empty_str_arr)
-        hit = F.size(m) > 0
-        stage2[f"{_TMP}g{p.ordinal}"] = F.when(hit, F.split(t, p.java_regex, -1)) \
-            .otherwise(empty_str_arr)
-        if p.group:
-            stage2[f"{_TMP}x{p.ordinal}"] = F.when(
-                hit, F.regexp_extract_all(t, rx, F.lit(p.group))).otherwise(empty_str_arr)
-    df2 = df1.withColumns(stage2)
-
-    per_pattern = []
-    for p in pats:
-        pc = F.col(f"{_TMP}pc{p.ordinal}")
-        m = F.col(f"{_TMP}m{p.ordinal}")
-        g = F.col(f"{_TMP}g{p.ordinal}")
-        x = F.col(f"{_TMP}x{p.ordinal}") if p.group else None
-        ents = F.concat(_marked_entities(p, pc, confidence),
-                        _zipped_entities(p, m, g, x, confidence))
-        per_pattern.append(F.filter(ents, _keep_filter(p)))
-    cands = F.concat(*per_pattern) if len(per_pattern) > 1 else per_pattern[0]
-    tmp_cols = list(stage1) + list(stage2)
-    return df2.withColumn(out_col, cands).drop(*tmp_cols)
+    return _detect_many(df, [(text_col, out_col, None)], types=types, patterns=patterns,
+                        confidence=confidence, guards=guards, resolve=False)
 
 
 def with_entities(df: DataFrame, text_col, out_col: str = "entities", *, types=None,
@@ -184,18 +197,15 @@ def with_entities(df: DataFrame, text_col, out_col: str = "entities", *, types=N
     sources (already ranked after the regex lists), merged before resolution.
     The result is sorted by start; public layout unless ``public=False``.
     """
-    tmp = f"{_TMP}cand"
-    d = with_candidates(df, text_col, tmp, types=types, patterns=patterns,
-                        confidence=confidence, guards=guards)
-    cands = F.col(tmp)
-    may_have_empty = False
-    if extra is not None:
-        cands = F.concat(cands, F.coalesce(extra, empty_array(INTERNAL_TYPE)))
-        may_have_empty = True
-    kept = resolve_overlaps(cands, may_have_empty=may_have_empty)
-    if public:
-        kept = public_array(kept)
-    return d.withColumn(out_col, kept).drop(tmp)
+    return _detect_many(df, [(text_col, out_col, extra)], types=types, patterns=patterns,
+                        confidence=confidence, guards=guards, public=public)
+
+
+def with_entities_many(df: DataFrame, specs, **kw) -> DataFrame:
+    """``with_entities`` for several text columns at once: ``specs`` is a list
+    of ``(text_col, out_col)`` or ``(text_col, out_col, extra)``."""
+    norm = [(s[0], s[1], s[2] if len(s) > 2 else None) for s in specs]
+    return _detect_many(df, norm, **kw)
 
 
 def detect_table(df: DataFrame, key_cols, text_col, **kw) -> DataFrame:

@@ -90,28 +90,16 @@ def usable(entities: Column) -> Column:
         F.lit(True))
 
 
-def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder", *,
-                   out_text: str | None = None, out_records: str = "redactions",
-                   field_name: str | None = None, include_original: bool = True) -> DataFrame:
-    """Add the redacted text and the redaction records for one text column.
-
-    ``out_text`` defaults to overwriting ``text_col`` (when it is a name).
-    Rows without entities keep their text and get an empty record list.
-    """
-    text = col_of(text_col)
-    target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
-    desc, asc, binary = f"{_TMP}desc", f"{_TMP}asc", f"{_TMP}bin"
-    etype = df.select(col_of(entities_col)).schema[0].dataType.elementType
-    has_bytes = "byte_start" in etype.fieldNames()
-    d = df.withColumn(desc, _desc_with_replacement(col_of(entities_col), strategy, has_bytes))
-    if has_bytes:
-        d = d.withColumns({asc: F.reverse(F.col(desc)), binary: text.cast("binary")})
-        redacted = (F.when(F.size(F.col(desc)) == 0, text)
-                    .when(_linear_ok(F.col(asc)), linear_splice(F.col(binary), F.col(asc)))
-                    .otherwise(splice(text, F.col(desc))))
+def _entity_fields(df: DataFrame, entities_col) -> list[str]:
+    if isinstance(entities_col, str) and entities_col in df.columns:
+        dtype = df.schema[entities_col].dataType
     else:
-        redacted = F.when(F.size(F.col(desc)) == 0, text).otherwise(splice(text, F.col(desc)))
+        dtype = df.select(col_of(entities_col)).schema[0].dataType
+    return list(dtype.elementType.fieldNames())
+
 
+def _record_fn(field_name, include_original):
+    # one-argument lambda: transform passes the index too when it sees two
     def rec(r):
         fields = [
             (r["original_text"] if include_original else F.lit(None).cast("string"))
@@ -121,9 +109,56 @@ def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder"
         if field_name is not None:
             fields.append(F.lit(field_name).alias("field_name"))
         return F.struct(*fields)
+    return rec
+
+
+def with_redaction_many(df: DataFrame, specs, strategy="placeholder", *,
+                        include_original: bool = True) -> DataFrame:
+    """Redaction of several text columns in two projections.
 
-    records = F.transform(F.col(desc), rec)
-    return d.withColumns({target: redacted, out_records: records}).drop(desc, asc, binary)
+    ``specs``: list of (text_col, entities_col, out_text, out_records,
+    field_name). Rows without entities keep their text and get an empty
+    record list.
+    """
+    stage, outputs = {}, {}
+    for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
+        has_bytes = "byte_start" in _entity_fields(df, entities_col)
+        stage[f"{_TMP}desc{n}"] = _desc_with_replacement(col_of(entities_col), strategy,
+                                                         has_bytes)
+        if has_bytes:
+            stage[f"{_TMP}bin{n}"] = col_of(text_col).cast("binary")
+    d = df.withColumns(stage)
+    for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
+        text = col_of(text_col)
+        desc = F.col(f"{_TMP}desc{n}")
+        if f"{_TMP}bin{n}" in stage:
+            asc = F.reverse(desc)
+            redacted = (F.when(F.size(desc) == 0, text)
+                        .when(_linear_ok(asc), linear_splice(F.col(f"{_TMP}bin{n}"), asc))
+                        .otherwise(splice(text, desc)))
+        else:
+            redacted = F.when(F.size(desc) == 0, text).otherwise(splice(text, desc))
+
+        target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
+        outputs[target] = redacted
+        outputs[out_records] = F.transform(desc, _record_fn(field_name, include_original))
+    from .detect import _select_replacing
+    return _select_replacing(d, outputs, drop=list(stage))
+
+
+def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder", *,
+                   out_text: str | None = None, out_records: str = "redactions",
+                   field_name: str | None = None, include_original: bool = True) -> DataFrame:
+    """Add the redacted text and the redaction records for one text column.
+
+    ``out_text`` defaults to overwriting ``text_col`` (when it is a name).
+    Rows without entities keep their text and get an empty record list.
+    Entities that carry byte offsets and are ascending and disjoint (all
+    detector output) are spliced left to right from byte slices in linear
+    time; any other list takes the exact right-to-left form.
+    """
+    return with_redaction_many(df, [(text_col, entities_col, out_text, out_records,
+                                     field_name)], strategy, include_original=include_original)
 
 
 def redaction_result(df: DataFrame, text_col, entities_col, strategy="placeholder",

@@ -25,10 +25,10 @@ from pyspark.sql.types import StringType
 from ..functions.patterns import DEFAULT_CONFIDENCE
 from ..functions.strategies import get_strategy
 from ..functions.text import is_blank
-from ..operators.detect import with_entities
+from ..operators.detect import with_entities_many
 from ..operators.entities import PUBLIC_TYPE, empty_array
 from ..operators.findings import attach_findings, findings_to_entities
-from ..operators.redact import FIELD_RECORD_TYPE, usable, with_redaction
+from ..operators.redact import FIELD_RECORD_TYPE, usable, with_redaction_many
 
 # Fixed value: the PII text fields of a payload, in processing order.
 PII_FIELDS = ("sentence", "description", "notes", "comments", "transcript")
@@ -58,24 +58,28 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
     if findings is not None:
         d = attach_findings(d, findings, keys, "__ss_findings")
 
-    ent_cols, ok = {}, F.lit(True)
+    ent_cols, specs, ok = {}, [], F.lit(True)
     for f in present:
-        extra = (findings_to_entities(F.col("__ss_findings"), F.col(f), field_name=f)
-                 if findings is not None else None)
         ecol = f"__ss_e_{f}"
-        d = with_entities(d, f, ecol, types=types, confidence=confidence, extra=extra)
-        d = d.withColumn(ecol, F.when(is_blank(F.col(f)), empty_array(PUBLIC_TYPE))
-                         .otherwise(F.col(ecol)))
+        extra = None
+        if findings is not None:
+            # a blank field is never scanned, so outside spans on it are ignored
+            extra = F.when(is_blank(F.col(f)), F.lit(None)).otherwise(
+                findings_to_entities(F.col("__ss_findings"), F.col(f), field_name=f))
+        specs.append((f, ecol, extra))
         ent_cols[f] = ecol
         ok = ok & usable(F.col(ecol))
+    if specs:
+        d = with_entities_many(d, specs, types=types, confidence=confidence)
     d = d.withColumn("__ss_ok", ok)
 
-    rec_cols = []
+    red_specs = []
     for f in present:
         ents = F.when(F.col("__ss_ok"), F.col(ent_cols[f])).otherwise(empty_array(PUBLIC_TYPE))
-        d = with_redaction(d, f, ents, strategy, out_text=f, out_records=f"__ss_r_{f}",
-                           field_name=f, include_original=include_original)
-        rec_cols.append(F.col(f"__ss_r_{f}"))
+        red_specs.append((f, ents, f, f"__ss_r_{f}", f))
+    if red_specs:
+        d = with_redaction_many(d, red_specs, strategy, include_original=include_original)
+    rec_cols = [F.col(f"__ss_r_{f}") for f in present]
 
     records = F.concat(*rec_cols) if rec_cols else empty_array(FIELD_RECORD_TYPE)
     n = F.size(records)
