@@ -134,5 +134,7 @@ def replacement(text, entity_type, strategy: str | StrategyFn = "placeholder") -
 
 
 def strategy_info(name: str) -> dict:
-    get_strategy(name)
-    return {"current_strategy": name, "available_strategies": available_strategies()}
+    """Redaction configuration echo."""
+    fn = get_strategy(name)
+    return {"current_strategy": name, "available_strategies": available_strategies(),
+            "strategy_function": getattr(fn, "__name__", "custom")}

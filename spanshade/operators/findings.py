@@ -75,3 +75,19 @@ def attach_findings(df: DataFrame, findings: DataFrame | None, key_cols,
 
 def no_extra() -> Column:
     return empty_array(INTERNAL_TYPE)
+
+
+def detection_info(findings_sources=()) -> dict:
+    """Which detectors a job uses (configuration echo for job rows and logs).
+
+    ``findings_sources`` lists the outside sources whose findings are merged
+    (``COMPREHEND``, ``CER``); the regex detector is always on.
+    """
+    srcs = [s.upper() for s in findings_sources]
+    methods = ["regex"] + [s.lower() for s in ("COMPREHEND", "CER") if s in srcs]
+    return {
+        "regex_available": True,
+        "comprehend_available": "COMPREHEND" in srcs,
+        "cer_endpoint": "CER" in srcs,
+        "detection_methods": methods,
+    }

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from ..functions.patterns import CATALOGUE, DEFAULT_CONFIDENCE, FALSE_POSITIVES
 from ..functions.strategies import DEFAULT_PLACEHOLDER, PLACEHOLDERS
-from .payload_files import CONVERSATIONS_PER_FILE
+from .payload_files import CONVERSATIONS_PER_FILE, TURNS_PER_FILE
 from .views import CORPUS_SQL, FINDING_RULES, PAYLOADS_SQL
 
 NON_ASCII_LETTERS = (r"[\x{00AA}\x{00B5}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}"
@@ -241,7 +241,7 @@ def oracle_queries(detect_groups: dict) -> dict:
           "UNION ALL SELECT 'notes' AS src, verbatim_id AS key, notes AS text FROM payloads)")
     per_payload = f"""
 pk AS (
-  SELECT p.verbatim_id, p.call_id, p.sentence, p.notes, ks.k AS ks, kn.k AS kn,
+  SELECT p.verbatim_id, p.call_id, p.ordinal, p.sentence, p.notes, ks.k AS ks, kn.k AS kn,
          coalesce(len(ks.k), 0) AS ns, coalesce(len(kn.k), 0) AS nn
   FROM payloads p
   LEFT JOIN kept ks ON ks.src = 'sentence' AND ks.key = p.verbatim_id
@@ -255,12 +255,14 @@ pk AS (
                    CASE WHEN ns + nn > 0 THEN CAST(nn AS INTEGER) END AS notes_records
             FROM pk""",
         pf, candidates_ctes("pf"), kept_ctes(), per_payload)
-    file_rows = f"""SELECT CAST(call_id // {CONVERSATIONS_PER_FILE} AS BIGINT) AS file_id,
+    file_id = (f"CAST(call_id // {CONVERSATIONS_PER_FILE} AS BIGINT) * 100000 "
+               f"+ CAST(ordinal // {TURNS_PER_FILE} AS BIGINT)")
+    file_rows = f"""SELECT {file_id} AS file_id,
                           CAST(count(*) AS BIGINT) AS total_payloads,
                           CAST(sum(ns + nn) AS BIGINT) AS total_pii_detected,
                           CAST(count_if(ns + nn > 0) AS BIGINT) AS payloads_with_pii,
                           'success' AS status, CAST(0 AS BIGINT) AS failed_rows
-                   FROM pk GROUP BY call_id // {CONVERSATIONS_PER_FILE}"""
+                   FROM pk GROUP BY {file_id}"""
     out["json_file_job"] = with_views(file_rows, pf, candidates_ctes("pf"), kept_ctes(),
                                       per_payload)
     out["redact_stream"] = out["json_file_job"]
@@ -329,6 +331,17 @@ rl AS (SELECT e.src, e.key, list({'s': e.x.s, 'e': e.x.e, 't': e.x.t, 'y': l.lab
                   CAST(sum(n) AS DOUBLE) / count(*) AS avg_per_payload,
                   CAST(100.0 AS DOUBLE) * count_if(n > 0) / count(*) AS pct_with_pii
            FROM pk""", *base)
+    out["job_summary"] = with_views(
+        """SELECT status, source_file AS file, processed_payloads AS payloads_processed,
+                  total_pii_detected AS pii_detected, total_pii_redacted AS pii_redacted,
+                  coalesce(CAST(total_pii_detected AS DOUBLE) / total_payloads, 0.0) AS pii_rate
+           FROM jobs""", *base, JOB_ROWS_CTE)
+    out["text_preview"] = with_views(
+        """SELECT src, key,
+                  CASE WHEN length(text) > 60 THEN substring(text, 1, 60) || '...' ELSE text END
+                    AS preview,
+                  CAST(n AS INTEGER) AS n_entities
+           FROM pk WHERE n > 0""", *base)
     out["entity_type_histogram"] = with_views(
         "SELECT x.y AS entity_type, CAST(count(*) AS BIGINT) AS n "
         "FROM (SELECT unnest(k) AS x FROM kept) GROUP BY x.y", candidates_ctes("corpus"),
@@ -416,6 +429,16 @@ def feedback_queries() -> dict:
     out["leak_alerts"] = with_views(
         "SELECT source_file, x.y AS entity_type, CAST(count(*) AS BIGINT) AS n_leaks "
         "FROM leaks GROUP BY source_file, x.y", *ctes)
+    out["quarantine_scan"] = with_views(
+        """SELECT q.src, q.key, q.source_file, x.y AS entity_type, x.s AS start_pos,
+                  x.e AS end_pos, x.t AS text, x.o AS source
+           FROM (SELECT src, key, unnest(k) AS x FROM kq) u
+           JOIN quar q ON q.src = u.src AND q.key = u.key""",
+        *ctes, candidates_ctes("quar", name="cq"), FINDING_ENTITIES_CTE,
+        """allq AS (SELECT * FROM cq UNION ALL BY NAME
+                   SELECT * FROM fent f WHERE EXISTS (SELECT 1 FROM quar q
+                                                      WHERE q.src = f.src AND q.key = f.key))""",
+        kept_ctes("allq", "kq"))
     out["review_sample"] = with_views(
         """SELECT type, text, src, key, CAST(rn AS INTEGER) AS sample_rank FROM (
              SELECT *, row_number() OVER (PARTITION BY type ORDER BY

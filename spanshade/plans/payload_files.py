@@ -1,9 +1,10 @@
 """Payload files derived from the ``conversations`` table.
 
-Writes the payload view (see :mod:`views`) as JSON-array files, one file per
-block of ``CONVERSATIONS_PER_FILE`` conversations, into ``<dir>/file_id=<n>/``.
-A file is built from one bounded group (at most that many conversations), the
-same bound the reference format has (a file of up to 15,000 payloads).
+Writes the payload view (see :mod:`views`) as JSON-array files into
+``<dir>/file_id=<n>/``, one file per block of ``CONVERSATIONS_PER_FILE``
+conversations and ``TURNS_PER_FILE`` turns. Every file is built from one
+bounded group (at most 10 x 1,000 payloads), like the reference format (a
+file of up to 15,000 payloads).
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from ..session import ensure_checkpoint_dir
 from . import views
 
 CONVERSATIONS_PER_FILE = 10
+TURNS_PER_FILE = 1000
+FILE_ID_SQL = (f"CAST(call_id / {CONVERSATIONS_PER_FILE} AS BIGINT) * 100000 "
+               f"+ CAST(ordinal / {TURNS_PER_FILE} AS BIGINT)")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -25,10 +29,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/spanshade-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_payload_files(spark: SparkSession, sf_dir: str, out_dir: str,
-                        per_file: int = CONVERSATIONS_PER_FILE) -> None:
-    p = views.payloads(spark, sf_dir).withColumn(
-        "file_id", (F.col("call_id") / F.lit(per_file)).cast("bigint"))
+def write_payload_files(spark: SparkSession, sf_dir: str, out_dir: str) -> None:
+    p = views.payloads(spark, sf_dir).withColumn("file_id", F.expr(FILE_ID_SQL))
     obj = F.to_json(F.struct("verbatim_id", "call_id", "ordinal", "type", "sentence", "notes"))
     files = (p.groupBy("file_id")
              .agg(F.sort_array(F.collect_list(F.struct("verbatim_id", obj.alias("j"))))

@@ -280,6 +280,34 @@ def review_sample(spark, sf_dir):
                     .alias("sample_rank"))
 
 
+def quarantine_scan(spark, sf_dir):
+    """Scan of quarantined raw records: regex + outside findings, merged."""
+    base = _feedback_base(spark, sf_dir)
+    q = _quarantine(spark, sf_dir, base)[0].select(*FKEY, "text")
+    d = attach_findings(q, views.findings(spark, sf_dir), KEY, "fnd")
+    d = with_entities(d, "text", "ents",
+                      extra=findings_to_entities(F.col("fnd"), F.col("text"), "text"))
+    return explode_entities(d.select(*FKEY, "ents"), FKEY, "ents").select(
+        *FKEY, "entity_type", "start_pos", "end_pos", "text", "source")
+
+
+def job_summary(spark, sf_dir):
+    """Per-file summary (status, file, counts, numeric pii_rate)."""
+    from ..operators.stats import file_job_rows, job_summary as js
+    from .payload_job import redact_payloads
+    c = views.corpus(spark, sf_dir)
+    return js(file_job_rows(redact_payloads(c, fields=("text",), key_cols=KEY, id_col="key")))
+
+
+def text_preview(spark, sf_dir):
+    """60-character previews of the records that contain PII."""
+    from ..functions.text import preview
+    d = _corpus_entities(spark, sf_dir).select(*KEY, "text", F.size("ents").alias("n_entities"))
+    return explode_entities(
+        d.select(*KEY, F.when(F.col("n_entities") > 0, F.array(F.struct(
+            preview("text", 60).alias("preview"), "n_entities"))).alias("r")), KEY, "r")
+
+
 def _file_job_rows(jobs):
     return jobs.select(
         F.regexp_extract("source_file", r"file_id=(\d+)", 1).cast("bigint").alias("file_id"),
@@ -334,6 +362,9 @@ def registered() -> dict:
         "training_dedup": training_dedup,
         "leak_alerts": leak_alerts,
         "review_sample": review_sample,
+        "quarantine_scan": quarantine_scan,
+        "job_summary": job_summary,
+        "text_preview": text_preview,
         "json_file_job": json_file_job,
         "redact_stream": redact_stream,
     })
