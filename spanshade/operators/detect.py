@@ -42,8 +42,10 @@ def _guard(t: Column, p: PiiPattern, has_digit: Column) -> Column | None:
     return t.contains(p.guard)
 
 
-# Marker characters for the one-pass form (see ``with_candidates``).
-_OPEN, _GROUP, _CLOSE, _SAFE = "\u0000", "\u0002", "\u0001", "\u0003"
+# Marker character for the one-pass form (see ``_detect_many``) and the
+# character it is replaced by in the scanned copy of a text.
+_MARK, _SAFE = "\u0000", "\u0001"
+_MARKERS_RE = "\\x00"
 
 
 def _keep_filter(p: PiiPattern):
@@ -83,20 +85,24 @@ def _fold(p: PiiPattern, items: Column, parts, confidence: float) -> Column:
 
 
 def _marked_entities(p: PiiPattern, pieces: Column, confidence: float) -> Column:
-    """Entities from ``split(regexp_replace(t, p, OPEN $0 [GROUP $g] CLOSE), CLOSE)``.
+    """Entities from ``split(regexp_replace(t, p, M $0 M [$g M]), M)``.
 
-    Every piece but the last is ``gap OPEN match [GROUP group]``.
+    With one marker ``M`` around each match (and after its span group) the
+    pieces come at a fixed stride: ``gap, match[, group]`` per match, then the
+    tail. The fold walks match indexes and reads the pieces by position.
     """
-    def parts(piece):
-        gap = F.substring_index(piece, _OPEN, 1)
-        rest = F.substring_index(piece, _OPEN, -1)
-        if p.group:
-            m = F.substring_index(rest, _GROUP, 1)
-            x = F.substring_index(rest, _GROUP, -1)
-        else:
-            m = x = rest
-        return gap, m, x, piece.contains(_OPEN)
-    return _fold(p, pieces, parts, confidence)
+    stride = 3 if p.group else 2
+    n = F.floor(F.size(pieces) / F.lit(stride)).cast("int")
+    idx = F.sequence(F.lit(0), n - 1)
+
+    def parts(i):
+        gap = F.element_at(pieces, i * stride + 1)
+        m = F.element_at(pieces, i * stride + 2)
+        x = F.element_at(pieces, i * stride + 3) if p.group else m
+        return gap, m, x, F.lit(True)
+    # sequence(0, -1) would count down: no matches -> empty list
+    return _fold(p, F.when(n > 0, idx).otherwise(F.array().cast("array<int>")), parts,
+                 confidence)
 
 
 def _select_replacing(df: DataFrame, outputs: dict, drop=()) -> DataFrame:
@@ -120,17 +126,21 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
     ``specs``: list of (text_col, out_col, extra) with ``extra`` an optional
     Column of internal-layout entities merged before overlap resolution.
 
-    One regex pass per pattern and text: ``regexp_replace`` wraps every match
-    (and its span group) in the control characters U+0000..U+0002, and literal
-    ``split``s recover gaps and matches. Those three characters are first
-    mapped to U+0003 in the scanned copy of the text: one code point and one
-    byte for one, so offsets are unchanged, and no catalogue pattern matches
-    any of U+0000..U+0003, so the matches are unchanged too.
+    One regex pass per pattern and text: ``regexp_replace`` puts the marker
+    U+0000 before and after every match (and after its span group), and one
+    single-character ``split`` yields gap, match[, group] pieces at a fixed
+    stride. A U+0000 already in the text is first mapped to U+0001 in the
+    scanned copy: one code point and one byte for one, so offsets are
+    unchanged, and no catalogue pattern matches either character, so the
+    matches are unchanged too.
     """
     pats = select_patterns(types, patterns)
     empty_str_arr = empty_array("string")
-    scans = {f"{_TMP}scan{i}": F.translate(col_of(t), _OPEN + _GROUP + _CLOSE, _SAFE * 3)
-             for i, (t, _, _) in enumerate(specs)}
+    scans = {}
+    for i, (t, _, _) in enumerate(specs):
+        t = col_of(t)
+        scans[f"{_TMP}scan{i}"] = F.when(t.rlike(_MARKERS_RE),
+                                         F.translate(t, _MARK, _SAFE)).otherwise(t)
     df0 = df.withColumns(scans)
 
     stage1 = {}
@@ -143,19 +153,29 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
             gd = _guard(u, p, has_digit) if guards else None
             if gd is not None:
                 cond = cond & gd
-            repl = _OPEN + "$0" + (_GROUP + f"${p.group}" if p.group else "") + _CLOSE
+            repl = _MARK + "$0" + _MARK + (f"${p.group}" + _MARK if p.group else "")
             stage1[f"{_TMP}k{i}_{p.ordinal}"] = F.when(
                 cond, F.regexp_replace(u, F.lit(p.java_regex), F.lit(repl)))
     df1 = df0.withColumns(stage1) if stage1 else df0
 
+    # pieces are read by position inside the fold, so they are their own
+    # column (a lambda would otherwise re-evaluate the split per element);
+    # the marked text is longer than the text iff something matched
+    stage2 = {}
+    for i, _ in enumerate(specs):
+        u = F.col(f"{_TMP}scan{i}")
+        for p in pats:
+            k = F.col(f"{_TMP}k{i}_{p.ordinal}")
+            stage2[f"{_TMP}p{i}_{p.ordinal}"] = F.when(
+                F.octet_length(k) > F.octet_length(u), F.split(k, _MARK, -1))
+    df1 = df1.withColumns(stage2) if stage2 else df1
+
     outputs = {}
     for i, (_, out_col, extra) in enumerate(specs):
         u = F.col(f"{_TMP}scan{i}")
         per_pattern = []
         for p in pats:
-            k = F.col(f"{_TMP}k{i}_{p.ordinal}")
-            pieces = F.when(F.octet_length(k) > F.octet_length(u), F.split(k, _CLOSE, -1)) \
-                .otherwise(empty_str_arr)
+            pieces = F.coalesce(F.col(f"{_TMP}p{i}_{p.ordinal}"), empty_str_arr)
             per_pattern.append(F.filter(_marked_entities(p, pieces, confidence),
                                         _keep_filter(p)))
         if not per_pattern:
@@ -173,7 +193,7 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
             may_have_empty = True
         kept = resolve_overlaps(cands, may_have_empty=may_have_empty)
         outputs[out_col] = public_array(kept) if public else kept
-    return _select_replacing(df1, outputs, drop=list(scans) + list(stage1))
+    return _select_replacing(df1, outputs, drop=list(scans) + list(stage1) + list(stage2))
 
 
 def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
