@@ -121,8 +121,9 @@ def payload_redaction(spark, sf_dir):
         "verbatim_id", "sentence", "notes",
         F.col("_redaction_metadata.redaction_count").alias("redaction_count"),
         F.col("_redaction_metadata.strategy_used").alias("strategy_used"),
-        F.size(F.filter("_redaction_metadata.redactions",
-                        lambda r: r["field_name"] == "notes")).alias("notes_records"))
+        F.when(F.col("_redaction_metadata").isNotNull(),
+               F.size(F.filter("_redaction_metadata.redactions",
+                               lambda r: r["field_name"] == "notes"))).alias("notes_records"))
 
 
 def payload_stats(spark, sf_dir):

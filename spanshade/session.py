@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="spanshade-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # no SparkContext on a Connect session: the conf is enough
+        pass
     return d
 
 
@@ -57,8 +60,11 @@ def spread_for_cpu(df, key_cols, per_core: int = 3):
     Hash (not round-robin) partitioning keeps task retries deterministic.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    target = df.sparkSession.sparkContext.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * per_core
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # Connect session: leave the partitioning to Spark
         return df
     return df.repartition(target, *keys)
 
