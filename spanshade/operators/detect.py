@@ -17,6 +17,8 @@ projection, so it scales with the number of input partitions.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,7 +123,7 @@ def _select_replacing(df: DataFrame, outputs: dict, drop=()) -> DataFrame:
 def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
                  confidence: float = DEFAULT_CONFIDENCE, guards: bool = True,
                  resolve: bool = True, public: bool = True) -> DataFrame:
-    """Detection for several text columns in three projections in total.
+    """Detection for several text columns (a few projections per column).
 
     ``specs``: list of (text_col, out_col, extra) with ``extra`` an optional
     Column of internal-layout entities merged before overlap resolution.
@@ -134,66 +136,96 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
     unchanged, and no catalogue pattern matches either character, so the
     matches are unchanged too.
     """
-    pats = select_patterns(types, patterns)
-    empty_str_arr = empty_array("string")
-    scans = {}
-    for i, (t, _, _) in enumerate(specs):
-        t = col_of(t)
-        scans[f"{_TMP}scan{i}"] = F.when(t.rlike(_MARKERS_RE),
-                                         F.translate(t, _MARK, _SAFE)).otherwise(t)
-    df0 = df.withColumns(scans)
-
-    stage1 = {}
-    for i, _ in enumerate(specs):
-        u = F.col(f"{_TMP}scan{i}")
-        blank = is_blank(u)
-        has_digit = u.rlike(r"(?U)\d")
-        for p in pats:
-            cond = ~blank
-            gd = _guard(u, p, has_digit) if guards else None
-            if gd is not None:
-                cond = cond & gd
-            repl = _MARK + "$0" + _MARK + (f"${p.group}" + _MARK if p.group else "")
-            stage1[f"{_TMP}k{i}_{p.ordinal}"] = F.when(
-                cond, F.regexp_replace(u, F.lit(p.java_regex), F.lit(repl)))
-    df1 = df0.withColumns(stage1) if stage1 else df0
-
-    # pieces are read by position inside the fold, so they are their own
-    # column (a lambda would otherwise re-evaluate the split per element);
-    # the marked text is longer than the text iff something matched
-    stage2 = {}
-    for i, _ in enumerate(specs):
-        u = F.col(f"{_TMP}scan{i}")
-        for p in pats:
-            k = F.col(f"{_TMP}k{i}_{p.ordinal}")
-            stage2[f"{_TMP}p{i}_{p.ordinal}"] = F.when(
-                F.octet_length(k) > F.octet_length(u), F.split(k, _MARK, -1))
-    df1 = df1.withColumns(stage2) if stage2 else df1
-
-    outputs = {}
-    for i, (_, out_col, extra) in enumerate(specs):
-        u = F.col(f"{_TMP}scan{i}")
-        per_pattern = []
-        for p in pats:
-            pieces = F.coalesce(F.col(f"{_TMP}p{i}_{p.ordinal}"), empty_str_arr)
-            per_pattern.append(F.filter(_marked_entities(p, pieces, confidence),
-                                        _keep_filter(p)))
-        if not per_pattern:
-            cands = empty_array(INTERNAL_TYPE)
-        elif len(per_pattern) == 1:
-            cands = per_pattern[0]
-        else:
-            cands = F.concat(*per_pattern)
+    pats = tuple(select_patterns(types, patterns))
+    conf = float(confidence)
+    d = df
+    # fields one after another with the same staging names: the expressions
+    # are then identical for every field and are built (and cached) once
+    for text_col, out_col, extra in specs:
+        scan = f"{_TMP}scan"
+        d = d.withColumn(scan, _memo_scan_expr(str(col_of(text_col)), col_of(text_col)))
+        stage1 = _stage1_exprs(pats, guards)
+        d = d.withColumns(stage1) if stage1 else d
+        stage2 = _stage2_exprs(pats)
+        d = d.withColumns(stage2) if stage2 else d
         if not resolve:
-            outputs[out_col] = cands
-            continue
-        may_have_empty = False
-        if extra is not None:
-            cands = F.concat(cands, F.coalesce(extra, empty_array(INTERNAL_TYPE)))
-            may_have_empty = True
-        kept = resolve_overlaps(cands, may_have_empty=may_have_empty)
-        outputs[out_col] = public_array(kept) if public else kept
-    return _select_replacing(df1, outputs, drop=list(scans) + list(stage1) + list(stage2))
+            out = _candidates_expr(0, pats, conf)
+        elif extra is None:
+            out = _kept_expr(0, pats, conf, public)
+        else:
+            cands = F.concat(_candidates_expr(0, pats, conf),
+                             F.coalesce(extra, empty_array(INTERNAL_TYPE)))
+            kept = resolve_overlaps(cands, may_have_empty=True)
+            out = public_array(kept) if public else kept
+        d = _select_replacing(d, {out_col: out}, drop=[scan, *stage1, *stage2])
+    return d
+
+
+_SCAN_CACHE: dict = {}
+
+
+def _memo_scan_expr(key: str, t: Column) -> Column:
+    """The scanned copy: U+0000 mapped to U+0001 (only when present)."""
+    if key not in _SCAN_CACHE:
+        if len(_SCAN_CACHE) > 256:
+            _SCAN_CACHE.clear()
+        _SCAN_CACHE[key] = F.when(t.rlike(_MARKERS_RE), F.translate(t, _MARK, _SAFE)) \
+            .otherwise(t)
+    return _SCAN_CACHE[key]
+
+
+@functools.lru_cache(maxsize=64)
+def _stage1_exprs(pats: tuple, guards: bool) -> dict:
+    """One ``regexp_replace`` per pattern marking the matches (guarded)."""
+    u = F.col(f"{_TMP}scan")
+    blank = is_blank(u)
+    has_digit = u.rlike(r"(?U)\d")
+    out = {}
+    for p in pats:
+        cond = ~blank
+        gd = _guard(u, p, has_digit) if guards else None
+        if gd is not None:
+            cond = cond & gd
+        repl = _MARK + "$0" + _MARK + (f"${p.group}" + _MARK if p.group else "")
+        out[f"{_TMP}k0_{p.ordinal}"] = F.when(
+            cond, F.regexp_replace(u, F.lit(p.java_regex), F.lit(repl)))
+    return out
+
+
+@functools.lru_cache(maxsize=64)
+def _stage2_exprs(pats: tuple) -> dict:
+    """Pieces are read by position inside the fold, so they are their own
+    column (a lambda would otherwise re-evaluate the split per element); the
+    marked text is longer than the text iff something matched."""
+    u = F.col(f"{_TMP}scan")
+    out = {}
+    for p in pats:
+        k = F.col(f"{_TMP}k0_{p.ordinal}")
+        out[f"{_TMP}p0_{p.ordinal}"] = F.when(F.octet_length(k) > F.octet_length(u),
+                                              F.split(k, _MARK, -1))
+    return out
+
+
+# The per-field expressions only name the staged columns (``__ss_p<i>_<ord>``),
+# so they are the same Column for every DataFrame and are built once per
+# process: constructing their few thousand nodes through the Python-JVM bridge
+# costs seconds, reusing them costs nothing.
+@functools.lru_cache(maxsize=256)
+def _candidates_expr(i: int, pats: tuple, confidence: float) -> Column:
+    empty_str_arr = empty_array("string")
+    per_pattern = []
+    for p in pats:
+        pieces = F.coalesce(F.col(f"{_TMP}p{i}_{p.ordinal}"), empty_str_arr)
+        per_pattern.append(F.filter(_marked_entities(p, pieces, confidence), _keep_filter(p)))
+    if not per_pattern:
+        return empty_array(INTERNAL_TYPE)
+    return per_pattern[0] if len(per_pattern) == 1 else F.concat(*per_pattern)
+
+
+@functools.lru_cache(maxsize=256)
+def _kept_expr(i: int, pats: tuple, confidence: float, public: bool) -> Column:
+    kept = resolve_overlaps(_candidates_expr(i, pats, confidence), may_have_empty=False)
+    return public_array(kept) if public else kept
 
 
 def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,

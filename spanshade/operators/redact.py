@@ -112,6 +112,30 @@ def _record_fn(field_name, include_original):
     return rec
 
 
+# Expressions over the staged columns (``__ss_red_desc<n>``, ``__ss_red_bin<n>``)
+# are identical for every DataFrame; building them through the Python-JVM
+# bridge is the slow part of constructing a plan, so they are built once.
+_EXPR_CACHE: dict = {}
+
+
+def _memo(key, build):
+    if key not in _EXPR_CACHE:
+        if len(_EXPR_CACHE) > 512:
+            _EXPR_CACHE.clear()
+        _EXPR_CACHE[key] = build()
+    return _EXPR_CACHE[key]
+
+
+def _redacted_expr(n: int, text: Column, has_bytes: bool) -> Column:
+    desc = F.col(f"{_TMP}desc{n}")
+    if has_bytes:
+        asc = F.reverse(desc)
+        return (F.when(F.size(desc) == 0, text)
+                .when(_linear_ok(asc), linear_splice(F.col(f"{_TMP}bin{n}"), asc))
+                .otherwise(splice(text, desc)))
+    return F.when(F.size(desc) == 0, text).otherwise(splice(text, desc))
+
+
 def with_redaction_many(df: DataFrame, specs, strategy="placeholder", *,
                         include_original: bool = True) -> DataFrame:
     """Redaction of several text columns in two projections.
@@ -121,27 +145,24 @@ def with_redaction_many(df: DataFrame, specs, strategy="placeholder", *,
     record list.
     """
     stage, outputs = {}, {}
+    skey = strategy if isinstance(strategy, str) else id(strategy)
     for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
         has_bytes = "byte_start" in _entity_fields(df, entities_col)
-        stage[f"{_TMP}desc{n}"] = _desc_with_replacement(col_of(entities_col), strategy,
-                                                         has_bytes)
+        stage[f"{_TMP}desc{n}"] = _memo(
+            ("desc", str(col_of(entities_col)), skey, has_bytes),
+            lambda: _desc_with_replacement(col_of(entities_col), strategy, has_bytes))
         if has_bytes:
             stage[f"{_TMP}bin{n}"] = col_of(text_col).cast("binary")
     d = df.withColumns(stage)
     for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
-        text = col_of(text_col)
-        desc = F.col(f"{_TMP}desc{n}")
-        if f"{_TMP}bin{n}" in stage:
-            asc = F.reverse(desc)
-            redacted = (F.when(F.size(desc) == 0, text)
-                        .when(_linear_ok(asc), linear_splice(F.col(f"{_TMP}bin{n}"), asc))
-                        .otherwise(splice(text, desc)))
-        else:
-            redacted = F.when(F.size(desc) == 0, text).otherwise(splice(text, desc))
-
+        has_bytes = f"{_TMP}bin{n}" in stage
         target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
-        outputs[target] = redacted
-        outputs[out_records] = F.transform(desc, _record_fn(field_name, include_original))
+        outputs[target] = _memo(("text", n, str(col_of(text_col)), has_bytes),
+                                lambda: _redacted_expr(n, col_of(text_col), has_bytes))
+        outputs[out_records] = _memo(
+            ("records", n, field_name, include_original),
+            lambda: F.transform(F.col(f"{_TMP}desc{n}"),
+                                _record_fn(field_name, include_original)))
     from .detect import _select_replacing
     return _select_replacing(d, outputs, drop=list(stage))
 
