@@ -153,10 +153,15 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
         elif extra is None:
             out = _kept_expr(0, pats, conf, public)
         else:
-            cands = F.concat(_candidates_expr(0, pats, conf),
-                             F.coalesce(extra, empty_array(INTERNAL_TYPE)))
-            kept = resolve_overlaps(cands, may_have_empty=True)
-            out = public_array(kept) if public else kept
+            def build(extra=extra):
+                cands = F.concat(_candidates_expr(0, pats, conf),
+                                 F.coalesce(extra, empty_array(INTERNAL_TYPE)))
+                kept = resolve_overlaps(cands, may_have_empty=True)
+                return public_array(kept) if public else kept
+            key = ("extra", pats, conf, public, str(extra))
+            if key not in _SCAN_CACHE:
+                _SCAN_CACHE[key] = build()
+            out = _SCAN_CACHE[key]
         d = _select_replacing(d, {out_col: out}, drop=[scan, *stage1, *stage2])
     return d
 

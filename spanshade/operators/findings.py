@@ -47,8 +47,20 @@ def group_findings(findings: DataFrame, key_cols, out_col: str = "findings") ->
     return findings.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(out_col))
 
 
+_CACHE: dict = {}
+
+
 def findings_to_entities(grouped: Column, text: Column, field_name: str | None = None) -> Column:
     """Grouped findings of one record -> internal-layout entities for one field."""
+    key = (str(grouped), str(text), field_name)
+    if key not in _CACHE:
+        if len(_CACHE) > 256:
+            _CACHE.clear()
+        _CACHE[key] = _findings_to_entities(grouped, text, field_name)
+    return _CACHE[key]
+
+
+def _findings_to_entities(grouped: Column, text: Column, field_name: str | None) -> Column:
     arr = F.coalesce(grouped, F.array().cast(f"array<{FINDING_TYPE}>"))
     if field_name is not None:
         arr = F.filter(arr, lambda f: f["field_name"] == field_name)
