@@ -29,7 +29,7 @@ from ..functions.patterns import (
     PiiPattern,
     select_patterns,
 )
-from ..functions.text import col_of, is_blank, ustrip
+from ..functions.text import _STRIP_RE, col_of, is_blank, ustrip
 from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, internal, public_array
 from .merge import resolve_overlaps
 
@@ -215,13 +215,51 @@ def _stage2_exprs(pats: tuple) -> dict:
 # so they are the same Column for every DataFrame and are built once per
 # process: constructing their few thousand nodes through the Python-JVM bridge
 # costs seconds, reusing them costs nothing.
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) -> str:
+    """SQL text of ``filter(fold(pieces), keep)`` for one pattern: the same
+    expression as :func:`_marked_entities` + :func:`_keep_filter`, written as
+    text so the JVM builds it in one call."""
+    stride = 3 if p.group else 2
+    pc = f"`{pieces_col}`"
+    n = f"CAST(FLOOR(size(coalesce({pc}, CAST(array() AS array<string>))) / {stride}) AS INT)"
+    gap = f"element_at({pc}, z * {stride} + 1)"
+    m = f"element_at({pc}, z * {stride} + 2)"
+    x = f"element_at({pc}, z * {stride} + 3)" if p.group else m
+    end = f"(acc.pos + length({gap}) + length({m}))"
+    bend = f"(acc.bpos + octet_length({gap}) + octet_length({m}))"
+    ent = (f"named_struct('start_pos', CAST({end} - length({x}) AS INT), "
+           f"'rank', CAST({p.ordinal * RANK_STRIDE} AS BIGINT) + acc.i, "
+           f"'end_pos', CAST({end} AS INT), 'text', {x}, "
+           f"'entity_type', {_sql_str(p.entity_type)}, "
+           f"'confidence', CAST({float(confidence)!r} AS DOUBLE), 'source', 'REGEX', "
+           f"'byte_start', CAST({bend} - octet_length({x}) AS INT), "
+           f"'byte_end', CAST({bend} AS INT))")
+    fold = (f"aggregate(CASE WHEN {n} > 0 THEN sequence(0, {n} - 1) "
+            f"ELSE CAST(array() AS array<int>) END, "
+            f"named_struct('i', 0, 'pos', 0, 'bpos', 0, "
+            f"'out', CAST(array() AS array<{INTERNAL_TYPE}>)), "
+            f"(acc, z) -> named_struct('i', acc.i + 1, 'pos', {end}, 'bpos', {bend}, "
+            f"'out', concat(acc.out, array({ent}))), acc -> acc.out)")
+    conds = []
+    if p.may_be_short:
+        conds.append(f"length(regexp_replace(e.text, {_sql_str(_STRIP_RE)}, '')) "
+                     f">= {MIN_ENTITY_CHARS}")
+    fps = tuple(dict.fromkeys(v.lower() for v in FALSE_POSITIVES.get(p.entity_type, ())))
+    if fps:
+        conds.append(f"NOT lower(e.text) IN ({', '.join(_sql_str(v) for v in fps)})")
+    if not conds:
+        return fold
+    return f"filter({fold}, e -> {' AND '.join(conds)})"
+
+
 @functools.lru_cache(maxsize=256)
 def _candidates_expr(i: int, pats: tuple, confidence: float) -> Column:
-    empty_str_arr = empty_array("string")
-    per_pattern = []
-    for p in pats:
-        pieces = F.coalesce(F.col(f"{_TMP}p{i}_{p.ordinal}"), empty_str_arr)
-        per_pattern.append(F.filter(_marked_entities(p, pieces, confidence), _keep_filter(p)))
+    per_pattern = [F.expr(_pattern_entities_sql(p, f"{_TMP}p{i}_{p.ordinal}", confidence))
+                   for p in pats]
     if not per_pattern:
         return empty_array(INTERNAL_TYPE)
     return per_pattern[0] if len(per_pattern) == 1 else F.concat(*per_pattern)
