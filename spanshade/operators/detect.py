@@ -29,8 +29,8 @@ from ..functions.patterns import (
     PiiPattern,
     select_patterns,
 )
-from ..functions.text import _STRIP_RE, col_of, is_blank, ustrip
-from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, internal, public_array
+from ..functions.text import _STRIP_RE, col_of, is_blank
+from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, public_array
 from .merge import resolve_overlaps
 
 _TMP = "__ss_"
@@ -50,63 +50,6 @@ _MARK, _SAFE = "\u0000", "\u0001"
 _MARKERS_RE = "\\x00"
 
 
-def _keep_filter(p: PiiPattern):
-    fps = FALSE_POSITIVES.get(p.entity_type, ())
-    lowered = tuple(dict.fromkeys(s.lower() for s in fps))
-
-    def keep(e):
-        ok = F.lit(True)
-        if p.may_be_short:
-            ok = F.length(ustrip(e["text"])) >= MIN_ENTITY_CHARS
-        if lowered:
-            ok = ok & ~F.lower(e["text"]).isin(*lowered)
-        return ok
-    return keep
-
-
-def _fold(p: PiiPattern, items: Column, parts, confidence: float) -> Column:
-    """Walk the per-match items left to right carrying the running offsets
-    (code points and UTF-8 bytes). ``parts(z)`` returns (gap, match, group,
-    is_match) for one item."""
-    base = F.lit(p.ordinal * RANK_STRIDE).cast("bigint")
-    etype, src, conf = F.lit(p.entity_type), F.lit("REGEX"), F.lit(float(confidence))
-
-    def step(acc, z):
-        gap, m, x, is_match = parts(z)
-        end = acc["pos"] + F.length(gap) + F.length(m)
-        bend = acc["bpos"] + F.octet_length(gap) + F.octet_length(m)
-        ent = internal(end - F.length(x), base + acc["i"], end, x, etype, conf, src,
-                       bend - F.octet_length(x), bend)
-        nxt = F.struct((acc["i"] + 1).alias("i"), end.alias("pos"), bend.alias("bpos"),
-                       F.concat(acc["out"], F.array(ent)).alias("out"))
-        return F.when(is_match, nxt).otherwise(acc)
-
-    init = F.struct(F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit(0).alias("bpos"),
-                    empty_array(INTERNAL_TYPE).alias("out"))
-    return F.aggregate(items, init, step, lambda acc: acc["out"])
-
-
-def _marked_entities(p: PiiPattern, pieces: Column, confidence: float) -> Column:
-    """Entities from ``split(regexp_replace(t, p, M $0 M [$g M]), M)``.
-
-    With one marker ``M`` around each match (and after its span group) the
-    pieces come at a fixed stride: ``gap, match[, group]`` per match, then the
-    tail. The fold walks match indexes and reads the pieces by position.
-    """
-    stride = 3 if p.group else 2
-    n = F.floor(F.size(pieces) / F.lit(stride)).cast("int")
-    idx = F.sequence(F.lit(0), n - 1)
-
-    def parts(i):
-        gap = F.element_at(pieces, i * stride + 1)
-        m = F.element_at(pieces, i * stride + 2)
-        x = F.element_at(pieces, i * stride + 3) if p.group else m
-        return gap, m, x, F.lit(True)
-    # sequence(0, -1) would count down: no matches -> empty list
-    return _fold(p, F.when(n > 0, idx).otherwise(F.array().cast("array<int>")), parts,
-                 confidence)
-
-
 def _select_replacing(df: DataFrame, outputs: dict, drop=()) -> DataFrame:
     """One projection: keep ``df``'s columns (replacing those named in
     ``outputs``), append the new ones, drop ``drop``."""
@@ -220,9 +163,15 @@ def _sql_str(v: str) -> str:
 
 
 def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) -> str:
-    """SQL text of ``filter(fold(pieces), keep)`` for one pattern: the same
-    expression as :func:`_marked_entities` + :func:`_keep_filter`, written as
-    text so the JVM builds it in one call."""
+    """SQL text of ``filter(fold(pieces), keep)`` for one pattern.
+
+    With one marker around each match (and after its span group) the pieces
+    come at a fixed stride: ``gap, match[, group]`` per match, then the tail.
+    The fold walks the match indexes, reads the pieces by position and carries
+    the running offsets (code points and UTF-8 bytes); the filter drops spans
+    with fewer than 2 non-space characters (only where a pattern can produce
+    them) and known false positives. Written as SQL text so the JVM builds
+    the expression in one call."""
     stride = 3 if p.group else 2
     pc = f"`{pieces_col}`"
     n = f"CAST(FLOOR(size(coalesce({pc}, CAST(array() AS array<string>))) / {stride}) AS INT)"
