@@ -73,10 +73,11 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
         d = with_entities_many(d, specs, types=types, confidence=confidence)
     d = d.withColumn("__ss_ok", ok)
 
-    red_specs = []
-    for f in present:
-        ents = F.when(F.col("__ss_ok"), F.col(ent_cols[f])).otherwise(empty_array(PUBLIC_TYPE))
-        red_specs.append((f, ents, f, f"__ss_r_{f}", f))
+    # staged under names, so the redaction reads their type from the schema
+    # instead of analysing each expression on its own
+    d = d.withColumns({f"__ss_u_{f}": F.when(F.col("__ss_ok"), F.col(ent_cols[f]))
+                       .otherwise(empty_array(PUBLIC_TYPE)) for f in present})
+    red_specs = [(f, f"__ss_u_{f}", f, f"__ss_r_{f}", f) for f in present]
     if red_specs:
         d = with_redaction_many(d, red_specs, strategy, include_original=include_original)
     rec_cols = [F.col(f"__ss_r_{f}") for f in present]
