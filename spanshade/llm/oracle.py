@@ -1,6 +1,19 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL = {
+    "op7_line_dedup": r"""
+WITH l AS (SELECT d.doc_id, i, unnest(x) AS line, unnest(range(len(x))) AS pos
+           FROM (SELECT doc_id, row_number() OVER () AS i, string_split(coalesce(text, ''), chr(10)) AS x
+                 FROM documents) d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key
+      HAVING count(DISTINCT doc_id) >= 3)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (c.top <> k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (c.top IS NULL OR c.top = k.doc_id), ''))
+           AS kept_sha256
+FROM k LEFT JOIN c USING (key) GROUP BY k.i, k.doc_id
+""",
     "op9_exact_dedup": r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
            FROM documents)
