@@ -10,6 +10,13 @@ from . import oracle
 from .common import table
 
 
+def piece_model() -> str:
+    """Where the public tokenizer's model lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -23,8 +30,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .piece_bpe import decode, encode, id_digest
+
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model()).select("doc_id", "ids")
+    return decode(coded, piece_model()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), id_digest().alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries():
-    return {f.__name__: f for f in (op7_line_dedup, op9_exact_dedup)}
+    return {f.__name__: f for f in (op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
