@@ -1,6 +1,32 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL = {
+    "op3_mixing": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS hash
+           FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+             2.0::DOUBLE * source_size AS lim FROM s),
+o AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+                 - 2.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY lim / weight, source NULLS LAST
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(weight) OVER (ORDER BY lim / weight, source NULLS LAST
+                                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unit FROM w),
+t AS (SELECT source, source_size, least(lim, coalesce(
+          (SELECT unit FROM o AS p WHERE lim > unit * weight ORDER BY lim / weight, source NULLS LAST LIMIT 1)
+          * weight, lim)) AS target FROM o),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
+h AS (SELECT source, hash, sum(size) AS size FROM d GROUP BY source, hash),
+r AS (SELECT h.source, h.hash, h.size, e.target - e.epochs * e.source_size AS budget,
+             sum(h.size) OVER (PARTITION BY h.source ORDER BY h.hash) AS through
+      FROM h JOIN e ON h.source IS NOT DISTINCT FROM e.source WHERE e.source_size > 0),
+f AS (SELECT source, arg_min(CASE WHEN through - budget < budget - (through - size) THEN hash ELSE hash - 1 END, hash) AS cut
+      FROM r WHERE through >= budget GROUP BY source)
+SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, e.source_size, e.target,
+       CAST((e.epochs + CASE WHEN d.hash <= f.cut THEN 1 ELSE 0 END) * d.size AS BIGINT) AS taken
+FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source
+""",
     "op7_line_dedup": r"""
 WITH l AS (SELECT d.doc_id, i, unnest(x) AS line, unnest(range(len(x))) AS pos
            FROM (SELECT doc_id, row_number() OVER () AS i, string_split(coalesce(text, ''), chr(10)) AS x

@@ -17,6 +17,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -40,7 +47,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op3_mixing, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
