@@ -24,6 +24,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -47,7 +53,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op3_mixing, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op3_mixing, op4_simhash, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
