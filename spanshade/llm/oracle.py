@@ -1,6 +1,16 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL = {
+    "op1_topk_search": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, min(vec) AS qv FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
+s AS (SELECT query_id, vec_id, CAST(list_dot_product(qv, vec) AS BIGINT) AS score
+      FROM q JOIN v ON vec_id <> query_id AND len(qv) = len(vec)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""",
     "op3_mixing": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
                   ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS hash

@@ -17,6 +17,14 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk_search import scaled, top_k, usable
+
+    vectors = table(spark, sf_dir, "embeddings").where(usable(F.col("embedding"))).select(
+        F.col("vec_id").cast("long").alias("id"), scaled(F.col("embedding")).alias("vec"))
+    return top_k(vectors, vectors.where("id % 50 = 0"), k=5)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -53,7 +61,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op3_mixing, op4_simhash, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_topk_search, op3_mixing, op4_simhash, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
