@@ -68,3 +68,15 @@ def text_or_empty(col: str = "text"):
 
 def white_to_space(col):
     return F.regexp_replace(col, WHITE, " ")
+
+
+def slices(batch, at: int, size_bytes: int):
+    """An Arrow batch in runs of rows whose texts (column ``at``) have about ``size_bytes`` together."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    slot = np.cumsum(size) // size_bytes
+    cut = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]).tolist() if len(slot) else []
+    for s, e in zip(cut, [*cut[1:], batch.num_rows]):
+        yield batch.slice(s, e - s)

@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 SPACE = "▁"
 FAR = np.int64(1) << 40
 MEMO_WORDS = 400_000
@@ -273,8 +275,8 @@ def load_tables(model_path: str) -> PieceTables:
         return PieceTables(f.read())
 
 
-#: Texts are encoded in slices of this many characters' worth of documents.
-SLICE_CHARS = 4_000_000
+#: Texts are encoded in runs of rows of about this many bytes.
+SLICE_BYTES = 4_000_000
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -286,7 +288,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     def run(batches):
         memo = Memo(tables.value)
         for whole in batches:
-            for b in _slices(whole, at):
+            for b in slices(whole, at, SLICE_BYTES):
                 ids, per = memo.encode([t or "" for t in b.column(at).to_pylist()])
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per)].astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*b.columns, ids], names)
@@ -312,16 +314,5 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str =
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())]))
 
 
-def _slices(b: pa.RecordBatch, at: int):
-    """The batch in runs of rows of about ``SLICE_CHARS`` bytes of text."""
-    import pyarrow.compute as pc
-
-    size = pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
-    slot = np.cumsum(size) // SLICE_CHARS
-    cut = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else []
-    for s, e in zip(cut, [*cut[1:], b.num_rows]):
-        yield b.slice(s, e - s)
-
-
 def id_digest(ids_col: str = "ids"):
     return F.sha2(F.concat_ws(",", F.col(ids_col).cast("array<string>")), 256)

@@ -25,6 +25,21 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("id % 50 = 0"), k=5)
 
 
+def remainder(n: int):
+    """crc32 of the doc_id as text, modulo n: the folds of the contracts."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    model = train(docs, ~held_out)
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -61,7 +76,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_topk_search, op3_mixing, op4_simhash, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
