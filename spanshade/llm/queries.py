@@ -60,6 +60,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, quality_model(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame):
+    """Trained on the labelled rows outside the held-out fold."""
+    from .quality import train
+
+    return train(docs, labels, remainder(4) != 2)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -76,7 +91,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op7_line_dedup, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op7_line_dedup, op8_quality, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
