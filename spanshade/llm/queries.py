@@ -53,6 +53,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import KINDS, scan, span_text
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
+
+    def of_kind(no: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == no)).cast("long")
+
+    count = [of_kind(no).alias(f"n_{k[0]}") for no, k in enumerate(KINDS)]
+    return found.select("doc_id", *count, F.sha2(span_text(base), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"), "n_example", "n_live")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -91,7 +105,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op7_line_dedup, op8_quality, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op7_line_dedup, op8_quality, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
