@@ -67,6 +67,13 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_text(F.col("spans")).alias("spans"), "n_example", "n_live")
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import main_text, train
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages, train(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -105,7 +112,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op7_line_dedup, op8_quality, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op6_html_extract, op7_line_dedup, op8_quality, op9_exact_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
