@@ -112,10 +112,10 @@ def thresholds(sizes: DataFrame, per: DataFrame) -> DataFrame:
     return per.join(cut, "key", "left").select("key", "source_size", "target", "epochs", "cut")
 
 
-def _with_sources(rows: DataFrame, sources: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def _with_sources(rows: DataFrame, sources: DataFrame, on: str = "key") -> DataFrame:
     """Join on the source key; every row has its source in the table or falls away."""
     small = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    return rows.join(F.broadcast(sources) if small else staged(sources, "mix-sources").hint("merge"), "key")
+    return rows.join(F.broadcast(sources) if small else staged(sources, "mix-sources").hint("merge"), on)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -130,8 +130,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                                place(F.col(id_col)).alias("hash")), "mix-sizes")
     per = staged(targets(slim, weights, share, max_epochs), "mix-targets")
     per = staged(thresholds(slim.drop("source"), per), "mix-thresholds")
-    out = _with_sources(sized.select("*", key.alias("key"), place(F.col(id_col)).alias("__place")),
-                        per.withColumnsRenamed({"epochs": "__epochs", "cut": "__cut"}))
+    out = _with_sources(sized.select("*", key.alias("__key"), place(F.col(id_col)).alias("__place")),
+                        per.withColumnsRenamed({"key": "__key", "epochs": "__epochs", "cut": "__cut"}), "__key")
     copies = F.col("__epochs") + F.coalesce(F.col("__place") <= F.col("__cut"), F.lit(False)).cast("long")
     return out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select(
         *docs.columns, *own)
