@@ -31,7 +31,7 @@ from ..functions.patterns import (
 )
 from ..functions.text import _STRIP_RE, col_of, is_blank
 from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, public_array
-from .merge import resolve_overlaps
+from .merge import BLOCK, resolve_overlaps
 
 _TMP = "__ss_"
 
@@ -168,7 +168,8 @@ def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) ->
     With one marker around each match (and after its span group) the pieces
     come at a fixed stride: ``gap, match[, group]`` per match, then the tail.
     The fold walks the match indexes, reads the pieces by position and carries
-    the running offsets (code points and UTF-8 bytes); the filter drops spans
+    the running offsets (code points and UTF-8 bytes) block by block, so it is
+    linear; the filter drops spans
     with fewer than 2 non-space characters (only where a pattern can produce
     them) and known false positives. Written as SQL text so the JVM builds
     the expression in one call."""
@@ -187,12 +188,23 @@ def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) ->
            f"'confidence', CAST({float(confidence)!r} AS DOUBLE), 'source', 'REGEX', "
            f"'byte_start', CAST({bend} - octet_length({x}) AS INT), "
            f"'byte_end', CAST({bend} AS INT))")
-    fold = (f"aggregate(CASE WHEN {n} > 0 THEN sequence(0, {n} - 1) "
-            f"ELSE CAST(array() AS array<int>) END, "
-            f"named_struct('i', 0, 'pos', 0, 'bpos', 0, "
-            f"'out', CAST(array() AS array<{INTERNAL_TYPE}>)), "
-            f"(acc, z) -> named_struct('i', acc.i + 1, 'pos', {end}, 'bpos', {bend}, "
-            f"'out', concat(acc.out, array({ent}))), acc -> acc.out)")
+    # ``aggregate`` copies its accumulator at every step, so offsets are summed
+    # per block of matches first and each block then collects its own entities
+    last_block = f"CAST(FLOOR(({n} - 1) / {BLOCK}) AS INT)"
+    within = f"sequence(c * {BLOCK}, least((c + 1) * {BLOCK}, {n}) - 1)"
+    sums = (f"transform(sequence(0, {last_block}), c -> aggregate({within}, "
+            f"named_struct('pos', 0, 'bpos', 0), (acc, z) -> named_struct('pos', {end}, 'bpos', {bend})))")
+    starts = (f"aggregate({sums}, named_struct('at', CAST(array() AS array<struct<pos:int,bpos:int>>), "
+              f"'pos', 0, 'bpos', 0), (acc, x) -> named_struct("
+              f"'at', concat(acc.at, array(named_struct('pos', acc.pos, 'bpos', acc.bpos))), "
+              f"'pos', acc.pos + x.pos, 'bpos', acc.bpos + x.bpos), acc -> acc.at)")
+    blocks = (f"transform(sequence(0, {last_block}), c -> aggregate({within}, "
+              f"named_struct('i', c * {BLOCK}, 'pos', s[c].pos, 'bpos', s[c].bpos, "
+              f"'out', CAST(array() AS array<{INTERNAL_TYPE}>)), "
+              f"(acc, z) -> named_struct('i', acc.i + 1, 'pos', {end}, 'bpos', {bend}, "
+              f"'out', concat(acc.out, array({ent}))), acc -> acc.out))")
+    fold = (f"CASE WHEN {n} > 0 THEN transform(array({starts}), s -> flatten({blocks}))[0] "
+            f"ELSE CAST(array() AS array<{INTERNAL_TYPE}>) END")
     conds = []
     if p.may_be_short:
         conds.append(f"length(regexp_replace(e.text, {_sql_str(_STRIP_RE)}, '')) "

@@ -9,8 +9,12 @@ a.end > b.start`` (touching spans do not overlap).
 Kept non-empty spans are pairwise disjoint with non-decreasing starts and
 every incoming start is >= the last of them, so an incoming entity can only
 overlap the *last kept non-empty* span; zero-length spans never overlap a
-later entity. That turns the walk into a single O(n) ``aggregate`` per row:
-no shuffle, no window, no Python.
+later entity. So the walk holds that one span and never looks further back: no
+shuffle, no window, no Python. ``aggregate`` copies its accumulator at every
+step, so an accumulator that collects the result would make the walk
+quadratic. The array is walked in blocks instead: one pass finds the state
+before each block (a single entity and a count), a second walks each block
+from its state and collects at most ``BLOCK`` entities.
 """
 
 from __future__ import annotations
@@ -20,31 +24,75 @@ from pyspark.sql import functions as F
 
 from .entities import INTERNAL_TYPE, empty_array
 
+#: Entities per block of the walk.
+BLOCK = 64
+
 
 def overlaps(a: Column, b: Column) -> Column:
     """Half-open interval overlap test on two entity structs."""
     return (a["start_pos"] < b["end_pos"]) & (a["end_pos"] > b["start_pos"])
 
 
-def _step(acc: Column, e: Column) -> Column:
-    kept, tgt = acc["kept"], acc["tgt"]
-    n = F.size(kept)
-    non_empty = e["end_pos"] > e["start_pos"]
-    target = kept[tgt - 1]
+_KEPT_TYPE = f"struct<s:int,i:int,e:{INTERNAL_TYPE}>"
+_STATE_TYPE = f"struct<last:{_KEPT_TYPE},n:int>"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _placed(e: Column, i: Column) -> Column:
+    return F.struct(e["start_pos"].alias("s"), i.cast("int").alias("i"), e.alias("e"))
+
+
+def _moves(state: Column, e: Column):
+    """One step: the new ``last`` and ``n``, and what leaves for the result.
+
+    ``last`` is the last kept non-empty entity (or NULL), ``n`` the places given
+    so far; an entity that replaces ``last`` takes its place. At most one
+    entity leaves: the old last when a non-empty one follows it, or an empty one.
+    """
+    last, place = state["last"], state["last"]["i"]
+    hit = last.isNotNull() & overlaps(e, last["e"])
+    wins = e["confidence"] > last["e"]["confidence"]
+    wide = e["end_pos"] > e["start_pos"]
+    out = (F.when(hit, F.when(wins & ~wide, _placed(e, place)))
+           .when(wide, last).otherwise(_placed(e, state["n"])))
+    new_last = (F.when(hit, F.when(~wins, last).when(wide, _placed(e, place)))
+                .when(wide, _placed(e, state["n"])).otherwise(last))
+    return new_last.alias("last"), (state["n"] + F.when(hit, 0).otherwise(1)).alias("n"), out
+
+
+def _walk(cands: Column) -> Column:
+    """Kept entities (place and entity) of an array in list order."""
+    blocks = F.sequence(F.lit(0), F.floor((F.size(cands) - 1) / BLOCK).cast("int"))
+
+    def block(c):
+        return F.slice(cands, c * BLOCK + 1, F.lit(BLOCK))
+
+    start = F.struct(F.lit(None).cast(_KEPT_TYPE).alias("last"), F.lit(0).alias("n"))
+    states = F.aggregate(
+        blocks, F.struct(start.alias("now"), empty_array(_STATE_TYPE).alias("before")),
+        lambda acc, c: F.struct(
+            F.aggregate(block(c), acc["now"], lambda s, e: F.struct(*_moves(s, e)[:2])).alias("now"),
+            F.concat(acc["before"], F.array(acc["now"])).alias("before")),
+        lambda acc: F.concat(acc["before"], F.array(acc["now"])))
+
+    def collect(acc, e):
+        last, n, out = _moves(acc, e)
+        return F.struct(last, n, F.concat(acc["out"], F.array_compact(F.array(out))).alias("out"))
+
+    def from_state(st, c):
+        s = F.get(st, c)
+        return F.aggregate(
+            block(c), F.struct(s["last"].alias("last"), s["n"].alias("n"), empty_array(_KEPT_TYPE).alias("out")),
+            collect, lambda acc: acc["out"])
 
-    appended = F.struct(
-        F.concat(kept, F.array(e)).alias("kept"),
-        F.when(non_empty, n + 1).otherwise(tgt).alias("tgt"),
-    )
-    replaced = F.struct(
-        F.transform(kept, lambda k, j: F.when(j + 1 == tgt, e).otherwise(k)).alias("kept"),
-        F.when(non_empty, tgt).otherwise(F.lit(0)).alias("tgt"),
-    )
-    return (
-        F.when((tgt == 0) | ~overlaps(e, target), appended)
-        .when(e["confidence"] > target["confidence"], replaced)
-        .otherwise(acc)
-    )
+    kept = _let(states, lambda st: F.concat(
+        F.flatten(F.transform(blocks, lambda c: from_state(st, c))),
+        F.array_compact(F.array(F.element_at(st, -1)["last"]))))
+    return F.when(F.size(cands) > 0, kept).otherwise(empty_array(_KEPT_TYPE))
 
 
 def resolve_overlaps(candidates: Column, may_have_empty: bool = True) -> Column:
@@ -54,14 +102,10 @@ def resolve_overlaps(candidates: Column, may_have_empty: bool = True) -> Column:
     the struct = stable sort by start). With ``may_have_empty=False`` (regex
     candidates are never empty) the kept list is already in start order.
     """
-    init = F.struct(empty_array(INTERNAL_TYPE).alias("kept"), F.lit(0).alias("tgt"))
-    kept = F.aggregate(F.sort_array(candidates), init, _step, lambda acc: acc["kept"])
-    if not may_have_empty:
-        return kept
-    # final stable sort by start over the kept list order
-    keyed = F.transform(kept, lambda e, i: F.struct(e["start_pos"].alias("s"), i.alias("i"),
-                                                    e.alias("e")))
-    return F.transform(F.sort_array(keyed), lambda k: k["e"])
+    kept = _let(F.sort_array(candidates), _walk)
+    if may_have_empty:
+        kept = F.sort_array(kept)  # by start, then by place in the kept list
+    return F.transform(kept, lambda k: k["e"])
 
 
 def merge_entity_lists(*arrays: Column, may_have_empty: bool = True) -> Column:
