@@ -37,7 +37,7 @@ from .common import slices
 
 SPACE = "▁"
 FAR = np.int64(1) << 40
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 MEMO_CHARS = 64
 WORDS = re.compile(" *[^ ]+| +")
 
@@ -258,12 +258,25 @@ def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
+#: Ids are turned into bytes in runs of this many.
+RUN_IDS = 1 << 18
+
+
 def decode_flat(m: PieceTables, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    size = m.raw_len[ids]
-    raw = m.raw[_spans(m.raw_at[ids], size)].tobytes()
-    ends = np.r_[0, np.cumsum(size)][np.cumsum(counts)]
+    ends = np.cumsum(counts)
+    raw, cut, total = [], np.zeros(len(ends), np.int64), 0
+    for s in range(0, len(ids), RUN_IDS):
+        part = ids[s:s + RUN_IDS]
+        size = m.raw_len[part]
+        raw.append(m.raw[_spans(m.raw_at[part], size)].tobytes())
+        own = slice(np.searchsorted(ends, s, "right"), np.searchsorted(ends, s + len(part), "right"))
+        through = np.cumsum(size)
+        cut[own] = total + through[ends[own] - s - 1]
+        total += int(through[-1])
+    raw = b"".join(raw)
+    cut = np.maximum.accumulate(cut) if len(cut) else cut  # texts without ids end where the one before does
     out, at = [], 0
-    for e in ends.tolist():
+    for e in cut.tolist():
         t = raw[at:e]
         at = e
         out.append(t[1:] if m.prefix and t[:1] == b" " else t)
@@ -276,7 +289,7 @@ def load_tables(model_path: str) -> PieceTables:
 
 
 #: Texts are encoded in runs of rows of about this many bytes.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
