@@ -20,6 +20,7 @@ patterns, independent of the JDK version).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 # --- Fixed values (must equal the reference catalogue) ----------------------
@@ -141,6 +142,41 @@ def all_pattern_types() -> list[str]:
     return list(ENTITY_TYPES)
 
 
+def _checked_group(regex: str, group: int) -> int:
+    """The span group, if what follows it in the pattern has no width.
+
+    Offsets are counted from the end of the match, so a span group must be its
+    last part; ``$``, ``\\b`` and lookaheads may follow.
+    """
+    if not group:
+        return 0
+    close, depth, seen, i = -1, [], 0, 0
+    while i < len(regex):
+        c = regex[i]
+        if c == "\\":
+            if regex[i + 1:i + 2] == "Q":
+                i = regex.find("\\E", i)
+                i = len(regex) if i < 0 else i
+            i += 2
+            continue
+        if c == "[":
+            i += 2 if regex[i + 1:i + 2] != "^" else 3  # a first ] is literal
+            while i < len(regex) and regex[i] != "]":
+                i += 2 if regex[i] == "\\" else 1
+        elif c == "(":
+            capture = regex[i + 1:i + 2] != "?" or (regex[i + 1:i + 3] == "?<" and regex[i + 3:i + 4] not in "=!")
+            seen += capture
+            depth.append(seen if capture else 0)
+        elif c == ")" and depth and depth.pop() == group:
+            close = i
+        i += 1
+    if close < 0:
+        raise ValueError(f"pattern has no group {group}: {regex}")
+    if not re.fullmatch(r"(?:\$|\\[bBzZ]|\(\?=.*\)|\(\?!.*\)|\))*", regex[close + 1:], re.S):
+        raise ValueError(f"group {group} must end the pattern (put what follows into a lookahead): {regex}")
+    return group
+
+
 def select_patterns(types=None, patterns=None) -> tuple[PiiPattern, ...]:
     """Resolve the ``types``/``patterns`` arguments of the detectors.
 
@@ -157,7 +193,7 @@ def select_patterns(types=None, patterns=None) -> tuple[PiiPattern, ...]:
                 chosen.append(p)
             else:
                 et, rx, *rest = p
-                chosen.append(PiiPattern(i, et, rx, rx, rest[0] if rest else 0))
+                chosen.append(PiiPattern(i, et, rx, rx, _checked_group(rx, rest[0] if rest else 0)))
         chosen = tuple(chosen)
     if types is not None:
         wanted = set(types)

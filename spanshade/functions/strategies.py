@@ -84,7 +84,7 @@ def _default_partial(s: Column) -> Column:
 def partial(text: Column, entity_type: Column) -> Column:
     s = ustrip(text)
     user = F.substring_index(s, "@", 1)
-    domain = F.substring(s, F.length(user) + 2, F.lit(1 << 30))
+    domain = F.substring(s, F.length(user) + 2, F.length(s))
     masked_user = F.when(F.length(user) == 0, F.lit("*")).otherwise(
         F.concat(F.substring(user, 1, 1), _stars(F.length(user) - 1)))
     email = F.when(s.contains("@"), F.concat(masked_user, F.lit("@"), domain)) \

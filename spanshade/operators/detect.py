@@ -86,7 +86,7 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
     # are then identical for every field and are built (and cached) once
     for text_col, out_col, extra in specs:
         scan = f"{_TMP}scan"
-        d = d.withColumn(scan, _memo_scan_expr(str(col_of(text_col)), col_of(text_col)))
+        d = d.withColumn(scan, _scan_expr(text_col))
         stage1 = _stage1_exprs(pats, guards)
         d = d.withColumns(stage1) if stage1 else d
         stage2 = _stage2_exprs(pats)
@@ -101,10 +101,7 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
                                  F.coalesce(extra, empty_array(INTERNAL_TYPE)))
                 kept = resolve_overlaps(cands, may_have_empty=True)
                 return public_array(kept) if public else kept
-            key = ("extra", pats, conf, public, str(extra))
-            if key not in _SCAN_CACHE:
-                _SCAN_CACHE[key] = build()
-            out = _SCAN_CACHE[key]
+            out = build()
         d = _select_replacing(d, {out_col: out}, drop=[scan, *stage1, *stage2])
     return d
 
@@ -112,14 +109,17 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
 _SCAN_CACHE: dict = {}
 
 
-def _memo_scan_expr(key: str, t: Column) -> Column:
-    """The scanned copy: U+0000 mapped to U+0001 (only when present)."""
-    if key not in _SCAN_CACHE:
+def _scan_expr(text_col) -> Column:
+    """The scanned copy: U+0000 mapped to U+0001 (only when present). Kept per
+    column name; a Column is built anew (its text does not identify it)."""
+    if not isinstance(text_col, str):
+        t = col_of(text_col)
+        return F.when(t.rlike(_MARKERS_RE), F.translate(t, _MARK, _SAFE)).otherwise(t)
+    if text_col not in _SCAN_CACHE:
         if len(_SCAN_CACHE) > 256:
             _SCAN_CACHE.clear()
-        _SCAN_CACHE[key] = F.when(t.rlike(_MARKERS_RE), F.translate(t, _MARK, _SAFE)) \
-            .otherwise(t)
-    return _SCAN_CACHE[key]
+        _SCAN_CACHE[text_col] = _scan_expr(col_of(text_col))
+    return _SCAN_CACHE[text_col]
 
 
 @functools.lru_cache(maxsize=64)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .entities import INTERNAL_TYPE, LIST_ORDINAL, RANK_STRIDE, empty_array, internal
+from .entities import LIST_ORDINAL, RANK_STRIDE, internal
 
 FINDING_TYPE = ("struct<so:int,begin_offset:int,end_offset:int,type:string,score:double,"
                 "source:string,field_name:string>")
@@ -47,20 +47,8 @@ def group_findings(findings: DataFrame, key_cols, out_col: str = "findings") ->
     return findings.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(out_col))
 
 
-_CACHE: dict = {}
-
-
 def findings_to_entities(grouped: Column, text: Column, field_name: str | None = None) -> Column:
     """Grouped findings of one record -> internal-layout entities for one field."""
-    key = (str(grouped), str(text), field_name)
-    if key not in _CACHE:
-        if len(_CACHE) > 256:
-            _CACHE.clear()
-        _CACHE[key] = _findings_to_entities(grouped, text, field_name)
-    return _CACHE[key]
-
-
-def _findings_to_entities(grouped: Column, text: Column, field_name: str | None) -> Column:
     arr = F.coalesce(grouped, F.array().cast(f"array<{FINDING_TYPE}>"))
     if field_name is not None:
         arr = F.filter(arr, lambda f: f["field_name"] == field_name)
@@ -85,10 +73,6 @@ def attach_findings(df: DataFrame, findings: DataFrame | None, key_cols,
     return df.join(grouped, on=keys, how="left")
 
 
-def no_extra() -> Column:
-    return empty_array(INTERNAL_TYPE)
-
-
 def detection_info(findings_sources=()) -> dict:
     """Which detectors a job uses (configuration echo for job rows and logs).
 

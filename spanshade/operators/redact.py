@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strategies import replacement
+from ..functions.strategies import get_strategy, replacement
 from ..functions.text import col_of
 
 RECORD_FIELDS = ("original_text", "entity_type", "start_pos", "end_pos", "replacement",
@@ -68,7 +68,7 @@ def linear_splice(binary_text: Column, asc: Column) -> Column:
         gap = F.substring(binary_text, prev + 1, e["byte_start"] - prev).cast("string")
         return F.concat(gap, e["replacement"])
     last_end = F.element_at(asc, -1)["byte_end"]
-    tail = F.substring(binary_text, last_end + 1, F.lit(1 << 30)).cast("string")
+    tail = F.substring(binary_text, last_end + 1, F.octet_length(binary_text)).cast("string")
     return F.concat(F.array_join(F.transform(asc, piece), ""), tail)
 
 
@@ -77,7 +77,7 @@ def splice(text: Column, desc_records: Column) -> Column:
     return F.aggregate(
         desc_records, text,
         lambda acc, r: F.concat(F.substring(acc, 1, r["start_pos"]), r["replacement"],
-                                F.substring(acc, r["end_pos"] + 1, F.lit(1 << 30))),
+                                F.substring(acc, r["end_pos"] + 1, F.length(acc))),
     )
 
 
@@ -118,7 +118,14 @@ def _record_fn(field_name, include_original):
 _EXPR_CACHE: dict = {}
 
 
+def _name(col):
+    """A column name, or None for a Column (its text does not identify it)."""
+    return col if isinstance(col, str) else None
+
+
 def _memo(key, build):
+    if None in key[1:3]:
+        return build()
     if key not in _EXPR_CACHE:
         if len(_EXPR_CACHE) > 512:
             _EXPR_CACHE.clear()
@@ -145,11 +152,12 @@ def with_redaction_many(df: DataFrame, specs, strategy="placeholder", *,
     record list.
     """
     stage, outputs = {}, {}
-    skey = strategy if isinstance(strategy, str) else id(strategy)
+    # the function itself, held by the cache: a name may be registered again
+    skey = get_strategy(strategy) if isinstance(strategy, str) else strategy
     for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
         has_bytes = "byte_start" in _entity_fields(df, entities_col)
         stage[f"{_TMP}desc{n}"] = _memo(
-            ("desc", str(col_of(entities_col)), skey, has_bytes),
+            ("desc", _name(entities_col), skey, has_bytes),
             lambda: _desc_with_replacement(col_of(entities_col), strategy, has_bytes))
         if has_bytes:
             stage[f"{_TMP}bin{n}"] = col_of(text_col).cast("binary")
@@ -157,10 +165,10 @@ def with_redaction_many(df: DataFrame, specs, strategy="placeholder", *,
     for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
         has_bytes = f"{_TMP}bin{n}" in stage
         target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
-        outputs[target] = _memo(("text", n, str(col_of(text_col)), has_bytes),
+        outputs[target] = _memo(("text", n, _name(text_col), has_bytes),
                                 lambda: _redacted_expr(n, col_of(text_col), has_bytes))
         outputs[out_records] = _memo(
-            ("records", n, field_name, include_original),
+            ("records", n, str(field_name), include_original),
             lambda: F.transform(F.col(f"{_TMP}desc{n}"),
                                 _record_fn(field_name, include_original)))
     from .detect import _select_replacing
@@ -182,6 +190,12 @@ def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder"
                                      field_name)], strategy, include_original=include_original)
 
 
+def utc_now() -> Column:
+    """The time of the query as UTC ISO text, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()),
+                         "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def redaction_result(df: DataFrame, text_col, entities_col, strategy="placeholder",
                      out_col: str = "result") -> DataFrame:
     """RedactionResult struct: original_text, redacted_text, entities_redacted,
@@ -196,6 +210,6 @@ def redaction_result(df: DataFrame, text_col, entities_col, strategy="placeholde
         F.col(f"{_TMP}rr").alias("entities_redacted"),
         F.size(F.col(f"{_TMP}rr")).alias("redaction_count"),
         F.lit(strategy_name).alias("strategy_used"),
-        F.current_timestamp().alias("redacted_at"),
+        utc_now().alias("redacted_at"),
     )
     return d.withColumn(out_col, res).drop(f"{_TMP}rt", f"{_TMP}rr")

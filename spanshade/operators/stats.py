@@ -10,54 +10,88 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.strategies import strategy_info
+from ..sources.sinks import source_name
+from .findings import detection_info
+
 JOB_STATUS = ("success", "partial", "failed")
 
 
+#: Fixed value: the warning about failed payloads.
+FAILED_WARNING = " payloads failed to process"
+
+
+def _detection_config(finding_sources) -> F.Column:
+    info = detection_info(finding_sources)
+    return F.struct(
+        F.lit(info["regex_available"]).alias("regex_available"),
+        F.lit(info["comprehend_available"]).alias("comprehend_available"),
+        F.lit(info["cer_endpoint"]).alias("cer_endpoint"),
+        F.array(*[F.lit(m) for m in info["detection_methods"]]).alias("detection_methods"))
+
+
+def _redaction_config(strategy) -> F.Column:
+    info = strategy_info(strategy)
+    return F.struct(
+        F.lit(info["current_strategy"]).alias("current_strategy"),
+        F.array(*[F.lit(s) for s in info["available_strategies"]]).alias("available_strategies"),
+        F.lit(info["strategy_function"]).alias("strategy_function"))
+
+
 def file_job_rows(payload_rows: DataFrame, file_col: str = "source_file",
-                  stats_col: str = "_stats", dest: str | None = None) -> DataFrame:
+                  stats_col: str = "_stats", dest: str | None = None, strategy: str = "placeholder",
+                  finding_sources=(), error_col: str = "error") -> DataFrame:
     """One job row per file from redacted payload rows (``_stats`` struct).
 
     As in the reference job result: processed = total, failed_payloads is
     forced to 0 and the status is ``success`` even when payloads failed; the
     failures only show up as a warning. ``failed_rows`` carries the true count.
+    A row with an error (if there is such a column) and no stats marks an
+    unusable file: status ``failed``, the error, and nothing counted for it.
+    ``dest``: the output folder; ``dest_file`` is the file's own folder in it.
     """
     s = F.col(stats_col)
+    error = F.col(error_col) if error_col in payload_rows.columns else F.lit(None).cast("string")
+    order = F.col("payload_ordinal") if "payload_ordinal" in payload_rows.columns else F.lit(0)
     agg = payload_rows.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("total_payloads"),
+        F.count(s).alias("total_payloads"),
         F.coalesce(F.sum(s["pii_detected"]), F.lit(0)).cast("bigint").alias("total_pii_detected"),
         F.count_if(s["status"] == "failed").alias("failed_rows"),
         F.count_if(s["pii_detected"] > 0).alias("payloads_with_pii"),
+        F.min(F.when(error.isNotNull(), F.struct(order.alias("o"), error.alias("error"))))["error"].alias("error"),
     )
+    ok = F.col("error").isNull()
+    none = F.array().cast("array<string>")
+    dest_file = F.concat(F.lit(f"{dest}/source_name="), source_name(F.col(file_col))) if dest else F.lit(None).cast("string")
     return agg.select(
         F.col(file_col).alias("source_file"),
-        F.lit(dest).cast("string").alias("dest_file"),
+        F.when(ok, dest_file).alias("dest_file"),
         "total_payloads",
         F.col("total_payloads").alias("processed_payloads"),
         F.lit(0).cast("bigint").alias("failed_payloads"),
         "total_pii_detected",
         F.col("total_pii_detected").alias("total_pii_redacted"),
         "payloads_with_pii",
-        F.lit("success").alias("status"),
-        F.array().cast("array<string>").alias("errors"),
+        F.when(ok, F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+        F.when(ok, none).otherwise(F.array("error")).alias("errors"),
         F.when(F.col("failed_rows") > 0,
-               F.array(F.concat(F.col("failed_rows").cast("string"),
-                                F.lit(" payloads failed to process"))))
-        .otherwise(F.array().cast("array<string>")).alias("warnings"),
+               F.array(F.concat(F.col("failed_rows").cast("string"), F.lit(FAILED_WARNING))))
+        .otherwise(none).alias("warnings"),
         "failed_rows",
+        _detection_config(finding_sources).alias("detection_config"),
+        _redaction_config(strategy).alias("redaction_config"),
     )
 
 
-def failed_job_rows(failures: DataFrame, file_col: str = "source_file",
-                    error_col: str = "error") -> DataFrame:
-    """Job rows for files that could not be processed at all (zeros + error)."""
-    zero = F.lit(0).cast("bigint")
-    return failures.select(
-        F.col(file_col).alias("source_file"), F.lit(None).cast("string").alias("dest_file"),
-        zero.alias("total_payloads"), zero.alias("processed_payloads"),
-        zero.alias("failed_payloads"), zero.alias("total_pii_detected"),
-        zero.alias("total_pii_redacted"), zero.alias("payloads_with_pii"),
-        F.lit("failed").alias("status"), F.array(F.col(error_col)).alias("errors"),
-        F.array().cast("array<string>").alias("warnings"), zero.alias("failed_rows"))
+def with_times(job_rows: DataFrame, began: float, ended: float) -> DataFrame:
+    """Add the job's start and end (epoch seconds in, UTC ISO text out) and its
+    duration; files of one job run together, so they share them."""
+    from datetime import datetime, timezone
+
+    iso = lambda t: datetime.fromtimestamp(t, timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
+    return job_rows.withColumns({
+        "processing_start": F.lit(iso(began)), "processing_end": F.lit(iso(ended)),
+        "processing_seconds": F.lit(float(ended - began))})
 
 
 def job_summary(job_rows: DataFrame) -> DataFrame:
@@ -74,7 +108,8 @@ def job_summary(job_rows: DataFrame) -> DataFrame:
 
 def batch_summary(job_rows: DataFrame) -> DataFrame:
     ok = F.col("status") == "success"
-    return job_rows.agg(
+    seconds = [F.max("processing_seconds").alias("processing_time")] if "processing_seconds" in job_rows.columns else []
+    return job_rows.agg(*seconds,
         F.count(F.lit(1)).alias("files_total"),
         F.count_if(ok).alias("files_success"),
         F.count_if(~ok).alias("files_failed"),

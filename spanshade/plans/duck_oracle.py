@@ -149,11 +149,12 @@ def with_views(body: str, *ctes: str) -> str:
 
 
 def _finding(needle: str, shift: int, length: int, etype: str, score: float, source: str) -> str:
-    pos = f"instr(text, {q(needle)})"
-    return (f"SELECT src, key, 'text' AS field_name, CAST({pos} - 1 + {shift} AS INTEGER) AS "
-            f"begin_offset, CAST({pos} - 1 + {shift} + {length} AS INTEGER) AS end_offset, "
+    begin = (f"sum(length(gap)) OVER (PARTITION BY src, key ORDER BY i) + i * {len(needle)} + {shift}")
+    return (f"SELECT src, key, 'text' AS field_name, CAST({begin} AS INTEGER) AS begin_offset, "
+            f"CAST({begin} + {length} AS INTEGER) AS end_offset, "
             f"{q(etype)} AS type, CAST({score!r} AS DOUBLE) AS score, {q(source)} AS source "
-            f"FROM corpus WHERE {pos} > 0")
+            f"FROM (SELECT src, key, unnest(g[1:len(g) - 1]) AS gap, unnest(range(len(g) - 1)) AS i "
+            f"FROM (SELECT src, key, string_split(text, {q(needle)}) AS g FROM corpus))")
 
 
 FINDINGS_SQL = "\nUNION ALL\n".join(_finding(*r) for r in FINDING_RULES)

@@ -2,44 +2,62 @@
 
 read (one row per file) -> classify -> explode payloads -> detect + redact
 every PII field -> one parquet copy in the shared checkpoint folder (the
-scan and the detection run once, and the copy survives lost executors) -> write JSON Lines per input file -> one job row per file
-(``groupBy`` over the checkpointed rows) plus one failed row per unusable
-file.
+scan and the detection run once, and the copy survives lost executors; it is
+deleted when the job rows stand) -> write JSON Lines per input file -> one job
+row per file, unusable ones included (``groupBy`` over the written rows).
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.stats import failed_job_rows, file_job_rows
-from ..session import ensure_checkpoint_dir, materialize
+from ..operators.stats import file_job_rows, with_times
+from ..session import ensure_checkpoint_dir, materialize, release
 from ..sources.json_files import payload_columns, read_payload_files, redacted_payload_json
 from ..sources.sinks import write_redacted_jsonl
 from .payload_job import PII_FIELDS, redact_payloads
 
 
 def redact_files(payloads: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeholder",
-                 findings: DataFrame | None = None, include_original: bool = True) -> DataFrame:
+                 findings: DataFrame | None = None, include_original: bool = True, keep=()) -> DataFrame:
     """Payload rows (source_file, payload_ordinal, payload) -> redacted rows
-    (source_file, payload_ordinal, redacted_json, _stats)."""
+    (source_file, payload_ordinal, redacted_json, _stats, and ``keep``)."""
     cols = payload_columns(payloads, fields)
     red = redact_payloads(cols, fields=fields, strategy=strategy, findings=findings,
                           key_cols=["source_file", "payload_ordinal"], id_col="verbatim_id",
                           include_original=include_original)
     return red.select("source_file", "payload_ordinal",
-                      redacted_payload_json("payload", fields).alias("redacted_json"), "_stats")
+                      redacted_payload_json("payload", fields).alias("redacted_json"), "_stats", *keep)
+
+
+def redact_file_rows(rows: DataFrame, **kw) -> DataFrame:
+    """``read_payload_files`` rows -> redacted rows; rows of unusable files pass
+    with their error and without JSON."""
+    out = redact_files(rows.withColumn("__error", F.col("error")), keep=("__error",), **kw)
+    bad = F.col("__error").isNotNull()
+    return out.select("source_file", "payload_ordinal", F.when(~bad, F.col("redacted_json")).alias("redacted_json"),
+                      F.when(~bad, F.col("_stats")).alias("_stats"), F.col("__error").alias("error"))
 
 
 def run_file_job(spark: SparkSession, input_paths, output_dir: str | None = None, *,
                  fields=PII_FIELDS, strategy: str = "placeholder",
-                 findings: DataFrame | None = None, mode: str = "errorifexists") -> DataFrame:
-    """Process payload files; returns the job rows (one per input file)."""
+                 findings: DataFrame | None = None, finding_sources=(), mode: str = "errorifexists",
+                 fmt: str = "json", manifest: DataFrame | None = None) -> DataFrame:
+    """Process payload files; returns the job rows (one per input file).
+
+    A JSON Lines file with bad lines fails with the first one's error, in
+    ordinal order, and its good lines are still redacted and counted.
+    """
     ensure_checkpoint_dir(spark)
-    payloads, failures = read_payload_files(spark, input_paths)
-    red = redact_files(payloads, fields=fields, strategy=strategy, findings=findings)
-    red = materialize(red, "redacted-payloads")
+    began = time.time()
+    rows = read_payload_files(spark, input_paths, fmt, manifest)
+    red = materialize(redact_file_rows(rows, fields=fields, strategy=strategy, findings=findings), "redacted-payloads")
     if output_dir:
-        write_redacted_jsonl(red, output_dir, mode=mode)
-    jobs = file_job_rows(red, dest=output_dir)
-    return jobs.unionByName(failed_job_rows(failures))
+        write_redacted_jsonl(red.where("redacted_json IS NOT NULL"), output_dir, mode=mode)
+    jobs = file_job_rows(red, dest=output_dir, strategy=strategy, finding_sources=finding_sources)
+    jobs = materialize(with_times(jobs, began, time.time()), "file-jobs")
+    release(red)  # it holds the payloads; the job rows are all that is still read
+    return jobs

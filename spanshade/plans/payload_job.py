@@ -28,7 +28,7 @@ from ..functions.text import is_blank
 from ..operators.detect import with_entities_many
 from ..operators.entities import PUBLIC_TYPE, empty_array
 from ..operators.findings import attach_findings, findings_to_entities
-from ..operators.redact import FIELD_RECORD_TYPE, usable, with_redaction_many
+from ..operators.redact import FIELD_RECORD_TYPE, usable, utc_now, with_redaction_many
 
 # Fixed value: the PII text fields of a payload, in processing order.
 PII_FIELDS = ("sentence", "description", "notes", "comments", "transcript")
@@ -85,7 +85,7 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
     records = F.concat(*rec_cols) if rec_cols else empty_array(FIELD_RECORD_TYPE)
     n = F.size(records)
     metadata = F.when(n > 0, F.struct(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("redacted_at"),
+        utc_now().alias("redacted_at"),
         n.alias("redaction_count"),
         F.lit(strategy).alias("strategy_used"), records.alias("redactions")))
     pii = sum((F.size(F.col(ent_cols[f])) for f in present), F.lit(0))

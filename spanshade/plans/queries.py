@@ -330,8 +330,7 @@ def redact_stream(spark, sf_dir):
     from .payload_files import scratch_dir, write_payload_files
     base = scratch_dir(spark, "stream")
     write_payload_files(spark, sf_dir, f"{base}/in")
-    jobs = rs(spark, f"{base}/in/file_id=*", f"{base}/out", f"{base}/checkpoint",
-              max_files_per_trigger=5)
+    jobs = rs(spark, f"{base}/in/file_id=*", f"{base}/out", f"{base}/checkpoint")
     return _file_job_rows(jobs)
 
 

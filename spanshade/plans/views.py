@@ -15,20 +15,32 @@ very same text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import spread_for_cpu
-
-# Seeded PII sentence per conversation turn (same text in Spark and DuckDB).
+from ..session import dealt
+
+# Seeded sentence per conversation turn (same text in Spark and DuckDB). Ids
+# enter by remainders of fixed width, so the mix of PII does not change with
+# the size of the tables. One template in four has PII of every type; the
+# others are near misses (digit runs of other lengths, "I am" without a name,
+# combining marks) and single hits.
+_C3 = "lpad(cast(conv_id % 1000 as string),3,'0')"
+_T4 = "lpad(cast(turn % 10000 as string),4,'0')"
+_ZIP = "cast(10000 + conv_id % 80000 as string)"
+_PLUS4 = "cast(1000 + turn % 9000 as string)"
 SEEDED_NOTES_SQL = (
-    "concat('my name is John Smith. SSN ', lpad(cast(conv_id as string),3,'0'), '-12-', "
-    "lpad(cast(turn as string),4,'0'), ' zip ', cast(10000+conv_id as string), '-', "
-    "cast(1000+turn as string), '; ', cast(20000+conv_id as string), '. phone 555 ', "
-    "lpad(cast(conv_id as string),3,'1'), ' ', lpad(cast(turn as string),4,'2'), "
-    "'. or 555.123.', lpad(cast(turn as string),4,'3'), ' at ', cast(conv_id as string), "
-    "' Main Street; My first and last name Mary Jones; mail u', cast(conv_id as string), "
-    "'@ex.com')"
+    "CASE (conv_id + turn) % 4 "
+    f"WHEN 0 THEN concat('my name is John Smith. SSN ', {_C3}, '-12-', {_T4}, ' zip ', {_ZIP}, '-', {_PLUS4}, "
+    f"'; ', cast(20000 + conv_id % 70000 as string), '. phone 555 ', {_C3}, ' ', {_T4}, '. or 555.123.', {_T4}, "
+    f"' at ', cast(conv_id % 1000 as string), ' Main Street; My first and last name Mary Jones; mail u', "
+    f"cast(conv_id % 1000 as string), '@ex.com') "
+    f"WHEN 1 THEN concat('I am going home; order 1', {_C3}, {_T4}, '9 and 12', {_C3}, {_T4}, '55 for unit 7', {_T4}, "
+    f"'. my name is not here, i am Sam') "
+    f"WHEN 2 THEN concat('I am Zoé and I am Ann Lee; ssn ', {_C3}, '-', lpad(cast(turn % 100 as string),2,'0'), "
+    f"'-', {_T4}, ' or ', {_C3}, ' 12 ', {_T4}, '; zip x', {_ZIP}, ' and ', {_ZIP}, '-12') "
+    f"ELSE concat('first and last name: Bob Stone, tel. (', {_C3}, ') ', {_C3}, '-', {_T4}, ', ', {_C3}, {_C3}, {_T4}, "
+    f"' a@b or u.', {_C3}, '+x@mail.example.org at ', cast(1 + turn % 900 as string), ' Old Mill Road') END"
 )
 PAYLOAD_KEY_SQL = "conv_id * 1000000 + turn"
 CONV_SOURCE_SQL = "concat('conversations/', role)"
@@ -60,11 +72,11 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("conversations").alias("src"), F.expr(PAYLOAD_KEY_SQL).alias("key"),
         F.expr(CONV_SOURCE_SQL).alias("source_file"),
         F.concat("text", F.lit(". "), F.expr(SEEDED_NOTES_SQL)).alias("text"))
-    return spread_for_cpu(docs.unionByName(conv), ["src", "key"])
+    return dealt(docs.unionByName(conv), ["src", "key"])
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_for_cpu(_payloads(spark, sf_dir), "verbatim_id")
+    return dealt(_payloads(spark, sf_dir), "verbatim_id")
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +88,9 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # External findings derived from the corpus text (stand-in for model output):
-# (needle, shift, length, type, score, source); span = first occurrence of the
-# needle, moved right by ``shift``, ``length`` characters long.
+# (needle, shift, length, type, score, source); one span for every occurrence
+# of the needle, moved right by ``shift``, ``length`` characters long. No
+# needle can overlap itself, so occurrences are the gaps of a split.
 FINDING_RULES = (
     ("John Smith", 0, 10, "PERSON", 0.95, "COMPREHEND"),
     ("Main Street", 0, 11, "ADDRESS", 0.9, "COMPREHEND"),
@@ -88,16 +101,25 @@ FINDING_RULES = (
 
 def findings(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:
     """Findings table (src, key, field_name, begin_offset, end_offset, type, score,
-    source); one pass over the corpus."""
+    source); one pass over the corpus, then a running sum per record over the
+    lengths between occurrences."""
     c = corpus_df if corpus_df is not None else corpus(spark, sf_dir)
-    items = []
-    for needle, shift, length, etype, score, source in FINDING_RULES:
-        pos = F.instr(F.col("text"), needle)
-        begin = (pos - 1 + shift).cast("int")
-        items.append(F.when(pos > 0, F.struct(
-            begin.alias("begin_offset"), (begin + length).cast("int").alias("end_offset"),
-            F.lit(etype).alias("type"), F.lit(score).cast("double").alias("score"),
-            F.lit(source).alias("source"))))
-    arr = F.filter(F.array(*items), lambda x: x.isNotNull())
-    return (c.select("src", "key", F.explode(arr).alias("f"))
-            .select("src", "key", F.lit("text").alias("field_name"), "f.*"))
+    rules = F.array(*[F.struct(
+        F.lit(no).alias("rule"), F.transform(F.split("text", _literal(needle), -1), F.length).alias("gaps"))
+        for no, (needle, *_) in enumerate(FINDING_RULES)])
+    gaps = (c.select("src", "key", F.inline(rules)).where(F.size("gaps") > 1)
+            .select("src", "key", "rule", F.posexplode(F.slice("gaps", 1, F.size("gaps") - 1)).alias("i", "gap")))
+    values = F.array(*[F.struct(
+        F.lit(len(needle)).alias("width"), F.lit(shift).alias("shift"), F.lit(length).alias("length"),
+        F.lit(etype).alias("type"), F.lit(float(score)).alias("score"), F.lit(source).alias("source"))
+        for needle, shift, length, etype, score, source in FINDING_RULES])
+    w = Window.partitionBy("src", "key", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = gaps.withColumn("v", F.get(values, F.col("rule")))
+    begin = F.sum("gap").over(w) + F.col("i") * F.col("v.width") + F.col("v.shift")
+    return found.select(
+        "src", "key", F.lit("text").alias("field_name"), begin.cast("int").alias("begin_offset"),
+        (begin + F.col("v.length")).cast("int").alias("end_offset"), "v.type", "v.score", "v.source")
+
+
+def _literal(needle: str) -> str:
+    return "\\Q" + needle + "\\E"

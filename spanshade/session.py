@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,12 +36,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared folder set by the operator; it is only
-    filled in here (with a fresh local scratch folder) when it is unset, which
-    is the local/test case.
+    On a cluster this must name a folder that all executors share; without it
+    this raises. Only a ``local`` master, where driver and executors are one
+    process, gets a fresh scratch folder instead (tests, the bench).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="spanshade-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -50,23 +54,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def spread_for_cpu(df, key_cols, per_core: int = 3):
-    """Hash-repartition ``df`` on its keys when it has fewer partitions than
-    ``per_core`` x the cluster's cores.
+#: Session option: the number of partitions that the input views are dealt to.
+INPUT_PARTITIONS = "spanshade.input.partitions"
 
-    Text detection is CPU-bound per row; a small input stored as one parquet
-    row group would otherwise run in a single task. Large inputs already have
-    many more partitions than cores and are left untouched (no shuffle).
+
+def dealt(df, key_cols):
+    """``df``, hash-partitioned on its keys if the session sets ``INPUT_PARTITIONS``.
+
+    Text detection is CPU-bound per row, and a small table stored as one
+    parquet row group is a single task. Whoever runs on such inputs (the
+    bench does) asks for this shuffle; by default there is none, at any size.
     Hash (not round-robin) partitioning keeps task retries deterministic.
     """
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism * per_core
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # Connect session: leave the partitioning to Spark
-        return df
-    return df.repartition(target, *keys)
+    return df.repartition(int(n), *keys) if n else df
 
 
 def materialize(df, name: str = "table"):
@@ -77,11 +79,37 @@ def materialize(df, name: str = "table"):
     folder, so lost executors do not force a recomputation) but computes the
     plan once; an eager ``checkpoint()`` of an unpersisted plan computes it
     twice (once for the action, once for the checkpoint write).
-    """
-    import uuid
 
+    The caller owns the table: jobs that end with an action drop theirs with
+    ``release``; what a lazily returned result still reads stays until
+    ``release_all`` (the tables can hold the original text).
+    """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/spanshade-tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _OWNED[id(out)] = (out, path)
+    return out
+
+
+_OWNED: dict = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(table) -> None:
+    """Delete a table made by ``materialize``."""
+    held = _OWNED.pop(id(table), None)
+    if held:
+        _delete(table.sparkSession, held[1])
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete all tables that this process materialized and still holds."""
+    for out, path in list(_OWNED.values()):
+        _delete(spark, path)
+    _OWNED.clear()

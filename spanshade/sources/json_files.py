@@ -4,22 +4,28 @@ The reader keeps one row per file until it has classified the file, which is
 what the file-level rules need (an empty array or one bad element fails the
 whole file):
 
-* text of the whole file -> ``try_parse_json`` -> VARIANT;
+* the whole text is parsed once, as the first element of an array whose
+  second element is a number derived from the text. Exactly these two must
+  come out, so anything after the first value (a second object, JSON Lines)
+  makes the file invalid instead of being dropped; white space around the
+  value, a final line end included, does not matter;
 * malformed JSON -> failed ``Invalid JSON format``; a top-level scalar ->
   ``Unexpected JSON format``; ``[]`` -> ``No payloads found in file``; an
   element that is not an object -> the whole file fails with the error the
-  reference job reports for it; zero-byte files (which every Spark scan
-  skips) are found from the file listing and reported as invalid JSON;
-  JSON Lines content (a complete value on the first line and more after it;
-  the VARIANT parser would silently keep only the first value) is invalid;
-* good files are ``posexplode``d into one row per payload with its ordinal.
-
-Unknown keys stay in the VARIANT payload; PII fields are read as text only
-when their JSON value is a string (numbers, nulls, objects are not scanned).
-Whole-file reads cannot be split, so parallelism comes from the number of
-files (one task per file). A 15,000-payload file of 20 MB parses as one
-VARIANT without trouble; a file beyond the VARIANT size limit (or any single
-huge file) should be converted to JSON Lines or parquet once.
+  reference job reports for it;
+* a value beyond the VARIANT size limit is read by Spark's streaming JSON
+  reader as an array of texts, and its elements become VARIANTs one by one;
+* zero-byte files, which every Spark scan skips, are found from the listing
+  and reported as invalid JSON.
+
+Good files become one row per payload with its ordinal, unusable ones one row
+with the error, in one table, so a file is parsed once. Unknown keys stay in
+the VARIANT payload; PII fields are read as text only when their JSON value
+is a string (numbers, nulls, objects are not scanned). Whole-file reads
+cannot be split, so parallelism comes from the number of files.
+
+JSON Lines files have a reader of their own: one payload a line, splittable,
+and a line that is no JSON object is set apart on its own.
 """
 
 from __future__ import annotations
@@ -27,6 +33,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The messages of unusable files.
+INVALID = "Invalid JSON format"
+UNEXPECTED = "Unexpected JSON format"
+NO_PAYLOADS = "No payloads found in file"
+
+FORMATS = ("json", "jsonl")
+
 
 def _py_type_name(ty: str) -> str:
     """Python type name of a JSON value from its VARIANT schema string."""
@@ -41,6 +54,11 @@ def normalise_path(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:/+", "file:/")
 
 
+def not_object(ty: str) -> Column:
+    """The error for a payload of another JSON type (its VARIANT schema string)."""
+    return F.concat(F.lit("'"), F.expr(_py_type_name(ty)), F.lit("' object has no attribute 'get'"))
+
+
 def classify_files(raw: DataFrame, path_col: str | None = None) -> DataFrame:
     """Per file: source_file, arr (array<variant> of payloads) and error.
 
@@ -50,50 +68,100 @@ def classify_files(raw: DataFrame, path_col: str | None = None) -> DataFrame:
     path = F.col(path_col) if path_col else F.col("_metadata.file_path")
     files = raw.select(normalise_path(path).alias("source_file"),
                        F.col("value").alias("content"))
-    files = files.withColumns({
-        "v": F.expr("try_parse_json(content)"),
-        "first_line": F.substring_index(F.ltrim(F.col("content")), "\n", 1),
-    })
-    files = files.withColumns({
-        "ty": F.schema_of_variant("v"),
-        "jsonl": F.expr("try_parse_json(first_line)").isNotNull()
-        & (F.length(F.trim(F.col("content"))) > F.length(F.trim(F.col("first_line")))),
-    })
+    # [<content>,<check>]: the check number cannot stand in the content it is made from
+    files = files.withColumn("check", F.xxhash64("content"))
+    files = files.withColumn("wrapped", F.concat(F.lit("["), "content", F.lit(","), F.col("check").cast("string"), F.lit("]")))
+    files = files.withColumn("pair", F.expr("try_cast(try_parse_json(wrapped) AS array<variant>)"))
+    files = files.withColumn("v", F.when(
+        (F.size("pair") == 2) & (F.expr("try_variant_get(pair[1], '$', 'bigint')") == F.col("check")), F.expr("pair[0]")))
+    files = files.withColumn("ty", F.schema_of_variant("v"))
+    # beyond the VARIANT limit: the same check on texts, element by element
+    files = files.withColumn("texts", F.when(
+        F.col("pair").isNull() & (F.octet_length("content") > LARGE), F.from_json("wrapped", "array<string>")))
+    files = files.withColumn("large", F.when(
+        (F.size("texts") == 2) & (F.expr("texts[1]") == F.col("check").cast("string")) & F.expr("texts[0] LIKE '[%'"),
+        F.from_json(F.expr("texts[0]"), "array<string>")))
     files = files.withColumn("arr", F.expr(
         "CASE WHEN ty LIKE 'ARRAY%' THEN cast(v AS array<variant>) "
-        "WHEN ty LIKE 'OBJECT%' THEN array(v) END"))
+        "WHEN ty LIKE 'OBJECT%' THEN array(v) "
+        "WHEN large IS NOT NULL THEN transform(large, x -> try_parse_json(x)) END"))
     files = files.withColumn("fb_ty", F.schema_of_variant(F.try_element_at(
-        F.filter("arr", lambda e: ~F.schema_of_variant(e).startswith("OBJECT")), F.lit(1))))
+        F.filter("arr", lambda e: ~F.coalesce(F.schema_of_variant(e).startswith("OBJECT"), F.lit(False))), F.lit(1))))
     error = (
-        F.when(F.col("v").isNull() | F.col("jsonl"), F.lit("Invalid JSON format"))
-        .when(F.col("arr").isNull(), F.lit("Unexpected JSON format"))
-        .when(F.size("arr") == 0, F.lit("No payloads found in file"))
-        .when(F.col("fb_ty").isNotNull(),
-              F.concat(F.lit("'"), F.expr(_py_type_name("fb_ty")),
-                       F.lit("' object has no attribute 'get'")))
+        F.when(F.col("v").isNull() & F.col("large").isNull(), F.lit(INVALID))
+        .when(F.col("arr").isNull(), F.lit(UNEXPECTED))
+        .when(F.size("arr") == 0, F.lit(NO_PAYLOADS))
+        .when(F.col("fb_ty").isNotNull(), not_object("fb_ty"))
+        .when(F.exists("arr", lambda e: e.isNull()), F.lit(INVALID))
     )
     return files.select("source_file", "arr", error.alias("error"))
 
 
-def read_payload_files(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
-    """(payloads, failures).
+#: Texts above this many bytes get a second chance if they are no VARIANT.
+LARGE = 8 << 20
+
+
+def payload_rows(files: DataFrame) -> DataFrame:
+    """``classify_files`` -> source_file, payload_ordinal, payload, error: a row
+    per payload of a good file, one row with only the error for another."""
+    good = F.when(F.col("error").isNull(), F.col("arr"))
+    return files.select("source_file", "error", F.posexplode_outer(good).alias("payload_ordinal", "payload")) \
+        .select("source_file", "payload_ordinal", "payload", "error")
+
 
-    payloads: source_file, payload_ordinal, payload (VARIANT object).
-    failures: source_file, error  (one row per unusable file).
+def empty_files(raw: DataFrame, seen: DataFrame) -> DataFrame:
+    """Error rows for the files of ``raw`` that no scan has seen (the listing
+    passes through the driver; ``manifest`` avoids that)."""
+    listed = raw.sparkSession.createDataFrame([(p,) for p in raw.inputFiles()], "f string")
+    return listed.select(normalise_path(F.col("f")).alias("source_file")).join(
+        seen.select("source_file").distinct(), "source_file", "left_anti").select(
+        "source_file", F.lit(INVALID).alias("error"))
+
+
+def read_payload_files(spark: SparkSession, paths, fmt: str = "json", manifest: DataFrame | None = None) -> DataFrame:
+    """source_file, payload_ordinal, payload (VARIANT object), error.
+
+    ``fmt``: ``json`` (one array or object per file) or ``jsonl`` (one object
+    per line; a bad line is a row of its own with an error and an ordinal).
+    ``manifest``: optional table of the expected files (``source_file``), used
+    instead of the driver's listing to find files that hold nothing; give one
+    where there are millions of files.
     """
+    if fmt not in FORMATS:
+        raise ValueError(f"Unknown format '{fmt}'. Available: {list(FORMATS)}")
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if fmt == "jsonl":
+        return read_payload_lines(spark, paths)
     raw = spark.read.text(paths, wholetext=True)
-    files = classify_files(raw)
-    failures = files.where(F.col("error").isNotNull()).select("source_file", "error")
-    payloads = files.where(F.col("error").isNull()).select(
-        "source_file", F.posexplode("arr").alias("payload_ordinal", "payload"))
-
-    # zero-byte files never reach a scan; the file listing still has them
-    listed = spark.createDataFrame([(p,) for p in raw.inputFiles()], "source_file string") \
-        .select(normalise_path(F.col("source_file")).alias("source_file"))
-    empty = listed.join(files.select("source_file"), on="source_file", how="left_anti") \
-        .select("source_file", F.lit("Invalid JSON format").alias("error"))
-    return payloads, failures.unionByName(empty)
+    rows = payload_rows(classify_files(raw))
+    seen = raw.select(normalise_path(F.col("_metadata.file_path")).alias("source_file"))
+    if manifest is None:
+        empty = empty_files(raw, seen)
+    else:
+        listed = manifest.select(normalise_path(F.col("source_file")).alias("source_file"))
+        empty = listed.join(seen, "source_file", "left_anti").select("source_file", F.lit(INVALID).alias("error"))
+    return rows.unionByName(empty, allowMissingColumns=True)
+
+
+def read_payload_lines(spark: SparkSession, paths) -> DataFrame:
+    """JSON Lines: like ``read_payload_files``; blank lines are skipped.
+
+    ``payload_ordinal`` is the byte offset of the line's block and the line's
+    number in it, in file order, so files stay splittable.
+    """
+    lines = spark.read.text(paths).where(F.length(F.regexp_replace("value", r"[ \t\r\n]+", "")) > 0)
+    lines = lines.select(
+        normalise_path(F.col("_metadata.file_path")).alias("source_file"),
+        (F.col("_metadata.file_block_start") * F.lit(1 << 24) + F.monotonically_increasing_id() % F.lit(1 << 33)).alias("payload_ordinal"),
+        F.xxhash64("value").alias("check"), "value")
+    lines = lines.withColumn("pair", F.expr(
+        "try_cast(try_parse_json(concat('[', value, ',', cast(check AS string), ']')) AS array<variant>)"))
+    lines = lines.withColumn("v", F.when(
+        (F.size("pair") == 2) & (F.expr("try_variant_get(pair[1], '$', 'bigint')") == F.col("check")), F.expr("pair[0]")))
+    lines = lines.withColumn("ty", F.schema_of_variant("v"))
+    error = F.when(F.col("v").isNull(), F.lit(INVALID)).when(~F.col("ty").startswith("OBJECT"), not_object("ty"))
+    return lines.withColumn("error", error).select(
+        "source_file", "payload_ordinal", F.when(F.col("error").isNull(), F.col("v")).alias("payload"), "error")
 
 
 def field_text_expr(payload_col: str, field: str) -> Column:

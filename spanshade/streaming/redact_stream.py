@@ -4,7 +4,7 @@ New payload files arriving in a folder are picked up by the file source
 (whole-file text), each micro-batch runs the same classification, detection
 and redaction as the batch job inside ``foreachBatch`` and writes
 
-* ``<out>/redacted/batch_id=<n>/source_name=<file>/part-*`` (JSON Lines) and
+* ``<out>/redacted/batch_id=<n>/source_name=<file>-<hash>/part-*`` (JSON Lines) and
 * ``<out>/jobs/batch_id=<n>/`` (job rows, parquet),
 
 each with ``overwrite`` of its own batch folder, so a micro-batch that is
@@ -15,17 +15,44 @@ hash labels are not offered on streams (they need a global order).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.stats import failed_job_rows, file_job_rows
-from ..plans.file_job import redact_files
-from ..session import materialize
+from ..operators.stats import file_job_rows, with_times
+from ..plans.file_job import redact_file_rows
+from ..session import materialize, release
 from ..plans.payload_job import PII_FIELDS
-from ..sources.json_files import classify_files
+from ..sources.json_files import INVALID, classify_files, normalise_path, payload_rows
 from ..sources.sinks import write_redacted_jsonl
 
 
+def _new_empty_files(spark: SparkSession, in_dir: str, out_dir: str, batch_id: int) -> DataFrame:
+    """Error rows for zero-byte files that no earlier batch has reported (a
+    stream's scan skips them, like every scan). A replayed batch finds the
+    same files and rewrites its own folder."""
+    from pyspark.errors import AnalysisException
+
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(in_dir)
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    empty, folders = [], [s.getPath() for s in fs.globStatus(pattern) or []]
+    for folder in folders:
+        found = fs.listFiles(folder, True)
+        while found.hasNext():
+            f = found.next()
+            if f.getLen() == 0 and f.getPath().getName()[0] not in "._":
+                empty.append((f.getPath().toString(),))
+    listed = spark.createDataFrame(empty, "f string").select(
+        normalise_path(F.col("f")).alias("source_file"), F.lit(INVALID).alias("error"))
+    try:
+        told = spark.read.parquet(f"{out_dir}/jobs").where(F.col("batch_id") < batch_id)
+    except AnalysisException:  # no batch before this one
+        return listed
+    return listed.join(told.select("source_file"), "source_file", "left_anti")
+
+
 def start_redact_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, *,
                         fields=PII_FIELDS, strategy: str = "placeholder",
                         max_files_per_trigger: int | None = None, available_now: bool = True):
@@ -35,15 +62,16 @@ def start_redact_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoi
     stream = reader.load(in_dir).select("value", F.col("_metadata.file_path").alias("__path"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        files = classify_files(batch, path_col="__path")
-        payloads = files.where(F.col("error").isNull()).select(
-            "source_file", F.posexplode("arr").alias("payload_ordinal", "payload"))
-        red = materialize(redact_files(payloads, fields=fields, strategy=strategy),
+        began = time.time()
+        rows = payload_rows(classify_files(batch, path_col="__path"))
+        rows = rows.unionByName(_new_empty_files(spark, in_dir, out_dir, batch_id), allowMissingColumns=True)
+        red = materialize(redact_file_rows(rows, fields=fields, strategy=strategy),
                           f"stream-batch-{batch_id}")
-        write_redacted_jsonl(red, f"{out_dir}/redacted/batch_id={batch_id}", mode="overwrite")
-        failed = files.where(F.col("error").isNotNull()).select("source_file", "error")
-        jobs = file_job_rows(red).unionByName(failed_job_rows(failed))
+        out = f"{out_dir}/redacted/batch_id={batch_id}"
+        write_redacted_jsonl(red.where("redacted_json IS NOT NULL"), out, mode="overwrite")
+        jobs = with_times(file_job_rows(red, dest=out, strategy=strategy), began, time.time())
         jobs.write.mode("overwrite").parquet(f"{out_dir}/jobs/batch_id={batch_id}")
+        release(red)
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -5,6 +5,8 @@ import json
 import os
 
 from spanshade.plans.file_job import run_file_job
+from spanshade.sources.json_files import read_payload_files
+from spanshade.sources.sinks import current_version, rewrite_staged
 
 CASES = {
     "a.json": json.dumps([{"verbatim_id": 1, "sentence": "call 555-123-4567"},
@@ -16,6 +18,13 @@ CASES = {
     "f.json": "7",
     "g.json": json.dumps([{"verbatim_id": 4, "sentence": "ok"}, 5]),
     "h.json": json.dumps([{"verbatim_id": 8, "sentence": 99}]),
+    "j.json": '{"verbatim_id": 11, "sentence": "a@b.com"}\n',
+    "k.json": ' \t[{"verbatim_id": 12, "sentence": "x"}] \r\n\r\n',
+    "l.json": '{"verbatim_id": 13} {"verbatim_id": 14, "sentence": "555-123-4567"}',
+    "m.json": '[{"verbatim_id": 15}]\n[{"verbatim_id": 16}]',
+    "n.json": '[{"verbatim_id": 17}] garbage',
+    "o.json": '{"verbatim_id": 18}, {"verbatim_id": 19}',
+    "p.json": '{"verbatim_id": 20}]',
     "i.json": '{"verbatim_id": 9, "sentence": "x"}\n{"verbatim_id": 10}\n',
 }
 
@@ -38,6 +47,15 @@ def test_file_job(spark, tmp_path):
     assert by["g.json"].errors == ["'int' object has no attribute 'get'"]
     assert (by["h.json"].status, by["h.json"].total_pii_detected) == ("success", 0)
     assert by["i.json"].status == "failed"
+    assert [by[f"{k}.json"].status for k in "jk"] == ["success"] * 2
+    for k in "lmnop":
+        assert (by[f"{k}.json"].status, by[f"{k}.json"].errors) == ("failed", ["Invalid JSON format"])
+    a = by["a.json"]
+    assert a.dest_file.startswith(f"{tmp_path}/out/source_name=a.json-") and os.path.isdir(a.dest_file)
+    assert by["d.json"].dest_file is None
+    assert a.detection_config.detection_methods == ["regex"]
+    assert a.redaction_config.current_strategy == "placeholder"
+    assert a.processing_seconds > 0 and a.processing_start < a.processing_end
     out = spark.read.text(str(tmp_path / "out")).collect()
     payloads = [json.loads(r.value) for r in out]
     red = {p["verbatim_id"]: p for p in payloads}
@@ -45,3 +63,48 @@ def test_file_job(spark, tmp_path):
     assert red[1]["_redaction_metadata"]["redaction_count"] == 1
     assert "_redaction_metadata" not in red[2]
     assert red[8]["sentence"] == 99
+    assert 14 not in red and 16 not in red
+
+
+def test_equal_base_names_stay_apart(spark, tmp_path):
+    for d in ("d1", "d2"):
+        (tmp_path / "in" / d).mkdir(parents=True)
+        (tmp_path / "in" / d / "calls.json").write_text(json.dumps([{"verbatim_id": f"{d}-{i}"} for i in range(50)]))
+    jobs = run_file_job(spark, str(tmp_path / "in" / "*" / "*.json"), str(tmp_path / "out")).collect()
+    assert len({r.dest_file for r in jobs}) == 2
+    for r in jobs:
+        parts = sorted(p for p in os.listdir(r.dest_file) if p.startswith("part-"))
+        ids = [json.loads(x)["verbatim_id"] for p in parts for x in open(f"{r.dest_file}/{p}")]
+        d = os.path.basename(os.path.dirname(r.source_file))
+        assert ids == [f"{d}-{i}" for i in range(50)]
+
+
+def test_value_beyond_the_variant_limit(spark, tmp_path):
+    one = json.dumps({"verbatim_id": 1, "sentence": "mail a@b.com", "other": "x" * 1_000_000})
+    (tmp_path / "big.json").write_text("[" + ",".join([one] * 150) + "]")
+    rows = read_payload_files(spark, str(tmp_path / "big.json"))
+    assert rows.where("error IS NULL").count() == 150
+
+
+def test_json_lines(spark, tmp_path):
+    lines = [json.dumps({"verbatim_id": i, "sentence": f"n{i}@b.com"}) for i in range(20)]
+    (tmp_path / "good.jsonl").write_text("\n".join(lines) + "\n\n")
+    (tmp_path / "bad.jsonl").write_text("\n".join([lines[0], "{oops", "7", lines[1] + lines[2], lines[3]]))
+    rows = read_payload_files(spark, str(tmp_path / "*.jsonl"), fmt="jsonl")
+    bad = rows.where("error IS NOT NULL").orderBy("payload_ordinal").collect()
+    assert [r.error for r in bad] == ["Invalid JSON format", "'int' object has no attribute 'get'", "Invalid JSON format"]
+    jobs = {os.path.basename(r.source_file): r for r in run_file_job(spark, str(tmp_path / "*.jsonl"), fmt="jsonl").collect()}
+    assert (jobs["good.jsonl"].status, jobs["good.jsonl"].total_pii_detected) == ("success", 20)
+    assert (jobs["bad.jsonl"].status, jobs["bad.jsonl"].total_payloads, jobs["bad.jsonl"].errors) == (
+        "failed", 2, ["Invalid JSON format"])
+
+
+def test_staged_rewrite_reads_its_own_old_version(spark, tmp_path):
+    base = str(tmp_path / "data")
+    assert current_version(spark, base) is None
+    rewrite_staged(spark.range(5), base)
+    old = spark.read.parquet(current_version(spark, base))
+    path = rewrite_staged(old.selectExpr("id + 1 AS id"), base)
+    assert path.endswith("/v2") and current_version(spark, base) == path
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+    assert old.count() == 5

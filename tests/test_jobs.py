@@ -1,14 +1,16 @@
-"""Canonical hash labels (R5), feedback jobs (W1-W6), streaming (ST1), spreading."""
+"""Canonical hash labels (R5), feedback jobs (W1-W6), streaming (ST1), session options."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanshade.operators.canonical import redact_canonical
 from spanshade.operators.detect import detect_table, with_entities
 from spanshade.operators.redact import with_redaction
 from spanshade.plans import feedback
-from spanshade.session import spread_for_cpu
+from spanshade.session import INPUT_PARTITIONS, dealt, ensure_checkpoint_dir
 from spanshade.streaming.redact_stream import redact_stream
 
 
@@ -68,11 +70,41 @@ def test_stream_is_idempotent_per_batch(spark, tmp_path):
     assert sorted(red) == ["call [REDACTED_PHONE]"] * 3
 
 
-def test_spread_only_small_inputs(spark):
-    small = spark.range(100).coalesce(1)
-    assert spread_for_cpu(small, "id").rdd.getNumPartitions() > 1
-    big = spark.range(100).repartition(200)
-    assert spread_for_cpu(big, "id").rdd.getNumPartitions() == 200
+def test_zero_byte_files_reach_the_stream(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text(json.dumps({"verbatim_id": 1, "sentence": "a@b.com"}))
+    (src / "empty.json").write_text("")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    redact_stream(spark, str(src), out, ckpt)
+    (src / "b.json").write_text(json.dumps({"verbatim_id": 2, "sentence": "x"}))
+    jobs = redact_stream(spark, str(src), out, ckpt).collect()
+    assert sorted((os.path.basename(r.source_file), r.status) for r in jobs) == [
+        ("a.json", "success"), ("b.json", "success"), ("empty.json", "failed")]
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert not [d for d in os.listdir(f"{base}/spanshade-tables") if d.startswith("stream-batch")]
+
+
+def test_inputs_are_dealt_only_on_request(spark):
+    one = spark.range(100).coalesce(1)
+    assert dealt(one, "id").rdd.getNumPartitions() == 1
+    spark.conf.set(INPUT_PARTITIONS, "5")
+    try:
+        assert dealt(one, "id").rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS)
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
 
 
 def test_detect_table_has_byte_offsets(spark):
