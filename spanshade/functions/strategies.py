@@ -16,22 +16,11 @@ from .text import col_of, digits, ustrip
 
 StrategyFn = Callable[[Column, Column], Column]
 
-# --- Fixed values (must equal the reference) --------------------------------
-# Placeholder per entity type; any other type gets [REDACTED]:
-#   EMAIL            [REDACTED_EMAIL]
-#   PHONE            [REDACTED_PHONE]
-#   PERSON           [REDACTED_PERSON]
-#   SSN              [REDACTED_SSN]
-#   ADDRESS          [REDACTED_ADDRESS]
-#   ZIP_CODE         [REDACTED_ZIP]
-#   CREDIT_CARD      [REDACTED_CREDIT_CARD]
-#   CUSTOMER_ACCOUNT [REDACTED_ACCOUNT]
-#   NAME             [REDACTED_NAME]
-#   OTHER            [REDACTED]
-# Partial masks: EMAIL keeps the first user character and the domain; PHONE
-# becomes ***-***-<last 4 digits>; CREDIT_CARD ****-****-****-<last 4 digits>.
-# Hash: [<TYPE>_<first 8 hex digits of MD5(UTF-8 text)>].
-# -----------------------------------------------------------------------------
+# --- Fixed values: the placeholder per entity type ---------------------------
+# Also fixed: in partial masks EMAIL keeps the first user character and the
+# domain, PHONE becomes ***-***-<last 4 digits>, CREDIT_CARD
+# ****-****-****-<last 4 digits>; a hash is [<TYPE>_<first 8 hex digits of the
+# MD5 of the UTF-8 text>].
 PLACEHOLDERS: dict[str, str] = {
     "EMAIL": "[REDACTED_EMAIL]",
     "PHONE": "[REDACTED_PHONE]",

@@ -5,12 +5,13 @@ again under another type reuses the type label of its first occurrence, in
 processing order. Spark keeps the stateless hash by default; this job makes
 the first-seen label explicit and global:
 
-1. ``groupBy(text).agg(min_by(entity_type, order_key))`` - partial
-   aggregation map-side, so a hot text (one value in a third of all rows)
-   is combined before the shuffle;
-2. join the labels back to the entity rows on text (AQE broadcasts the label
-   table when it measures it small, and splits skewed partitions otherwise);
-3. regroup per record and splice.
+1. count the distinct (text, type) pairs, with partial sums, so a hot text (one
+   value in a third of all rows) is one row per type before the shuffle. Only
+   texts seen under more than one type can change their label;
+2. for those texts alone, find the type with the smallest order key;
+3. join these labels back on the text: the entity rows are a written table, so
+   adaptive execution splits a hot text. All other entities keep their type;
+4. regroup per record and splice.
 
 ``order_key`` is a struct giving the processing order (e.g. file, payload,
 field ordinal, descending start). The entity rows are checkpointed once, so
@@ -27,9 +28,17 @@ from ..session import materialize
 
 def canonical_labels(entities: DataFrame, order_key: Column, text_col: str = "text",
                      type_col: str = "entity_type") -> DataFrame:
-    """(text, label): type of the first occurrence of each entity text."""
-    return (entities.groupBy(F.col(text_col).alias("text"))
-            .agg(F.min_by(F.col(type_col), order_key).alias("label")))
+    """(text, label) for the texts seen under more than one type: the type of
+    the first occurrence."""
+    pairs = entities.select(F.col(text_col).alias("text"), F.col(type_col).alias("label")).distinct()
+    several = materialize(pairs.groupBy("text").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("text"),
+                          "canonical-texts")
+    own = entities.select(F.col(text_col).alias("text"), F.col(type_col).alias("label"), order_key.alias("o"))
+    own = own.join(several, "text", "left_semi")
+    # per (text, type) the first place, then the first type: the place decides,
+    # and the type rides along in the compared struct
+    first = own.groupBy("text", "label").agg(F.min("o").alias("o"))
+    return first.groupBy("text").agg(F.min(F.struct("o", "label"))["label"].alias("label"))
 
 
 def canonical_hash(text: Column, label: Column) -> Column:
@@ -55,7 +64,9 @@ def redact_canonical(texts: DataFrame, entities: DataFrame, key_cols, text_col:
     entities = materialize(entities, "canonical-entities")
     order = F.struct(*[F.col(c) for c in order_cols], (-F.col("start_pos")).alias("__ns"))
     labels = canonical_labels(entities, order)
-    labelled = entities.join(labels, on="text", how="inner")
+    labels = materialize(labels, "canonical-labels")
+    labelled = entities.join(labels, on="text", how="left").withColumn(
+        "label", F.coalesce("label", "entity_type"))
     fields = [F.col("text").alias("text"), F.col("label").alias("entity_type"),
               F.col("start_pos").alias("start_pos"), F.col("end_pos").alias("end_pos"),
               F.col("confidence").alias("confidence"), F.col("source").alias("source")]

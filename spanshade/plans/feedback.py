@@ -10,8 +10,8 @@
 4. training set: examples deduplicated by (text, type) with counts;
 5. leak alerts per (file, type) and a per-type review sample.
 
-The joins are keyed by record or by file; the file list of the semi/anti
-joins is tiny and AQE broadcasts it after measuring it.
+The joins are keyed by record, or by file against a list of files that is
+measured first (``quarantine``).
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.detect import explode_entities, with_entities
 from ..operators.merge import overlaps
+from ..session import materialize
 
 
 def replacement_spans(records_desc: Column) -> Column:
@@ -52,11 +53,30 @@ def with_residual_leaks(df: DataFrame, redacted_col: str, spans_col: str,
     return d.withColumn(out_col, leaks).drop("__ss_res")
 
 
-def quarantine(raw: DataFrame, leaks: DataFrame, file_col: str = "source_file"):
-    """(quarantined, clean): raw rows of files with / without a leak."""
-    files = leaks.select(file_col).distinct()
-    return (raw.join(files, on=file_col, how="left_semi"),
-            raw.join(files, on=file_col, how="left_anti"))
+#: File lists up to this many rows are broadcast.
+BROADCAST_FILES = 200_000
+
+
+def quarantine(raw: DataFrame, leaks: DataFrame, file_col: str = "source_file", row_keys=None):
+    """(quarantined, clean): raw rows of files with / without a leak.
+
+    There are few files and many rows per file, so a join on the file would
+    send all raw text to a few reducers. The list of files is written and
+    counted; up to ``BROADCAST_FILES`` rows it is broadcast and no raw row
+    moves. A longer list is joined by a shuffle on a salted key: every file
+    is repeated once per salt, so one file's rows spread over the salts.
+    """
+    files = materialize(leaks.select(file_col).distinct(), "quarantine-files")
+    if files.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES:
+        files = F.broadcast(files)
+        return (raw.join(files, on=file_col, how="left_semi"),
+                raw.join(files, on=file_col, how="left_anti"))
+    salts = 64
+    salt = F.pmod(F.xxhash64(*(row_keys or raw.columns)), F.lit(salts))
+    dealt_files = files.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    salted = raw.withColumn("__salt", salt)
+    return (salted.join(dealt_files, on=[file_col, "__salt"], how="left_semi").drop("__salt"),
+            salted.join(dealt_files, on=[file_col, "__salt"], how="left_anti").drop("__salt"))
 
 
 def training_examples(quarantined: DataFrame, findings: DataFrame, redacted: DataFrame,
@@ -85,11 +105,31 @@ def training_examples(quarantined: DataFrame, findings: DataFrame, redacted: Dat
     return aligned.join(r, on=cond, how="left_anti")
 
 
-def training_set(examples: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Deduplicated training set: one row per (text, type) with its count and
-    the first file it came from."""
-    return examples.groupBy("text", "type").agg(
-        F.count(F.lit(1)).alias("n_examples"), F.min(file_col).alias("first_source_file"))
+def training_set(examples: DataFrame, file_col: str = "source_file", keys=("text", "type")) -> DataFrame:
+    """Deduplicated training set: one row per ``keys`` with its count and the
+    first file it came from. The default merges examples of one text and type;
+    ``("text", "begin_offset", "end_offset", "type")`` keeps places apart.
+
+    Files are counted per example first, a hash aggregate with partial sums;
+    the smallest (a string ``min`` needs a sort) is found over those few rows.
+    """
+    keys = list(keys)
+    per_file = examples.groupBy(*keys, file_col).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy(*keys).agg(
+        F.sum("n").alias("n_examples"), F.min(file_col).alias("first_source_file"))
+
+
+def write_training_set(training: DataFrame, path: str, fmt: str = "jsonl", append: bool = True) -> None:
+    """Append (or overwrite) a training set as ``jsonl``, ``csv`` or ``parquet``."""
+    w = training.write.mode("append" if append else "overwrite")
+    if fmt == "jsonl":
+        w.json(path)
+    elif fmt == "csv":
+        w.option("header", True).option("escape", '"').csv(path)
+    elif fmt == "parquet":
+        w.parquet(path)
+    else:
+        raise ValueError(f"Unknown format '{fmt}'. Available: ['jsonl', 'csv', 'parquet']")
 
 
 def leak_alerts(leaks: DataFrame, file_col: str = "source_file") -> DataFrame:
