@@ -52,8 +52,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = piece_bpe.encode(docs, piece_model()).select("doc_id", "lang", "source", "ids")
-    return piece_bpe.decode(ids, piece_model()).withColumn("n_tokens", F.size("ids").cast("long"))
+    out = piece_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), piece_model())
+    return out.withColumn("n_tokens", F.size("ids").cast("long")).drop("text")
 
 
 STAGES = [("quality", quality_stage), ("lines", line_stage), ("near", near_stage), ("mix", mix_stage),

@@ -103,10 +103,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .piece_bpe import decode, encode, id_digest
+    from .piece_bpe import id_digest, round_trip
 
-    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model()).select("doc_id", "ids")
-    return decode(coded, piece_model()).select(
+    return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model()).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), id_digest().alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -69,4 +69,7 @@ def test_table(spark, library):
         want = library.encode(r.text or "")
         assert r.ids == want and r.decoded == library.decode(want)
         assert r.digest == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
-    assert pb.encode(empty_docs(spark), PATH).collect() == []
+    once = pb.round_trip(docs, PATH)
+    assert once.columns == [*[c for c in docs.columns if c != "ids"], "ids", "decoded"]
+    assert once.collect() == out.drop("digest").collect()
+    assert pb.encode(empty_docs(spark), PATH).collect() == pb.round_trip(empty_docs(spark), PATH).collect() == []
