@@ -15,7 +15,7 @@ from __future__ import annotations
 from ..functions.patterns import CATALOGUE, DEFAULT_CONFIDENCE, FALSE_POSITIVES
 from ..functions.strategies import DEFAULT_PLACEHOLDER, PLACEHOLDERS
 from .payload_files import CONVERSATIONS_PER_FILE, TURNS_PER_FILE
-from .views import CORPUS_SQL, FINDING_RULES, PAYLOADS_SQL
+from .views import CORPUS_SQL, FINDING_RULES, GIVEN_SQL, PAYLOADS_SQL
 
 NON_ASCII_LETTERS = (r"[\x{00AA}\x{00B5}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}"
                      r"\x{00F8}-\x{024F}\x{0370}-\x{1FFF}\x{3040}-\x{D7FF}]")
@@ -351,7 +351,10 @@ rl AS (SELECT e.src, e.key, list({'s': e.x.s, 'e': e.x.e, 't': e.x.t, 'y': l.lab
         f"""SELECT src, key, len(errs) = 0 AS is_valid, CAST(len(errs) AS INTEGER) AS n_errors,
                    CAST(CASE WHEN length(r) > length(text) * 1.5 THEN 1 ELSE 0 END AS INTEGER)
                      AS n_warnings,
-                   errs[1] AS first_error
+                   array_to_string(errs, ' | ') AS errors,
+                   CASE WHEN length(r) > length(text) * 1.5 THEN
+                     'Redacted text significantly longer than original (' || length(r) || ' vs '
+                     || length(text) || ' chars)' ELSE '' END AS warnings
             FROM (SELECT src, key, text, r,
                          list_transform(list_filter(list_reverse(k),
                                         lambda x: contains(lower(r), lower(x.t))),
@@ -359,6 +362,19 @@ rl AS (SELECT e.src, e.key, list({'s': e.x.s, 'e': e.x.e, 't': e.x.t, 'y': l.lab
                   FROM (SELECT src, key, text, k,
                                {splice_sql('text', 'k', 'placeholder')} AS r
                         FROM pk WHERE n > 0))""", *base)
+    out["payloads_with_given_entities"] = with_views(
+        """SELECT verbatim_id,
+                  CASE WHEN ok AND s THEN '[REDACTED]' || substring(sentence, 6) ELSE sentence END AS sentence,
+                  CASE WHEN ok AND n THEN substring(notes, 1, 11) || '[REDACTED_PERSON]' || substring(notes, 22)
+                       ELSE notes END AS notes,
+                  CAST(CASE WHEN ok THEN CAST(s AS INTEGER) + CAST(n AS INTEGER) ELSE 0 END AS INTEGER) AS redaction_count,
+                  CASE WHEN ok THEN 'success' ELSE 'failed' END AS status
+           FROM (SELECT p.verbatim_id, p.sentence, p.notes,
+                        count_if(g.field_name = 'sentence') > 0 AS s, count_if(g.field_name = 'notes') > 0 AS n,
+                        count_if(g.begin_offset IS NULL OR g.begin_offset < 0) = 0 AS ok
+                 FROM payloads p JOIN given g ON p.verbatim_id = g.verbatim_id
+                 GROUP BY p.verbatim_id, p.sentence, p.notes)""",
+        f"given AS ({GIVEN_SQL})")
     return out
 
 

@@ -26,8 +26,8 @@ from ..functions.patterns import DEFAULT_CONFIDENCE
 from ..functions.strategies import get_strategy
 from ..functions.text import is_blank
 from ..operators.detect import with_entities_many
-from ..operators.entities import PUBLIC_TYPE, empty_array
-from ..operators.findings import attach_findings, findings_to_entities
+from ..operators.entities import PUBLIC_TYPE, empty_array, public_array
+from ..operators.findings import attach_findings, findings_to_entities, group_findings
 from ..operators.redact import FIELD_RECORD_TYPE, usable, utc_now, with_redaction_many
 
 # Fixed value: the PII text fields of a payload, in processing order.
@@ -49,16 +49,14 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
                     confidence: float = DEFAULT_CONFIDENCE, include_original: bool = True,
                     on_failure: str = "passthrough") -> DataFrame:
     """Redacted payloads with ``_redaction_metadata`` and ``_stats`` columns."""
-    get_strategy(strategy)
-    if on_failure not in ("passthrough", "quarantine"):
-        raise ValueError("on_failure must be 'passthrough' or 'quarantine'")
+    _check(strategy, on_failure)
     present = eligible_fields(df, fields)
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     d = df
     if findings is not None:
         d = attach_findings(d, findings, keys, "__ss_findings")
 
-    ent_cols, specs, ok = {}, [], F.lit(True)
+    specs = []
     for f in present:
         ecol = f"__ss_e_{f}"
         extra = None
@@ -67,10 +65,48 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
             extra = F.when(is_blank(F.col(f)), F.lit(None)).otherwise(
                 findings_to_entities(F.col("__ss_findings"), F.col(f), field_name=f))
         specs.append((f, ecol, extra))
-        ent_cols[f] = ecol
-        ok = ok & usable(F.col(ecol))
     if specs:
         d = with_entities_many(d, specs, types=types, confidence=confidence)
+    return _redact_given(d, present, strategy, id_col, include_original, on_failure)
+
+
+def redact_with_entities(df: DataFrame, entities: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeholder",
+                         key_cols=("verbatim_id",), id_col: str = "verbatim_id", unmatched: str = "keep",
+                         include_original: bool = True, on_failure: str = "passthrough") -> DataFrame:
+    """Redaction from a given entity table, without detection.
+
+    ``entities`` has the layout of a findings table (keys, field_name,
+    begin_offset, end_offset, type, score, source) and may cover several
+    fields; its spans are used as they are. ``unmatched="keep"`` passes
+    payloads without entities through; ``"drop"`` pairs both sides by key and
+    drops what either has too many of. Entities for unknown payloads never
+    matter. Same ``_redaction_metadata`` and ``_stats`` as ``redact_payloads``.
+    """
+    _check(strategy, on_failure)
+    if unmatched not in ("keep", "drop"):
+        raise ValueError("unmatched must be 'keep' or 'drop'")
+    present = eligible_fields(df, fields)
+    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    d = df.join(group_findings(entities, keys, "__ss_findings"), on=keys,
+                how="left" if unmatched == "keep" else "inner")
+    d = d.withColumns({f"__ss_e_{f}": public_array(findings_to_entities(F.col("__ss_findings"), F.col(f), field_name=f))
+                       for f in present})
+    return _redact_given(d, present, strategy, id_col, include_original, on_failure)
+
+
+def _check(strategy: str, on_failure: str) -> None:
+    get_strategy(strategy)
+    if on_failure not in ("passthrough", "quarantine"):
+        raise ValueError("on_failure must be 'passthrough' or 'quarantine'")
+
+
+def _redact_given(d: DataFrame, present, strategy: str, id_col: str, include_original: bool,
+                  on_failure: str) -> DataFrame:
+    """Redact every field by its entities in ``__ss_e_<field>``; metadata and stats."""
+    ent_cols = {f: f"__ss_e_{f}" for f in present}
+    ok = F.lit(True)
+    for f in present:  # entities on a field without text cannot be applied either
+        ok = ok & usable(F.col(ent_cols[f])) & (F.col(f).isNotNull() | (F.size(F.col(ent_cols[f])) == 0))
     d = d.withColumn("__ss_ok", ok)
 
     # staged under names, so the redaction reads their type from the schema
@@ -94,7 +130,7 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
         if present else empty_array("string"),
         lambda x: x.isNotNull())
     payload_id = (F.coalesce(F.col(id_col).cast("string"), F.lit("unknown"))
-                  if id_col in df.columns else F.lit("unknown"))
+                  if id_col in d.columns else F.lit("unknown"))
     failed = ~F.col("__ss_ok")
     stats = F.struct(
         payload_id.alias("payload_id"),

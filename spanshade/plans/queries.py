@@ -101,6 +101,17 @@ def redact_with_entities(spark, sf_dir):
     return d.select(*KEY, "redacted_text", F.size("redactions").alias("n_redacted"))
 
 
+def payloads_with_given_entities(spark, sf_dir):
+    """Two fields redacted from a given entity table, paired by key; payloads
+    whose offsets cannot be applied pass through as failed."""
+    from .payload_job import redact_with_entities as given
+    p = views.payloads(spark, sf_dir)
+    out = given(p, views.given_entities(p), fields=("sentence", "notes"), unmatched="drop")
+    return out.select("verbatim_id", "sentence", "notes",
+                      F.coalesce(F.col("_redaction_metadata.redaction_count"), F.lit(0)).alias("redaction_count"),
+                      F.col("_stats.status").alias("status"))
+
+
 def redaction_records(spark, sf_dir):
     c = views.corpus(spark, sf_dir).select(*KEY, "text")
     d = with_redaction(with_entities(c, "text", "ents"), "text", "ents", "placeholder",
@@ -192,7 +203,8 @@ def validation_report(spark, sf_dir):
             F.col("v.is_valid").alias("is_valid"),
             F.size("v.errors").alias("n_errors"),
             F.size("v.warnings").alias("n_warnings"),
-            F.try_element_at("v.errors", F.lit(1)).alias("first_error")))).alias("r")), KEY, "r")
+            F.array_join("v.errors", " | ").alias("errors"),
+            F.array_join("v.warnings", " | ").alias("warnings")))).alias("r")), KEY, "r")
 
 
 # Feedback loop: a weaker first pass (no SSN / NAME patterns) and a residual
@@ -346,6 +358,7 @@ def registered() -> dict:
         "redact_hash": _redact_query("hash"),
         "redact_partial": _redact_query("partial"),
         "redact_with_entities": redact_with_entities,
+        "payloads_with_given_entities": payloads_with_given_entities,
         "redaction_records": redaction_records,
         "payload_redaction": payload_redaction,
         "payload_stats": payload_stats,

@@ -123,3 +123,21 @@ def findings(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = Non
 
 def _literal(needle: str) -> str:
     return "\\Q" + needle + "\\E"
+
+
+# A given entity table for the payloads: up to one span per field, with bad
+# offsets (NULL, negative), entities of unknown payloads and payloads without
+# entities among them.
+GIVEN_SQL = """
+SELECT verbatim_id + CASE WHEN verbatim_id % 10 = 3 THEN 5000000000000 ELSE 0 END AS verbatim_id,
+       'notes' AS field_name,
+       CASE WHEN verbatim_id % 50 = 8 THEN NULL WHEN verbatim_id % 50 = 7 THEN -1 ELSE 11 END AS begin_offset,
+       21 AS end_offset, 'PERSON' AS type, 0.9 AS score, 'CER' AS source
+FROM payloads
+UNION ALL
+SELECT verbatim_id, 'sentence', 0, 5, 'OTHER', 0.8, 'COMPREHEND' FROM payloads WHERE verbatim_id % 2 = 0
+"""
+
+
+def given_entities(payloads_df: DataFrame) -> DataFrame:
+    return payloads_df.sparkSession.sql(GIVEN_SQL.replace("FROM payloads", "FROM {p}"), p=payloads_df)

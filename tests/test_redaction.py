@@ -92,3 +92,91 @@ def test_payload_job_metadata_and_stats(spark):
     assert out[2]._redaction_metadata is None and out[2]._stats.pii_detected == 0
     assert out[0]._stats.payload_id == "1" and out[0]._stats.status == "success"
     assert out[0].transcript == 7  # non-string field untouched
+
+
+GIVEN = "verbatim_id int, field_name string, begin_offset int, end_offset int, type string, score double, source string"
+
+
+def _given(spark, **kw):
+    from spanshade.plans.payload_job import redact_with_entities
+
+    df = spark.createDataFrame([(1, "call Ann now", "x"), (2, "nothing", "y"), (3, "mail Bob", "z Bob"), (4, None, "n")],
+                               "verbatim_id int, sentence string, notes string")
+    ents = spark.createDataFrame([
+        (1, "sentence", 5, 8, "PERSON", 0.9, "CER"), (9, "notes", 0, 1, "NAME", 0.9, "CER"),
+        (3, "sentence", -3, 8, "PERSON", 0.9, "CER"), (3, "notes", 2, 5, "NAME", 0.9, "CER"),
+        (4, "sentence", 0, 2, "NAME", 0.9, "CER")], GIVEN)
+    return {r.verbatim_id: r for r in redact_with_entities(df, ents, **kw).collect()}
+
+
+def test_given_entities_over_several_fields(spark):
+    got = _given(spark)
+    assert set(got) == {1, 2, 3, 4}
+    assert got[1].sentence == "call [REDACTED_PERSON] now" and got[1]._redaction_metadata.redaction_count == 1
+    assert got[2]._redaction_metadata is None and got[2]._stats.status == "success"
+    # one unusable span: the whole payload passes through, as failed
+    assert (got[3].sentence, got[3].notes, got[3]._stats.status, got[3]._stats.pii_detected) == ("mail Bob", "z Bob", "failed", 0)
+    assert got[4]._stats.status == "failed"
+
+
+def test_given_entities_paired_by_key_and_quarantine(spark):
+    got = _given(spark, unmatched="drop", on_failure="quarantine")
+    assert set(got) == {1, 3, 4}
+    assert (got[3].sentence, got[3].notes, got[3]._stats.status) == (None, None, "failed")
+
+
+def test_redacted_at_is_utc(spark):
+    from datetime import datetime, timedelta, timezone
+
+    from spanshade.operators.redact import utc_now
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = datetime.fromisoformat(spark.range(1).select(utc_now().alias("t")).first().t)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert abs(datetime.now(timezone.utc).replace(tzinfo=None) - got) < timedelta(minutes=5)
+
+
+def test_strategy_registered_again_is_used(spark):
+    from pyspark.sql import functions as F
+
+    from spanshade.functions.strategies import register_strategy
+    from spanshade.operators.detect import with_entities
+    from spanshade.operators.redact import with_redaction
+
+    df = with_entities(spark.createDataFrame([("a@b.com",)], "t string"), "t", "e")
+    out = []
+    for word in ("AAA", "BBB"):
+        register_strategy("own", lambda text, kind, word=word: F.lit(word))
+        out.append(with_redaction(df, "t", "e", "own", out_text="r").first().r)
+    assert out == ["AAA", "BBB"]
+
+
+def test_span_group_must_end_its_pattern(spark):
+    import pytest
+
+    from spanshade.operators.detect import with_entities
+
+    df = spark.createDataFrame([("id=4711; ok",)], "t string")
+    with pytest.raises(ValueError, match="must end the pattern"):
+        with_entities(df, "t", "e", patterns=[("ACC", r"id=(\d+);", 1)])
+    e = with_entities(df, "t", "e", patterns=[("ACC", r"id=(\d+)(?=;)", 1)]).first().e
+    assert [(x.start_pos, x.end_pos, x.text) for x in e] == [(3, 7, "4711")]
+
+
+def test_plans_of_feedback_and_labels(spark):
+    """Raw text is not shuffled on its file, and labels need no sort of all entities."""
+    from spanshade.operators.canonical import redact_canonical
+    from spanshade.operators.detect import detect_table
+    from spanshade.plans.feedback import quarantine
+
+    raw = spark.createDataFrame([(1, "f", "a@b.com")], "key int, source_file string, text string")
+    q, _ = quarantine(raw, raw.select("source_file"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(source_file" not in plan
+    texts = raw.select("key", "text")
+    out = redact_canonical(texts, detect_table(texts, "key", "text"), "key", "text")
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.first().redacted_text == "[EMAIL_357a20e8]"
