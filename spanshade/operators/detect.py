@@ -175,7 +175,7 @@ def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) ->
     the expression in one call."""
     stride = 3 if p.group else 2
     pc = f"`{pieces_col}`"
-    n = f"CAST(FLOOR(size(coalesce({pc}, CAST(array() AS array<string>))) / {stride}) AS INT)"
+    n = "n"  # the number of matches, bound below
     gap = f"element_at({pc}, z * {stride} + 1)"
     m = f"element_at({pc}, z * {stride} + 2)"
     x = f"element_at({pc}, z * {stride} + 3)" if p.group else m
@@ -190,7 +190,7 @@ def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) ->
            f"'byte_end', CAST({bend} AS INT))")
     # ``aggregate`` copies its accumulator at every step, so offsets are summed
     # per block of matches first and each block then collects its own entities
-    last_block = f"CAST(FLOOR(({n} - 1) / {BLOCK}) AS INT)"
+    last_block = f"CAST(({n} - 1) DIV {BLOCK} AS INT)"
     within = f"sequence(c * {BLOCK}, least((c + 1) * {BLOCK}, {n}) - 1)"
     sums = (f"transform(sequence(0, {last_block}), c -> aggregate({within}, "
             f"named_struct('pos', 0, 'bpos', 0), (acc, z) -> named_struct('pos', {end}, 'bpos', {bend})))")
@@ -203,7 +203,8 @@ def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) ->
               f"'out', CAST(array() AS array<{INTERNAL_TYPE}>)), "
               f"(acc, z) -> named_struct('i', acc.i + 1, 'pos', {end}, 'bpos', {bend}, "
               f"'out', concat(acc.out, array({ent}))), acc -> acc.out))")
-    fold = (f"CASE WHEN {n} > 0 THEN transform(array({starts}), s -> flatten({blocks}))[0] "
+    fold = (f"CASE WHEN size({pc}) >= {stride} THEN transform(array(CAST(size({pc}) DIV {stride} AS INT)), n -> "
+            f"transform(array({starts}), s -> flatten({blocks}))[0])[0] "
             f"ELSE CAST(array() AS array<{INTERNAL_TYPE}>) END")
     conds = []
     if p.may_be_short:

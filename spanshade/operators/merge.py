@@ -42,57 +42,77 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _placed(e: Column, i: Column) -> Column:
-    return F.struct(e["start_pos"].alias("s"), i.cast("int").alias("i"), e.alias("e"))
+def _blocks(cands: Column):
+    """Block numbers, and the entities of a block."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(cands) - 1) / BLOCK).cast("int"))
+    return numbers, lambda c: F.slice(cands, c * BLOCK + 1, F.lit(BLOCK))
 
 
-def _moves(state: Column, e: Column):
-    """One step: the new ``last`` and ``n``, and what leaves for the result.
+def _walk_blocks(cands: Column, start: Column, state_type: str, move, leaves, out_type: str, last) -> Column:
+    """The walk in two passes: the state before each block, then each block's result.
 
-    ``last`` is the last kept non-empty entity (or NULL), ``n`` the places given
-    so far; an entity that replaces ``last`` takes its place. At most one
-    entity leaves: the old last when a non-empty one follows it, or an empty one.
+    ``move(state, e)`` is the next state, ``leaves(state, e)`` what the step
+    gives to the result (or NULL), ``last(state)`` what is left at the end.
     """
-    last, place = state["last"], state["last"]["i"]
-    hit = last.isNotNull() & overlaps(e, last["e"])
-    wins = e["confidence"] > last["e"]["confidence"]
-    wide = e["end_pos"] > e["start_pos"]
-    out = (F.when(hit, F.when(wins & ~wide, _placed(e, place)))
-           .when(wide, last).otherwise(_placed(e, state["n"])))
-    new_last = (F.when(hit, F.when(~wins, last).when(wide, _placed(e, place)))
-                .when(wide, _placed(e, state["n"])).otherwise(last))
-    return new_last.alias("last"), (state["n"] + F.when(hit, 0).otherwise(1)).alias("n"), out
+    numbers, block = _blocks(cands)
+    states = F.aggregate(
+        numbers, F.struct(start.alias("now"), empty_array(state_type).alias("before")),
+        lambda acc, c: F.struct(F.aggregate(block(c), acc["now"], move).alias("now"),
+                                F.concat(acc["before"], F.array(acc["now"])).alias("before")),
+        lambda acc: F.concat(acc["before"], F.array(acc["now"])))
+
+    def collect(state):
+        return lambda c: F.aggregate(
+            block(c), F.struct(F.get(state, c).alias("s"), empty_array(out_type).alias("out")),
+            lambda acc, e: F.struct(move(acc["s"], e).alias("s"), F.concat(
+                acc["out"], F.array_compact(F.array(leaves(acc["s"], e)))).alias("out")),
+            lambda acc: acc["out"])
+
+    kept = _let(states, lambda st: F.concat(F.flatten(F.transform(numbers, collect(st))),
+                                            F.array_compact(F.array(last(F.element_at(st, -1))))))
+    return F.when(F.size(cands) > 0, kept).otherwise(empty_array(out_type))
 
 
 def _walk(cands: Column) -> Column:
-    """Kept entities (place and entity) of an array in list order."""
-    blocks = F.sequence(F.lit(0), F.floor((F.size(cands) - 1) / BLOCK).cast("int"))
+    """The walk over non-empty entities: the state is the last kept one (or NULL)."""
+    def hit(last, e):
+        return last.isNotNull() & overlaps(e, last)
 
-    def block(c):
-        return F.slice(cands, c * BLOCK + 1, F.lit(BLOCK))
+    return _walk_blocks(
+        cands, F.lit(None).cast(INTERNAL_TYPE), INTERNAL_TYPE,
+        lambda last, e: F.when(hit(last, e) & (e["confidence"] <= last["confidence"]), last).otherwise(e),
+        lambda last, e: F.when(~hit(last, e), last), INTERNAL_TYPE, lambda last: last)
 
-    start = F.struct(F.lit(None).cast(_KEPT_TYPE).alias("last"), F.lit(0).alias("n"))
-    states = F.aggregate(
-        blocks, F.struct(start.alias("now"), empty_array(_STATE_TYPE).alias("before")),
-        lambda acc, c: F.struct(
-            F.aggregate(block(c), acc["now"], lambda s, e: F.struct(*_moves(s, e)[:2])).alias("now"),
-            F.concat(acc["before"], F.array(acc["now"])).alias("before")),
-        lambda acc: F.concat(acc["before"], F.array(acc["now"])))
 
-    def collect(acc, e):
-        last, n, out = _moves(acc, e)
-        return F.struct(last, n, F.concat(acc["out"], F.array_compact(F.array(out))).alias("out"))
+def _placed(e: Column, i: Column) -> Column:
+    return F.struct(e["start_pos"].alias("s"), i.cast("int").alias("i"), e.alias("e"))
+
 
-    def from_state(st, c):
-        s = F.get(st, c)
-        return F.aggregate(
-            block(c), F.struct(s["last"].alias("last"), s["n"].alias("n"), empty_array(_KEPT_TYPE).alias("out")),
-            collect, lambda acc: acc["out"])
+def _walk_any(cands: Column) -> Column:
+    """The walk with empty entities: kept entities with their place in the kept list.
 
-    kept = _let(states, lambda st: F.concat(
-        F.flatten(F.transform(blocks, lambda c: from_state(st, c))),
-        F.array_compact(F.array(F.element_at(st, -1)["last"]))))
-    return F.when(F.size(cands) > 0, kept).otherwise(empty_array(_KEPT_TYPE))
+    ``last`` is the last kept non-empty entity (or NULL), ``n`` the places given
+    so far; an entity that replaces ``last`` takes its place. At most one entity
+    leaves: the old last when a non-empty one follows it, or an empty one.
+    """
+    def parts(state, e):
+        last = state["last"]
+        return (last, last["i"], last.isNotNull() & overlaps(e, last["e"]),
+                e["confidence"] > last["e"]["confidence"], e["end_pos"] > e["start_pos"])
+
+    def move(state, e):
+        last, place, hit, wins, wide = parts(state, e)
+        new = (F.when(hit, F.when(~wins, last).when(wide, _placed(e, place)))
+               .when(wide, _placed(e, state["n"])).otherwise(last))
+        return F.struct(new.alias("last"), (state["n"] + F.when(hit, 0).otherwise(1)).alias("n"))
+
+    def leaves(state, e):
+        last, place, hit, wins, wide = parts(state, e)
+        return (F.when(hit, F.when(wins & ~wide, _placed(e, place)))
+                .when(wide, last).otherwise(_placed(e, state["n"])))
+
+    start = F.struct(F.lit(None).cast(_KEPT_TYPE).alias("last"), F.lit(0).alias("n"))
+    return _walk_blocks(cands, start, _STATE_TYPE, move, leaves, _KEPT_TYPE, lambda state: state["last"])
 
 
 def resolve_overlaps(candidates: Column, may_have_empty: bool = True) -> Column:
@@ -102,9 +122,10 @@ def resolve_overlaps(candidates: Column, may_have_empty: bool = True) -> Column:
     the struct = stable sort by start). With ``may_have_empty=False`` (regex
     candidates are never empty) the kept list is already in start order.
     """
-    kept = _let(F.sort_array(candidates), _walk)
-    if may_have_empty:
-        kept = F.sort_array(kept)  # by start, then by place in the kept list
+    if not may_have_empty:
+        return _let(F.sort_array(candidates), _walk)
+    # by start, then by place in the kept list
+    kept = F.sort_array(_let(F.sort_array(candidates), _walk_any))
     return F.transform(kept, lambda k: k["e"])
 
 
