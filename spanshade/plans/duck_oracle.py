@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from ..functions.patterns import CATALOGUE, DEFAULT_CONFIDENCE, FALSE_POSITIVES
 from ..functions.strategies import DEFAULT_PLACEHOLDER, PLACEHOLDERS
-from .payload_files import CONVERSATIONS_PER_FILE, TURNS_PER_FILE
+from .payload_files import CONVERSATIONS_PER_FILE, MIXED_KINDS, TURNS_PER_FILE
 from .views import CORPUS_SQL, FINDING_RULES, GIVEN_SQL, PAYLOADS_SQL
 
 NON_ASCII_LETTERS = (r"[\x{00AA}\x{00B5}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}"
@@ -275,6 +275,16 @@ pk AS (
                   'success' AS status
            FROM pk""",
         pf, candidates_ctes("pf"), kept_ctes(), per_payload)
+    kind = f"(file_id // 100000) % {MIXED_KINDS}"
+    out["json_file_outcomes"] = f"""
+WITH r AS ({out["payload_redaction"]}),
+f AS (SELECT *, (verbatim_id // 1000000) // {CONVERSATIONS_PER_FILE} * 100000
+             + (verbatim_id % 1000000) // {TURNS_PER_FILE} AS file_id FROM r)
+SELECT CAST(file_id AS BIGINT) AS file_id, 'success' AS status, '' AS error, verbatim_id, sentence, notes
+FROM f WHERE {kind} < 3
+UNION ALL
+SELECT DISTINCT CAST(file_id AS BIGINT), 'failed', 'Invalid JSON format', CAST(NULL AS BIGINT),
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM f WHERE {kind} >= 3"""
     out.update(report_queries())
     out.update(feedback_queries())
     return out

@@ -29,7 +29,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/spanshade-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_payload_files(spark: SparkSession, sf_dir: str, out_dir: str) -> None:
+# What surrounds a file's array in the mixed set, by remainder of the block of
+# conversations: as it is; a final line end; white space around; a second
+# array after the first; the array cut short.
+MIXED_KINDS = 5
+MIXED_SQL = (f"CASE CAST(file_id / 100000 AS BIGINT) % {MIXED_KINDS} "
+             "WHEN 1 THEN concat(value, '\n') WHEN 2 THEN concat(' \r\n', value, ' \t\r\n') "
+             "WHEN 3 THEN concat(value, ' ', value) WHEN 4 THEN substring(value, 1, length(value) - 1) ELSE value END")
+
+
+def write_payload_files(spark: SparkSession, sf_dir: str, out_dir: str, mixed: bool = False) -> None:
+    """``mixed``: vary what surrounds the arrays, good and bad (``MIXED_SQL``)."""
     p = views.payloads(spark, sf_dir).withColumn("file_id", F.expr(FILE_ID_SQL))
     obj = F.to_json(F.struct("verbatim_id", "call_id", "ordinal", "type", "sentence", "notes"))
     files = (p.groupBy("file_id")
@@ -37,4 +47,6 @@ def write_payload_files(spark: SparkSession, sf_dir: str, out_dir: str) -> None:
                   .alias("items"))
              .select("file_id", F.concat(F.lit("["), F.array_join(F.col("items.j"), ",\n"),
                                          F.lit("]")).alias("value")))
+    if mixed:
+        files = files.withColumn("value", F.expr(MIXED_SQL))
     files.repartition("file_id").write.mode("overwrite").partitionBy("file_id").text(out_dir)

@@ -336,6 +336,23 @@ def json_file_job(spark, sf_dir):
     return _file_job_rows(run_file_job(spark, f"{base}/in/file_id=*/*.txt", f"{base}/out"))
 
 
+def json_file_outcomes(spark, sf_dir):
+    """Good and bad files through the file job: status and error of each file,
+    and every redacted payload as read back from the JSON output."""
+    from .file_job import run_file_job
+    from .payload_files import scratch_dir, write_payload_files
+    base = scratch_dir(spark, "mixed")
+    write_payload_files(spark, sf_dir, f"{base}/in", mixed=True)
+    jobs = run_file_job(spark, f"{base}/in/file_id=*/*.txt", f"{base}/out").select(
+        F.regexp_extract("source_file", r"file_id=(\d+)", 1).cast("bigint").alias("file_id"),
+        F.regexp_extract("dest_file", r"source_name=([^/]+)$", 1).alias("name"), "status",
+        F.array_join("errors", " | ").alias("error"))
+    schema = "verbatim_id bigint, sentence string, notes string"
+    out = spark.read.text(f"{base}/out").select(
+        F.col("source_name").alias("name"), F.from_json("value", schema).alias("p")).select("name", "p.*")
+    return jobs.join(out, "name", "left").select("file_id", "status", "error", "verbatim_id", "sentence", "notes")
+
+
 def redact_stream(spark, sf_dir):
     """Same files through the Structured Streaming job (availableNow)."""
     from ..streaming.redact_stream import redact_stream as rs
@@ -379,6 +396,7 @@ def registered() -> dict:
         "job_summary": job_summary,
         "text_preview": text_preview,
         "json_file_job": json_file_job,
+        "json_file_outcomes": json_file_outcomes,
         "redact_stream": redact_stream,
     })
     return q
