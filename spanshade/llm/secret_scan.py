@@ -31,16 +31,16 @@ from pyspark.sql import functions as F
 from .common import staged, text_or_empty
 
 # Kinds in the order they are listed, their patterns, the group
-# that holds the value and the least length of that group.
+# that holds the value and the least length of that group. Runs that must have
+# a least length ask for it in the pattern: a shorter run holds no match of
+# either form, and a longer one is the same match.
 KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 #: Candidates beyond the base patterns.
 OWNED = ("owned", r"[A-Za-z0-9_-]{24,}", 0, 24)
-#: A document must match this before it is cut at the pattern's matches.
-PROBE = {"hex": r"[0-9a-f]{24}", "access": r"AKIA[A-Z0-9]{16}"}
 
 
 def looks_live(value: Column) -> Column:
@@ -48,19 +48,24 @@ def looks_live(value: Column) -> Column:
 
 
 def _hits(text: Column, no: int, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Matches in order: the length before each, its own, and its value's hash (null: it fails)."""
-    p = F.lit(pattern)
-    pieces = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, p, F.lit(0))
-    values = F.regexp_extract_all(text, p, F.lit(group)) if group else matches
+    """Matches in order: the length before each, its own, and its value's hash (null: it fails).
+
+    Pieces, matches and values are zipped first: a lambda evaluates whatever it
+    does not get as an argument again for every element.
+    """
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("m"), values.alias("v"))
+
     def hit(x: Column, i: Column) -> Column:
-        value = F.get(values, i)
-        ok = F.length(value) >= least
+        ok = F.length(x["v"]) >= least
         if kind == "owned":
-            ok = ok & looks_live(value)
-        return F.struct(F.lit(no).alias("kind"), i.cast("int").alias("i"), F.length(F.get(pieces, i)).alias("gap"),
-                        F.length(x).alias("size"), F.when(ok, F.sha2(value, 256)).alias("value"))
-    return F.when(text.rlike(PROBE.get(kind, pattern)), F.transform(matches, hit))
+            ok = ok & looks_live(x["v"])
+        return F.struct(F.lit(no).alias("kind"), i.cast("int").alias("i"), F.length(x["gap"]).alias("gap"),
+                        F.length(x["m"]).alias("size"), F.when(ok, F.sha2(x["v"], 256)).alias("value"))
+
+    found = F.transform(F.filter(zipped, lambda x: x["m"].isNotNull()), hit)  # the last piece has no match
+    return F.when(text.rlike(pattern), found)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
