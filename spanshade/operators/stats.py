@@ -151,3 +151,9 @@ def entity_type_histogram(entities: DataFrame, type_col: str = "entity_type") ->
     """Count per entity type, sorted by type."""
     return (entities.groupBy(F.col(type_col).alias("entity_type"))
             .agg(F.count(F.lit(1)).alias("n")).orderBy("entity_type"))
+
+
+def first_rows(df: DataFrame, order_cols, n: int = 2) -> DataFrame:
+    """The first ``n`` rows in key order (a top-n per partition, then of those)."""
+    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    return df.orderBy(*cols).limit(n)

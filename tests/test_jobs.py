@@ -111,3 +111,23 @@ def test_detect_table_has_byte_offsets(spark):
     df = spark.createDataFrame([(1, "é a@b.com")], "k int, t string")
     r = detect_table(df, "k", "t").first()
     assert (r.start_pos, r.byte_start, r.byte_end) == (2, 3, 10)
+
+
+def test_rates_result_struct_merge_and_first_rows(spark):
+    from spanshade.operators.entities import with_rank
+    from spanshade.operators.merge import merge_entity_lists
+    from spanshade.operators.redact import redaction_result
+    from spanshade.operators.stats import first_rows, job_rates
+
+    jobs = spark.createDataFrame([(10, 4), (30, 6)], "total_payloads int, total_pii_detected int")
+    r = job_rates(jobs, 4.0).first()
+    assert (r.entities_per_payload, r.payloads_per_second) == (0.25, 10.0)
+
+    df = with_entities(spark.createDataFrame([(2, "mail a@b.com"), (1, "none")], "k int, t string"), "t", "e")
+    out = {x.k: x.result for x in redaction_result(df, "t", "e").collect()}
+    assert (out[2].redacted_text, out[2].redaction_count, out[2].strategy_used) == ("mail [REDACTED_EMAIL]", 1, "placeholder")
+    assert (out[1].redacted_text, out[1].redaction_count) == ("none", 0)
+
+    both = df.select("k", merge_entity_lists(with_rank(F.col("e")), with_rank(F.col("e"), 1)).alias("m"))
+    assert sorted((x.k, len(x.m)) for x in both.collect()) == [(1, 0), (2, 1)]
+    assert [x.k for x in first_rows(df, "k", 1).collect()] == [1]
