@@ -37,7 +37,7 @@ _KEPT_TYPE = f"struct<s:int,i:int,e:{INTERNAL_TYPE}>"
 _STATE_TYPE = f"struct<last:{_KEPT_TYPE},n:int>"
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body(value)`` with the value evaluated once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -48,7 +48,7 @@ def _blocks(cands: Column):
     return numbers, lambda c: F.slice(cands, c * BLOCK + 1, F.lit(BLOCK))
 
 
-def _walk_blocks(cands: Column, start: Column, state_type: str, move, leaves, out_type: str, last) -> Column:
+def walk_blocks(cands: Column, start: Column, state_type: str, move, leaves, out_type: str, last) -> Column:
     """The walk in two passes: the state before each block, then each block's result.
 
     ``move(state, e)`` is the next state, ``leaves(state, e)`` what the step
@@ -68,7 +68,7 @@ def _walk_blocks(cands: Column, start: Column, state_type: str, move, leaves, ou
                 acc["out"], F.array_compact(F.array(leaves(acc["s"], e)))).alias("out")),
             lambda acc: acc["out"])
 
-    kept = _let(states, lambda st: F.concat(F.flatten(F.transform(numbers, collect(st))),
+    kept = let(states, lambda st: F.concat(F.flatten(F.transform(numbers, collect(st))),
                                             F.array_compact(F.array(last(F.element_at(st, -1))))))
     return F.when(F.size(cands) > 0, kept).otherwise(empty_array(out_type))
 
@@ -78,7 +78,7 @@ def _walk(cands: Column) -> Column:
     def hit(last, e):
         return last.isNotNull() & overlaps(e, last)
 
-    return _walk_blocks(
+    return walk_blocks(
         cands, F.lit(None).cast(INTERNAL_TYPE), INTERNAL_TYPE,
         lambda last, e: F.when(hit(last, e) & (e["confidence"] <= last["confidence"]), last).otherwise(e),
         lambda last, e: F.when(~hit(last, e), last), INTERNAL_TYPE, lambda last: last)
@@ -112,7 +112,7 @@ def _walk_any(cands: Column) -> Column:
                 .when(wide, last).otherwise(_placed(e, state["n"])))
 
     start = F.struct(F.lit(None).cast(_KEPT_TYPE).alias("last"), F.lit(0).alias("n"))
-    return _walk_blocks(cands, start, _STATE_TYPE, move, leaves, _KEPT_TYPE, lambda state: state["last"])
+    return walk_blocks(cands, start, _STATE_TYPE, move, leaves, _KEPT_TYPE, lambda state: state["last"])
 
 
 def resolve_overlaps(candidates: Column, may_have_empty: bool = True) -> Column:
@@ -123,9 +123,9 @@ def resolve_overlaps(candidates: Column, may_have_empty: bool = True) -> Column:
     candidates are never empty) the kept list is already in start order.
     """
     if not may_have_empty:
-        return _let(F.sort_array(candidates), _walk)
+        return let(F.sort_array(candidates), _walk)
     # by start, then by place in the kept list
-    kept = F.sort_array(_let(F.sort_array(candidates), _walk_any))
+    kept = F.sort_array(let(F.sort_array(candidates), _walk_any))
     return F.transform(kept, lambda k: k["e"])
 
 

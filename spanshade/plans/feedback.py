@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.detect import explode_entities, with_entities
-from ..operators.merge import overlaps
+from ..operators.merge import let, overlaps, walk_blocks
 from ..session import materialize
 
 
@@ -31,17 +31,19 @@ def replacement_spans(records_desc: Column) -> Column:
     application (descending) order; returns ``array<struct<start_pos,end_pos>>``
     ascending, in redacted-text offsets.
     """
-    init = F.struct(F.lit(0).alias("shift"),
-                    F.array().cast("array<struct<start_pos:int,end_pos:int>>").alias("out"))
+    def grown(r):
+        return F.length(r["replacement"]) - (r["end_pos"] - r["start_pos"])
 
-    def step(acc, r):
-        s = r["start_pos"] + acc["shift"]
-        span = F.struct(s.cast("int").alias("start_pos"),
+    def span(shift, r):
+        s = r["start_pos"] + shift
+        return F.struct(s.cast("int").alias("start_pos"),
                         (s + F.length(r["replacement"])).cast("int").alias("end_pos"))
-        shift = acc["shift"] + F.length(r["replacement"]) - (r["end_pos"] - r["start_pos"])
-        return F.struct(shift.alias("shift"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.aggregate(F.reverse(records_desc), init, step, lambda acc: acc["out"])
+    # block-wise, like the overlap walk: the state is the shift so far
+    kind = "struct<start_pos:int,end_pos:int>"
+    return let(F.reverse(records_desc), lambda asc: walk_blocks(
+        asc, F.lit(0), "int", lambda shift, r: (shift + grown(r)).cast("int"),
+        span, kind, lambda shift: F.lit(None).cast(kind)))
 
 
 def with_residual_leaks(df: DataFrame, redacted_col: str, spans_col: str,
