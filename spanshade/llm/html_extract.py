@@ -22,7 +22,10 @@ Scoring is one pass without a shuffle; the model is a few hundred numbers.
 Defined results: a null or empty page, or one without content, has the empty
 text; scripts, styles, templates, comments and the head never have text; broken
 markup is read leniently (unclosed tags end with their parent, a stray end tag
-is ignored); repeated rows get equal results; an empty table gives an empty
+is ignored, a script or style without its end tag ends at the next block tag,
+any other silent element without its end tag hides nothing, and a head also
+ends where something stands that only a body can have); repeated rows get equal
+results; an empty table gives an empty
 result (without labelled pages the model is fitted on the furniture around
 plain filler); other columns pass through, a column named like the output is
 replaced.
@@ -53,7 +56,10 @@ GROUPS = {
 }
 GROUP_OF = {t: i for i, ts in enumerate(GROUPS.values()) for t in ts}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math head title iframe object canvas audio video".split())
+#: Their content is no markup: it runs to their own end tag, whatever stands before.
+RAW = frozenset("script style title iframe textarea".split())
+SILENT = frozenset("script style noscript template svg math title iframe object canvas audio video".split())
+IN_HEAD = frozenset("base basefont bgsound html head link meta noframes noscript script style template title".split())
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option".split())
 FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|contact|cookies?|consent|copyright|discuss\w*|"
@@ -66,6 +72,8 @@ BODY = re.compile(
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>|[^<]+|<", re.S)
 NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|data-sample-label)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: Where a raw element without an end tag is left: a block tag that no quote precedes.
+BLOCK = re.compile(r"(?<![\"'`\\])</?(?:head|" + "|".join(GROUP_OF) + r")(?=[\s/>])", re.I)
 N_GROUPS = len(GROUPS)
 N_FEATURES = N_GROUPS + 12
 FURNITURE_GROUPS = frozenset(list(GROUPS).index(g) for g in ("menu", "header", "footer", "aside", "form"))
@@ -106,6 +114,35 @@ def _named(attrs: str) -> int:
     return out
 
 
+class Ends:
+    """Where the elements of one page end whose content is not read as tags; each search is linear in the page."""
+
+    def __init__(self, source: str):
+        self.source, self.pairs, self.open = source, {}, set()
+
+    def raw(self, tag: str, at: int) -> tuple[int, int]:
+        """The end of the content of a raw element that begins at ``at``, and of its end tag (-1: it has none)."""
+        if tag not in self.open:
+            m = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(self.source, at)
+            if m:
+                return m.start(), m.end()
+            self.open.add(tag)
+        m = BLOCK.search(self.source, at)
+        return (m.start() if m else len(self.source)), -1
+
+    def nested(self, tag: str, at: int) -> int:
+        """Behind the end tag that belongs to the start tag that ends at ``at`` (-1: it has none)."""
+        if tag not in self.pairs:
+            pairs, begun = self.pairs.setdefault(tag, {}), []
+            for m in re.finditer(rf"<(/?){tag}(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>", self.source, re.I):
+                if not m[1]:
+                    if not m[0].endswith("/>"):
+                        begun.append(m.end())
+                elif begun:
+                    pairs[begun.pop()] = m.end()
+        return self.pairs[tag].get(at, -1)
+
+
 def parse(source: str) -> Page:
     page = Page()
     page.node(-1, GROUP_OF["body"], 0)
@@ -113,7 +150,13 @@ def parse(source: str) -> Page:
     inline: list[str] = []  # open links
     run: list[str] = []
     linked = 0
-    silent = ""
+
+    def say(s: str):
+        nonlocal linked
+        s = html.unescape(s) if "&" in s else s
+        run.append(s)
+        if inline:
+            linked += len(s)
 
     def flush():
         nonlocal linked
@@ -128,22 +171,22 @@ def parse(source: str) -> Page:
         flush()
         del stack[upto:]
 
-    for m in TOKEN.finditer(source):
+    ends = Ends(source)
+    head = False
+    tokens = TOKEN.finditer(source)
+    while m := next(tokens, None):
         tag = m[2]
         if tag is None:
-            if not silent:
-                s = m[0]
-                if s[0] != "<" or s == "<":
-                    s = html.unescape(s) if "&" in s else s
-                    run.append(s)
-                    if inline:
-                        linked += len(s)
+            s = m[0]
+            if (s[0] != "<" or s == "<") and not (head and s.isspace()):
+                head = False
+                say(s)
             continue
         tag = tag.lower()
-        if silent:
-            if m[1] and tag == silent or silent in ("head", "title") and tag == "body":
-                silent = ""
-            if silent or m[1]:
+        if head:
+            if tag not in IN_HEAD or m[1] and tag in ("head", "html"):
+                head = False
+            elif m[1]:
                 continue
         if m[1]:
             if tag == "a":
@@ -156,9 +199,14 @@ def parse(source: str) -> Page:
                     if stack[k][0] in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "article", "main", "div", "section"):
                         break
             continue
+        if tag == "head":
+            head = True
+            continue
         if tag in SILENT:
             if not m[3].endswith("/"):
-                silent = tag
+                behind = max(ends.raw(tag, m.end())) if tag in RAW else ends.nested(tag, m.end())
+                if behind >= 0:
+                    tokens = TOKEN.finditer(source, behind)
             continue
         if tag == "br":
             run.append(" ")
@@ -188,6 +236,11 @@ def parse(source: str) -> Page:
             me = page.node(stack[-1][1], GROUP_OF[tag], _named(m[3]) if m[3] else 0)
             if tag not in VOID:
                 stack.append((tag, me))
+            if tag in RAW and ends.raw(tag, m.end())[1] >= 0:  # a text area: its text, and behind it
+                to, behind = ends.raw(tag, m.end())
+                say(source[m.end():to])
+                close(len(stack) - 1)
+                tokens = TOKEN.finditer(source, behind)
     flush()
     return page
 

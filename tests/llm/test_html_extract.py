@@ -54,6 +54,37 @@ def test_broken_markup_does_not_crash(model, page):
     h.extract([page], model)
 
 
+KEPT = "It was a long way, and nobody spoke of it again. " * 3
+
+
+@pytest.mark.parametrize("before", [
+    "<body><script>for(i=0;i<n;i++){}</script>", "<body><script><!-- var a = 1;</script>", "<body><style>a::before{content:'<b'}</style>",
+    "<body><script>if (a<b) x('</p>')</SCRIPT >", "<body><svg><title>a <b</title><path d=M0></svg>", "<head><title>1 <x</title></head><body>",
+    "<head><meta charset=utf-8><title>No</title>", "<!doctype html><html><head><title>No</title><style>p{}</style><script>1<a</script>",
+    "<head><noscript><img src=x></noscript><title>No</title></head><body>", "<body><script src=x>", "<body><style>p{}", "<head><title>No</head><body>",
+    "<body><div><svg><path d=M0></div>", "<body><div><canvas></div>", "<body><object data=x>", "<body><math>", "<body><noscript>", "<body><template>",
+    "<body><iframe src=x>", "<body><video src=x>", "<body><template><template>No</template>No, not this.</template>",
+    "<body><form><textarea>a <b </textarea></form>", "<body><form><textarea><div><p></textarea></form>",
+])
+def test_text_survives_silent_elements(model, before):
+    page = f"{before}<article><h1>A title</h1><p>{KEPT}</p></article><footer>&copy; Me</footer></body>"
+    assert h.extract([page], model) == ["A title\n" + KEPT.strip()]
+
+
+def test_text_begins_the_body(model):
+    assert [t for t in h.parse("<head><title>No</title>\n Some text.<p>More.").text if t] == ["Some text.", "More."]
+
+
+def test_many_open_elements_stay_linear():
+    import time
+
+    t0 = time.perf_counter()
+    for tag in ("script", "template", "svg", "textarea", "title"):
+        h.parse(f"<{tag}><p>x" * 20_000 + f"</{tag}>")
+        h.parse(f"<{tag}><p>x" * 20_000)
+    assert time.perf_counter() - t0 < 20
+
+
 def test_deep_and_long_pages(model):
     h.extract(["<div>" * 2000 + "x" + "</div>" * 2000, "<article>" + "<p>A sentence, long enough to keep here.</p>" * 5000 + "</article>"], model)
 
