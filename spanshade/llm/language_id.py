@@ -6,10 +6,13 @@ runs as long as the automaton can follow, and the next starts at the letter
 that broke it. The language that needs the fewest phrases wins, each count
 normalised by the bits a phrase costs (the logarithm of the training length).
 
-Letters are lower-cased and everything else is one space. Texts are parsed
-whole, in windows of ``WINDOW`` letters (each starts a new phrase); all
-windows of all texts of a slice advance together through dense transition
-tables, one gather per letter and language.
+Letters are lower-cased and everything else is one space. Every letter of the
+training text is a symbol of its own, of whatever script; a letter that no
+excerpt has breaks every phrase. Texts are parsed whole, in windows of
+``WINDOW`` letters (each starts a new phrase); all windows of all texts of a
+slice advance together through the transitions: one gather per letter and
+language for the ``DENSE`` most frequent symbols, a search in the sorted
+transitions for the others.
 
 Training reads a bounded sample: about ``docs_per_lang`` labelled rows per
 language chosen by a hash of the id, ``excerpt`` letters of each, at most
@@ -40,6 +43,8 @@ WINDOW = 2048
 SLICE_BYTES = 8_000_000
 MAX_LETTERS = 262_144
 SPACE, OTHER = 0, 1
+#: Symbols with a column in the dense tables; it decides on speed and memory, not on results.
+DENSE = 202
 
 
 class SuffixAutomaton:
@@ -80,12 +85,22 @@ class SuffixAutomaton:
             p = link[p]
         return clone
 
+    def rare(self, dense: int, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Transitions by classes from ``dense`` on: ``s * classes + c`` ascending, next states, and the root's by class."""
+        found = sorted((s * classes + c, t) for s, row in enumerate(self.next) for c, t in row.items() if c >= dense)
+        keys, to = np.array(found, np.int64).reshape(-1, 2).T
+        root = np.full(classes, -1, np.int64)
+        for c, t in self.next[0].items():
+            root[c] = t
+        return keys.copy(), to.astype(np.int32), root.astype(np.int32)
+
     def table(self, classes: int) -> np.ndarray:
-        """For state s and class c, at ``s * classes + c``: next state * 4 + phrases that end."""
+        """For state s and class c below ``classes``, at ``s * classes + c``: next state * 4 + phrases that end."""
         step = np.full((len(self.next), classes), -1, np.int64)
         for s, row in enumerate(self.next):
             for c, t in row.items():
-                step[s, c] = t
+                if c < classes:
+                    step[s, c] = t
         root = step[0].copy()
         dead = step < 0
         again = np.where(root >= 0, root * 4 + 1, 2)  # the breaking letter starts a phrase, or is one
@@ -95,29 +110,31 @@ class SuffixAutomaton:
 
 
 class Model:
-    """Letter classes and one transition table per language."""
+    """Letter classes, and per language a dense transition table and the transitions by rare letters."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.langs = sorted(samples)
         points = np.arange(sys.maxunicode + 1)
         lower = np.array([ord(l[0]) if len(l := chr(c).lower()) else c for c in points], np.int64)
         alpha = np.array([chr(c).isalpha() for c in points])
-        self.classes_of = np.where(alpha, OTHER, SPACE).astype(np.uint8)
         text = "".join(t for ts in samples.values() for t in ts)
         seen = lower[self._points(text)]
         letters, n = np.unique(seen[alpha[seen]], return_counts=True)
-        letters = letters[np.argsort(-n, kind="stable")][:200]
-        for k, c in enumerate(letters.tolist()):
-            self.classes_of[(lower == c) & alpha] = k + 2
+        letters = letters[np.argsort(-n, kind="stable")]
         self.classes = len(letters) + 2
-        tables, self.cost = [], []
+        self.dense = min(DENSE, self.classes)
+        own = np.full(len(points), OTHER, np.min_scalar_type(self.classes))
+        own[letters] = np.arange(len(letters)) + 2
+        self.classes_of = np.where(alpha, own[lower], own.dtype.type(SPACE))
+        tables, self.rare, self.cost = [], [], []
         for lang in self.langs:
             automaton, total = SuffixAutomaton(), 0
             for t in samples[lang]:
                 codes, _ = self.codes([t])
                 automaton.add(codes.tolist())
                 total += len(codes)
-            tables.append(automaton.table(self.classes).ravel())
+            tables.append(automaton.table(self.dense).ravel())
+            self.rare.append(automaton.rare(self.dense, self.classes))
             self.cost.append(np.log2(max(2, total)))
         self.base = np.cumsum([0, *map(len, tables)])[:-1] if tables else np.empty(0, int)
         self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
@@ -137,6 +154,16 @@ class Model:
         through = np.r_[0, np.cumsum(keep)]
         return c[keep], through[begin + size] - through[begin]
 
+    def _step_rare(self, k: int, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """What the dense table has, for rare classes."""
+        keys, to, root = self.rare[k]
+        if not len(keys):
+            return np.where(state == 0, 1, 2)
+        key = state.astype(np.int64) * self.classes + c
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        again = np.where(state == 0, 1, np.where(root[c] >= 0, root[c] * 4 + 1, 2))
+        return np.where(keys[at] == key, to[at] * 4, again)
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text (row) against each language, and whether it has a letter."""
         codes, size = self.codes(texts)
@@ -155,8 +182,14 @@ class Model:
         for t in range(int(length.max(initial=0))):
             n = active[t]
             c = codes[start[:n] + t].astype(np.int32)
+            rare = np.flatnonzero(c >= self.dense) if self.dense < self.classes else ()
+            if len(rare):
+                own = c[rare]
+                c[rare] = OTHER
             for k, table in enumerate(tables):
-                x = table[state[k, :n] * np.int32(self.classes) + c]
+                x = table[state[k, :n] * np.int32(self.dense) + c]
+                if len(rare):
+                    x[rare] = self._step_rare(k, state[k, rare], own)
                 count[k, :n] += x & 3
                 state[k, :n] = x >> 2
         count += state != 0  # the phrase that was open at the end

@@ -46,6 +46,31 @@ def test_phrases_against_greedy_parsing():
         assert letter[i] == any(c.isalpha() for c in t)
 
 
+def test_every_letter_counts_in_wide_alphabets():
+    rng = random.Random(5)
+    words = {lang: ["".join(chr(rng.randrange(first, first + 1500)) for _ in range(rng.randint(1, 4))) for _ in range(900)]
+             for lang, first in (("am", 0x1200), ("ja", 0x5000), ("ko", 0xAC00), ("zh", 0x5200))}
+    words = {lang: [w for w in ws if w.isalpha()] for lang, ws in words.items()} | {"en": "the cat sat on a mat with them".split()}
+    write = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    samples = {lang: [write(lang, 300) for _ in range(3)] for lang in words}
+    model = Model(samples)
+    assert model.classes > 2000 and len({*model.codes(samples["zh"])[0].tolist()}) > 500
+    texts = [(lang, write(lang, 40) + " \u0416") for lang in words for _ in range(5)]
+    assert model.predict([t for _, t in texts])[0] == [lang for lang, _ in texts]
+    total, _ = model.phrases([t for _, t in texts])
+    known = {lang: ["".join(map(chr, model.codes([s])[0])) for s in samples[lang]] for lang in words}
+    for i, (_, t) in enumerate(texts):
+        x = "".join(map(chr, model.codes([t])[0]))
+        for k, lang in enumerate(model.langs):
+            n = at = 0
+            while at < len(x):
+                j = at + 1
+                while j <= len(x) and any(x[at:j] in s for s in known[lang]):
+                    j += 1
+                at, n = max(at + 1, j - 1), n + 1
+            assert total[i, k] == n
+
+
 def test_odd_rows_and_empty(spark):
     docs = odd_docs(spark)
     model = train(docs, F.lit(True))
