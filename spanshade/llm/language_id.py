@@ -15,8 +15,9 @@ language for the ``DENSE`` most frequent symbols, a search in the sorted
 transitions for the others.
 
 Training reads a bounded sample: about ``docs_per_lang`` labelled rows per
-language chosen by a hash of the id, ``excerpt`` letters of each, at most
-``MAX_LETTERS`` over all languages. So the tables, which are broadcast, have a
+language chosen by a hash of the id, ``excerpt`` characters of each from a
+place that the hash of the id gives (from its first letter on, if there is
+none at that place), at most ``MAX_LETTERS`` over all languages. So the tables, which are broadcast, have a
 size that does not grow with the corpus. Prediction needs no shuffle and its
 memory is one slice of texts.
 
@@ -223,14 +224,18 @@ def train(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col:
         return Model({})
     docs_per_lang = max(1, min(docs_per_lang, MAX_LETTERS // (excerpt * len(n))))
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # about four times the rows needed; short and blank ones fall away below
+    text = F.col("text")
+    begin = F.pmod(F.xxhash64("id", F.lit("excerpt")), F.greatest(F.length(text) - excerpt + 1, F.lit(1))).cast("int") + 1
+    piece = text.substr(begin, F.lit(excerpt))
+    piece = F.when(piece.rlike(r"\p{L}"), piece).otherwise(F.regexp_replace(text, r"^\P{L}+", "").substr(1, excerpt))
+    # about four times the rows needed; those without a letter fall away below
     share = F.create_map(*[x for k, v in n.items() for x in (F.lit(k), F.lit(min(1.0, 4.0 * docs_per_lang / v)))])
     sample = rows.withColumn("place", place).where(F.col("place") < share[F.col("lang")]).select(
-        "lang", "id", "place", F.substring("text", 1, 2 * excerpt).alias("text"))
+        "lang", "id", "place", piece.alias("text"))
     out: dict[str, list[str]] = {k: [] for k in n}
     for r in sorted(sample.collect(), key=lambda r: (r.place, str(r.id), r.text)):
         if len(out[r.lang]) < docs_per_lang and any(c.isalpha() for c in r.text):
-            out[r.lang].append(r.text[:excerpt])
+            out[r.lang].append(r.text)
     return Model({k: v for k, v in out.items() if v})
 
 

@@ -71,6 +71,18 @@ def test_every_letter_counts_in_wide_alphabets():
             assert total[i, k] == n
 
 
+def test_excerpts_come_from_all_over_the_texts(spark):
+    header = "Licence and copyright notice of the archive. " * 30
+    body = {"de": "der hund und die katze liegen auf der matte ", "fr": "le chien et le chat dorment sur le tapis "}
+    rows = [(i, header + body[lang] * 300, lang) for i, lang in enumerate(["de", "fr"] * 40)]
+    rows += [(100 + i, "0 " * 5000 + "gatto e cane" + " 1" * 5000, "it") for i in range(3)]  # letters in one place
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train(docs, F.lit(True))
+    assert model.langs == ["de", "fr", "it"]
+    langs, score = model.predict([*body.values(), "gatto e cane"])
+    assert langs == ["de", "fr", "it"] and min(score) > 0.2
+
+
 def test_odd_rows_and_empty(spark):
     docs = odd_docs(spark)
     model = train(docs, F.lit(True))
