@@ -10,7 +10,7 @@ of a batch share the passes: one vector operation per tree depth.
 
 The potentials are fitted by gradient ascent on the likelihood of labelled
 pages (observed minus expected counts; the expectations come from the same
-messages). Labelled pages are a bounded sample of the table: pages that mark
+messages). Labelled pages are a bounded sample of the table's different pages: pages that mark
 their article with ``<article>`` or ``<main>`` label themselves, and each is shown a
 second time with that mark taken away, so that the model also learns pages
 without it. Made pages add common furniture (menus, side bars, notices, forms,
@@ -438,12 +438,18 @@ def _labels(p: Page) -> np.ndarray:
 
 
 def train(pages: DataFrame, html_col: str = "html", sample: int = 80) -> TreeModel:
-    """Fit on about ``sample`` pages of the table that mark their article, and on made pages."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]") & (F.length(html_col) < 50_000))
-    n = marked.count()
-    place = F.pmod(F.xxhash64(html_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = marked.where(place < min(1.0, sample / max(1, n))).select(F.substring(html_col, 1, 50_000).alias("h"))
-    nodes, y = labelled(sorted(r.h for r in rows.toLocalIterator()))
+    """Fit on ``sample`` different pages of the table that mark their article (all, if it has fewer), and on made pages.
+
+    The pages with the smallest hashes are taken. Hashes go first; of the pages
+    chosen, copies are dropped in two steps, so that no task gets all of a page's.
+    """
+    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]") & (F.length(html_col) < 50_000)).select(
+        F.xxhash64(html_col).alias("hash"), F.col(html_col).alias("h"))
+    least = [r.hash for r in marked.select("hash").distinct().orderBy("hash").limit(sample).collect()]
+    rows = marked.where(F.col("hash").isin(least)).withColumn("slot", F.spark_partition_id() % 256)
+    for keys in (["hash", "slot"], ["hash"]):
+        rows = rows.groupBy(*keys).agg(F.min("h").alias("h"))
+    nodes, y = labelled(sorted(r.h for r in rows.collect()) if least else [])
     model = TreeModel()
     model.fit(Forest(nodes), np.concatenate(y))
     return model

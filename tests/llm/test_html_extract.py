@@ -102,6 +102,15 @@ def test_table(spark, model):
     assert h.main_text(none, h.train(none)).collect() == []
 
 
+def test_sample_is_of_different_pages(spark, monkeypatch):
+    page = lambda k: f"<body><article><p>Page {k}, in some words.</p></article></body>"
+    taken = []
+    monkeypatch.setattr(h, "labelled", lambda samples, whole=h.labelled: taken.append(samples) or whole(samples))
+    for rows, sample, want in (([page(k) for k in range(40)] + [page(7)] * 400, 12, 12), ([page(k % 2) for k in range(300)], 5, 2)):
+        h.train(spark.createDataFrame([(x,) for x in rows], "html string").repartition(6), sample=sample)
+        assert len(taken[-1]) == len({*taken[-1]}) == want and {*taken[-1]} <= {*rows}
+
+
 def test_given_pages(spark):
     """On the test tables the article's blocks are the answer."""
     import html
