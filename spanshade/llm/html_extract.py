@@ -23,8 +23,10 @@ Defined results: a null or empty page, or one without content, has the empty
 text; scripts, styles, templates, comments and the head never have text; broken
 markup is read leniently (unclosed tags end with their parent, a stray end tag
 is ignored, a script or style without its end tag ends at the next block tag,
-any other silent element without its end tag hides nothing, and a head also
-ends where something stands that only a body can have); repeated rows get equal
+a template without its end tag hides nothing, and a head also ends where
+something stands that only a body can have); the content of an iframe is no
+markup of the page and has no text either, that of other embedded elements
+(formulas, drawings, fallbacks) is judged like any; repeated rows get equal
 results; an empty table gives an empty
 result (without labelled pages the model is fitted on the furniture around
 plain filler); other columns pass through, a column named like the output is
@@ -58,7 +60,9 @@ GROUP_OF = {t: i for i, ts in enumerate(GROUPS.values()) for t in ts}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup: it runs to their own end tag, whatever stands before.
 RAW = frozenset("script style title iframe textarea".split())
-SILENT = frozenset("script style noscript template svg math title iframe object canvas audio video".split())
+SILENT = frozenset("script style template title iframe".split())
+#: What stands inside or beside these is apart from the words around.
+APART = frozenset("br noscript svg text math mtr mtd object canvas audio video".split())
 IN_HEAD = frozenset("base basefont bgsound html head link meta noframes noscript script style template title".split())
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option".split())
 FURNITURE = re.compile(
@@ -191,6 +195,8 @@ def parse(source: str) -> Page:
         if m[1]:
             if tag == "a":
                 inline.clear()
+            elif tag in APART:
+                run.append(" ")
             elif tag in GROUP_OF:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
@@ -202,13 +208,13 @@ def parse(source: str) -> Page:
         if tag == "head":
             head = True
             continue
-        if tag in SILENT:
+        if tag in SILENT or head and tag == "noscript":
             if not m[3].endswith("/"):
                 behind = max(ends.raw(tag, m.end())) if tag in RAW else ends.nested(tag, m.end())
                 if behind >= 0:
                     tokens = TOKEN.finditer(source, behind)
             continue
-        if tag == "br":
+        if tag in APART:
             run.append(" ")
         elif tag == "a":
             inline.append(tag)

@@ -71,6 +71,16 @@ def test_text_survives_silent_elements(model, before):
     assert h.extract([page], model) == ["A title\n" + KEPT.strip()]
 
 
+@pytest.mark.parametrize("inside, text", [
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"), ("<svg><text x=1>Speed</text><text>Time</text></svg>", "Speed Time"),
+    ("<object data=x>a map, described</object>", "a map, described"), ("<canvas>the same as a list</canvas>", "the same as a list"),
+    ("<noscript>the figure in words</noscript>", "the figure in words"), ("<video src=x>what the film shows</video>", "what the film shows"),
+])
+def test_embedded_text_of_the_article_stays(model, inside, text):
+    page = f"<body><article><h1>A title</h1><p>{KEPT}{inside} {KEPT}</p></article><footer>&copy; Me</footer></body>"
+    assert h.extract([page], model) == [f"A title\n{KEPT}{text} {KEPT}".strip()]
+
+
 def test_text_begins_the_body(model):
     assert [t for t in h.parse("<head><title>No</title>\n Some text.<p>More.").text if t] == ["Some text.", "More."]
 
