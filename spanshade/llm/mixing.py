@@ -58,27 +58,46 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
             max_epochs: float = 2.0) -> DataFrame:
     """``(key, source, source_size, target)`` from ``(key, source, size)``, one row per source.
 
-    The windows run over the table of sources, which is already aggregated.
+    Ranks and running sums are taken within ranges of the source table; what
+    stands before (or behind) a range is added from one row per range.
     """
+    by_name = F.col("source").asc_nulls_last()
     per = sizes.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
-    every = Window.partitionBy(F.lit(0))
-    rank = F.row_number().over(every.orderBy(F.col("source").asc_nulls_last()))
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(rank - 1, F.lit(len(weights))) + 1)
+    per = _ranged(per, "mix-names", by_name)
+    per = _offsets(per, F.count(F.lit(1)), "before")
+    rank = F.row_number().over(Window.partitionBy("range").orderBy(by_name)) + F.col("before")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(rank - 1, F.lit(len(weights))).cast("int") + 1)
     per = per.withColumn("weight", weight).withColumn("limit", F.lit(float(max_epochs)) * F.col("source_size"))
-    order = every.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    per = per.select(
-        "*", F.sum("source_size").over(every).alias("all"),
-        F.coalesce(F.sum("source_size").over(before), F.lit(0)).alias("done"),
-        F.sum("weight").over(after).alias("open"))
+    per = _ranged(per.drop("range", "before").withColumn("ratio", F.col("limit") / F.col("weight")), "mix-ratios", F.col("ratio"), by_name)
+    ranges = per.groupBy("range").agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))
+    whole = ranges.agg(F.sum("size").alias("size")).first()["size"]
+    if whole is None:
+        return per.select("key", "source", "source_size", F.lit(None).cast("double").alias("target"))
+    order = Window.partitionBy("range").orderBy("ratio", by_name)
+    run = _offsets(_offsets(per, F.sum("source_size"), "done_before"), F.sum("weight"), "open_behind", behind=True)
+    done = F.col("done_before") + F.coalesce(F.sum("source_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    still = F.col("open_behind") + F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     # what one unit of weight gets if the sources before this one stop at their limits
-    unit = (F.lit(float(share)) * F.col("all") - F.lit(float(max_epochs)) * F.col("done")) / F.col("open")
-    per = per.withColumn("unit", unit)
-    level = F.max(F.when(F.col("limit") > F.col("unit") * F.col("weight"), F.struct(-F.col("limit") / F.col("weight"), F.col("unit")))).over(every)
-    return per.withColumn("level", level.getField("unit")).select(
+    unit = (F.lit(float(share)) * F.lit(whole) - F.lit(float(max_epochs)) * done) / still
+    run = run.withColumn("unit", unit)
+    level = run.agg(F.max(F.when(F.col("limit") > F.col("unit") * F.col("weight"), F.struct(-F.col("ratio"), F.col("unit"))))
+                    .alias("level")).select("level.unit").first()["unit"]
+    return per.select(
         "key", "source", "source_size",
-        F.least(F.col("limit"), F.coalesce(F.col("level") * F.col("weight"), F.col("limit"))).alias("target"))
+        F.least(F.col("limit"), F.coalesce(F.lit(level).cast("double") * F.col("weight"), F.col("limit"))).alias("target"))
+
+
+def _ranged(rows: DataFrame, name: str, *order: Column) -> DataFrame:
+    """``rows`` written in ranges of ``order``, with the number of the range."""
+    return staged(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), name)
+
+
+def _offsets(rows: DataFrame, total: Column, name: str, behind: bool = False) -> DataFrame:
+    """``rows`` with ``total`` over all ranges before the row's own (or behind it); one row per range is summed up."""
+    others = Window.orderBy(F.col("range").desc() if behind else F.col("range")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("range").agg(total.alias("__total"))
+    sums = sums.select("range", F.coalesce(F.sum("__total").over(others), F.lit(0)).alias(name))
+    return rows.join(F.broadcast(sums), "range")
 
 
 def thresholds(sizes: DataFrame, per: DataFrame) -> DataFrame:

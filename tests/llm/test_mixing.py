@@ -64,3 +64,46 @@ def test_clashing_columns_and_empty(spark):
     out = mix(docs)
     assert {r.key for r in out.collect()} == {"kept"} and dict(out.dtypes)["size"] == "bigint"
     assert mix(empty_docs(spark)).collect() == []
+
+
+def test_targets_over_many_ranges(spark):
+    """No task takes all sources: only sums of ranges, one row each, pass through one."""
+    from pyspark.sql import functions as F
+
+    from spanshade.llm import mixing
+
+    rows = [(f"s{i}", f"n{i * 7919 % 3001:05d}", i % 41) for i in range(3001)] + [("n", None, 90)]
+    sizes = spark.createDataFrame(rows, "key string, source string, size long")
+    spread = []
+    staged = mixing.staged
+
+    def watched(df, name, *by):
+        out = staged(df, name, *by)
+        if name in ("mix-names", "mix-ratios"):
+            spread.append(sorted(r["count"] for r in out.groupBy("range").count().collect()))
+        return out
+
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    mixing.staged = watched
+    try:
+        got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    finally:
+        mixing.staged = staged
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(spread) == 2 and all(len(n) > 4 and n[-1] < 1500 for n in spread)
+    per = {s: n for _, s, n in rows}
+    order = sorted(per, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    left, open_, want = 1.5 * sum(per.values()), set(order), {}
+    while open_:
+        unit = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if unit * weight[s] >= 2 * per[s]}
+        for s in full or open_:
+            want[s] = 2 * per[s] if full else unit * weight[s]
+            left -= want[s] if full else 0
+        if not full:
+            break
+        open_ -= full
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+    assert mixing.targets(sizes.where(F.lit(False))).count() == 0
