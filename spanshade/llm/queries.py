@@ -110,8 +110,28 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def byte_ranks() -> str:
+    """Where the public tokenizer's rank file lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .byte_bpe import round_trip
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs, byte_ranks(), public_tokenizers.PATTERN, packed=True).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op6_html_extract, op7_line_dedup, op8_quality, op9_exact_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (
+        op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op6_html_extract, op7_line_dedup,
+        op8_quality, op9_exact_dedup, op10_sentencepiece, op11_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
