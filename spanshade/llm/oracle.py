@@ -39,7 +39,42 @@ FROM d LEFT JOIN g USING (r)
 """
 
 
+#: Common tables for crc32: ``crc`` holds the table of byte remainders as the list ``t``.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b:
+    CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t)"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a text's UTF-8 bytes; ``t`` must be in scope."""
+    code = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {code}), lambda c, b: "
+            "xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
 SQL = {
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE {CRC_TABLE},
+o AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+             translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+h AS (SELECT run, {_crc32("id || ':' || run")} AS h FROM o, crc),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+             ELSE run END AS word FROM h),
+v AS MATERIALIZED (SELECT word, count(*) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+d AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+                   FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+p AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM d a JOIN d b USING (i, rest) WHERE a.word <> b.word
+      UNION SELECT d.word, d.n, v.word, v.n FROM d JOIN v ON d.rest = v.word
+      UNION SELECT v.word, v.n, d.word, d.n FROM d JOIN v ON d.rest = v.word),
+b AS (SELECT word, n, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+             row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM p),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * v.n THEN other END AS form,
+                          CASE WHEN other_n >= 10 * v.n THEN other_n END AS form_n
+                   FROM v LEFT JOIN b ON v.word = b.word AND place = 1),
+r AS (SELECT word, word AS root, 0 AS step FROM f
+      UNION ALL SELECT r.word, f.form, step + 1 FROM r JOIN f ON r.root = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, step) AS root FROM r GROUP BY word) USING (word)
+""",
     "op5_secret_scan": _secrets(),
     "op1_topk_search": r"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec FROM embeddings

@@ -128,10 +128,21 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import count_words, group_variants, occurrences, without_point
+
+    runs = occurrences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("word")).cast("binary"))
+    place = F.pmod(F.col("h"), F.length("word").cast("long")).cast("int")
+    words = runs.withColumn("h", h).select(
+        F.when(F.col("h") % 31 == 0, without_point(F.col("word"), place)).otherwise(F.col("word")).alias("word"))
+    return group_variants(count_words(words))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op6_html_extract, op7_line_dedup,
-        op8_quality, op9_exact_dedup, op10_sentencepiece, op11_byte_bpe)}
+        op8_quality, op9_exact_dedup, op10_sentencepiece, op11_byte_bpe, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
