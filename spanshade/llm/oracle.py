@@ -52,6 +52,33 @@ def _crc32(text: str) -> str:
 
 
 SQL = {
+    "op12_prefix_trie": rf"""
+WITH {CRC_TABLE},
+o AS (SELECT conv_id, strlen(coalesce(text, '')) AS bytes,
+             sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                 sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+      FROM (SELECT DISTINCT conv_id FROM o), crc),
+u AS (SELECT c.conv_id, 0 AS own, place, said, bytes FROM c JOIN o ON o.conv_id = base AND place <= h
+      UNION ALL SELECT c.conv_id, 1, place, said, bytes FROM c JOIN o ON o.conv_id = c.conv_id AND place > h),
+p AS (SELECT conv_id, bytes, row_number() OVER w AS depth, string_agg(said, '') OVER w AS path
+      FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY own, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+m AS (SELECT conv_id, depth, path, bytes, max(depth) OVER (PARTITION BY conv_id) AS turns FROM p
+      UNION ALL SELECT conv_id, 0, '', 0, coalesce((SELECT max(depth) FROM p WHERE p.conv_id = c.conv_id), 0) FROM c),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = turns), '')) AS ends_sha256
+      FROM m GROUP BY path, depth),
+k AS (SELECT n.*, left(path, (depth - 1) * 64) AS above, NOT EXISTS (
+          SELECT 1 FROM n AS x WHERE x.depth = n.depth + 1 AND left(x.path, n.depth * 64) = n.path) AS leaf FROM n),
+a AS (SELECT left(path, d * 64) AS path, d AS depth, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens,
+             count(*) FILTER (depth = d + 1) AS n_children
+      FROM (SELECT *, unnest(range(depth + 1)) AS d FROM k) GROUP BY ALL)
+SELECT k.conv_id, CAST(depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, k.n_convs, n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN a USING (path, depth) LEFT JOIN (SELECT path AS above, depth + 1 AS depth, conv_id FROM n) up USING (above, depth)
+""",
     "op13_spelling_variants": rf"""
 WITH RECURSIVE {CRC_TABLE},
 o AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .common import table
+from .common import staged, table
 
 
 def piece_model() -> str:
@@ -128,6 +128,33 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The contract's conversations, from ``ordered_turns``: ``(conv, depth, digest, bytes)``, and one row ``conv`` each.
+
+    Conversation c begins with the first h(c) < 9 turns of conversation
+    c - c % 5 and goes on with its own behind its first h(c).
+    """
+    h = F.pmod(F.crc32(F.col("conv").cast("string").cast("binary")), F.lit(9))
+    turn = F.struct("place", "digest", "bytes")
+    heads = turns.where("conv % 5 = 0 and place <= 8").groupBy(F.col("conv").alias("base")).agg(
+        F.sort_array(F.collect_list(turn)).alias("head"))  # eight turns at most
+    convs = turns.where("place = 1").select("conv", (F.col("conv") - F.col("conv") % 5).alias("base"), h.alias("h"))
+    convs = staged(convs.join(heads.hint("merge"), "base", "left").select(
+        "conv", "h", F.expr("slice(coalesce(head, array()), 1, int(h))").alias("head")), "trie-plans")
+    first = convs.select("conv", F.inline("head")).select("conv", F.col("place").alias("depth"), "digest", "bytes")
+    lack = convs.select("conv", (F.col("h") - F.size("head")).alias("lack")).where("lack > 0")
+    own = turns.where(F.col("place") > h).join(lack.hint("merge"), "conv", "left").select(
+        "conv", (F.col("place") - F.coalesce("lack", F.lit(0))).alias("depth"), "digest", "bytes")
+    return staged(first.unionByName(own), "trie-rebuilt"), convs.select("conv")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import ordered_turns, prefix_trie
+
+    turns = staged(ordered_turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), "trie-ordered")
+    return prefix_trie(*rebuilt_turns(turns))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spelling import count_words, group_variants, occurrences, without_point
 
@@ -142,7 +169,8 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {f.__name__: f for f in (
         op1_topk_search, op2_language_id, op3_mixing, op4_simhash, op5_secret_scan, op6_html_extract, op7_line_dedup,
-        op8_quality, op9_exact_dedup, op10_sentencepiece, op11_byte_bpe, op13_spelling_variants)}
+        op8_quality, op9_exact_dedup, op10_sentencepiece, op11_byte_bpe, op12_prefix_trie,
+        op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
