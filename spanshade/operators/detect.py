@@ -29,7 +29,7 @@ from ..functions.patterns import (
     PiiPattern,
     select_patterns,
 )
-from ..functions.text import _STRIP_RE, col_of, is_blank
+from ..functions.text import _NON_SPACE_RE, _STRIP_RE, col_of, is_blank
 from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, public_array
 from .merge import BLOCK, resolve_overlaps
 
@@ -44,7 +44,7 @@ def _guard(t: Column, p: PiiPattern, has_digit: Column) -> Column | None:
     return t.contains(p.guard)
 
 
-# Marker character for the one-pass form (see ``_detect_many``) and the
+# Marker character for the one-pass form (see ``_detect``) and the
 # character it is replaced by in the scanned copy of a text.
 _MARK, _SAFE = "\u0000", "\u0001"
 _MARKERS_RE = "\\x00"
@@ -63,13 +63,13 @@ def _select_replacing(df: DataFrame, outputs: dict, drop=()) -> DataFrame:
     return df.select(*cols)
 
 
-def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
-                 confidence: float = DEFAULT_CONFIDENCE, guards: bool = True,
-                 resolve: bool = True, public: bool = True) -> DataFrame:
-    """Detection for several text columns (a few projections per column).
+def _detect(df: DataFrame, text_col, out_col: str, extra=None, *, types=None, patterns=None,
+            confidence: float = DEFAULT_CONFIDENCE, guards: bool = True,
+            resolve: bool = True, public: bool = True) -> DataFrame:
+    """Detection for one text column, in a few projections.
 
-    ``specs``: list of (text_col, out_col, extra) with ``extra`` an optional
-    Column of internal-layout entities merged before overlap resolution.
+    ``extra``: an optional Column of internal-layout entities merged before
+    overlap resolution.
 
     One regex pass per pattern and text: ``regexp_replace`` puts the marker
     U+0000 before and after every match (and after its span group), and one
@@ -81,29 +81,21 @@ def _detect_many(df: DataFrame, specs, *, types=None, patterns=None,
     """
     pats = tuple(select_patterns(types, patterns))
     conf = float(confidence)
-    d = df
-    # fields one after another with the same staging names: the expressions
-    # are then identical for every field and are built (and cached) once
-    for text_col, out_col, extra in specs:
-        scan = f"{_TMP}scan"
-        d = d.withColumn(scan, _scan_expr(text_col))
-        stage1 = _stage1_exprs(pats, guards)
-        d = d.withColumns(stage1) if stage1 else d
-        stage2 = _stage2_exprs(pats)
-        d = d.withColumns(stage2) if stage2 else d
-        if not resolve:
-            out = _candidates_expr(0, pats, conf)
-        elif extra is None:
-            out = _kept_expr(0, pats, conf, public)
-        else:
-            def build(extra=extra):
-                cands = F.concat(_candidates_expr(0, pats, conf),
-                                 F.coalesce(extra, empty_array(INTERNAL_TYPE)))
-                kept = resolve_overlaps(cands, may_have_empty=True)
-                return public_array(kept) if public else kept
-            out = build()
-        d = _select_replacing(d, {out_col: out}, drop=[scan, *stage1, *stage2])
-    return d
+    scan = f"{_TMP}scan"
+    d = df.withColumn(scan, _scan_expr(text_col))
+    stage1 = _stage1_exprs(pats, guards)
+    d = d.withColumns(stage1) if stage1 else d
+    stage2 = _stage2_exprs(pats)
+    d = d.withColumns(stage2) if stage2 else d
+    if not resolve:
+        out = _candidates_expr(0, pats, conf)
+    elif extra is None:
+        out = _kept_expr(0, pats, conf, public)
+    else:
+        kept = resolve_overlaps(F.concat(_candidates_expr(0, pats, conf), F.coalesce(extra, empty_array(INTERNAL_TYPE))),
+                                may_have_empty=True)
+        out = public_array(kept) if public else kept
+    return _select_replacing(d, {out_col: out}, drop=[scan, *stage1, *stage2])
 
 
 _SCAN_CACHE: dict = {}
@@ -241,8 +233,7 @@ def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
     Candidates are validated (stripped length >= 2, not a known false
     positive) but not yet deduplicated.
     """
-    return _detect_many(df, [(text_col, out_col, None)], types=types, patterns=patterns,
-                        confidence=confidence, guards=guards, resolve=False)
+    return _detect(df, text_col, out_col, types=types, patterns=patterns, confidence=confidence, guards=guards, resolve=False)
 
 
 def with_entities(df: DataFrame, text_col, out_col: str = "entities", *, types=None,
@@ -254,15 +245,61 @@ def with_entities(df: DataFrame, text_col, out_col: str = "entities", *, types=N
     sources (already ranked after the regex lists), merged before resolution.
     The result is sorted by start; public layout unless ``public=False``.
     """
-    return _detect_many(df, [(text_col, out_col, extra)], types=types, patterns=patterns,
-                        confidence=confidence, guards=guards, public=public)
+    return _detect(df, text_col, out_col, extra, types=types, patterns=patterns, confidence=confidence, guards=guards,
+                   public=public)
 
 
-def with_entities_many(df: DataFrame, specs, **kw) -> DataFrame:
-    """``with_entities`` for several text columns at once: ``specs`` is a list
-    of ``(text_col, out_col)`` or ``(text_col, out_col, extra)``."""
-    norm = [(s[0], s[1], s[2] if len(s) > 2 else None) for s in specs]
-    return _detect_many(df, norm, **kw)
+def _sql_text(v: str) -> str:
+    """A SQL literal of ``v``, control characters escaped."""
+    return "".join(f"\\u{ord(c):04x}" if c < " " else c for c in _sql_str(v))
+
+
+def _text_pattern_sql(p: PiiPattern, guards: bool, confidence: float) -> str:
+    """One pattern's entities in the scanned text ``u`` (``dg``: it has a digit)."""
+    none = f"CAST(array() AS array<{INTERNAL_TYPE}>)"
+    repl = _MARK + "$0" + _MARK + (f"${p.group}" + _MARK if p.group else "")
+    marked = f"regexp_replace(u, {_sql_text(p.java_regex)}, {_sql_text(repl)})"
+    pieces = (f"transform(array({marked}), k -> CASE WHEN octet_length(k) > octet_length(u) "
+              f"THEN split(k, {_sql_text(_MARK)}, -1) END)[0]")
+    found = f"transform(array({pieces}), pc -> {_pattern_entities_sql(p, 'pc', confidence)})[0]"
+    if not guards or p.guard is None:
+        return found
+    guard = "dg" if p.guard == "digit" else f"contains(u, {_sql_text(p.guard)})"
+    return f"CASE WHEN {guard} THEN {found} ELSE {none} END"
+
+
+@functools.lru_cache(maxsize=64)
+def _texts_candidates(texts_col: str, pats: tuple, guards: bool, confidence: float) -> Column:
+    none = f"CAST(array() AS array<{INTERNAL_TYPE}>)"
+    every = ", ".join(_text_pattern_sql(p, guards, confidence) for p in pats)
+    scan = f"CASE WHEN t RLIKE {_sql_text(_MARKERS_RE)} THEN translate(t, {_sql_text(_MARK)}, {_sql_text(_SAFE)}) ELSE t END"
+    found = f"transform(array({scan}), u -> transform(array(u RLIKE '(?U)\\\\d'), dg -> concat({every}))[0])[0]" if pats else none
+    return F.expr(f"transform(`{texts_col}`, t -> CASE WHEN t IS NULL OR NOT t RLIKE {_sql_text(_NON_SPACE_RE)} "
+                  f"THEN {none} ELSE {found} END)")
+
+
+@functools.lru_cache(maxsize=64)
+def _texts_kept(cands_col: str, extra_col: str | None) -> Column:
+    if extra_col is None:
+        return F.transform(cands_col, lambda c: public_array(resolve_overlaps(c, may_have_empty=False)))
+    return F.zip_with(cands_col, extra_col, lambda c, x: public_array(resolve_overlaps(
+        F.concat(c, F.coalesce(x, empty_array(INTERNAL_TYPE))), may_have_empty=True)))
+
+
+def with_entities_of_texts(df: DataFrame, texts_col: str, out_col: str, extra_col: str | None = None, *,
+                           types=None, patterns=None, confidence: float = DEFAULT_CONFIDENCE,
+                           guards: bool = True) -> DataFrame:
+    """``with_entities`` over an array of texts: ``out_col`` has one entity array per text.
+
+    One expression walks the array, so the plan is the same for any number of
+    texts, and it is built once per process. ``extra_col``: an array of the
+    same length with internal-layout entities (or NULL) to merge. A NULL text
+    has no entities of its own.
+    """
+    cands = f"{_TMP}cands"
+    pats = tuple(select_patterns(types, patterns))
+    d = df.withColumn(cands, _texts_candidates(texts_col, pats, guards, float(confidence)))
+    return _select_replacing(d, {out_col: _texts_kept(cands, extra_col)}, drop=[cands])
 
 
 def detect_table(df: DataFrame, key_cols, text_col, **kw) -> DataFrame:

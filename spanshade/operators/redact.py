@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strategies import get_strategy, replacement
 from ..functions.text import col_of
+from .merge import let
 
 RECORD_FIELDS = ("original_text", "entity_type", "start_pos", "end_pos", "replacement",
                  "confidence", "source")
@@ -107,24 +108,27 @@ def _record_fn(field_name, include_original):
             *[r[f].alias(f) for f in RECORD_FIELDS[1:]],
         ]
         if field_name is not None:
-            fields.append(F.lit(field_name).alias("field_name"))
+            fields.append(field_name.alias("field_name"))
         return F.struct(*fields)
     return rec
 
 
-# Expressions over the staged columns (``__ss_red_desc<n>``, ``__ss_red_bin<n>``)
-# are identical for every DataFrame; building them through the Python-JVM
-# bridge is the slow part of constructing a plan, so they are built once.
-_EXPR_CACHE: dict = {}
+def _redacted(text: Column, desc: Column, binary: Column | None) -> Column:
+    """The text with its records (in application order) spliced in; ``binary``: its bytes, if offsets are known."""
+    if binary is None:
+        return F.when(F.size(desc) == 0, text).otherwise(splice(text, desc))
+    return F.when(F.size(desc) == 0, text).otherwise(let(F.reverse(desc), lambda asc: F.when(
+        _linear_ok(asc), linear_splice(binary, asc)).otherwise(splice(text, desc))))
 
 
-def _name(col):
-    """A column name, or None for a Column (its text does not identify it)."""
-    return col if isinstance(col, str) else None
+# Expressions over columns known by name are the same for every DataFrame;
+# building them through the Python-JVM bridge is the slow part of constructing
+# a plan, so they are built once.
+_EXPR_CACHE: dict = {}
 
 
 def _memo(key, build):
-    if None in key[1:3]:
+    if None in key:  # an unnamed Column: its text does not identify it
         return build()
     if key not in _EXPR_CACHE:
         if len(_EXPR_CACHE) > 512:
@@ -133,46 +137,31 @@ def _memo(key, build):
     return _EXPR_CACHE[key]
 
 
-def _redacted_expr(n: int, text: Column, has_bytes: bool) -> Column:
-    desc = F.col(f"{_TMP}desc{n}")
-    if has_bytes:
-        asc = F.reverse(desc)
-        return (F.when(F.size(desc) == 0, text)
-                .when(_linear_ok(asc), linear_splice(F.col(f"{_TMP}bin{n}"), asc))
-                .otherwise(splice(text, desc)))
-    return F.when(F.size(desc) == 0, text).otherwise(splice(text, desc))
+def _strategy_key(strategy):
+    """The function itself, held by the cache: a name may be registered again."""
+    return get_strategy(strategy) if isinstance(strategy, str) else strategy
 
 
-def with_redaction_many(df: DataFrame, specs, strategy="placeholder", *,
-                        include_original: bool = True) -> DataFrame:
-    """Redaction of several text columns in two projections.
+def with_redaction_of_texts(df: DataFrame, texts_col: str, entities_col: str, names, out_texts: str,
+                            out_records: str, strategy="placeholder", *, include_original: bool = True) -> DataFrame:
+    """Redaction of an array of texts by an array of entity arrays.
 
-    ``specs``: list of (text_col, entities_col, out_text, out_records,
-    field_name). Rows without entities keep their text and get an empty
-    record list.
+    ``out_texts`` holds the redacted texts, ``out_records`` all records in one
+    array, in the order of the texts, each with its text's name in
+    ``field_name``. One expression walks the arrays: the plan is the same for
+    any number of texts.
     """
-    stage, outputs = {}, {}
-    # the function itself, held by the cache: a name may be registered again
-    skey = get_strategy(strategy) if isinstance(strategy, str) else strategy
-    for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
-        has_bytes = "byte_start" in _entity_fields(df, entities_col)
-        stage[f"{_TMP}desc{n}"] = _memo(
-            ("desc", _name(entities_col), skey, has_bytes),
-            lambda: _desc_with_replacement(col_of(entities_col), strategy, has_bytes))
-        if has_bytes:
-            stage[f"{_TMP}bin{n}"] = col_of(text_col).cast("binary")
-    d = df.withColumns(stage)
-    for n, (text_col, entities_col, out_text, out_records, field_name) in enumerate(specs):
-        has_bytes = f"{_TMP}bin{n}" in stage
-        target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
-        outputs[target] = _memo(("text", n, _name(text_col), has_bytes),
-                                lambda: _redacted_expr(n, col_of(text_col), has_bytes))
-        outputs[out_records] = _memo(
-            ("records", n, str(field_name), include_original),
-            lambda: F.transform(F.col(f"{_TMP}desc{n}"),
-                                _record_fn(field_name, include_original)))
-    from .detect import _select_replacing
-    return _select_replacing(d, outputs, drop=list(stage))
+    names = tuple(names)
+    has_bytes = "byte_start" in df.schema[entities_col].dataType.elementType.elementType.fieldNames()
+    desc, skey = f"{_TMP}descs", _strategy_key(strategy)
+    d = df.withColumn(desc, _memo(("descs", entities_col, skey, has_bytes), lambda: F.transform(
+        entities_col, lambda es: _desc_with_replacement(es, strategy, has_bytes))))
+    texts = _memo(("texts", texts_col, has_bytes), lambda: F.zip_with(
+        texts_col, desc, lambda t, r: _redacted(t, r, t.cast("binary") if has_bytes else None)))
+    field = F.array(*[F.lit(n) for n in names])
+    records = _memo(("all records", names, include_original), lambda: F.flatten(F.transform(
+        desc, lambda rs, i: F.transform(rs, _record_fn(F.get(field, i), include_original)))))
+    return d.withColumns({out_texts: texts, out_records: records}).drop(desc)
 
 
 def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder", *,
@@ -186,8 +175,23 @@ def with_redaction(df: DataFrame, text_col, entities_col, strategy="placeholder"
     detector output) are spliced left to right from byte slices in linear
     time; any other list takes the exact right-to-left form.
     """
-    return with_redaction_many(df, [(text_col, entities_col, out_text, out_records,
-                                     field_name)], strategy, include_original=include_original)
+    has_bytes = "byte_start" in _entity_fields(df, entities_col)
+    name = entities_col if isinstance(entities_col, str) else None
+    text_name = text_col if isinstance(text_col, str) else None
+    desc, binary = f"{_TMP}desc", f"{_TMP}bin"
+    stage = {desc: _memo(("desc", name, _strategy_key(strategy), has_bytes),
+                         lambda: _desc_with_replacement(col_of(entities_col), strategy, has_bytes))}
+    if has_bytes:
+        stage[binary] = col_of(text_col).cast("binary")
+    target = out_text or (text_col if isinstance(text_col, str) else "redacted_text")
+    outputs = {
+        target: _memo(("text", text_name, has_bytes), lambda: _redacted(
+            col_of(text_col), F.col(desc), F.col(binary) if has_bytes else None)),
+        out_records: _memo(("records", str(field_name), include_original), lambda: F.transform(
+            F.col(desc), _record_fn(None if field_name is None else F.lit(field_name), include_original))),
+    }
+    from .detect import _select_replacing
+    return _select_replacing(df.withColumns(stage), outputs, drop=list(stage))
 
 
 def utc_now() -> Column:

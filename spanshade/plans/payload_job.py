@@ -6,7 +6,8 @@ given, in which case the findings are grouped per payload and joined once.
 Per payload:
 * a field is processed when it exists, is a string and is not blank;
 * each processed field is detected (regex, plus findings for that field),
-  resolved, and redacted right to left;
+  resolved, and redacted right to left; the fields of a row lie in one array
+  that one expression walks, so the plan does not grow with their number;
 * ``_redaction_metadata`` = (redacted_at, redaction_count, strategy_used,
   redactions[]) when at least one entity was redacted, else NULL; records are
   concatenated in field order and tagged with ``field_name``;
@@ -18,17 +19,17 @@ Per payload:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.patterns import DEFAULT_CONFIDENCE
 from ..functions.strategies import get_strategy
 from ..functions.text import is_blank
-from ..operators.detect import with_entities_many
+from ..operators.detect import with_entities_of_texts
 from ..operators.entities import PUBLIC_TYPE, empty_array, public_array
 from ..operators.findings import attach_findings, findings_to_entities, group_findings
-from ..operators.redact import FIELD_RECORD_TYPE, usable, utc_now, with_redaction_many
+from ..operators.redact import FIELD_RECORD_TYPE, usable, utc_now, with_redaction_of_texts
 
 # Fixed value: the PII text fields of a payload, in processing order.
 PII_FIELDS = ("sentence", "description", "notes", "comments", "transcript")
@@ -43,6 +44,22 @@ def eligible_fields(df: DataFrame, fields=PII_FIELDS) -> list[str]:
     return [f for f in fields if isinstance(types.get(f), StringType)]
 
 
+#: Staged columns: one element per processed field.
+TEXTS, ENTITIES = "__ss_texts", "__ss_entities"
+
+
+def _texts(present) -> Column:
+    return F.array(*[F.col(f"`{f}`") for f in present]).cast("array<string>")
+
+
+def _findings_of_texts(present, blank: bool = False) -> Column:
+    """The findings in ``__ss_findings`` as one entity array per field (NULL for a blank field,
+    which is never scanned, unless ``blank``)."""
+    names = F.array(*[F.lit(f) for f in present]).cast("array<string>")
+    return F.zip_with(F.col(TEXTS), names, lambda t, name: F.when(F.lit(blank) | ~is_blank(t), findings_to_entities(
+        F.col("__ss_findings"), t, field_name=name)))
+
+
 def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeholder",
                     findings: DataFrame | None = None, key_cols=("verbatim_id",),
                     id_col: str = "verbatim_id", types=None,
@@ -56,17 +73,12 @@ def redact_payloads(df: DataFrame, *, fields=PII_FIELDS, strategy: str = "placeh
     if findings is not None:
         d = attach_findings(d, findings, keys, "__ss_findings")
 
-    specs = []
-    for f in present:
-        ecol = f"__ss_e_{f}"
-        extra = None
-        if findings is not None:
-            # a blank field is never scanned, so outside spans on it are ignored
-            extra = F.when(is_blank(F.col(f)), F.lit(None)).otherwise(
-                findings_to_entities(F.col("__ss_findings"), F.col(f), field_name=f))
-        specs.append((f, ecol, extra))
-    if specs:
-        d = with_entities_many(d, specs, types=types, confidence=confidence)
+    d = d.withColumn(TEXTS, _texts(present))
+    extra = None
+    if findings is not None:
+        extra = "__ss_extra"
+        d = d.withColumn(extra, _findings_of_texts(present))
+    d = with_entities_of_texts(d, TEXTS, ENTITIES, extra, types=types, confidence=confidence)
     return _redact_given(d, present, strategy, id_col, include_original, on_failure)
 
 
@@ -89,8 +101,8 @@ def redact_with_entities(df: DataFrame, entities: DataFrame, *, fields=PII_FIELD
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     d = df.join(group_findings(entities, keys, "__ss_findings"), on=keys,
                 how="left" if unmatched == "keep" else "inner")
-    d = d.withColumns({f"__ss_e_{f}": public_array(findings_to_entities(F.col("__ss_findings"), F.col(f), field_name=f))
-                       for f in present})
+    d = d.withColumn(TEXTS, _texts(present)).withColumn("__ss_given", _findings_of_texts(present, blank=True))
+    d = d.withColumn(ENTITIES, F.transform("__ss_given", public_array))
     return _redact_given(d, present, strategy, id_col, include_original, on_failure)
 
 
@@ -102,33 +114,23 @@ def _check(strategy: str, on_failure: str) -> None:
 
 def _redact_given(d: DataFrame, present, strategy: str, id_col: str, include_original: bool,
                   on_failure: str) -> DataFrame:
-    """Redact every field by its entities in ``__ss_e_<field>``; metadata and stats."""
-    ent_cols = {f: f"__ss_e_{f}" for f in present}
-    ok = F.lit(True)
-    for f in present:  # entities on a field without text cannot be applied either
-        ok = ok & usable(F.col(ent_cols[f])) & (F.col(f).isNotNull() | (F.size(F.col(ent_cols[f])) == 0))
-    d = d.withColumn("__ss_ok", ok)
-
-    # staged under names, so the redaction reads their type from the schema
-    # instead of analysing each expression on its own
-    d = d.withColumns({f"__ss_u_{f}": F.when(F.col("__ss_ok"), F.col(ent_cols[f]))
-                       .otherwise(empty_array(PUBLIC_TYPE)) for f in present})
-    red_specs = [(f, f"__ss_u_{f}", f, f"__ss_r_{f}", f) for f in present]
-    if red_specs:
-        d = with_redaction_many(d, red_specs, strategy, include_original=include_original)
-    rec_cols = [F.col(f"__ss_r_{f}") for f in present]
-
-    records = F.concat(*rec_cols) if rec_cols else empty_array(FIELD_RECORD_TYPE)
+    """Redact every field by its entities in ``ENTITIES``; metadata and stats."""
+    # entities on a field without text cannot be applied either
+    ok = F.forall(F.zip_with(TEXTS, ENTITIES, lambda t, es: usable(es) & (t.isNotNull() | (F.size(es) == 0))), lambda x: x)
+    d = d.withColumn("__ss_ok", ok).withColumn("__ss_used", F.transform(
+        ENTITIES, lambda es: F.when(F.col("__ss_ok"), es).otherwise(empty_array(PUBLIC_TYPE))))
+    d = with_redaction_of_texts(d, TEXTS, "__ss_used", present, "__ss_redacted", "__ss_records", strategy,
+                                include_original=include_original)
+    records = F.col("__ss_records") if present else empty_array(FIELD_RECORD_TYPE)
     n = F.size(records)
     metadata = F.when(n > 0, F.struct(
         utc_now().alias("redacted_at"),
         n.alias("redaction_count"),
         F.lit(strategy).alias("strategy_used"), records.alias("redactions")))
-    pii = sum((F.size(F.col(ent_cols[f])) for f in present), F.lit(0))
-    with_pii = F.filter(
-        F.array(*[F.when(F.size(F.col(ent_cols[f])) > 0, F.lit(f)) for f in present])
-        if present else empty_array("string"),
-        lambda x: x.isNotNull())
+    counts = F.transform(ENTITIES, F.size)
+    pii = F.aggregate(counts, F.lit(0), lambda a, c: a + c)
+    names = F.array(*[F.lit(f) for f in present]).cast("array<string>")
+    with_pii = F.filter(names, lambda name, i: F.get(F.col(ENTITIES), i).isNotNull() & (F.size(F.get(F.col(ENTITIES), i)) > 0))
     payload_id = (F.coalesce(F.col(id_col).cast("string"), F.lit("unknown"))
                   if id_col in d.columns else F.lit("unknown"))
     failed = ~F.col("__ss_ok")
@@ -139,7 +141,8 @@ def _redact_given(d: DataFrame, present, strategy: str, id_col: str, include_ori
         F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
         F.when(failed, F.lit("unusable entity offsets")).alias("error"),
     )
-    out = d.withColumns({"_redaction_metadata": metadata, "_stats": stats})
+    out = d.withColumns({"_redaction_metadata": metadata, "_stats": stats,
+                         **{f: F.get("__ss_redacted", F.lit(i)) for i, f in enumerate(present)}})
     if on_failure == "quarantine":
         out = out.withColumns({f: F.when(failed, F.lit(None).cast("string"))
                                .otherwise(F.col(f)) for f in present})
