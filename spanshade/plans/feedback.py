@@ -6,7 +6,7 @@
    and the clean complement (left anti join);
 3. training examples: spans an outside scanner reports on quarantined raw
    records, re-cut from the raw text, minus spans that were already redacted
-   (anti join on key + interval overlap);
+   (both grouped by record, then one sweep over starts and ends);
 4. training set: examples deduplicated by (text, type) with counts;
 5. leak alerts per (file, type) and a per-type review sample.
 
@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.detect import explode_entities, with_entities
-from ..operators.merge import let, overlaps, walk_blocks
+from ..operators.findings import cut_spans
+from ..operators.merge import let, walk_blocks
 from ..session import materialize
 
 
@@ -46,13 +47,30 @@ def replacement_spans(records_desc: Column) -> Column:
         span, kind, lambda shift: F.lit(None).cast(kind)))
 
 
+def outside(spans: Column, taken: Column) -> Column:
+    """The elements of ``spans`` that overlap none of ``taken`` (structs with ``start_pos`` and ``end_pos``).
+
+    One sweep: a span is met by its end, a taken one by its start; a span
+    overlaps one that began before its end if any of those ends behind its
+    start, so the largest end so far is all the state. Sorting aside, the work
+    is linear in both. The order of ``spans`` is kept.
+    """
+    none = F.lit(None).cast("int")
+    events = F.sort_array(F.concat(
+        F.transform(spans, lambda e, i: F.struct(e["end_pos"].alias("at"), F.lit(0).alias("kind"), e["start_pos"].alias("x"), i.cast("int").alias("i"))),
+        F.transform(taken, lambda s: F.struct(s["start_pos"].alias("at"), F.lit(1).alias("kind"), s["end_pos"].alias("x"), none.alias("i")))))
+    free = let(events, lambda es: F.sort_array(walk_blocks(
+        es, none, "int", lambda far, e: F.when(e["kind"] == 1, F.greatest(far, e["x"])).otherwise(far),
+        lambda far, e: F.when((e["kind"] == 0) & (far.isNull() | (far <= e["x"])), e["i"]), "int", lambda far: none)))
+    return F.when((F.size(spans) == 0) | (F.size(taken) == 0), spans).otherwise(
+        F.transform(free, lambda i: F.get(spans, i)))
+
+
 def with_residual_leaks(df: DataFrame, redacted_col: str, spans_col: str,
                         out_col: str = "leaks", types=None) -> DataFrame:
     """Detect on the redacted text; keep entities outside the replacement spans."""
     d = with_entities(df, redacted_col, "__ss_res", types=types)
-    leaks = F.filter(F.col("__ss_res"),
-                     lambda e: ~F.exists(F.col(spans_col), lambda s: overlaps(e, s)))
-    return d.withColumn(out_col, leaks).drop("__ss_res")
+    return d.withColumn(out_col, outside(F.col("__ss_res"), F.col(spans_col))).drop("__ss_res")
 
 
 #: File lists up to this many rows are broadcast.
@@ -90,21 +108,18 @@ def training_examples(quarantined: DataFrame, findings: DataFrame, redacted: Dat
     ``redacted``: long table of already-redacted spans (keys, start_pos, end_pos).
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    q = quarantined.select(*keys, file_col, text_col)
-    f = findings.select(*keys, "begin_offset", "end_offset", "type", "source")
-    aligned = q.join(f, on=keys, how="inner").select(
-        *keys, file_col,
-        F.substring(F.col(text_col), F.col("begin_offset") + 1,
-                    F.col("end_offset") - F.col("begin_offset")).alias("text"),
-        "begin_offset", "end_offset", "type", "source")
-    r = redacted.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                        F.col("start_pos").alias("__r_s"), F.col("end_pos").alias("__r_e"))
-    cond = None
-    for k in keys:
-        c = F.col(k) == F.col(f"__r_{k}")
-        cond = c if cond is None else cond & c
-    cond = cond & (F.col("begin_offset") < F.col("__r_e")) & (F.col("end_offset") > F.col("__r_s"))
-    return aligned.join(r, on=cond, how="left_anti")
+    found = F.struct(F.col("begin_offset").cast("int").alias("start_pos"), F.col("end_offset").cast("int").alias("end_pos"),
+                     "type", "source")
+    taken = F.struct(F.col("start_pos").cast("int").alias("start_pos"), F.col("end_pos").cast("int").alias("end_pos"))
+    # per record both lists are as long as its text allows; the text meets them once
+    q = quarantined.select(*keys, file_col, F.col(text_col).alias("__text")).join(
+        findings.groupBy(*keys).agg(F.sort_array(F.collect_list(found)).alias("__found")), on=keys, how="inner").join(
+        redacted.groupBy(*keys).agg(F.collect_list(taken).alias("__taken")), on=keys, how="left")
+    missed = outside(F.col("__found"), F.coalesce("__taken", F.array().cast("array<struct<start_pos:int,end_pos:int>>")))
+    rows = F.transform(cut_spans(F.col("__text"), missed), lambda s: F.struct(F.lit(True).alias("here"), s.alias("s")))
+    return explode_entities(q.withColumn("__missed", rows), [*keys, file_col], "__missed").select(
+        *keys, file_col, "s.text", F.col("s.start_pos").alias("begin_offset"), F.col("s.end_pos").alias("end_offset"),
+        "s.type", "s.source")
 
 
 def training_set(examples: DataFrame, file_col: str = "source_file", keys=("text", "type")) -> DataFrame:
