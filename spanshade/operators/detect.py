@@ -82,7 +82,10 @@ def _detect(df: DataFrame, text_col, out_col: str, extra=None, *, types=None, pa
     pats = tuple(select_patterns(types, patterns))
     conf = float(confidence)
     scan = f"{_TMP}scan"
-    d = df.withColumn(scan, _scan_expr(text_col))
+    staged = {scan: _scan_expr(text_col)}
+    if extra is not None:  # under a fixed name, so what follows is built once
+        staged[f"{_TMP}extra"] = extra
+    d = df.withColumns(staged)
     stage1 = _stage1_exprs(pats, guards)
     d = d.withColumns(stage1) if stage1 else d
     stage2 = _stage2_exprs(pats)
@@ -92,10 +95,8 @@ def _detect(df: DataFrame, text_col, out_col: str, extra=None, *, types=None, pa
     elif extra is None:
         out = _kept_expr(0, pats, conf, public)
     else:
-        kept = resolve_overlaps(F.concat(_candidates_expr(0, pats, conf), F.coalesce(extra, empty_array(INTERNAL_TYPE))),
-                                may_have_empty=True)
-        out = public_array(kept) if public else kept
-    return _select_replacing(d, {out_col: out}, drop=[scan, *stage1, *stage2])
+        out = _kept_expr(0, pats, conf, public, f"{_TMP}extra")
+    return _select_replacing(d, {out_col: out}, drop=[*staged, *stage1, *stage2])
 
 
 _SCAN_CACHE: dict = {}
@@ -220,8 +221,11 @@ def _candidates_expr(i: int, pats: tuple, confidence: float) -> Column:
 
 
 @functools.lru_cache(maxsize=256)
-def _kept_expr(i: int, pats: tuple, confidence: float, public: bool) -> Column:
-    kept = resolve_overlaps(_candidates_expr(i, pats, confidence), may_have_empty=False)
+def _kept_expr(i: int, pats: tuple, confidence: float, public: bool, extra_col: str | None = None) -> Column:
+    cands = _candidates_expr(i, pats, confidence)
+    if extra_col is not None:
+        cands = F.concat(cands, F.coalesce(F.col(extra_col), empty_array(INTERNAL_TYPE)))
+    kept = resolve_overlaps(cands, may_have_empty=extra_col is not None)
     return public_array(kept) if public else kept
 
 
