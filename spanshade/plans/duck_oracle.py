@@ -385,6 +385,17 @@ rl AS (SELECT e.src, e.key, list({'s': e.x.s, 'e': e.x.e, 't': e.x.t, 'y': l.lab
                  FROM payloads p JOIN given g ON p.verbatim_id = g.verbatim_id
                  GROUP BY p.verbatim_id, p.sentence, p.notes)""",
         f"given AS ({GIVEN_SQL})")
+    few = "SELECT * FROM payloads WHERE ordinal % 4 <> 1"
+    out["payloads_paired_by_position"] = with_views(
+        " UNION ALL ".join(
+            f"""SELECT '{case}' AS "case", a.verbatim_id,
+                  CASE WHEN hit AND s <> '' THEN '[REDACTED]' || substring(s, 6) ELSE s END AS sentence,
+                  CASE WHEN hit AND n <> '' THEN substring(n, 1, 11) || '[REDACTED_PERSON]' || substring(n, 22) ELSE n END AS notes,
+                  CAST(CASE WHEN hit THEN CAST(coalesce(trim(s) <> '', false) AS INTEGER)
+                                        + CAST(coalesce(trim(n) <> '', false) AS INTEGER) ELSE 0 END AS INTEGER) AS pii_detected
+                FROM (SELECT verbatim_id, sentence AS s, notes AS n, row_number() OVER (ORDER BY verbatim_id) AS i FROM ({left})) a
+                JOIN (SELECT verbatim_id % 3 <> 0 AS hit, row_number() OVER (ORDER BY verbatim_id) AS i FROM ({right})) USING (i)"""
+            for case, left, right in (("more payloads", "SELECT * FROM payloads", few), ("more results", few, "SELECT * FROM payloads"))))
     return out
 
 

@@ -27,8 +27,9 @@ from ..functions.patterns import DEFAULT_CONFIDENCE
 from ..functions.strategies import get_strategy
 from ..functions.text import is_blank
 from ..operators.detect import with_entities_of_texts
-from ..operators.entities import PUBLIC_TYPE, empty_array, public_array
+from ..operators.entities import ENTITY_FIELDS, PUBLIC_TYPE, empty_array, public_array
 from ..operators.findings import attach_findings, findings_to_entities, group_findings
+from ..operators.pairing import zip_rows
 from ..operators.redact import FIELD_RECORD_TYPE, usable, utc_now, with_redaction_of_texts
 
 # Fixed value: the PII text fields of a payload, in processing order.
@@ -106,6 +107,32 @@ def redact_with_entities(df: DataFrame, entities: DataFrame, *, fields=PII_FIELD
     return _redact_given(d, present, strategy, id_col, include_original, on_failure)
 
 
+#: Detection results of one payload: field name -> entities.
+RESULT_TYPE = "map<string,array<struct<text:string,entity_type:string,start_pos:int,end_pos:int,confidence:double,source:string>>>"
+
+
+def redact_paired(payloads: DataFrame, results: DataFrame, *, payload_order, result_order, fields=PII_FIELDS,
+                  entities_col: str = "entities_by_field", strategy: str = "placeholder", id_col: str = "verbatim_id",
+                  include_original: bool = True, on_failure: str = "passthrough") -> DataFrame:
+    """Redaction of the i-th payload by the i-th detection result (``RESULT_TYPE``); surplus on either side is dropped.
+
+    Results for fields that are missing, no strings or blank are not applied.
+    Columns of ``results`` other than ``entities_col`` and its order are ignored.
+    """
+    _check(strategy, on_failure)
+    present = eligible_fields(payloads, fields)
+    order = [result_order] if isinstance(result_order, str) else list(result_order)
+    slim = results.select(F.col(entities_col).cast(RESULT_TYPE).alias("__ss_results"),
+                          *[F.col(c).alias(f"__ss_order_{i}") for i, c in enumerate(order)])
+    d = zip_rows(payloads, slim, payload_order, [f"__ss_order_{i}" for i in range(len(order))])
+    names = F.array(*[F.lit(f) for f in present]).cast("array<string>")
+    unknown = F.lit(-1)
+    d = d.withColumn(TEXTS, _texts(present)).withColumn(ENTITIES, F.zip_with(TEXTS, names, lambda t, name: F.transform(
+        F.when(~is_blank(t), F.coalesce(F.try_element_at("__ss_results", name), F.array())).otherwise(F.array()),
+        lambda e: F.struct(*[e[c].alias(c) for c in ENTITY_FIELDS], unknown.alias("byte_start"), unknown.alias("byte_end")))))
+    return _redact_given(d, present, strategy, id_col, include_original, on_failure)
+
+
 def _check(strategy: str, on_failure: str) -> None:
     get_strategy(strategy)
     if on_failure not in ("passthrough", "quarantine"):

@@ -112,6 +112,20 @@ def payloads_with_given_entities(spark, sf_dir):
                       F.col("_stats.status").alias("status"))
 
 
+def payloads_paired_by_position(spark, sf_dir):
+    """The i-th payload redacted by the i-th detection result, once with more payloads and once with more results."""
+    from .payload_job import redact_paired
+    p = views.payloads(spark, sf_dir)
+    few = p.where("ordinal % 4 <> 1")
+    out = []
+    for case, left, right in (("more payloads", p, few), ("more results", few, p)):
+        red = redact_paired(left, views.detection_results(right), payload_order="verbatim_id", result_order="verbatim_id",
+                            fields=("sentence", "notes"))
+        out.append(red.select(F.lit(case).alias("case"), "verbatim_id", "sentence", "notes",
+                              F.col("_stats.pii_detected").alias("pii_detected")))
+    return out[0].unionByName(out[1])
+
+
 def redaction_records(spark, sf_dir):
     c = views.corpus(spark, sf_dir).select(*KEY, "text")
     d = with_redaction(with_entities(c, "text", "ents"), "text", "ents", "placeholder",
@@ -376,6 +390,7 @@ def registered() -> dict:
         "redact_partial": _redact_query("partial"),
         "redact_with_entities": redact_with_entities,
         "payloads_with_given_entities": payloads_with_given_entities,
+        "payloads_paired_by_position": payloads_paired_by_position,
         "redaction_records": redaction_records,
         "payload_redaction": payload_redaction,
         "payload_stats": payload_stats,
