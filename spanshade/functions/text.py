@@ -42,3 +42,8 @@ def preview(c, n: int = 50, always_dots: bool = False) -> Column:
 def digits(c) -> Column:
     """Keep only decimal digits (Unicode Nd, like ``str.isdigit`` on regex matches)."""
     return F.regexp_replace(col_of(c), F.lit(r"(?U)\D"), F.lit(""))
+
+
+def clock() -> Column:
+    """The clock of the task (microseconds since the epoch), read anew for every row."""
+    return F.expr("unix_micros(cast(reflect('java.time.Instant', 'now') as timestamp))")

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from ..sources.ledger import append_run, is_committed, read_runs
 
 
 def canonical_labels(entities: DataFrame, order_key: Column, text_col: str = "text",
@@ -41,19 +42,41 @@ def canonical_labels(entities: DataFrame, order_key: Column, text_col: str = "te
     return first.groupBy("text").agg(F.min(F.struct("o", "label"))["label"].alias("label"))
 
 
+LABEL_TYPE = "text string, label string"
+
+
+def first_labels(entities: DataFrame, order_key: Column, base: str, run_id: str) -> DataFrame:
+    """(text, label) of every text seen so far, by this run and the runs before it.
+
+    The label table below ``base`` grows by committed runs (``sources.ledger``),
+    one folder per run with the texts that were new in it; runs must come in
+    processing order. A rerun under the same id, or with entities already seen,
+    changes nothing. So jobs in sequence give the labels of one job over all.
+    """
+    spark = entities.sparkSession
+    if not is_committed(spark, base, run_id):
+        pairs = entities.groupBy(F.col("text"), F.col("entity_type").alias("label")).agg(F.min(order_key).alias("o"))
+        first = pairs.groupBy("text").agg(F.min(F.struct("o", "label"))["label"].alias("label"))
+        known = read_runs(spark, base, LABEL_TYPE).select("text")
+        append_run(first.join(known, "text", "left_anti").where(F.col("text").isNotNull()), base, run_id)
+    return read_runs(spark, base, LABEL_TYPE)
+
+
 def canonical_hash(text: Column, label: Column) -> Column:
     return F.concat(F.lit("["), label, F.lit("_"), F.substring(F.md5(text), 1, 8), F.lit("]"))
 
 
 def redact_canonical(texts: DataFrame, entities: DataFrame, key_cols, text_col: str = "text",
-                     order_cols=None, out_text: str = "redacted_text") -> DataFrame:
+                     order_cols=None, out_text: str = "redacted_text", label_base: str | None = None,
+                     run_id: str | None = None) -> DataFrame:
     """Hash-redact ``texts`` with canonical (first-seen) labels.
 
     ``entities`` is the long entity table (keys, text, entity_type, start_pos,
     end_pos, confidence, source), e.g. from ``detect_table``; it is joined
     back to ``texts`` on the keys, so the detection itself runs once.
     The processing order is ``order_cols`` (default: the keys), then
-    descending start within a record.
+    descending start within a record. With ``label_base`` and ``run_id`` the
+    labels go on from those of the runs before (``first_labels``).
     """
     from .redact import with_redaction
 
@@ -63,7 +86,7 @@ def redact_canonical(texts: DataFrame, entities: DataFrame, key_cols, text_col:
     # once to the (shared) checkpoint folder instead of detecting twice
     entities = materialize(entities, "canonical-entities")
     order = F.struct(*[F.col(c) for c in order_cols], (-F.col("start_pos")).alias("__ns"))
-    labels = canonical_labels(entities, order)
+    labels = canonical_labels(entities, order) if label_base is None else first_labels(entities, order, label_base, run_id)
     labels = materialize(labels, "canonical-labels")
     labelled = entities.join(labels, on="text", how="left").withColumn(
         "label", F.coalesce("label", "entity_type"))

@@ -46,19 +46,22 @@ def file_job_rows(payload_rows: DataFrame, file_col: str = "source_file",
     As in the reference job result: processed = total, failed_payloads is
     forced to 0 and the status is ``success`` even when payloads failed; the
     failures only show up as a warning. ``failed_rows`` carries the true count.
-    A row with an error (if there is such a column) and no stats marks an
+    Columns ``began`` and ``ended`` (``text.clock()`` of each row), if there, become the
+    file's first and last clock. A row with an error (if there is such a column) and no stats marks an
     unusable file: status ``failed``, the error, and nothing counted for it.
     ``dest``: the output folder; ``dest_file`` is the file's own folder in it.
     """
     s = F.col(stats_col)
     error = F.col(error_col) if error_col in payload_rows.columns else F.lit(None).cast("string")
     order = F.col("payload_ordinal") if "payload_ordinal" in payload_rows.columns else F.lit(0)
+    clocks = [(c, f) for c, f in (("began", F.min), ("ended", F.max)) if c in payload_rows.columns]
     agg = payload_rows.groupBy(file_col).agg(
         F.count(s).alias("total_payloads"),
         F.coalesce(F.sum(s["pii_detected"]), F.lit(0)).cast("bigint").alias("total_pii_detected"),
         F.count_if(s["status"] == "failed").alias("failed_rows"),
         F.count_if(s["pii_detected"] > 0).alias("payloads_with_pii"),
         F.min(F.when(error.isNotNull(), F.struct(order.alias("o"), error.alias("error"))))["error"].alias("error"),
+        *[f(c).alias(f"{c}_micros") for c, f in clocks],
     )
     ok = F.col("error").isNull()
     none = F.array().cast("array<string>")
@@ -80,18 +83,31 @@ def file_job_rows(payload_rows: DataFrame, file_col: str = "source_file",
         "failed_rows",
         _detection_config(finding_sources).alias("detection_config"),
         _redaction_config(strategy).alias("redaction_config"),
+        *[f"{c}_micros" for c, _ in clocks],
     )
 
 
+def _iso(micros: F.Column) -> F.Column:
+    utc = F.to_utc_timestamp(F.timestamp_micros(micros), F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def with_times(job_rows: DataFrame, began: float, ended: float) -> DataFrame:
-    """Add the job's start and end (epoch seconds in, UTC ISO text out) and its
-    duration; files of one job run together, so they share them."""
-    from datetime import datetime, timezone
+    """Start and end of each file (UTC ISO text) and the seconds between.
+
+    ``began_micros`` and ``ended_micros``, if there, are the clocks of the task
+    that read the file's first row and finished its last; a file without them
+    has the job's (epoch seconds). A failed file has 0.0 seconds.
+    """
+    def micros(col: str, job: float):
+        fixed = F.lit(int(job * 1_000_000)).cast("bigint")
+        return F.coalesce(F.col(col), fixed) if col in job_rows.columns else fixed
 
-    iso = lambda t: datetime.fromtimestamp(t, timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
+    start, end = micros("began_micros", began), micros("ended_micros", ended)
+    seconds = F.when(F.col("status") == "success", (end - start) / F.lit(1_000_000.0)).otherwise(F.lit(0.0))
     return job_rows.withColumns({
-        "processing_start": F.lit(iso(began)), "processing_end": F.lit(iso(ended)),
-        "processing_seconds": F.lit(float(ended - began))})
+        "processing_start": _iso(start), "processing_end": _iso(end), "processing_seconds": seconds,
+    }).drop("began_micros", "ended_micros")
 
 
 def job_summary(job_rows: DataFrame) -> DataFrame:
@@ -108,7 +124,9 @@ def job_summary(job_rows: DataFrame) -> DataFrame:
 
 def batch_summary(job_rows: DataFrame) -> DataFrame:
     ok = F.col("status") == "success"
-    seconds = [F.max("processing_seconds").alias("processing_time")] if "processing_seconds" in job_rows.columns else []
+    times = [F.unix_micros(F.to_timestamp(c)) for c in ("processing_end", "processing_start")]
+    seconds = ([((F.max(times[0]) - F.min(times[1])) / F.lit(1_000_000.0)).alias("processing_time")]
+               if "processing_start" in job_rows.columns else [])
     return job_rows.agg(*seconds,
         F.count(F.lit(1)).alias("files_total"),
         F.count_if(ok).alias("files_success"),

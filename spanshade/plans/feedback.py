@@ -23,6 +23,7 @@ from ..operators.detect import explode_entities, with_entities
 from ..operators.findings import cut_spans
 from ..operators.merge import let, walk_blocks
 from ..session import materialize
+from ..sources.ledger import append_run, is_committed, read_runs
 
 
 def replacement_spans(records_desc: Column) -> Column:
@@ -149,6 +150,24 @@ def write_training_set(training: DataFrame, path: str, fmt: str = "jsonl", appen
         raise ValueError(f"Unknown format '{fmt}'. Available: ['jsonl', 'csv', 'parquet']")
 
 
+def grow_training_set(training: DataFrame, base: str, run_id: str, keys=("text", "type")) -> DataFrame:
+    """Add to the set below ``base`` what it does not hold yet; returns the whole set.
+
+    The set is a dataset of committed runs (``sources.ledger``): a run adds one
+    folder and rewrites none, a run that died leaves nothing, and a rerun, under
+    the same id or a new one, adds nothing. Only the keys of the set are read.
+    Null-safe on the keys; counts stay those of the run that brought the key.
+    """
+    spark, keys = training.sparkSession, list(keys)
+    if not is_committed(spark, base, run_id):
+        held = read_runs(spark, base, training.schema).select(*[F.col(k).alias(f"__held_{k}") for k in keys]).distinct()
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"__held_{k}"))
+        append_run(training.join(held, same, "left_anti"), base, run_id)
+    return read_runs(spark, base, training.schema)
+
+
 def leak_alerts(leaks: DataFrame, file_col: str = "source_file") -> DataFrame:
     return leaks.groupBy(file_col, "entity_type").agg(F.count(F.lit(1)).alias("n_leaks"))
 

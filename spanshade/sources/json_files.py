@@ -33,6 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import clock
+
 # The messages of unusable files.
 INVALID = "Invalid JSON format"
 UNEXPECTED = "Unexpected JSON format"
@@ -60,14 +62,15 @@ def not_object(ty: str) -> Column:
 
 
 def classify_files(raw: DataFrame, path_col: str | None = None) -> DataFrame:
-    """Per file: source_file, arr (array<variant> of payloads) and error.
+    """Per file: source_file, arr (array<variant> of payloads), error and the
+    clock when the task began with it.
 
     ``raw`` is a whole-file text read (``value``); the file path comes from
     the hidden ``_metadata`` column unless ``path_col`` names one.
     """
     path = F.col(path_col) if path_col else F.col("_metadata.file_path")
     files = raw.select(normalise_path(path).alias("source_file"),
-                       F.col("value").alias("content"))
+                       F.col("value").alias("content"), clock().alias("began"))
     # [<content>,<check>]: the check number cannot stand in the content it is made from
     files = files.withColumn("check", F.xxhash64("content"))
     files = files.withColumn("wrapped", F.concat(F.lit("["), "content", F.lit(","), F.col("check").cast("string"), F.lit("]")))
@@ -94,7 +97,7 @@ def classify_files(raw: DataFrame, path_col: str | None = None) -> DataFrame:
         .when(F.col("fb_ty").isNotNull(), not_object("fb_ty"))
         .when(F.exists("arr", lambda e: e.isNull()), F.lit(INVALID))
     )
-    return files.select("source_file", "arr", error.alias("error"))
+    return files.select("source_file", "arr", error.alias("error"), "began")
 
 
 #: Texts above this many bytes get a second chance if they are no VARIANT.
@@ -105,8 +108,8 @@ def payload_rows(files: DataFrame) -> DataFrame:
     """``classify_files`` -> source_file, payload_ordinal, payload, error: a row
     per payload of a good file, one row with only the error for another."""
     good = F.when(F.col("error").isNull(), F.col("arr"))
-    return files.select("source_file", "error", F.posexplode_outer(good).alias("payload_ordinal", "payload")) \
-        .select("source_file", "payload_ordinal", "payload", "error")
+    return files.select("source_file", "error", "began", F.posexplode_outer(good).alias("payload_ordinal", "payload")) \
+        .select("source_file", "payload_ordinal", "payload", "error", "began")
 
 
 def empty_files(raw: DataFrame, seen: DataFrame) -> DataFrame:
@@ -119,7 +122,7 @@ def empty_files(raw: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def read_payload_files(spark: SparkSession, paths, fmt: str = "json", manifest: DataFrame | None = None) -> DataFrame:
-    """source_file, payload_ordinal, payload (VARIANT object), error.
+    """source_file, payload_ordinal, payload (VARIANT object), error, began (clock).
 
     ``fmt``: ``json`` (one array or object per file) or ``jsonl`` (one object
     per line; a bad line is a row of its own with an error and an ordinal).
@@ -153,7 +156,7 @@ def read_payload_lines(spark: SparkSession, paths) -> DataFrame:
     lines = lines.select(
         normalise_path(F.col("_metadata.file_path")).alias("source_file"),
         (F.col("_metadata.file_block_start") * F.lit(1 << 24) + F.monotonically_increasing_id() % F.lit(1 << 33)).alias("payload_ordinal"),
-        F.xxhash64("value").alias("check"), "value")
+        F.xxhash64("value").alias("check"), "value", clock().alias("began"))
     lines = lines.withColumn("pair", F.expr(
         "try_cast(try_parse_json(concat('[', value, ',', cast(check AS string), ']')) AS array<variant>)"))
     lines = lines.withColumn("v", F.when(
@@ -161,7 +164,7 @@ def read_payload_lines(spark: SparkSession, paths) -> DataFrame:
     lines = lines.withColumn("ty", F.schema_of_variant("v"))
     error = F.when(F.col("v").isNull(), F.lit(INVALID)).when(~F.col("ty").startswith("OBJECT"), not_object("ty"))
     return lines.withColumn("error", error).select(
-        "source_file", "payload_ordinal", F.when(F.col("error").isNull(), F.col("v")).alias("payload"), "error")
+        "source_file", "payload_ordinal", F.when(F.col("error").isNull(), F.col("v")).alias("payload"), "error", "began")
 
 
 def field_text_expr(payload_col: str, field: str) -> Column:

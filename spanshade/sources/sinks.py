@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 
 def source_name(c) -> F.Column:
-    """Output partition value of a file path: base name and a hash of the path."""
-    return F.concat(F.regexp_extract(c, r"([^/]+)$", 1), F.lit("-"), F.lower(F.lpad(F.hex(F.xxhash64(c)), 16, "0")))
+    """Output partition value of a file path: base name and a hash of the path.
+
+    Characters that a partition folder's name would escape become ``_``.
+    """
+    base = F.regexp_replace(F.regexp_extract(c, r"([^/]+)$", 1), r"""[\x00-\x1f\x7f"#%'*:=?\\{\[\]^]""", "_")
+    return F.concat(base, F.lit("-"), F.lower(F.lpad(F.hex(F.xxhash64(c)), 16, "0")))
 
 
 def write_redacted_jsonl(rows: DataFrame, path: str, json_col: str = "redacted_json",
