@@ -80,3 +80,19 @@ def slices(batch, at: int, size_bytes: int):
     cut = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]).tolist() if len(slot) else []
     for s, e in zip(cut, [*cut[1:], batch.num_rows]):
         yield batch.slice(s, e - s)
+
+
+def sent(spark: SparkSession, thing):
+    """A broadcast of an object's attributes (plain values and arrays).
+
+    Unlike the object itself they can be read where this package is missing;
+    ``received`` makes the object again, from the class that a task's function
+    brings along by value.
+    """
+    return spark.sparkContext.broadcast(dict(vars(thing)))
+
+
+def received(held, kind: type):
+    out = kind.__new__(kind)
+    vars(out).update(held.value)
+    return out

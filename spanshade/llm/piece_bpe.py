@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import received, sent, slices
 
 SPACE = "▁"
 FAR = np.int64(1) << 40
@@ -295,11 +295,11 @@ SLICE_BYTES = 1_000_000
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text (``array<int>``)."""
     docs = docs.select(*[c for c in docs.columns if c != ids_col])
-    tables = docs.sparkSession.sparkContext.broadcast(load_tables(model_path))
+    tables = sent(docs.sparkSession, load_tables(model_path))
     at, names = docs.columns.index(text_col), [*docs.columns, ids_col]
 
     def run(batches):
-        memo = Memo(tables.value)
+        memo = Memo(received(tables, PieceTables))
         for whole in batches:
             for b in slices(whole, at, SLICE_BYTES):
                 ids, per = memo.encode([t or "" for t in b.column(at).to_pylist()])
@@ -312,11 +312,11 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the text of each id list; a null list gives the empty string."""
     df = df.select(*[c for c in df.columns if c != out_col])
-    tables = df.sparkSession.sparkContext.broadcast(load_tables(model_path))
+    tables = sent(df.sparkSession, load_tables(model_path))
     at, names = df.columns.index(ids_col), [*df.columns, out_col]
 
     def run(batches):
-        m = tables.value
+        m = received(tables, PieceTables)
         for b in batches:
             lists = b.column(at)
             counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -335,11 +335,11 @@ def round_trip(docs: DataFrame, model_path: str, text_col: str = "text", ids_col
     instead of two, and the ids do not go through the JVM between them.
     """
     docs = docs.select(*[c for c in docs.columns if c not in (ids_col, out_col)])
-    tables = docs.sparkSession.sparkContext.broadcast(load_tables(model_path))
+    tables = sent(docs.sparkSession, load_tables(model_path))
     at, names = docs.columns.index(text_col), [*docs.columns, ids_col, out_col]
 
     def run(batches):
-        m = tables.value
+        m = received(tables, PieceTables)
         memo = Memo(m)
         for whole in batches:
             for b in slices(whole, at, SLICE_BYTES):
