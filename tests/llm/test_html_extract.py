@@ -81,6 +81,40 @@ def test_embedded_text_of_the_article_stays(model, inside, text):
     assert h.extract([page], model) == [f"A title\n{KEPT}{text} {KEPT}".strip()]
 
 
+OTHER = "The river was low, and the boats stayed where they were, in the harbour."
+SHORT = "Open on most days."
+#: Pages with the blocks of their main text: content that looks like furniture, and the reverse.
+ODD_PAGES = [
+    ("address", f"<body><article><h1>A title</h1><p>{KEPT}</p><address>12 River Street, Northtown</address><p>{OTHER}</p></article><footer>F</footer></body>", ["A title",KEPT.strip(),"12 River Street, Northtown",OTHER]),
+    ("details", f"<body><nav><a href=/>Home</a></nav><main><h1>A title</h1><p>{KEPT}</p><details><summary>More</summary><p>{SHORT}</p></details><p>{OTHER}</p></main><footer>F</footer></body>", ["A title",KEPT.strip(),"More",SHORT,OTHER]),
+    ("tools", f"<body><article><h1>A title</h1><p>{KEPT}</p><div class='tools'><p>{OTHER}</p><p>{SHORT}</p></div></article></body>", ["A title",KEPT.strip(),OTHER,SHORT]),
+    ("search", f"<body><article><p>{KEPT}</p><div class='search'><p>{OTHER}</p></div><section id='search'><p>{OTHER}</p></section></article><footer>F</footer></body>", [KEPT.strip(),OTHER,OTHER]),
+    ("header", f"<body><header><a href=/>Site</a></header><article><header><h1>A title</h1></header><p>{KEPT}</p><p>{OTHER}</p></article><footer>F</footer></body>", ["A title",KEPT.strip(),OTHER]),
+    ("recipe", f"<body><article><p>{OTHER}</p><div class='cookies-recipe'><p>{OTHER}</p></div></article></body>", [OTHER,OTHER]),
+    ("recipe2", f"<body><nav><a href=/>H</a><a href=/x>X</a></nav><article><p>Mix it well.</p><div class='cookies-recipe'><p>Bake it for ten minutes.</p></div></article><footer>F</footer></body>", ["Mix it well.","Bake it for ten minutes."]),
+    ("furniture in article", f"<body><article><h1>A title</h1><p>{KEPT}</p><div class='share'><a href=#>Share</a> <a href=#>Mail</a></div><p>{OTHER}</p><aside><p>See also this.</p></aside></article></body>", ["A title",KEPT.strip(),OTHER]),
+    ("ad in article", f"<body><article><h1>A title</h1><p>{KEPT}</p><div class='advert'><p>Buy it now, today only.</p></div><p>{OTHER}</p></article><footer>F</footer></body>", ["A title",KEPT.strip(),OTHER]),
+    ("newsletter", f"<body><article><h1>A title</h1><p>{KEPT}</p><p>{OTHER}</p><div class='newsletter-signup'><p>Get our letter each week.</p><form><input><button>Go</button></form></div></article></body>", ["A title",KEPT.strip(),OTHER]),
+    ("comments in article", f"<body><article><h1>A title</h1><p>{KEPT}</p><p>{OTHER}</p><section id='comments'><h2>Replies</h2><div class='comment'><p>I disagree, strongly, with this.</p></div></section></article></body>", ["A title",KEPT.strip(),OTHER]),
+    ("no article", f"<body><div id='page'><div class='site-header'><a href=/>S</a></div><div class='menu'><a href=/>a</a> <a href=/>b</a></div><div class='content'><h1>A title</h1><p>{KEPT}</p><p>{OTHER}</p></div><div class='sidebar'><h3>Links</h3><a href=/>x</a></div><div id='footer'><p>Some rights reserved.</p></div></div></body>", ["A title",KEPT.strip(),OTHER]),
+    ("table", f"<body><article><h1>A title</h1><p>{KEPT}</p><table><tr><th>Year</th><th>Sum</th></tr><tr><td>1990</td><td>12</td></tr></table></article></body>", ["A title",KEPT.strip(),"Year","Sum","1990","12"]),
+    ("figure", f"<body><article><h1>A title</h1><figure><img src=x><figcaption>The old harbour</figcaption></figure><p>{KEPT}</p></article></body>", ["A title","The old harbour",KEPT.strip()]),
+    ("byline meta", f"<body><article><h1>A title</h1><p class='byline'>By a writer, in the spring.</p><p>{KEPT}</p></article></body>", ["A title","By a writer, in the spring.",KEPT.strip()]),
+    ("short", f"<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>A title</h1><p>Yes.</p></article><footer><p>F</p></footer></body>", ["A title","Yes."]),
+]
+
+
+@pytest.mark.parametrize("name, page, blocks", ODD_PAGES, ids=[c[0] for c in ODD_PAGES])
+def test_odd_pages(model, name, page, blocks):
+    assert h.extract([page], model)[0].split("\n") == blocks
+
+
+def test_names():
+    for value, want in (("cookie-notice", 1), ("site-header", 32), ("cookies-recipe", 32), ("tools", 32), ("mainNav", 3), ("comments", 65),
+                        ("post-body", 2), ("side-effects", 32), ("ad", 1), ("address-list", 0), ("comment-box sidebar", 65)):
+        assert h._words_of(value) == want, value
+
+
 def test_text_begins_the_body(model):
     assert [t for t in h.parse("<head><title>No</title>\n Some text.<p>More.").text if t] == ["Some text.", "More."]
 
@@ -95,6 +129,28 @@ def test_many_open_elements_stay_linear():
     assert time.perf_counter() - t0 < 20
 
 
+@pytest.mark.parametrize("shape", [
+    lambda n: "<a " * n, lambda n: "<a" * n, lambda n: '<a "' * (n | 1), lambda n: '<a ">" ' * n, lambda n: "<a \"'" * n, lambda n: "<!" * n,
+    lambda n: "<div>" * n + "</ul>" * n, lambda n: "<ul><table>" + "<div>" * n + "</ul>" * n, lambda n: "<table>" + "<td>" * n + "<tr>" * n,
+    lambda n: '<template "' * n, lambda n: "<script>'<p>" * n, lambda n: "<div>" * n, lambda n: "<p>x" * n,
+], ids=["open", "names", "quotes", "quoted ends", "mixed quotes", "marks", "stray ends", "bounded ends", "cells", "templates", "scripts", "deep", "flat"])
+def test_time_grows_linearly(model, shape):
+    import time
+
+    def seconds(size):
+        page = shape(size // len(shape(1)))
+        t0 = time.perf_counter()
+        h.extract([page, "<p>x</p>"], model)
+        return time.perf_counter() - t0
+
+    small = min(seconds(200_000) for _ in range(3))
+    assert min(seconds(800_000) for _ in range(2)) <= 2.2 ** 2 * small + 0.3
+
+
+def test_long_numbers_name_no_character(model):
+    assert h.parse("<p>a&#" + "9" * 5000 + ";b</p>").text[-1] == "a\ufffdb"
+
+
 def test_deep_and_long_pages(model):
     h.extract(["<div>" * 2000 + "x" + "</div>" * 2000, "<article>" + "<p>A sentence, long enough to keep here.</p>" * 5000 + "</article>"], model)
 
