@@ -14,10 +14,12 @@ slice advance together through the transitions: one gather per letter and
 language for the ``DENSE`` most frequent symbols, a search in the sorted
 transitions for the others.
 
-Training reads a bounded sample: about ``docs_per_lang`` labelled rows per
-language chosen by a hash of the id, ``excerpt`` characters of each from a
+Training reads a bounded sample: ``docs_per_lang`` labelled rows with a letter
+per language at most (ranked by a hash of id and text, so rows that share an id
+or have none are no exception), ``excerpt`` characters of each from a
 place that the hash of the id gives (from its first letter on, if there is
-none at that place), at most ``MAX_LETTERS`` over all languages. So the tables, which are broadcast, have a
+none at that place), at most ``MAX_LETTERS`` over all languages; of more
+languages than that allows (512) the most frequent are learned. So the tables, which are broadcast, have a
 size that does not grow with the corpus. Prediction needs no shuffle and its
 memory is one slice of texts.
 
@@ -34,11 +36,11 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import received, sent, slices
 
 WINDOW = 2048
 SLICE_BYTES = 8_000_000
@@ -217,39 +219,44 @@ class Model:
 def train(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           docs_per_lang: int = 64, excerpt: int = 512) -> Model:
     """A model from the rows where ``learnable`` holds and the label is not null."""
-    rows = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    text = F.col(text_col)
+    rows = docs.where(learnable & F.col(lang_col).isNotNull() & text.rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), text.alias("text"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    n = {r.lang: r.n for r in counts.limit(MAX_LETTERS // excerpt).collect()}
     if not n:
         return Model({})
     docs_per_lang = max(1, min(docs_per_lang, MAX_LETTERS // (excerpt * len(n))))
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     text = F.col("text")
     begin = F.pmod(F.xxhash64("id", F.lit("excerpt")), F.greatest(F.length(text) - excerpt + 1, F.lit(1))).cast("int") + 1
     piece = text.substr(begin, F.lit(excerpt))
     piece = F.when(piece.rlike(r"\p{L}"), piece).otherwise(F.regexp_replace(text, r"^\P{L}+", "").substr(1, excerpt))
-    # about four times the rows needed; those without a letter fall away below
-    share = F.create_map(*[x for k, v in n.items() for x in (F.lit(k), F.lit(min(1.0, 4.0 * docs_per_lang / v)))])
-    sample = rows.withColumn("place", place).where(F.col("place") < share[F.col("lang")]).select(
-        "lang", "id", "place", piece.alias("text"))
-    out: dict[str, list[str]] = {k: [] for k in n}
-    for r in sorted(sample.collect(), key=lambda r: (r.place, str(r.id), r.text)):
-        if len(out[r.lang]) < docs_per_lang and any(c.isalpha() for c in r.text):
-            out[r.lang].append(r.text)
-    return Model({k: v for k, v in out.items() if v})
+    # about four times the rows needed, then the first of them: a bound also where many rows hash alike
+    near = F.lit(False)
+    for k, v in n.items():
+        near = near | ((F.col("lang") == k) & (F.col("place") < min(1.0, 4.0 * docs_per_lang / v)))
+    sample = rows.withColumn("place", place).where(near).select("lang", "id", "place", piece.alias("text"))
+    w = Window.partitionBy("lang").orderBy("place", F.col("id").cast("string"), "text")
+    sample = sample.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= docs_per_lang)
+    out: dict[str, list[str]] = {}
+    for r in sorted(sample.collect(), key=lambda r: (r.lang, r.rank)):
+        out.setdefault(r.lang, []).append(r.text)
+    return Model(out)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "lang_pred",
              score_col: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score."""
     docs = docs.select(*[c for c in docs.columns if c not in (out_col, score_col)])
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
     at, names = docs.columns.index(text_col), [*docs.columns, out_col, score_col]
 
     def run(batches):
+        model = received(held, Model)
         for whole in batches:
             for b in slices(whole, at, SLICE_BYTES):
-                langs, score = held.value.predict([t or "" for t in b.column(at).to_pylist()])
+                langs, score = model.predict([t or "" for t in b.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(score)], names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.StringType()),

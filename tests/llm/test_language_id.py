@@ -4,6 +4,7 @@ import pytest
 from helpers import empty_docs, odd_docs
 from pyspark.sql import functions as F
 
+from spanshade.llm import language_id as lid
 from spanshade.llm.language_id import Model, SuffixAutomaton, identify, train
 
 
@@ -98,6 +99,26 @@ def test_odd_rows_and_empty(spark):
     assert {r.lang_pred for r in identify(docs, nothing).collect()} == {"und"}
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    """Null and repeated ids, many equal rows, more labels than can be learned."""
+    taken = []
+
+    class Probe(lid.Model):
+        def __init__(self, samples):
+            taken.append({k: len(v) for k, v in samples.items()})
+            super().__init__(samples)
+
+    monkeypatch.setattr(lid, "Model", Probe)
+    rows = [(None, f"der hund und die katze {i}", "de") for i in range(3000)] + [(7, f"le chien et le chat {i}", "fr") for i in range(3000)]
+    rows += [(8, "il gatto e il cane", "it")] * 3000 + [(i, "1 2 3", "nl") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    train(docs, F.lit(True), docs_per_lang=20, excerpt=64)
+    assert taken[-1]["de"] == taken[-1]["fr"] == 20 and 0 < taken[-1].get("it", 1) <= 20 and "nl" not in taken[-1]
+    monkeypatch.setattr(lid, "MAX_LETTERS", 64 * 2)
+    train(docs, F.lit(True), docs_per_lang=20, excerpt=64)
+    assert sum(taken[-1].values()) <= 2 and set(taken[-1]) <= {"de", "fr"}
+
+
 def test_held_out_accuracy(spark):
     import __spark_entry__ as E
 
