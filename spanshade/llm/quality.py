@@ -14,7 +14,8 @@ words, long and short words, and lines. Whole texts are counted, in slices of
 bounded size.
 
 Training reads a bounded sample: labelled rows chosen by a hash of the id,
-about ``per_label`` of each label; their ids (a bounded table) are broadcast to
+about ``per_label`` of each label (twice that at the very most, also where many
+rows share an id); their ids (a bounded table) are broadcast to
 fetch the texts, so no text shuffles. Scoring is one pass without a shuffle.
 
 Defined results: a null or empty text is a document without characters and
@@ -30,11 +31,11 @@ import string
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import received, sent, slices
 
 CUT = 0.7
 SLICE_BYTES = 8_000_000
@@ -147,15 +148,20 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
     chosen = rows.where(place < share).withColumnRenamed(id_col, "__id").distinct()
     sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id")
     shape_of = _shape_table()
-    kind = "label int, id string, x binary"
+    kind = "label int, id string, place long, x binary"
 
     def run(batches):
         for b in batches:
             x = features([t or "" for t in b.column(0).to_pylist()], shape_of)
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([r.tobytes() for r in x], pa.binary())],
-                                             ["label", "id", "x"])
-
-    got = sample.select("text", F.col("label").cast("int").alias("label"), F.col("__id").cast("string").alias("id")).mapInArrow(run, kind).collect()
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array([r.tobytes() for r in x], pa.binary())],
+                                             ["label", "id", "place", "x"])
+
+    # one row per id, label and text, then the first of each label: a bound also where rows share an id
+    slim = sample.select("text", F.col("label").cast("int").alias("label"), F.col("__id").cast("string").alias("id"),
+                         F.xxhash64("__id", "text").alias("place"))
+    w = Window.partitionBy("label").orderBy("place", "id")
+    got = slim.mapInArrow(run, kind).dropDuplicates(["label", "id", "place"]).withColumn(
+        "rank", F.row_number().over(w)).where(F.col("rank") <= 2 * per_label).collect()
     got = sorted(got, key=lambda r: (r.id, r.label, r.x))  # so that training does not depend on task order
     of = lambda k: np.array([np.frombuffer(r.x, np.float32) for r in got if r.label == k], np.float64)
     return BradleyTerry(of(1), of(0))
@@ -165,13 +171,14 @@ def score(docs: DataFrame, model: BradleyTerry, text_col: str = "text", score_co
           keep_col: str = "predicted") -> DataFrame:
     """``docs`` with a score from 0 to 1 and 1 where it reaches ``CUT``."""
     docs = docs.select(*[c for c in docs.columns if c not in (score_col, keep_col)])
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
     at, names = docs.columns.index(text_col), [*docs.columns, score_col, keep_col]
 
     def run(batches):
+        model = received(held, BradleyTerry)
         for whole in batches:
             for b in slices(whole, at, SLICE_BYTES):
-                s = held.value.scores([t or "" for t in b.column(at).to_pylist()])
+                s = model.scores([t or "" for t in b.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= CUT).astype(np.int32))], names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()),

@@ -45,6 +45,35 @@ def test_odd_rows_and_empty(spark):
     assert {r.predicted for r in q.score(docs, nothing).collect()} == {1}
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(q, "BradleyTerry", lambda good, bad: taken.append((len(good), len(bad))))
+    docs = spark.createDataFrame([(1, f"A good text, number {i}.") for i in range(3000)] + [(2, "bad bad")] * 3000 + [(3, "so-so")],
+                                 "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)] * 50, "doc_id long, quality int")
+    q.train(docs, labels, F.lit(True), per_label=20)
+    assert taken[0][0] == 40 and 1 <= taken[0][1] <= 2
+
+
+def test_fit_and_scores_against_plain_formulas():
+    """The fit lowers the pairwise loss it is meant to lower, and the score is the logistic of the scaled margin."""
+    rng = np.random.RandomState(1)
+    good, bad = np.abs(rng.randn(60, 12)) + 0.3 * (np.arange(12) < 3), np.abs(rng.randn(60, 12))
+    m = q.BradleyTerry(good, bad)
+    every = np.concatenate([good, bad])
+    scaled = lambda x: (x[:, m.used] - every[:, m.used].mean(0)) / (every[:, m.used].std(0) + 0.02)
+
+    def loss(w):
+        return np.mean([np.log1p(np.exp(-(a - b) @ w)) for a in scaled(good) for b in scaled(bad)])
+
+    assert loss(m.w) < 0.9 * loss(np.zeros_like(m.w))
+    for step in np.eye(len(m.w)) * 0.5:  # near a minimum: no big step along an axis helps much
+        assert min(loss(m.w + step), loss(m.w - step)) > loss(m.w) - 0.01
+    up, down = scaled(good) @ m.w, scaled(bad) @ m.w
+    best = max(((up >= c).mean() + (down < c).mean()) for c in np.concatenate([up, down]))
+    assert (up >= m.cut).mean() + (down < m.cut).mean() >= best - 0.05
+
+
 def test_held_out_accuracy(spark):
     import __spark_entry__ as E
 
