@@ -36,6 +36,8 @@ from .common import staged, text_or_empty, white_to_space
 BLOCK_BITS = 1 << 14
 BITS_PER_ROW = 16
 PROBES = 2
+#: Hashes that a task holds before it sorts their positions.
+HELD_ROWS = 1 << 20
 
 
 def normalised(col):
@@ -70,8 +72,13 @@ def _tested(hashes: DataFrame, max_filter_bytes: int) -> DataFrame:
     ranges = max(1, -(-rows * BITS_PER_ROW // (max_filter_bytes * 8)))
     blocks = max(1, -(-rows * BITS_PER_ROW // (ranges * BLOCK_BITS)))
     parts = []
+    if ranges > 1:  # written by range: each then reads its own folder and no other
+        kinds = hashes.dtypes
+        dealt = hashes.withColumn("range", F.pmod(F.shiftright("h", 40), F.lit(ranges)).cast("int"))
+        hashes = staged(dealt.repartition("range", F.pmod("h", F.lit(8))), "exact-ranges", "range")
+        assert [k for k in hashes.dtypes if k[0] != "range"] == kinds
     for r in range(ranges):
-        own = hashes.where(F.pmod(F.shiftright("h", 40), F.lit(ranges)) == r) if ranges > 1 else hashes
+        own = hashes.where(F.col("range") == r).drop("range") if ranges > 1 else hashes
         filt = repeated_filter(own.select("h"), blocks)
         bits = spark.sparkContext.broadcast(filt)
         parts.append(staged(own.mapInArrow(_tester(bits), "id long, sha binary, again boolean")
@@ -99,16 +106,23 @@ def repeated_filter(hashes: DataFrame, blocks: int) -> np.ndarray:
     """The "hit more than once" bits, as a packed array of ``blocks * BLOCK_BITS`` bits."""
     def hit(batches):
         once = twice = np.empty(0, np.int64)
-        for b in batches:
-            h = b.column(0).to_numpy(zero_copy_only=False)
-            # the probes of one hash may coincide: within a hash they count once
-            p = positions(h, blocks)
-            p[1, p[1] == p[0]] = -1
+        held, rows = [], 0
+
+        def merged():  # all positions held so far at once, not batch by batch
+            p = positions(np.concatenate(held), blocks)
+            p[1, p[1] == p[0]] = -1  # the probes of one hash may coincide: within a hash they count once
             u, n = np.unique(p, return_counts=True)
-            keep = u >= 0
-            u, n = u[keep], n[keep]
-            twice = np.union1d(twice, np.concatenate([u[n > 1], np.intersect1d(u, once)]))
-            once = np.union1d(once, u)
+            u, n = u[u >= 0], n[u >= 0]
+            return np.union1d(once, u), np.union1d(twice, np.concatenate([u[n > 1], np.intersect1d(u, once)]))
+
+        for b in batches:
+            held.append(b.column(0).to_numpy(zero_copy_only=False))
+            rows += b.num_rows
+            if rows >= HELD_ROWS:
+                once, twice = merged()
+                held, rows = [], 0
+        if held:
+            once, twice = merged()
         block = once // BLOCK_BITS
         again = np.isin(once, twice)
         starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(once) else np.empty(0, int)

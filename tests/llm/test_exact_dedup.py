@@ -39,5 +39,25 @@ def test_filter_misses_no_repeat_and_passes_most_others(spark):
     assert hit[h % 10 != 0].mean() < 0.1
 
 
+def test_a_range_reads_only_its_own_files(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(ed, "repeated_filter", lambda hashes, blocks, whole=ed.repeated_filter: read.append(hashes) or whole(hashes, blocks))
+    docs = spark.createDataFrame([(i, f"text {i % 700}") for i in range(1000)], "doc_id long, text string")
+    assert ed.exact_dedup(docs, max_filter_bytes=256).count() == 1000
+    assert len(read) > 3
+    for r, hashes in enumerate(read):
+        plan = hashes._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(range#" in plan and f"= {r})" in plan
+
+
+def test_hashes_are_held_up_to_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(ed, "HELD_ROWS", 7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        test_filter_misses_no_repeat_and_passes_most_others(spark)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_empty(spark):
     assert ed.exact_dedup(empty_docs(spark)).collect() == []
