@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import received, sent, staged
 
 WHITE_BYTES = b" \t\n\x0b\x0c\r"
 SLOTS = 4
@@ -217,16 +217,18 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
 
 def insert(state: LineState, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineState:
     """The state with more documents; a line already counted for an id counts once."""
-    new = _postings(docs, id_col, text_col, state.min_chars).join(state.postings, ["key", "doc"], "left_anti")
+    new, old = _postings(docs, id_col, text_col, state.min_chars), state.postings.toDF("__key", "__doc")
+    new = new.join(old, (new["key"] == old["__key"]) & new["doc"].eqNullSafe(old["__doc"]), "left_anti")
     new = staged(new, "line-new")
     return _moved(state, state.postings.unionByName(new), new)
 
 
 def delete(state: LineState, doc_ids: DataFrame) -> LineState:
     """The state as if the documents in ``doc_ids`` (one column) had never been inserted."""
-    ids = doc_ids.toDF("doc").distinct()
-    gone = staged(state.postings.join(ids, "doc", "left_semi").select("key", "doc"), "line-gone")
-    left = state.postings.join(ids, "doc", "left_anti").select("key", "doc")
+    ids = doc_ids.toDF("__doc").distinct()
+    of_them = state.postings["doc"].eqNullSafe(ids["__doc"])
+    gone = staged(state.postings.join(ids, of_them, "left_semi").select("key", "doc"), "line-gone")
+    left = state.postings.join(ids, of_them, "left_anti").select("key", "doc")
     return _moved(state, left, gone)
 
 
@@ -253,7 +255,7 @@ def _probe(state: LineState, max_filter_bytes: int):
     size = state.filters.agg(F.sum(F.length("slots") + F.length("stash"))).first()[0] or 0
     if size > max_filter_bytes:
         return None
-    return state.filters.sparkSession.sparkContext.broadcast(Probe(state.filters.toLocalIterator(), state.shards))
+    return sent(state.filters.sparkSession, Probe(state.filters.toLocalIterator(), state.shards))
 
 
 def drops(state: LineState, probe) -> DataFrame:
@@ -261,9 +263,10 @@ def drops(state: LineState, probe) -> DataFrame:
     hits = state.postings
     if probe is not None:
         def probed(batches):
+            known = received(probe, Probe)
             for b in batches:
                 if b.num_rows:
-                    yield b.filter(pa.array(probe.value.hits(b.column(0).to_pylist())))
+                    yield b.filter(pa.array(known.hits(b.column(0).to_pylist())))
         hits = hits.select("key", "doc").mapInArrow(probed, "key binary, doc " + dict(hits.dtypes)["doc"])
     common = state.counts.where(F.col("refs") >= state.min_docs).select("key", "top")
     lost = hits.join(common.hint("merge"), "key").where(~F.col("doc").eqNullSafe(F.col("top")))
@@ -290,7 +293,7 @@ def apply_lines(docs: DataFrame, state: LineState, id_col: str = "doc_id", text_
     if probe is None:
         straight, meeting = None, raw
     else:
-        def touched(b) -> np.ndarray:
+        def touched(b, known) -> np.ndarray:
             keys, owner = [], []
             for i, t in enumerate(b.column(at)):
                 own = [k for x in (t.as_py() or b"").split(b"\n") if (k := line_key(x, min_chars))]
@@ -298,18 +301,20 @@ def apply_lines(docs: DataFrame, state: LineState, id_col: str = "doc_id", text_
                 owner += [i] * len(own)
             out = np.zeros(b.num_rows, bool)
             if keys:
-                out[np.array(owner)[probe.value.hits(keys)]] = True
+                out[np.array(owner)[known.hits(keys)]] = True
             return out
 
         def clean(batches):
+            known = received(probe, Probe)
             for b in batches:
-                b = b.filter(pa.array(~touched(b)))
+                b = b.filter(pa.array(~touched(b, known)))
                 texts = [t.as_py() or b"" for t in b.column(at)]
                 yield finished(b, texts, [t.count(b"\n") + 1 for t in texts], [0] * len(texts))
 
         def dirty(batches):
+            known = received(probe, Probe)
             for b in batches:
-                yield b.filter(pa.array(touched(b)))
+                yield b.filter(pa.array(touched(b, known)))
 
         straight = raw.mapInArrow(clean, schema)
         meeting = raw.mapInArrow(dirty, raw.schema)

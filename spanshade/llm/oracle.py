@@ -145,10 +145,11 @@ WITH l AS (SELECT d.doc_id, i, unnest(x) AS line, unnest(range(len(x))) AS pos
                  FROM documents) d),
 k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key
-      HAVING count(DISTINCT doc_id) >= 3)
-SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (c.top <> k.doc_id) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (c.top IS NULL OR c.top = k.doc_id), ''))
+c AS (SELECT key, max(doc_id) AS top, true AS common FROM k WHERE length(key) >= 20 GROUP BY key
+      HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 3)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (common AND c.top IS DISTINCT FROM k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
+                       FILTER (common IS NULL OR c.top IS NOT DISTINCT FROM k.doc_id), ''))
            AS kept_sha256
 FROM k LEFT JOIN c USING (key) GROUP BY k.i, k.doc_id
 """,

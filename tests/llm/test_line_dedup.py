@@ -60,6 +60,36 @@ def test_insert_then_delete_is_reversible(spark):
     assert probe.hits(kept).all() and len(gone) > 0 and probe.hits(gone).mean() < 0.2
 
 
+def test_null_ids_are_one_document_through_all_changes(spark):
+    line = "A line that stands in several documents."
+    of = lambda *ids: spark.createDataFrame([(i, line) for i in ids], "doc_id long, text string")
+    grown = ld.insert(ld.build(of(1, None)), of(None))
+    assert [r.refs for r in grown.counts.collect()] == [2]
+    grown = ld.insert(grown, of(None, 2))
+    want = [r.refs for r in ld.build(of(1, None, None, 2)).counts.collect()]
+    assert [r.refs for r in grown.counts.collect()] == want == [3]
+    rows = [(1, line), (None, line), (None, line), (2, line)]
+    assert got(ld.apply_lines(of(1, None, None, 2), grown)) == brute(rows)
+    back = ld.delete(grown, of(None).select("doc_id"))
+    assert [(r.refs, r.top) for r in back.counts.collect()] == [(2, 2)]
+    assert got(ld.apply_lines(of(1, 2), back)) == brute([(1, line), (2, line)])
+
+
+def test_sql_counts_null_ids_alike(spark, tmp_path):
+    import duckdb
+
+    from spanshade.llm.oracle import SQL
+    from spanshade.llm.queries import op7_line_dedup
+
+    odd_docs(spark, many(40)).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    rel = con.sql(SQL["op7_line_dedup"])
+    at = [rel.columns.index(c) for c in ("doc_id", "n_lines", "n_dropped", "kept_sha256")]
+    rows = [(r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in op7_line_dedup(spark, str(tmp_path)).collect()]
+    assert sorted((tuple(r[i] for i in at) for r in rel.fetchall()), key=str) == sorted(rows, key=str)
+
+
 def test_cuckoo_filter_overflows_into_its_stash():
     rng = random.Random(5)
     slots, stash = np.zeros((16, ld.SLOTS), np.uint16), set()
