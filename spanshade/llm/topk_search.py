@@ -13,7 +13,8 @@ The queries go out in blocks of about ``query_block`` rows, dealt by hash, one
 broadcast block at a time (its size does not depend on the data); candidates
 are never shuffled or repeated, each task streams its own. A block starts
 from thresholds over a bounded sample of candidates, which are true lower
-bounds of the final k-th score. A task returns at most k rows a query; the
+bounds of the final k-th score. Inside a task the queries of a block go tile by
+tile, so what it holds per pair is bounded by a tile and a chunk. A task returns at most k rows a query; the
 final ranking is a window per query.
 
 Exact scores are integers and are summed as 64-bit integers.
@@ -38,6 +39,8 @@ from .common import staged
 LEVELS = (4, 16, 32)
 CHUNK = 2048
 SAMPLE = 2048
+#: Queries that meet a chunk of candidates at once.
+TILE = 512
 
 
 def scaled(vector: Column, scale: int = 256) -> Column:
@@ -84,16 +87,23 @@ class Best:
 
     def offer(self, vec_ids: np.ndarray, x: np.ndarray) -> None:
         own = Segments(x)
-        kept = np.ones((len(self.ids), len(x)), bool)
-        slack = 1e-9 * self.segments.norm * own.norm.max(initial=0) + 1e-6
+        for s in range(0, len(self.ids), TILE):
+            self._offer(slice(s, s + TILE), vec_ids, x, own)
+
+    def _offer(self, tile: slice, vec_ids: np.ndarray, x: np.ndarray, own: Segments) -> None:
+        """One tile of queries against one chunk of candidates: the only arrays that hold a value per pair."""
+        floor = self.floor[tile]
+        kept = np.ones((len(floor), len(x)), bool)
+        slack = 1e-9 * self.segments.norm[tile] * own.norm.max(initial=0) + 1e-6
         for level in range(len(self.segments.levels)):
             # queries and candidates with a pair left
             rows, cols = np.flatnonzero(kept.any(axis=1)), np.flatnonzero(kept.any(axis=0))
             at = np.ix_(rows, cols)
-            bound = self.segments.of(level, rows) @ own.of(level, cols).T
-            kept[at] &= bound >= (self.floor - slack)[rows, None]
-        for r in np.flatnonzero(kept.any(axis=1)):
-            c = np.flatnonzero(kept[r])
+            bound = self.segments.of(level, rows + tile.start) @ own.of(level, cols).T
+            kept[at] &= bound >= (floor - slack)[rows, None]
+        for own_row in np.flatnonzero(kept.any(axis=1)):
+            r = own_row + tile.start
+            c = np.flatnonzero(kept[own_row])
             c = c[vec_ids[c] != self.ids[r]]
             score = x[c] @ self.vectors[r]
             good = score >= self.floor[r]
@@ -125,8 +135,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, query_block: int =
     parts = []
     for i in range(blocks):
         own = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).toArrow()
-        by_length = _starting(own, sample, k)
-        parts.append(staged(_search(vectors, spark.sparkContext.broadcast(by_length), k), "topk-block"))
+        block = spark.sparkContext.broadcast(_starting(own, sample, k))
+        parts.append(staged(_search(vectors, block, k), "topk-block"))
+        block.destroy()  # the block's result is written
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -44,3 +44,24 @@ def test_bounds_hold():
     a, b = Segments(q), Segments(x)
     for level in range(len(a.levels)):
         assert (a.levels[level] @ b.levels[level].T >= q @ x.T - 1e-6).all()
+
+
+def test_tiles_do_not_change_results_and_bound_memory(monkeypatch):
+    import tracemalloc
+
+    from spanshade.llm import topk_search as ts
+
+    rng = np.random.RandomState(2)
+    q, x = rng.randint(-300, 300, (4000, 64)), rng.randint(-300, 300, (2048, 64))
+    best, peak = [], []
+    for tile in (512, 4000):
+        monkeypatch.setattr(ts, "TILE", tile)
+        tracemalloc.start()
+        b = ts.Best(np.arange(4000) + 10_000, q, 5)
+        b.offer(np.arange(2048), x)
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        best.append([(s.tolist(), v.tolist()) for s, v in zip(b.score, b.vec)])
+    assert best[0] == best[1] and peak[0] < peak[1] / 3
+    want = [sorted(((-int(s), i) for i, s in enumerate(row)))[:5] for row in (q[:50] @ x.T)]
+    assert [[(-s, i) for s, i in zip(*b)] for b in best[0][:50]] == want
