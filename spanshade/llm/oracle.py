@@ -1,33 +1,36 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-def _secret_kind(no: int, pattern: str, group: int, least: int, live: str = "TRUE") -> str:
+def _secret_kind(no: int, pattern: str, group: int, least: int) -> str:
     p = "'" + pattern.replace("'", "''") + "'"
     return f"""SELECT r, owner, repo, {no} AS kind, unnest(range(len(m))) AS i, unnest(gaps) AS gap, unnest(m) AS match,
-       unnest(v) AS value, {least} AS least, {live} AS live
+       unnest(v) AS value, {least} AS least
 FROM (SELECT r, owner, repo, regexp_extract_all(text, {p}, 0) AS m, regexp_extract_all(text, {p}, {group}) AS v,
              string_split_regex(text, {p})[1:len(regexp_extract_all(text, {p}, 0))] AS gaps FROM d)"""
 
 
 def _secrets() -> str:
-    from .secret_scan import KINDS, OWNED
+    from .secret_scan import KINDS, OWNED, VARIETY
 
     kinds = " UNION ALL ".join(_secret_kind(no, k[1], k[2], k[3]) for no, k in enumerate(KINDS))
-    owned = _secret_kind(len(KINDS), *OWNED[1:], live="NULL")
+    owned = _secret_kind(len(KINDS), *OWNED[1:])
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
                   coalesce(CAST(doc_id AS VARCHAR), '') AS repo FROM documents),
 m AS ({kinds} UNION ALL {owned}),
 p AS (SELECT *, sum(length(gap) + length(match)) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM m),
-h AS (SELECT r, owner, repo, kind, value, CAST(stop - length(match) AS INTEGER) AS start, CAST(stop AS INTEGER) AS stop
+h AS (SELECT r, owner, repo, kind, value, CAST(stop - length(match) AS INTEGER) AS start, CAST(stop AS INTEGER) AS stop,
+             regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]')
+                 AND len(list_distinct(string_split(value, ''))) >= {VARIETY} AS live
       FROM p WHERE length(value) >= least AND (kind < 3 OR (regexp_matches(value, '[a-z]')
            AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9].*[0-9]')))),
 c AS (SELECT * FROM h WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM h AS b WHERE b.r = h.r AND b.kind < 3
            AND b.start < h.stop AND h.start < b.stop)),
-o AS (SELECT value, count(DISTINCT owner) AS owners FROM c GROUP BY value),
-s AS (SELECT r, kind, start, stop, owners FROM c JOIN o USING (value) WHERE kind < 3 OR owners <= 2),
+o AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos FROM c GROUP BY value),
+s AS (SELECT r, kind, start, stop, owners >= 5 OR repos >= 20 AS example, owners <= 2 AND repos < 20 AND live AS live
+      FROM c JOIN o USING (value) WHERE kind < 3 OR (owners <= 2 AND repos < 20)),
 g AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
-             count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (owners >= 5) AS n_example,
-             count(*) FILTER (owners <= 2) AS n_live,
+             count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (example) AS n_example,
+             count(*) FILTER (live) AS n_live,
              string_agg(['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop, ','
                         ORDER BY start, kind) AS spans,
              string_agg(['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop, ','

@@ -3,11 +3,13 @@
 Base spans come from three patterns. On top, long mixed tokens are candidates.
 Every value (base or candidate) is hashed and counted over the corpus: in how
 many repositories and under how many owners it occurs. A value that many
-owners share is a widely copied example; one that stays with few owners and
+owners share, or that stands in many repositories (also of one owner), is a
+widely copied example; one that stays with few owners, in few repositories, and
 looks live belongs to them. Base spans always stay and are only classed
-(``n_live``, ``n_example``); a candidate becomes a span of kind ``owned`` if it
-looks live, at most ``max_owners`` owners have it, and no base span covers any
-of it.
+(``n_live``, ``n_example``; a value may be neither); a candidate becomes a span
+of kind ``owned`` if it mixes cases and digits, at most ``max_owners`` owners
+have it, it stands in fewer than ``example_repos`` repositories, and no base
+span covers any of it.
 
 Built-in functions only. One scan of the texts splits each at a pattern's
 matches and keeps lengths and SHA-256 of the values; texts and secrets are
@@ -43,7 +45,16 @@ KINDS = (
 OWNED = ("owned", r"[A-Za-z0-9_-]{24,}", 0, 24)
 
 
+#: Different characters that a live-looking value has at least.
+VARIETY = 6
+
+
 def looks_live(value: Column) -> Column:
+    """Letters and digits, and no mere filler (``aaaaaa``, zeros): values of all kinds are ASCII."""
+    return value.rlike("[A-Za-z]") & value.rlike("[0-9]") & (F.size(F.array_distinct(F.split(value, ""))) >= VARIETY)
+
+
+def is_mixed(value: Column) -> Column:
     return value.rlike("[a-z]") & value.rlike("[A-Z]") & value.rlike("[0-9].*[0-9]")
 
 
@@ -60,16 +71,17 @@ def _hits(text: Column, no: int, kind: str, pattern: str, group: int, least: int
     def hit(x: Column, i: Column) -> Column:
         ok = F.length(x["v"]) >= least
         if kind == "owned":
-            ok = ok & looks_live(x["v"])
+            ok = ok & is_mixed(x["v"])
         return F.struct(F.lit(no).alias("kind"), i.cast("int").alias("i"), F.length(x["gap"]).alias("gap"),
-                        F.length(x["m"]).alias("size"), F.when(ok, F.sha2(x["v"], 256)).alias("value"))
+                        F.length(x["m"]).alias("size"), F.when(ok, F.sha2(x["v"], 256)).alias("value"),
+                        looks_live(x["v"]).alias("live"))
 
     found = F.transform(F.filter(zipped, lambda x: x["m"].isNotNull()), hit)  # the last piece has no match
     return F.when(text.rlike(pattern), found)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repo_col: str = "doc_id", max_owners: int = 2, example_owners: int = 5) -> DataFrame:
+         repo_col: str = "doc_id", max_owners: int = 2, example_owners: int = 5, example_repos: int = 20) -> DataFrame:
     """One row per document row: the id, ``spans`` (array of start, kind, end) and counts."""
     kinds = [*KINDS, OWNED]
     text = text_or_empty(text_col)
@@ -92,13 +104,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
         "next", F.min(F.when(~owned, F.col("start"))).over(after))
     clear = (F.coalesce(F.col("covered"), F.lit(0)) <= F.col("start")) & (
         F.coalesce(F.col("next"), F.col("end")) >= F.col("end"))
-    hits = staged(hits.where(~owned | clear).select("row", "owner", "repo", "kind", "start", "end", "value"), "secret-hits")
+    hits = staged(hits.where(~owned | clear).select("row", "owner", "repo", "kind", "start", "end", "value", "live"), "secret-hits")
     held = staged(ownership(hits), "secret-owners")
-    hits = hits.join(held.hint("merge"), "value").where(~owned | (F.col("owners") <= max_owners))
-    example = F.col("owners") >= example_owners
+    few = (F.col("owners") <= max_owners) & (F.col("repos") < example_repos)
+    hits = hits.join(held.hint("merge"), "value").where(~owned | few)
+    example = (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos)
     spans = hits.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"),
-        F.count_if(example).alias("n_example"), F.count_if(F.col("owners") <= max_owners).alias("n_live"))
+        F.count_if(example).alias("n_example"), F.count_if(few & F.col("live")).alias("n_live"))
     spans = staged(spans, "secret-spans")
     none = F.array().cast(spans.schema["spans"].dataType)
     return row.select("row", "id").join(spans.hint("merge"), "row", "left").select(

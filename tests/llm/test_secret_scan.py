@@ -20,8 +20,12 @@ def base_spans(text):
     return sorted(out)
 
 
+def is_live(value):
+    return bool(re.search("[A-Za-z]", value) and re.search("[0-9]", value) and len(set(value)) >= 6)
+
+
 def brute(rows, max_owners=2):
-    found, owners = [], defaultdict(set)
+    found, owners, repos = [], defaultdict(set), defaultdict(set)
     for i, text, owner in rows:
         base = base_spans(text or "")
         own = [(m.start(), 3, m.end(), m[0]) for m in re.finditer(OWNED[1], text or "")
@@ -30,11 +34,14 @@ def brute(rows, max_owners=2):
         found.append((i, sorted(base + own)))
         for x in base + own:
             owners[x[3]].add(owner or "")
+            repos[x[3]].add((owner or "", i))
     out = []
     for i, spans in found:
-        spans = [x for x in spans if x[1] < 3 or len(owners[x[3]]) <= max_owners]
+        few = lambda x: len(owners[x[3]]) <= max_owners and len(repos[x[3]]) < 20
+        spans = [x for x in spans if x[1] < 3 or few(x)]
         out.append((i, ",".join(f"{NAMES[k]}:{s}:{e}" for s, k, e, _ in spans),
-                    sum(len(owners[x[3]]) >= 5 for x in spans), sum(len(owners[x[3]]) <= max_owners for x in spans)))
+                    sum(len(owners[x[3]]) >= 5 or len(repos[x[3]]) >= 20 for x in spans),
+                    sum(few(x) and is_live(x[3]) for x in spans)))
     return sorted(out, key=str)
 
 
@@ -57,6 +64,17 @@ def test_against_brute_force(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
 
 
+def test_a_value_copied_inside_one_source_is_an_example(spark):
+    rows = [(i, "password=Hunter2x9z and 000000000000000000000000 or Zx81kfQpL0vTr7YwBn3MdEa2", "s") for i in range(500)]
+    rows += [(1000 + i, "password=aaaaaa " + "0" * 24, f"t{i}") for i in range(2)]
+    rows += [(2000, "password=Own3r-0nly", "u"), (2001, "password=Own3r-0nly", "u")]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).select(
+        "doc_id", "n_example", "n_live", span_text(F.col("spans")).alias("spans")).collect()}
+    assert (got[0].n_example, got[0].n_live) == (2, 0) and "owned" not in got[0].spans
+    assert (got[1000].n_example, got[1000].n_live) == (1, 0)  # filler looks like no secret; the zeros are copied
+    assert (got[2000].n_example, got[2000].n_live) == (0, 1)
+
+
 def test_plan_has_no_python(spark):
     plan = scan(odd_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
