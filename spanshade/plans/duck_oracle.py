@@ -13,7 +13,7 @@ e-mail local-part class).
 from __future__ import annotations
 
 from ..functions.patterns import CATALOGUE, DEFAULT_CONFIDENCE, FALSE_POSITIVES
-from ..functions.strategies import DEFAULT_PLACEHOLDER, PLACEHOLDERS
+from ..functions.strategies import DEFAULT_PLACEHOLDER, PLACEHOLDERS, available_strategies
 from .payload_files import CONVERSATIONS_PER_FILE, MIXED_KINDS, TURNS_PER_FILE
 from .views import CORPUS_SQL, FINDING_RULES, GIVEN_SQL, PAYLOADS_SQL
 
@@ -285,7 +285,18 @@ FROM f WHERE {kind} < 3
 UNION ALL
 SELECT DISTINCT CAST(file_id AS BIGINT), 'failed', 'Invalid JSON format', CAST(NULL AS BIGINT),
        CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM f WHERE {kind} >= 3"""
+    kind = f"(file_id // 100000) % {MIXED_KINDS}"
+    strategies = ",".join(available_strategies())
+    out["json_file_job_results"] = f"""
+SELECT file_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, ok AS has_dest,
+       CASE WHEN ok THEN total_payloads ELSE 0 END AS processed_payloads, CAST(0 AS BIGINT) AS failed_payloads,
+       CASE WHEN ok THEN total_pii_detected ELSE 0 END AS total_pii_redacted, CAST(0 AS INTEGER) AS n_warnings,
+       true AS regex_available, false AS comprehend_available, true AS cer_endpoint, 'regex,cer' AS detection_methods,
+       'mask' AS current_strategy, '{strategies}' AS available_strategies, 'mask' AS strategy_function, true AS times_in_order
+FROM (SELECT *, {kind} < 3 AS ok FROM ({out["json_file_job"]}))"""
+    out["restarted_file_job"] = f"SELECT file_id, status, verbatim_id FROM ({out['json_file_outcomes']})"
     out.update(report_queries())
+    out["hash_labels_over_runs"] = out["hash_canonical_labels"]
     out.update(feedback_queries())
     return out
 
@@ -464,6 +475,7 @@ def feedback_queries() -> dict:
     out["training_dedup"] = with_views(
         "SELECT text, type, CAST(count(*) AS BIGINT) AS n_examples, "
         "min(source_file) AS first_source_file FROM exu GROUP BY text, type", *ctes)
+    out["training_set_over_runs"] = with_views("SELECT DISTINCT text, type FROM exu", *ctes)
     out["leak_alerts"] = with_views(
         "SELECT source_file, x.y AS entity_type, CAST(count(*) AS BIGINT) AS n_leaks "
         "FROM leaks GROUP BY source_file, x.y", *ctes)

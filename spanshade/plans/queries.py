@@ -295,6 +295,32 @@ def training_dedup(spark, sf_dir):
     return training_set(_examples_union(spark, sf_dir))
 
 
+def training_set_over_runs(spark, sf_dir):
+    """The examples of even keys, then all, then all again: the set holds every text and type once."""
+    from .feedback import grow_training_set, training_set
+    from .payload_files import scratch_dir
+    base = scratch_dir(spark, "training-set")
+    examples = _examples_union(spark, sf_dir)
+    for run, rows in (("first", examples.where("key % 2 = 0")), ("second", examples), ("third", examples)):
+        whole = grow_training_set(training_set(rows), base, run)
+    return whole.select("text", "type")
+
+
+def hash_labels_over_runs(spark, sf_dir):
+    """Two jobs in sequence, conversations and then documents, over one table of first-seen labels."""
+    from ..operators.canonical import redact_canonical
+    from ..operators.detect import detect_table
+    from .payload_files import scratch_dir
+    base = scratch_dir(spark, "labels")
+    texts = views.corpus(spark, sf_dir).select(*KEY, "text")
+    out = []
+    for run in ("conversations", "documents"):
+        own = texts.where(F.col("src") == run)
+        out.append(redact_canonical(own, detect_table(own, KEY, "text"), KEY, "text", label_base=base, run_id=run)
+                   .select(*KEY, "redacted_text", "n_redacted"))
+    return out[0].unionByName(out[1])
+
+
 def leak_alerts(spark, sf_dir):
     from .feedback import leak_alerts as la
     return la(_leak_rows(_feedback_base(spark, sf_dir)))
@@ -350,6 +376,45 @@ def json_file_job(spark, sf_dir):
     return _file_job_rows(run_file_job(spark, f"{base}/in/file_id=*/*.txt", f"{base}/out"))
 
 
+def json_file_job_results(spark, sf_dir):
+    """The whole job result of each file: target, counts, configurations, and that its times are in order."""
+    from .file_job import run_file_job
+    from .payload_files import scratch_dir, write_payload_files
+    base = scratch_dir(spark, "results")
+    write_payload_files(spark, sf_dir, f"{base}/in", mixed=True)
+    jobs = run_file_job(spark, f"{base}/in/file_id=*/*.txt", f"{base}/out", strategy="mask", finding_sources=("CER",))
+    joined = lambda c: F.array_join(c, ",")
+    return jobs.select(
+        F.regexp_extract("source_file", r"file_id=(\d+)", 1).cast("bigint").alias("file_id"), "status",
+        F.col("dest_file").isNotNull().alias("has_dest"), "processed_payloads", "failed_payloads", "total_pii_redacted",
+        F.size("warnings").alias("n_warnings"),
+        F.col("detection_config.regex_available").alias("regex_available"),
+        F.col("detection_config.comprehend_available").alias("comprehend_available"),
+        F.col("detection_config.cer_endpoint").alias("cer_endpoint"),
+        joined("detection_config.detection_methods").alias("detection_methods"),
+        F.col("redaction_config.current_strategy").alias("current_strategy"),
+        joined("redaction_config.available_strategies").alias("available_strategies"),
+        F.col("redaction_config.strategy_function").alias("strategy_function"),
+        ((F.col("processing_start") <= F.col("processing_end")) & (F.col("processing_seconds") >= 0)).alias("times_in_order"))
+
+
+def restarted_file_job(spark, sf_dir):
+    """The restartable job over the mixed files, then over the same folder with more files: every file once, as published."""
+    from .file_job import published, run_restartable
+    from .payload_files import scratch_dir, write_payload_files
+    base = scratch_dir(spark, "restart")
+    write_payload_files(spark, sf_dir, f"{base}/in", mixed=True)
+    first = run_restartable(spark, f"{base}/in/file_id=[0-4]*/*.txt", f"{base}/job", "first")
+    second = run_restartable(spark, f"{base}/in/file_id=*/*.txt", f"{base}/job", "second")
+    again = run_restartable(spark, f"{base}/in/file_id=*/*.txt", f"{base}/job", "second")
+    done = first.where("status = 'success'").unionByName(second).unionByName(again).dropDuplicates(["source_file"])
+    out = published(spark, f"{base}/job").select(
+        F.col("source_name").alias("name"), F.from_json("value", "verbatim_id bigint").alias("p")).select("name", "p.*")
+    jobs = done.select(F.regexp_extract("source_file", r"file_id=(\d+)", 1).cast("bigint").alias("file_id"), "status",
+                       F.regexp_extract("dest_file", r"source_name=([^/]+)$", 1).alias("name"))
+    return jobs.join(out, "name", "left").select("file_id", "status", "verbatim_id")
+
+
 def json_file_outcomes(spark, sf_dir):
     """Good and bad files through the file job: status and error of each file,
     and every redacted payload as read back from the JSON output."""
@@ -412,6 +477,10 @@ def registered() -> dict:
         "text_preview": text_preview,
         "json_file_job": json_file_job,
         "json_file_outcomes": json_file_outcomes,
+        "json_file_job_results": json_file_job_results,
+        "restarted_file_job": restarted_file_job,
+        "training_set_over_runs": training_set_over_runs,
+        "hash_labels_over_runs": hash_labels_over_runs,
         "redact_stream": redact_stream,
     })
     return q

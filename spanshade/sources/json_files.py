@@ -13,8 +13,9 @@ whole file):
   ``Unexpected JSON format``; ``[]`` -> ``No payloads found in file``; an
   element that is not an object -> the whole file fails with the error the
   reference job reports for it;
-* a value beyond the VARIANT size limit is read by Spark's streaming JSON
-  reader as an array of texts, and its elements become VARIANTs one by one;
+* an array beyond the VARIANT size limit is read by Spark's streaming JSON
+  reader, and its elements become VARIANTs one by one; a single object beyond
+  it cannot be held and fails with a reason of its own;
 * zero-byte files, which every Spark scan skips, are found from the listing
   and reported as invalid JSON.
 
@@ -40,6 +41,9 @@ INVALID = "Invalid JSON format"
 UNEXPECTED = "Unexpected JSON format"
 NO_PAYLOADS = "No payloads found in file"
 
+# Not of the reference, whose parser has no such limit.
+TOO_LARGE = "Payload beyond the size limit of a VARIANT"
+
 FORMATS = ("json", "jsonl")
 
 
@@ -78,20 +82,22 @@ def classify_files(raw: DataFrame, path_col: str | None = None) -> DataFrame:
     files = files.withColumn("v", F.when(
         (F.size("pair") == 2) & (F.expr("try_variant_get(pair[1], '$', 'bigint')") == F.col("check")), F.expr("pair[0]")))
     files = files.withColumn("ty", F.schema_of_variant("v"))
-    # beyond the VARIANT limit: the same check on texts, element by element
+    # beyond the VARIANT limit: the same check on the raw first element (raw for arrays and objects, so the kind is
+    # read from the content); the elements of an array then become VARIANTs one by one and keep their JSON types
     files = files.withColumn("texts", F.when(
         F.col("pair").isNull() & (F.octet_length("content") > LARGE), F.from_json("wrapped", "array<string>")))
+    whole = (F.size("texts") == 2) & (F.expr("texts[1]") == F.col("check").cast("string"))
     files = files.withColumn("large", F.when(
-        (F.size("texts") == 2) & (F.expr("texts[1]") == F.col("check").cast("string")) & F.expr("texts[0] LIKE '[%'"),
-        F.from_json(F.expr("texts[0]"), "array<string>")))
+        whole & F.col("content").rlike(r"^[ \t\r\n]*\["), F.from_json(F.expr("texts[0]"), "array<variant>")))
+    files = files.withColumn("too_large", F.coalesce(whole & F.col("content").rlike(r"^[ \t\r\n]*\{"), F.lit(False)))
     files = files.withColumn("arr", F.expr(
         "CASE WHEN ty LIKE 'ARRAY%' THEN cast(v AS array<variant>) "
         "WHEN ty LIKE 'OBJECT%' THEN array(v) "
-        "WHEN large IS NOT NULL THEN transform(large, x -> try_parse_json(x)) END"))
+        "WHEN large IS NOT NULL THEN large END"))
     files = files.withColumn("fb_ty", F.schema_of_variant(F.try_element_at(
         F.filter("arr", lambda e: ~F.coalesce(F.schema_of_variant(e).startswith("OBJECT"), F.lit(False))), F.lit(1))))
     error = (
-        F.when(F.col("v").isNull() & F.col("large").isNull(), F.lit(INVALID))
+        F.when(F.col("too_large"), F.lit(TOO_LARGE)).when(F.col("v").isNull() & F.col("large").isNull(), F.lit(INVALID))
         .when(F.col("arr").isNull(), F.lit(UNEXPECTED))
         .when(F.size("arr") == 0, F.lit(NO_PAYLOADS))
         .when(F.col("fb_ty").isNotNull(), not_object("fb_ty"))

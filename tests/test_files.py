@@ -4,8 +4,10 @@ non-object element, non-string field, JSON Lines."""
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from spanshade.plans.file_job import run_file_job
-from spanshade.sources.json_files import read_payload_files
+from spanshade.sources.json_files import INVALID, TOO_LARGE, read_payload_files
 from spanshade.sources.sinks import current_version, rewrite_staged
 
 CASES = {
@@ -82,8 +84,16 @@ def test_equal_base_names_stay_apart(spark, tmp_path):
 def test_value_beyond_the_variant_limit(spark, tmp_path):
     one = json.dumps({"verbatim_id": 1, "sentence": "mail a@b.com", "other": "x" * 1_000_000})
     (tmp_path / "big.json").write_text("[" + ",".join([one] * 150) + "]")
-    rows = read_payload_files(spark, str(tmp_path / "big.json"))
-    assert rows.where("error IS NULL").count() == 150
+    (tmp_path / "texts.json").write_text(" [" + ",".join([one] * 149) + "," + json.dumps(json.dumps({"verbatim_id": 2})) + "]")
+    (tmp_path / "object.json").write_text(json.dumps({"verbatim_id": 3, "other": "x" * 150_000_000}))
+    (tmp_path / "text.json").write_text(json.dumps("[" + "x" * 150_000_000 + "]"))
+    rows = read_payload_files(spark, str(tmp_path / "*.json"))
+    got = {os.path.basename(r.source_file): (r.n, r.error) for r in rows.groupBy("source_file").agg(
+        F.count("payload").alias("n"), F.max("error").alias("error")).collect()}
+    assert got["big.json"] == (150, None)
+    assert got["texts.json"] == (0, "'str' object has no attribute 'get'")  # a text that holds an object is a text
+    assert got["object.json"] == (0, TOO_LARGE)
+    assert got["text.json"][0] == 0 and got["text.json"][1] in (INVALID, "Unexpected JSON format")
 
 
 def test_json_lines(spark, tmp_path):
