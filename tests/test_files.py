@@ -85,7 +85,7 @@ def test_value_beyond_the_variant_limit(spark, tmp_path):
     one = json.dumps({"verbatim_id": 1, "sentence": "mail a@b.com", "other": "x" * 1_000_000})
     (tmp_path / "big.json").write_text("[" + ",".join([one] * 150) + "]")
     (tmp_path / "texts.json").write_text(" [" + ",".join([one] * 149) + "," + json.dumps(json.dumps({"verbatim_id": 2})) + "]")
-    (tmp_path / "object.json").write_text(json.dumps({"verbatim_id": 3, "other": "x" * 150_000_000}))
+    (tmp_path / "object.json").write_text(json.dumps({f"k{i}": "x" * 1_000_000 for i in range(150)}))
     (tmp_path / "text.json").write_text(json.dumps("[" + "x" * 150_000_000 + "]"))
     rows = read_payload_files(spark, str(tmp_path / "*.json"))
     got = {os.path.basename(r.source_file): (r.n, r.error) for r in rows.groupBy("source_file").agg(
