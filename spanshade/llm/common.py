@@ -35,7 +35,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    _OWNED.append(path)
+    return path
+
+
+#: Paths of the intermediate tables of this process, oldest first.
+_OWNED: list[str] = []
+
+
+class Owner:
+    """The intermediate tables that are made while it is open.
+
+    A lazily returned result reads some of them, so they stay until whoever
+    wrote the result says ``release`` (or leaves the ``with`` block).
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> Owner:
+        self.begin = len(_OWNED)
+        return self
+
+    def release(self, keep: str | None = None) -> None:
+        """Delete the tables made so far, but for ``keep``."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in [p for p in _OWNED[self.begin:] if p != keep]:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+            _OWNED.remove(path)
+
+    def __exit__(self, *_) -> None:
+        self.release()
 
 
 def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:

@@ -60,6 +60,20 @@ def test_stages(spark, tmp_path):
         (r.doc_id, tuple(r.ids)) for r in seen["tokens"])
 
 
+def test_only_the_last_table_stays(spark, tmp_path, monkeypatch):
+    import os
+
+    from spanshade.llm import common
+    from spanshade.llm.queries import op4_simhash
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    out = corpus_pipeline.run(spark, SF)
+    assert [x.rsplit("-", 1)[0] for x in os.listdir(tmp_path / "llm")] == ["pipeline-tokens"] and out.count()
+    with common.Owner(spark):
+        op4_simhash(spark, SF).write.parquet(str(tmp_path / "out"))
+    assert len(os.listdir(tmp_path / "llm")) == 1 and spark.read.parquet(str(tmp_path / "out")).count()
+
+
 def plain(docs, scored):
     """doc_ids (with repeats) that the stages before the last leave, and their texts, in plain Python."""
     rows = [(k, r.doc_id, r.text, r.source) for k, r in enumerate(docs) if scored[r.text]]
