@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanshade.llm import line_dedup, mixing, piece_bpe, quality, simhash
-from spanshade.llm.common import new_path, table
+from spanshade.llm.common import Owner, new_path, table
 from spanshade.llm.queries import piece_model, quality_model
 
 #: SQL cannot express the trained classifier, XXH64 or the tokenizer.
@@ -62,8 +62,10 @@ STAGES = [("quality", quality_stage), ("lines", line_stage), ("near", near_stage
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    owner = Owner(spark).__enter__()  # the last stage's table stays: the result reads it
     for name, stage in STAGES:
         path = new_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        owner.release(keep=path)  # what the stage made, and the stage before
     return docs
