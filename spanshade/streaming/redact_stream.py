@@ -15,6 +15,7 @@ hash labels are not offered on streams (they need a global order).
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,29 +29,60 @@ from ..sources.json_files import INVALID, classify_files, normalise_path, payloa
 from ..sources.sinks import write_redacted_jsonl
 
 
+def _listed(fs, folder) -> list:
+    return list(fs.listStatus(folder))
+
+
+def _state(spark: SparkSession, out_dir: str, batch_id: int):
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/_arrivals/batch_id={batch_id}.json")
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _new_empty_files(spark: SparkSession, in_dir: str, out_dir: str, batch_id: int) -> DataFrame:
     """Error rows for zero-byte files that no earlier batch has reported (a
-    stream's scan skips them, like every scan). A replayed batch finds the
-    same files and rewrites its own folder."""
-    from pyspark.errors import AnalysisException
-
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(in_dir)
+    stream's scan skips them, like every scan).
+
+    Each batch leaves a state of the folders it knows, the latest change of
+    any, and the empty files told so far; the next lists only folders that
+    changed since, so a batch costs what arrived and not what is there (a file
+    system without folder times is listed whole). A replayed batch starts from
+    the state of the one before it, finds the same files and rewrites its own.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    pattern = fs_path(in_dir)
     fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    empty, folders = [], [s.getPath() for s in fs.globStatus(pattern) or []]
-    for folder in folders:
-        found = fs.listFiles(folder, True)
-        while found.hasNext():
-            f = found.next()
-            if f.getLen() == 0 and f.getPath().getName()[0] not in "._":
-                empty.append((f.getPath().toString(),))
-    listed = spark.createDataFrame(empty, "f string").select(
+    known, mark, told = [], 0, []
+    before, state_fs = _state(spark, out_dir, batch_id - 1)
+    if state_fs.exists(before):
+        state = json.loads("\n".join(r.value for r in spark.read.text(before.toString()).collect()))
+        known, mark, told = state["folders"], state["mark"], state["told"]
+    met = list(fs.globStatus(pattern) or [])
+    empty = {s.getPath().toString() for s in met if s.isFile() and s.getLen() == 0}
+    todo = [s for s in met if s.isDirectory()] + [fs.getFileStatus(fs_path(f)) for f in known if fs.exists(fs_path(f))]
+    folders, latest = set(), mark
+    while todo:
+        folder = todo.pop()
+        path, changed = folder.getPath().toString(), folder.getModificationTime()
+        if path in folders:
+            continue
+        folders.add(path)
+        latest = max(latest, changed)
+        if 0 < changed < mark:
+            continue
+        for f in _listed(fs, folder.getPath()):
+            if f.getPath().getName()[0] in "._":
+                continue
+            if f.isDirectory():
+                todo.append(f)
+            elif f.getLen() == 0:
+                empty.add(f.getPath().toString())
+    new = sorted(empty - set(told))
+    after, _ = _state(spark, out_dir, batch_id)
+    out = state_fs.create(after, True)
+    out.write(bytearray(json.dumps({"folders": sorted(folders), "mark": latest, "told": sorted({*told, *new})}).encode()))
+    out.close()
+    return spark.createDataFrame([(f,) for f in new], "f string").select(
         normalise_path(F.col("f")).alias("source_file"), F.lit(INVALID).alias("error"))
-    try:
-        told = spark.read.parquet(f"{out_dir}/jobs").where(F.col("batch_id") < batch_id)
-    except AnalysisException:  # no batch before this one
-        return listed
-    return listed.join(told.select("source_file"), "source_file", "left_anti")
 
 
 def start_redact_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, *,

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,37 @@ def test_zero_byte_files_reach_the_stream(spark, tmp_path):
     assert not [d for d in os.listdir(f"{base}/spanshade-tables") if d.startswith("stream-batch")]
 
 
+def test_a_batch_lists_only_what_changed(spark, tmp_path, monkeypatch):
+    from spanshade.streaming import redact_stream as rs
+
+    visited = []
+    monkeypatch.setattr(rs, "_listed", lambda fs, folder, whole=rs._listed: visited.append(folder.getName()) or whole(fs, folder))
+    src = tmp_path / "in"
+    for d in range(4):
+        (src / f"d{d}" / "deep").mkdir(parents=True)
+        (src / f"d{d}" / "empty.json").write_text("")
+    time.sleep(0.05)
+    (src / "d0" / "a.json").write_text(json.dumps({"verbatim_id": 1, "sentence": "a@b.com"}))
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def batch():
+        del visited[:]
+        time.sleep(0.05)
+        return sorted(os.path.relpath(r.source_file.removeprefix("file:"), src) for r in redact_stream(
+            spark, str(src / "d*"), out, ckpt).collect())
+
+    told = ["d0/a.json", *[f"d{d}/empty.json" for d in range(4)]]
+    assert batch() == sorted(told) and sorted(visited) == ["d0", "d1", "d2", "d3", *["deep"] * 4]
+    time.sleep(0.05)
+    (src / "d2" / "deep" / "late.json").write_text("")
+    (src / "d3" / "b.json").write_text(json.dumps({"verbatim_id": 2}))
+    told += ["d2/deep/late.json", "d3/b.json"]
+    assert batch() == sorted(told)
+    assert set(visited) <= {"deep", "d3", "d0"} and len(visited) < 8  # d0 changed last: it bears the mark
+    (src / "d3" / "c.json").write_text(json.dumps({"verbatim_id": 3}))
+    assert batch() == sorted([*told, "d3/c.json"]) and len(visited) <= 2  # d3, and what changed with it before
+
+
 def test_inputs_are_dealt_only_on_request(spark):
     one = spark.range(100).coalesce(1)
     assert dealt(one, "id").rdd.getNumPartitions() == 1
