@@ -114,6 +114,13 @@ def slices(batch, at: int, size_bytes: int):
         yield batch.slice(s, e - s)
 
 
+def texts_of(column) -> list[str]:
+    """The texts of an Arrow string column; null is empty, invalid UTF-8 reads as U+FFFD."""
+    import pyarrow as pa
+
+    return [x.decode("utf-8", "replace") if x else "" for x in column.view(pa.binary()).to_pylist()]
+
+
 def sent(spark: SparkSession, thing):
     """A broadcast of an object's attributes (plain values and arrays).
 

@@ -24,7 +24,7 @@ size that does not grow with the corpus. Prediction needs no shuffle and its
 memory is one slice of texts.
 
 Defined results: ``und`` with score 0 for a null text, a text without a
-letter, or when no label was learned; ties go to the smaller label; the score
+letter, or when no label was learned; invalid UTF-8 reads as U+FFFD; ties go to the smaller label; the score
 is 1 minus the winner's phrase cost over the runner-up's (1 if there is only
 one language); repeated rows get equal results; an empty table gives an empty
 result; other columns pass through, columns with the output names are replaced.
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import received, sent, slices
+from .common import received, sent, slices, texts_of
 
 WINDOW = 2048
 SLICE_BYTES = 8_000_000
@@ -256,7 +256,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out_col: str
         model = received(held, Model)
         for whole in batches:
             for b in slices(whole, at, SLICE_BYTES):
-                langs, score = model.predict([t or "" for t in b.column(at).to_pylist()])
+                langs, score = model.predict(texts_of(b.column(at)))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(score)], names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.StringType()),

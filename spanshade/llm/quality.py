@@ -19,7 +19,7 @@ rows share an id); their ids (a bounded table) are broadcast to
 fetch the texts, so no text shuffles. Scoring is one pass without a shuffle.
 
 Defined results: a null or empty text is a document without characters and
-gets the score of all-zero frequencies; equal texts get equal scores; rows
+gets the score of all-zero frequencies; invalid UTF-8 reads as U+FFFD; equal texts get equal scores; rows
 without a label, or with a null one, never train; if one label is missing
 every score is 1; other columns pass through, columns with the output names
 are replaced.
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import received, sent, slices
+from .common import received, sent, slices, texts_of
 
 CUT = 0.7
 SLICE_BYTES = 8_000_000
@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, id_col: str = "
 
     def run(batches):
         for b in batches:
-            x = features([t or "" for t in b.column(0).to_pylist()], shape_of)
+            x = features(texts_of(b.column(0)), shape_of)
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3), pa.array([r.tobytes() for r in x], pa.binary())],
                                              ["label", "id", "place", "x"])
 
@@ -178,7 +178,7 @@ def score(docs: DataFrame, model: BradleyTerry, text_col: str = "text", score_co
         model = received(held, BradleyTerry)
         for whole in batches:
             for b in slices(whole, at, SLICE_BYTES):
-                s = model.scores([t or "" for t in b.column(at).to_pylist()])
+                s = model.scores(texts_of(b.column(at)))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= CUT).astype(np.int32))], names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()),

@@ -129,3 +129,8 @@ def test_held_out_accuracy(spark):
         pytest.skip("test tables not present")
     got = E.queries()["op2_language_id"](spark, sf).where("held_out").join(docs, "doc_id").where("lang is not null")
     assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
+
+
+def test_invalid_utf8(spark):
+    docs = spark.sql("select 1L as doc_id, cast(x'61ff62' as string) as text, 'en' as lang")
+    assert identify(docs, train(docs, F.lit(True))).count() == 1

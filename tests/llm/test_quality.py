@@ -84,3 +84,9 @@ def test_held_out_accuracy(spark):
         pytest.skip("test tables not present")
     got = E.queries()["op8_quality"](spark, sf).where("held_out").join(labels, "doc_id").where("quality is not null")
     assert got.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0] > 0.95
+
+
+def test_invalid_utf8(spark):
+    docs = spark.sql("select 1L as doc_id, cast(x'61ff62' as string) as text")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert q.score(docs, q.train(docs, labels, F.lit(True))).first().predicted == 1
