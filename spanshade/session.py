@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -82,8 +83,8 @@ def materialize(df, name: str = "table"):
     twice (once for the action, once for the checkpoint write).
 
     The caller owns the table: jobs that end with an action drop theirs with
-    ``release``; what a lazily returned result still reads stays until
-    ``release_all`` (the tables can hold the original text).
+    ``release``; what a lazily returned result still reads stays until the
+    ``owning`` block around it ends.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -109,8 +110,14 @@ def release(table) -> None:
         _delete(table.sparkSession, held[1])
 
 
-def release_all(spark: SparkSession) -> None:
-    """Delete all tables that this process materialized and still holds."""
-    for out, path in list(_OWNED.values()):
-        _delete(spark, path)
-    _OWNED.clear()
+@contextmanager
+def owning(spark: SparkSession):
+    """Owner of the tables that are materialized inside the block: they are
+    deleted at its end, when the results that read them are written. (The
+    tables can hold the original text.)"""
+    before = set(_OWNED)
+    try:
+        yield
+    finally:
+        for key in [k for k in _OWNED if k not in before]:
+            release(_OWNED[key][0])

@@ -66,11 +66,3 @@ def current_version(spark, base: str) -> str | None:
     if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
         return None
     return f"{base.rstrip('/')}/" + spark.read.text(f"{base.rstrip('/')}/CURRENT").first()[0]
-
-
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by=None) -> None:
-    w = df.write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.save(path)

@@ -11,7 +11,7 @@ from spanshade.operators.canonical import redact_canonical
 from spanshade.operators.detect import detect_table, with_entities
 from spanshade.operators.redact import with_redaction
 from spanshade.plans import feedback
-from spanshade.session import INPUT_PARTITIONS, dealt, ensure_checkpoint_dir
+from spanshade.session import INPUT_PARTITIONS, dealt, ensure_checkpoint_dir, materialize, owning, release
 from spanshade.streaming.redact_stream import redact_stream
 
 
@@ -127,6 +127,18 @@ def test_inputs_are_dealt_only_on_request(spark):
         spark.conf.unset(INPUT_PARTITIONS)
 
 
+def test_an_owner_drops_its_tables(spark):
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/spanshade-tables"
+    kept = materialize(spark.range(3), "kept")
+    before = set(os.listdir(folder))
+    with owning(spark):
+        first, second = materialize(spark.range(5), "a"), materialize(spark.range(7), "b")
+        assert first.count() + second.count() == 12
+        release(first)
+    assert set(os.listdir(folder)) == before and kept.count() == 3
+    release(kept)
+
+
 def test_checkpoint_folder_is_required_on_a_cluster():
     class Conf(dict):
         def get(self, k, d=None):
