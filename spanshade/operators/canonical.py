@@ -9,8 +9,9 @@ the first-seen label explicit and global:
    value in a third of all rows) is one row per type before the shuffle. Only
    texts seen under more than one type can change their label;
 2. for those texts alone, find the type with the smallest order key;
-3. join these labels back on the text: the entity rows are a written table, so
-   adaptive execution splits a hot text. All other entities keep their type;
+3. join these labels back on the text: a table of measured size that is small is
+   broadcast; else the entity rows are a written table, so adaptive execution
+   splits a hot text. All other entities keep their type;
 4. regroup per record and splice.
 
 ``order_key`` is a struct giving the processing order (e.g. file, payload,
@@ -42,6 +43,8 @@ def canonical_labels(entities: DataFrame, order_key: Column, text_col: str = "te
     return first.groupBy("text").agg(F.min(F.struct("o", "label"))["label"].alias("label"))
 
 
+#: Label tables up to this size (measured) are broadcast.
+BROADCAST_BYTES = 32 << 20
 LABEL_TYPE = "text string, label string"
 
 
@@ -88,8 +91,13 @@ def redact_canonical(texts: DataFrame, entities: DataFrame, key_cols, text_col:
     order = F.struct(*[F.col(c) for c in order_cols], (-F.col("start_pos")).alias("__ns"))
     labels = canonical_labels(entities, order) if label_base is None else first_labels(entities, order, label_base, run_id)
     labels = materialize(labels, "canonical-labels")
-    labelled = entities.join(labels, on="text", how="left").withColumn(
-        "label", F.coalesce("label", "entity_type"))
+    size = labels.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text") + F.octet_length("label")).alias("bytes")).first()
+    if not size.n:
+        labelled = entities.withColumn("label", F.col("entity_type"))
+    else:  # few labels go to the entities; many meet them in a shuffle join, where a hot text is split
+        small = size.bytes <= BROADCAST_BYTES
+        labelled = entities.join(F.broadcast(labels) if small else labels, on="text", how="left").withColumn(
+            "label", F.coalesce("label", "entity_type"))
     fields = [F.col("text").alias("text"), F.col("label").alias("entity_type"),
               F.col("start_pos").alias("start_pos"), F.col("end_pos").alias("end_pos"),
               F.col("confidence").alias("confidence"), F.col("source").alias("source")]

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from spanshade.operators import canonical
 from spanshade.operators.canonical import redact_canonical
 from spanshade.operators.pairing import with_ordinals, zip_rows
 from spanshade.plans import file_job as fj
@@ -98,7 +99,7 @@ def test_training_set_grows(spark, tmp_path):
         assert sorted(map(tuple, grow_training_set(two, base, run).collect()), key=str) == sorted(whole, key=str)
 
 
-def test_labels_of_two_jobs_are_those_of_one(spark, tmp_path):
+def test_labels_of_two_jobs_are_those_of_one(spark, tmp_path, monkeypatch):
     rows = [(1, "zip 12345-6789"), (2, "call 555 123 4567, Mary Lane"), (3, "I am Mary Lane"), (4, "my name is John"),
             (5, "I am in New Town, Some State"), (6, "I am Some State")]
     df = spark.createDataFrame(rows, "key int, text string")
@@ -118,7 +119,9 @@ def test_labels_of_two_jobs_are_those_of_one(spark, tmp_path):
         parts = redacted([1, 2, 3], label_base=base, run_id="one") | redacted([4, 5, 6], label_base=base, run_id="two")
         assert parts == whole
     assert "[ADDRESS_" in whole[2] and "[ADDRESS_" in whole[6]
-    assert redacted([6])[6] != whole[6]  # alone it would be a NAME
+    assert redacted([6])[6] != whole[6]  # alone it would be a NAME, and there is no label to join
+    monkeypatch.setattr(canonical, "BROADCAST_BYTES", -1)
+    assert redacted([1, 2, 3, 4, 5, 6]) == whole
 
 
 def test_ordinals_and_zip(spark):
