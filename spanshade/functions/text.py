@@ -15,10 +15,25 @@ _STRIP_RE = r"(?U)^" + _SPACE_CLASS + r"+|" + _SPACE_CLASS + r"+$"
 _NON_SPACE_RE = r"(?U)[^\s\x{1C}-\x{1F}]"
 
 
+def stripped_re(least: int) -> str:
+    """Matches a text that has ``least`` (2 or more) characters once stripped."""
+    return _NON_SPACE_RE + "(?s:.{" + str(least - 2) + ",}?)" + _NON_SPACE_RE[len("(?U)"):]
+
+
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once.
+
+    The finish of an ``aggregate`` over no elements: ``transform`` and
+    ``aggregate`` copy what their functions return (whole texts and lists, once
+    per nested ``let``), the finish is handed on as it is.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
+
+
 def ustrip(c) -> Column:
     """Unicode whitespace strip (``str.strip()``); Spark's ``trim`` only removes spaces."""
     return F.regexp_replace(col_of(c), F.lit(_STRIP_RE), F.lit(""))

@@ -29,9 +29,9 @@ from ..functions.patterns import (
     PiiPattern,
     select_patterns,
 )
-from ..functions.text import _NON_SPACE_RE, _STRIP_RE, col_of, is_blank
-from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, public_array
-from .merge import BLOCK, resolve_overlaps
+from ..functions.text import _NON_SPACE_RE, col_of, is_blank, stripped_re
+from .entities import INTERNAL_TYPE, RANK_STRIDE, empty_array, to_public
+from .merge import resolve_overlaps
 
 _TMP = "__ss_"
 
@@ -85,6 +85,8 @@ def _detect(df: DataFrame, text_col, out_col: str, extra=None, *, types=None, pa
     staged = {scan: _scan_expr(text_col)}
     if extra is not None:  # under a fixed name, so what follows is built once
         staged[f"{_TMP}extra"] = extra
+    if guards and any(p.guard == "digit" for p in pats):  # asked for once, not once per pattern
+        staged[f"{_TMP}digit"] = col_of(text_col).rlike(r"(?U)\d")
     d = df.withColumns(staged)
     stage1 = _stage1_exprs(pats, guards)
     d = d.withColumns(stage1) if stage1 else d
@@ -120,7 +122,7 @@ def _stage1_exprs(pats: tuple, guards: bool) -> dict:
     """One ``regexp_replace`` per pattern marking the matches (guarded)."""
     u = F.col(f"{_TMP}scan")
     blank = is_blank(u)
-    has_digit = u.rlike(r"(?U)\d")
+    has_digit = F.col(f"{_TMP}digit")
     out = {}
     for p in pats:
         cond = ~blank
@@ -155,54 +157,67 @@ def _sql_str(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let_sql(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to the value, evaluated once and not copied (see ``text.let``)."""
+    return f"aggregate(CAST(array() AS array<int>), {value}, ({name}, none) -> {name}, {name} -> {body})"
+
+
+#: Numbers per block of a running sum.
+RUN = 16
+
+
+def _running_sql(v: str, level: int = 2) -> str:
+    """SQL text of the running sums of the array of longs named ``v``.
+
+    An ``aggregate`` that collects its sums copies them at every step. So each
+    sum is taken from the start of its block of ``RUN`` numbers, and the blocks
+    are summed up the same way, ``level`` times."""
+    def own(of, start):
+        return (f"transform({of}, (x{level}, i{level}) -> aggregate(slice({of}, 1, i{level} + 1), {start}, "
+                f"(a{level}, y{level}) -> a{level} + y{level}))")
+
+    if not level:
+        return own(v, "0L")
+    c, w, totals, ends = (f"{n}{level}" for n in ("c", "w", "t", "e"))
+    blocks = f"sequence(0, CAST((size({v}) - 1) DIV {RUN} AS INT))"
+    block = f"slice({v}, {c} * {RUN} + 1, {RUN})"
+    sums = f"transform({blocks}, {c} -> aggregate({block}, 0L, (a{level}, y{level}) -> a{level} + y{level}))"
+    inner = f"IF({c} = 0, 0L, {ends}[{c} - 1])"
+    parts = f"flatten(transform({blocks}, {c} -> {_let_sql(w, block, own(w, inner))}))"
+    return (f"CASE WHEN size({v}) <= {RUN} THEN {own(v, '0L')} ELSE "
+            f"{_let_sql(totals, sums, _let_sql(ends, _running_sql(totals, level - 1), parts))} END")
+
+
 def _pattern_entities_sql(p: PiiPattern, pieces_col: str, confidence: float) -> str:
     """SQL text of ``filter(fold(pieces), keep)`` for one pattern.
 
     With one marker around each match (and after its span group) the pieces
     come at a fixed stride: ``gap, match[, group]`` per match, then the tail.
-    The fold walks the match indexes, reads the pieces by position and carries
-    the running offsets (code points and UTF-8 bytes) block by block, so it is
-    linear; the filter drops spans
-    with fewer than 2 non-space characters (only where a pattern can produce
-    them) and known false positives. Written as SQL text so the JVM builds
-    the expression in one call."""
+    The lengths of gap and match (code points and UTF-8 bytes) are summed up
+    block by block, so the work is linear, and every entity is built once, from
+    its sum; the filter drops spans that are shorter than 2 characters once
+    stripped (only where a pattern can produce them) and known false positives.
+    Written as SQL text so the JVM builds the expression in one call."""
     stride = 3 if p.group else 2
     pc = f"`{pieces_col}`"
-    n = "n"  # the number of matches, bound below
     gap = f"element_at({pc}, z * {stride} + 1)"
     m = f"element_at({pc}, z * {stride} + 2)"
     x = f"element_at({pc}, z * {stride} + 3)" if p.group else m
-    end = f"(acc.pos + length({gap}) + length({m}))"
-    bend = f"(acc.bpos + octet_length({gap}) + octet_length({m}))"
-    ent = (f"named_struct('start_pos', CAST({end} - length({x}) AS INT), "
-           f"'rank', CAST({p.ordinal * RANK_STRIDE} AS BIGINT) + acc.i, "
-           f"'end_pos', CAST({end} AS INT), 'text', {x}, "
+    # bytes in the upper half of a long, code points in the lower: one sum for both
+    width = f"(octet_length({gap}) + octet_length({m})) * {1 << 32} + length({gap}) + length({m})"
+    end, bend = f"CAST(at & {(1 << 32) - 1} AS INT)", "CAST(shiftright(at, 32) AS INT)"
+    ent = (f"named_struct('start_pos', {end} - length({x}), "
+           f"'rank', CAST({p.ordinal * RANK_STRIDE} AS BIGINT) + z, "
+           f"'end_pos', {end}, 'text', {x}, "
            f"'entity_type', {_sql_str(p.entity_type)}, "
            f"'confidence', CAST({float(confidence)!r} AS DOUBLE), 'source', 'REGEX', "
-           f"'byte_start', CAST({bend} - octet_length({x}) AS INT), "
-           f"'byte_end', CAST({bend} AS INT))")
-    # ``aggregate`` copies its accumulator at every step, so offsets are summed
-    # per block of matches first and each block then collects its own entities
-    last_block = f"CAST(({n} - 1) DIV {BLOCK} AS INT)"
-    within = f"sequence(c * {BLOCK}, least((c + 1) * {BLOCK}, {n}) - 1)"
-    sums = (f"transform(sequence(0, {last_block}), c -> aggregate({within}, "
-            f"named_struct('pos', 0, 'bpos', 0), (acc, z) -> named_struct('pos', {end}, 'bpos', {bend})))")
-    starts = (f"aggregate({sums}, named_struct('at', CAST(array() AS array<struct<pos:int,bpos:int>>), "
-              f"'pos', 0, 'bpos', 0), (acc, x) -> named_struct("
-              f"'at', concat(acc.at, array(named_struct('pos', acc.pos, 'bpos', acc.bpos))), "
-              f"'pos', acc.pos + x.pos, 'bpos', acc.bpos + x.bpos), acc -> acc.at)")
-    blocks = (f"transform(sequence(0, {last_block}), c -> aggregate({within}, "
-              f"named_struct('i', c * {BLOCK}, 'pos', s[c].pos, 'bpos', s[c].bpos, "
-              f"'out', CAST(array() AS array<{INTERNAL_TYPE}>)), "
-              f"(acc, z) -> named_struct('i', acc.i + 1, 'pos', {end}, 'bpos', {bend}, "
-              f"'out', concat(acc.out, array({ent}))), acc -> acc.out))")
-    fold = (f"CASE WHEN size({pc}) >= {stride} THEN transform(array(CAST(size({pc}) DIV {stride} AS INT)), n -> "
-            f"transform(array({starts}), s -> flatten({blocks}))[0])[0] "
-            f"ELSE CAST(array() AS array<{INTERNAL_TYPE}>) END")
+           f"'byte_start', {bend} - octet_length({x}), 'byte_end', {bend})")
+    widths = f"transform(sequence(0, CAST(size({pc}) DIV {stride} AS INT) - 1), z -> {width})"
+    found = _let_sql("ws", widths, f"transform({_running_sql('ws')}, (at, z) -> {ent})")
+    fold = f"CASE WHEN size({pc}) >= {stride} THEN {found} ELSE CAST(array() AS array<{INTERNAL_TYPE}>) END"
     conds = []
     if p.may_be_short:
-        conds.append(f"length(regexp_replace(e.text, {_sql_str(_STRIP_RE)}, '')) "
-                     f">= {MIN_ENTITY_CHARS}")
+        conds.append(f"e.text RLIKE {_sql_str(stripped_re(MIN_ENTITY_CHARS))}")
     fps = tuple(dict.fromkeys(v.lower() for v in FALSE_POSITIVES.get(p.entity_type, ())))
     if fps:
         conds.append(f"NOT lower(e.text) IN ({', '.join(_sql_str(v) for v in fps)})")
@@ -225,8 +240,7 @@ def _kept_expr(i: int, pats: tuple, confidence: float, public: bool, extra_col:
     cands = _candidates_expr(i, pats, confidence)
     if extra_col is not None:
         cands = F.concat(cands, F.coalesce(F.col(extra_col), empty_array(INTERNAL_TYPE)))
-    kept = resolve_overlaps(cands, may_have_empty=extra_col is not None)
-    return public_array(kept) if public else kept
+    return resolve_overlaps(cands, extra_col is not None, **({"view": to_public} if public else {}))
 
 
 def with_candidates(df: DataFrame, text_col, out_col: str = "candidates", *,
@@ -263,9 +277,8 @@ def _text_pattern_sql(p: PiiPattern, guards: bool, confidence: float) -> str:
     none = f"CAST(array() AS array<{INTERNAL_TYPE}>)"
     repl = _MARK + "$0" + _MARK + (f"${p.group}" + _MARK if p.group else "")
     marked = f"regexp_replace(u, {_sql_text(p.java_regex)}, {_sql_text(repl)})"
-    pieces = (f"transform(array({marked}), k -> CASE WHEN octet_length(k) > octet_length(u) "
-              f"THEN split(k, {_sql_text(_MARK)}, -1) END)[0]")
-    found = f"transform(array({pieces}), pc -> {_pattern_entities_sql(p, 'pc', confidence)})[0]"
+    pieces = _let_sql("k", marked, f"CASE WHEN octet_length(k) > octet_length(u) THEN split(k, {_sql_text(_MARK)}, -1) END")
+    found = _let_sql("pc", pieces, _pattern_entities_sql(p, "pc", confidence))
     if not guards or p.guard is None:
         return found
     guard = "dg" if p.guard == "digit" else f"contains(u, {_sql_text(p.guard)})"
@@ -277,7 +290,7 @@ def _texts_candidates(texts_col: str, pats: tuple, guards: bool, confidence: flo
     none = f"CAST(array() AS array<{INTERNAL_TYPE}>)"
     every = ", ".join(_text_pattern_sql(p, guards, confidence) for p in pats)
     scan = f"CASE WHEN t RLIKE {_sql_text(_MARKERS_RE)} THEN translate(t, {_sql_text(_MARK)}, {_sql_text(_SAFE)}) ELSE t END"
-    found = f"transform(array({scan}), u -> transform(array(u RLIKE '(?U)\\\\d'), dg -> concat({every}))[0])[0]" if pats else none
+    found = _let_sql("u", scan, _let_sql("dg", "u RLIKE '(?U)\\\\d'", f"concat({every})")) if pats else none
     return F.expr(f"transform(`{texts_col}`, t -> CASE WHEN t IS NULL OR NOT t RLIKE {_sql_text(_NON_SPACE_RE)} "
                   f"THEN {none} ELSE {found} END)")
 
@@ -285,9 +298,9 @@ def _texts_candidates(texts_col: str, pats: tuple, guards: bool, confidence: flo
 @functools.lru_cache(maxsize=64)
 def _texts_kept(cands_col: str, extra_col: str | None) -> Column:
     if extra_col is None:
-        return F.transform(cands_col, lambda c: public_array(resolve_overlaps(c, may_have_empty=False)))
-    return F.zip_with(cands_col, extra_col, lambda c, x: public_array(resolve_overlaps(
-        F.concat(c, F.coalesce(x, empty_array(INTERNAL_TYPE))), may_have_empty=True)))
+        return F.transform(cands_col, lambda c: resolve_overlaps(c, may_have_empty=False, view=to_public))
+    return F.zip_with(cands_col, extra_col, lambda c, x: resolve_overlaps(
+        F.concat(c, F.coalesce(x, empty_array(INTERNAL_TYPE))), may_have_empty=True, view=to_public))
 
 
 def with_entities_of_texts(df: DataFrame, texts_col: str, out_col: str, extra_col: str | None = None, *,
