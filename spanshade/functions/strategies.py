@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col_of, digits, ustrip
+from .text import col_of, digits, let, ustrip
 
 StrategyFn = Callable[[Column, Column], Column]
 
@@ -46,13 +46,11 @@ def placeholder(text: Column, entity_type: Column) -> Column:
 
 
 def mask(text: Column, entity_type: Column) -> Column:
-    s = ustrip(text)
-    n = F.length(s)
-    return (
+    # stripped once, like the digits below: every mention of a Column in a lambda is evaluated anew
+    return let(ustrip(text), lambda s: let(F.length(s), lambda n: (
         F.when(n <= 2, _stars(n))
         .when(n <= 4, F.concat(F.substring(s, 1, 1), _stars(n - 2), F.substring(s, -1, 1)))
-        .otherwise(F.concat(F.substring(s, 1, 2), _stars(n - 3), F.substring(s, -1, 1)))
-    )
+        .otherwise(F.concat(F.substring(s, 1, 2), _stars(n - 3), F.substring(s, -1, 1))))))
 
 
 def remove(text: Column, entity_type: Column) -> Column:
@@ -70,28 +68,30 @@ def _default_partial(s: Column) -> Column:
         F.concat(F.substring(s, 1, 1), _stars(n - 2), F.substring(s, -1, 1)))
 
 
-def partial(text: Column, entity_type: Column) -> Column:
-    s = ustrip(text)
+def _last_digits(s: Column, shown: str) -> Column:
+    return let(digits(s), lambda d: F.when(F.length(d) >= 4, F.concat(F.lit(shown), F.substring(d, -4, 4)))
+               .otherwise(_default_partial(s)))
+
+
+def _partial(s: Column, entity_type: Column) -> Column:
     user = F.substring_index(s, "@", 1)
     domain = F.substring(s, F.length(user) + 2, F.length(s))
     masked_user = F.when(F.length(user) == 0, F.lit("*")).otherwise(
         F.concat(F.substring(user, 1, 1), _stars(F.length(user) - 1)))
     email = F.when(s.contains("@"), F.concat(masked_user, F.lit("@"), domain)) \
         .otherwise(_default_partial(s))
-    d = digits(s)
-    last4 = F.substring(d, -4, 4)
-    phone = F.when(F.length(d) >= 4, F.concat(F.lit("***-***-"), last4)) \
-        .otherwise(_default_partial(s))
-    card = F.when(F.length(d) >= 4, F.concat(F.lit("****-****-****-"), last4)) \
-        .otherwise(_default_partial(s))
     return (
         F.when(entity_type == "EMAIL", email)
-        .when(entity_type == "PHONE", phone)
-        .when(entity_type == "CREDIT_CARD", card)
+        .when(entity_type == "PHONE", _last_digits(s, "***-***-"))
+        .when(entity_type == "CREDIT_CARD", _last_digits(s, "****-****-****-"))
         .otherwise(_default_partial(s))
     )
 
 
+def partial(text: Column, entity_type: Column) -> Column:
+    return let(ustrip(text), lambda s: _partial(s, entity_type))
+
+
 _REGISTRY: dict[str, StrategyFn] = {
     "placeholder": placeholder,
     "mask": mask,
