@@ -53,6 +53,9 @@ _CITY_JAVA = (
     r"([A-Za-z\s]++,\s+[A-Za-z\s]+(?:,\s+\d{5})?\b)"
 )
 
+# Asked before the word boundary, which costs more: most characters are no digits.
+_DIGIT_NEXT = r"(?=\d)"
+
 JAVA_FLAGS = "(?iU)"
 
 
@@ -93,15 +96,15 @@ def _p(ordinal, entity_type, source, java=None, group=0, guard=None, may_be_shor
 CATALOGUE: tuple[PiiPattern, ...] = (
     _p(0, "EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", guard="@"),
     _p(1, "EMAIL", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\b", guard="@"),
-    _p(2, "PHONE", r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b", guard="digit"),
+    _p(2, "PHONE", r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b", java=_DIGIT_NEXT + r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b", guard="digit"),
     _p(3, "PHONE", r"\(\d{3}\)\s*\d{3}[-.]?\d{4}\b", guard="("),
-    _p(4, "PHONE", r"\b\d{3}\s+\d{3}\s+\d{4}\b", guard="digit"),
-    _p(5, "SSN", r"\b\d{3}[-]?\d{2}[-]?\d{4}\b", guard="digit"),
-    _p(6, "ZIP_CODE", r"\b\d{5}(?:-\d{4})?\b", guard="digit"),
+    _p(4, "PHONE", r"\b\d{3}\s+\d{3}\s+\d{4}\b", java=_DIGIT_NEXT + r"\b\d{3}\s+\d{3}\s+\d{4}\b", guard="digit"),
+    _p(5, "SSN", r"\b\d{3}[-]?\d{2}[-]?\d{4}\b", java=_DIGIT_NEXT + r"\b\d{3}[-]?\d{2}[-]?\d{4}\b", guard="digit"),
+    _p(6, "ZIP_CODE", r"\b\d{5}(?:-\d{4})?\b", java=_DIGIT_NEXT + r"\b\d{5}(?:-\d{4})?\b", guard="digit"),
     _p(7, "ADDRESS", r"\b\d+\s+[A-Za-z\s]+(Street|St|Lane|Ln|Avenue|Ave|Road|Rd|Drive|Dr|Boulevard|Blvd|Circle|Cir|Court|Ct)\b", guard="digit"),
     _p(8, "ADDRESS", r"\b[A-Za-z\s]+,\s+[A-Za-z\s]+(?:,\s+\d{5})?\b", java=_CITY_JAVA,
        group=1, guard=",", may_be_short=True),
-    _p(9, "CREDIT_CARD", r"\b(?:\d{4}[-\s]?){3}\d{4}\b", guard="digit"),
+    _p(9, "CREDIT_CARD", r"\b(?:\d{4}[-\s]?){3}\d{4}\b", java=_DIGIT_NEXT + r"\b(?:\d{4}[-\s]?){3}\d{4}\b", guard="digit"),
     _p(10, "NAME", r"(?:my name is|I am|I\'m)\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)",
        java=r"(?:my name is|I am|I'm)\s+" + _NAME_RUN_JAVA, group=1),
     _p(11, "NAME", r"(?:first and last name[,\s]+)([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)",
