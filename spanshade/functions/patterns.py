@@ -53,6 +53,11 @@ _CITY_JAVA = (
     r"([A-Za-z\s]++,\s+[A-Za-z\s]+(?:,\s+\d{5})?\b)"
 )
 
+# The lead-ins of the NAME patterns, in lower case, and the letters that are none of
+# ASCII but equal one of it when case is ignored (``i`` and ``s`` are in the lead-ins).
+_NAME_LEADS = (("my name is", "i am", "i'm"), ("first and last name",))
+FOLDED_LETTERS = ("\u0130", "\u0131", "\u017f")
+
 # Asked before the word boundary, which costs more: most characters are no digits.
 _DIGIT_NEXT = r"(?=\d)"
 
@@ -66,8 +71,9 @@ class PiiPattern:
     source: str
     java: str
     group: int = 0
-    # Cheap row test that is necessary for a match; lets the regex be skipped.
-    guard: str | None = None
+    # Cheap row test that is necessary for a match; lets the regex be skipped: a text to
+    # contain, "digit", or texts in lower case of which one is to be in it, whatever its case.
+    guard: str | tuple[str, ...] | None = None
     # Whether a match can have fewer than 2 non-space characters (then the
     # stripped-length check must run). Only the comma address form can; every
     # other catalogue pattern needs at least 2 digits/letters by construction.
@@ -106,9 +112,9 @@ CATALOGUE: tuple[PiiPattern, ...] = (
        group=1, guard=",", may_be_short=True),
     _p(9, "CREDIT_CARD", r"\b(?:\d{4}[-\s]?){3}\d{4}\b", java=_DIGIT_NEXT + r"\b(?:\d{4}[-\s]?){3}\d{4}\b", guard="digit"),
     _p(10, "NAME", r"(?:my name is|I am|I\'m)\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)",
-       java=r"(?:my name is|I am|I'm)\s+" + _NAME_RUN_JAVA, group=1),
+       java=r"(?:my name is|I am|I'm)\s+" + _NAME_RUN_JAVA, group=1, guard=_NAME_LEADS[0]),
     _p(11, "NAME", r"(?:first and last name[,\s]+)([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)",
-       java=r"(?:first and last name[,\s]+)" + _NAME_RUN_JAVA, group=1),
+       java=r"(?:first and last name[,\s]+)" + _NAME_RUN_JAVA, group=1, guard=_NAME_LEADS[1]),
 )
 
 ENTITY_TYPES: tuple[str, ...] = tuple(dict.fromkeys(p.entity_type for p in CATALOGUE))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import (
     DEFAULT_CONFIDENCE,
     FALSE_POSITIVES,
+    FOLDED_LETTERS,
     MIN_ENTITY_CHARS,
     PiiPattern,
     select_patterns,
@@ -41,13 +42,15 @@ def _guard(t: Column, p: PiiPattern, has_digit: Column) -> Column | None:
         return None
     if p.guard == "digit":
         return has_digit
+    if isinstance(p.guard, tuple):
+        low = F.col(f"{_TMP}low")
+        return functools.reduce(lambda a, b: a | b, [low.contains(lead) for lead in p.guard] + [F.col(f"{_TMP}folded")])
     return t.contains(p.guard)
 
 
 # Marker character for the one-pass form (see ``_detect``) and the
 # character it is replaced by in the scanned copy of a text.
 _MARK, _SAFE = "\u0000", "\u0001"
-_MARKERS_RE = "\\x00"
 
 
 def _select_replacing(df: DataFrame, outputs: dict, drop=()) -> DataFrame:
@@ -87,6 +90,9 @@ def _detect(df: DataFrame, text_col, out_col: str, extra=None, *, types=None, pa
         staged[f"{_TMP}extra"] = extra
     if guards and any(p.guard == "digit" for p in pats):  # asked for once, not once per pattern
         staged[f"{_TMP}digit"] = col_of(text_col).rlike(r"(?U)\d")
+    if guards and any(isinstance(p.guard, tuple) for p in pats):
+        staged[f"{_TMP}low"] = F.lower(col_of(text_col))
+        staged[f"{_TMP}folded"] = functools.reduce(lambda a, b: a | b, [col_of(text_col).contains(c) for c in FOLDED_LETTERS])
     d = df.withColumns(staged)
     stage1 = _stage1_exprs(pats, guards)
     d = d.withColumns(stage1) if stage1 else d
@@ -109,7 +115,7 @@ def _scan_expr(text_col) -> Column:
     column name; a Column is built anew (its text does not identify it)."""
     if not isinstance(text_col, str):
         t = col_of(text_col)
-        return F.when(t.rlike(_MARKERS_RE), F.translate(t, _MARK, _SAFE)).otherwise(t)
+        return F.when(t.contains(_MARK), F.translate(t, _MARK, _SAFE)).otherwise(t)
     if text_col not in _SCAN_CACHE:
         if len(_SCAN_CACHE) > 256:
             _SCAN_CACHE.clear()
@@ -281,7 +287,10 @@ def _text_pattern_sql(p: PiiPattern, guards: bool, confidence: float) -> str:
     found = _let_sql("pc", pieces, _pattern_entities_sql(p, "pc", confidence))
     if not guards or p.guard is None:
         return found
-    guard = "dg" if p.guard == "digit" else f"contains(u, {_sql_text(p.guard)})"
+    if isinstance(p.guard, tuple):
+        guard = " OR ".join(["folded", *[f"contains(low, {_sql_text(lead)})" for lead in p.guard]])
+    else:
+        guard = "dg" if p.guard == "digit" else f"contains(u, {_sql_text(p.guard)})"
     return f"CASE WHEN {guard} THEN {found} ELSE {none} END"
 
 
@@ -289,8 +298,12 @@ def _text_pattern_sql(p: PiiPattern, guards: bool, confidence: float) -> str:
 def _texts_candidates(texts_col: str, pats: tuple, guards: bool, confidence: float) -> Column:
     none = f"CAST(array() AS array<{INTERNAL_TYPE}>)"
     every = ", ".join(_text_pattern_sql(p, guards, confidence) for p in pats)
-    scan = f"CASE WHEN t RLIKE {_sql_text(_MARKERS_RE)} THEN translate(t, {_sql_text(_MARK)}, {_sql_text(_SAFE)}) ELSE t END"
-    found = _let_sql("u", scan, _let_sql("dg", "u RLIKE '(?U)\\\\d'", f"concat({every})")) if pats else none
+    scan = f"CASE WHEN contains(t, {_sql_text(_MARK)}) THEN translate(t, {_sql_text(_MARK)}, {_sql_text(_SAFE)}) ELSE t END"
+    found = f"concat({every})"
+    if guards and any(isinstance(p.guard, tuple) for p in pats):
+        folded = " OR ".join(f"contains(u, '{c}')" for c in FOLDED_LETTERS)
+        found = _let_sql("low", "lower(u)", _let_sql("folded", folded, found))
+    found = _let_sql("u", scan, _let_sql("dg", "u RLIKE '(?U)\\\\d'", found)) if pats else none
     return F.expr(f"transform(`{texts_col}`, t -> CASE WHEN t IS NULL OR NOT t RLIKE {_sql_text(_NON_SPACE_RE)} "
                   f"THEN {none} ELSE {found} END)")
 

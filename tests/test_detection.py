@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanshade.functions.patterns import CATALOGUE, patterns_for_type, all_pattern_types
-from spanshade.operators.detect import detect_table, with_candidates, with_entities
+from spanshade.operators.detect import detect_table, with_candidates, with_entities, with_entities_of_texts
 
 
 def _ents(spark, texts, **kw):
@@ -133,3 +133,20 @@ def test_detect_table_long_form(spark):
         (0, "EMAIL", 32, "john.smith@email.com"), (1, "PHONE", 23, "555-123-4567"),
         (1, "PHONE", 39, "(555) 987-6543"), (2, "ADDRESS", 14, "123 Main Street"),
         (2, "ZIP_CODE", 47, "62701")]
+
+
+def test_name_guard_asks_for_a_lead_in_in_any_case(spark):
+    from spanshade.functions.patterns import FOLDED_LETTERS
+
+    names = patterns_for_type("NAME")
+    assert all(p.guard for p in names)  # without one, both patterns search every text
+    texts = ["i AM Ann", "İ am Ann", "ı'm Ann Lee", "My Name Iſ Ann", "Fırſt and last name, Ann Lee", "no lead-in: Ann Lee",
+             "I a Ann", "", None, "é I'M Zoë", *[f"MY NAME IS{c} Ann" for c in FOLDED_LETTERS]]
+    assert _cands(spark, texts, types=["NAME"]) == _cands(spark, texts, types=["NAME"], guards=False)
+    df = spark.createDataFrame([(0, texts)], "id int, ts array<string>")
+    guarded, plain = (with_entities_of_texts(df, "ts", "e", types=["NAME"], guards=g).first().e for g in (True, False))
+    assert guarded == plain and sum(map(len, guarded)) == 6
+
+
+def test_marker_in_the_text_is_mapped(spark):
+    assert _ents(spark, ["\u0000 I am Ann\u0000, a@b.com \u0000"]) == [[("NAME", 7, 10), ("EMAIL", 13, 20)]]
