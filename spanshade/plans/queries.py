@@ -298,9 +298,10 @@ def training_dedup(spark, sf_dir):
 def training_set_over_runs(spark, sf_dir):
     """The examples of even keys, then all, then all again: the set holds every text and type once."""
     from .feedback import grow_training_set, training_set
+    from ..session import materialize
     from .payload_files import scratch_dir
     base = scratch_dir(spark, "training-set")
-    examples = _examples_union(spark, sf_dir)
+    examples = materialize(_examples_union(spark, sf_dir), "training-examples")  # three runs read them
     for run, rows in (("first", examples.where("key % 2 = 0")), ("second", examples), ("third", examples)):
         whole = grow_training_set(training_set(rows), base, run)
     return whole.select("text", "type")

@@ -147,3 +147,24 @@ def test_paired_payloads(spark):
     assert [(r.verbatim_id, r.sentence, r.notes, r.comments) for r in out] == [
         (1, "[REDACTED_PERSON] Smith", "  ", 5), (2, None, "call", 6)]
     assert [r._stats.pii_detected for r in out] == [1, 0]
+
+
+def test_training_runs_read_examples_that_are_made_once(spark, monkeypatch):
+    from spanshade.plans import feedback, queries
+    made, read = [], []
+    rows = [("conversations", i, "f", f"t{i % 3}", "NAME", "CER", 0) for i in range(6)]
+
+    def union(s, sf_dir):
+        made.append(sf_dir)
+        return s.createDataFrame(rows, "src string, key bigint, source_file string, text string, type string, source string, start_pos int")
+
+    def seen(examples, *a, **kw):
+        read.append(examples)
+        return training_set(examples, *a, **kw)
+
+    monkeypatch.setattr(queries, "_examples_union", union)
+    monkeypatch.setattr(feedback, "training_set", seen)
+    got = queries.training_set_over_runs(spark, "none")
+    assert sorted(map(tuple, got.collect())) == [(f"t{i}", "NAME") for i in range(3)]
+    assert len(made) == 1 and len(read) == 3
+    assert all("/spanshade-tables/training-examples-" in f for d in read for f in d.inputFiles()) and all(d.inputFiles() for d in read)
