@@ -71,10 +71,16 @@ def classify_files(raw: DataFrame, path_col: str | None = None) -> DataFrame:
 
     ``raw`` is a whole-file text read (``value``); the file path comes from
     the hidden ``_metadata`` column unless ``path_col`` names one.
+
+    A scan gives small files a task for every few of them, and setting up a
+    task of the detection behind it costs more than such files do: so many
+    files share a task, up to the session's number of shuffle partitions.
+    Nothing is shuffled, and a file stays in the task that read it.
     """
     path = F.col(path_col) if path_col else F.col("_metadata.file_path")
     files = raw.select(normalise_path(path).alias("source_file"),
                        F.col("value").alias("content"), clock().alias("began"))
+    files = files.coalesce(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # [<content>,<check>]: the check number cannot stand in the content it is made from
     files = files.withColumn("check", F.xxhash64("content"))
     files = files.withColumn("wrapped", F.concat(F.lit("["), "content", F.lit(","), F.col("check").cast("string"), F.lit("]")))

@@ -118,3 +118,21 @@ def test_staged_rewrite_reads_its_own_old_version(spark, tmp_path):
     assert path.endswith("/v2") and current_version(spark, base) == path
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
     assert old.count() == 5
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    from spanshade.sources.json_files import classify_files
+    n, most = 40, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for i in range(n):
+        (tmp_path / f"{i}.json").write_text(json.dumps([{"verbatim_id": i}]))
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64")  # a scan task for every file
+    try:
+        raw = spark.read.text(str(tmp_path), wholetext=True)
+        assert raw.rdd.getNumPartitions() == n > most
+        rows = classify_files(raw).select("source_file", "error", F.size("arr").alias("n"), F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert len({r.source_file for r in rows}) == len(rows) == n and all(r.error is None and r.n == 1 for r in rows)
+    assert 1 < len({r.task for r in rows}) <= most
